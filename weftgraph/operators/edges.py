@@ -56,7 +56,8 @@ def _same_ends(rel: RelationshipDef, near: str, far: str) -> tuple[Column, Colum
         edge = F.array_sort(F.array(col("src_id"), col("dst_id")))
         pair = F.array_sort(F.array(col(near), col(far)))
         return edge, pair
-    return F.array(col(a), col(b)), F.array(col(near), col(far))
+    edge = F.struct(col(a).alias("near"), col(b).alias("far"))
+    return edge, F.struct(col(near).alias("near"), col(far).alias("far"))
 
 
 def connect(
