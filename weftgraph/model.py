@@ -136,6 +136,9 @@ class NodeModel:
 
     def __init_subclass__(cls, **kwargs: Any):
         super().__init_subclass__(**kwargs)
+        reserved = [n for n in vars(cls) if n in vars(NodeModel) and not n.startswith("__")]
+        if reserved:
+            raise ValueError(f"reserved names on a node model: {reserved}")
         if "__abstract_node__" not in vars(cls):
             cls.__abstract_node__ = False
         if "__label__" not in vars(cls):
@@ -144,7 +147,7 @@ class NodeModel:
 
     # -- labels -----------------------------------------------------------
     @classmethod
-    def label(cls) -> str:
+    def label_name(cls) -> str:
         return cls.__label__
 
     @classmethod

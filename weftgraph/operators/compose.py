@@ -79,7 +79,7 @@ class Bound:
 def exported_names(ns: NodeSet) -> set[str]:
     """The names a sub-query may hand to the outer query."""
     bound = Composition(ns, until_conditions=True)
-    names = {ns.model.label().lower(), *bound.returns}
+    names = {ns.model.label_name().lower(), *bound.returns}
     for step in ns.transforms:
         names |= {n for n, spec in step.vars.items() if spec.get("include_in_return")}
     for sq in ns.subqueries:
@@ -120,7 +120,7 @@ class Composition:
         self.keep = list(keep or [])  # context columns every step must carry
         self.pending: list[SortKey] = []
         self.owner_of: dict[tuple[str, ...], int] = {}
-        self.root_name = ns.model.label().lower()
+        self.root_name = ns.model.label_name().lower()
         self.optional_frames: list[tuple[DataFrame, Column | None, list[str]]] = []
         self.counters = {"rel": 0, "node": 0}
         self.total = False  # an aggregate without grouping columns
@@ -339,7 +339,7 @@ class Composition:
             last = i + 1 == len(parts)
             self.counters["rel"] += 1
             edge = f"r{self.counters['rel']}"
-            same, node = None, f"{rel.target.label().lower()}_{prefix}"
+            same, node = None, f"{rel.target.label_name().lower()}_{prefix}"
             if last and path.alias:
                 node = path.alias
             elif prefix in self.ns.unique:
@@ -532,7 +532,7 @@ class Composition:
             if imported:
                 self._imported_subquery(number, sq, correlated, imported)
             elif correlated is not None:
-                key = f"{inner_ns.model.label().lower()}.node_id"
+                key = f"{inner_ns.model.label_name().lower()}.node_id"
                 inner = Composition(inner_ns, keep=[key], inside=True)
                 self._attach(number, sq, inner, {key: col(correlated.id)})
             else:
@@ -724,9 +724,9 @@ class Composition:
             bound_name, prop = self._spec(spec)
             if bound_name == name:
                 bound = self.vars.get(name)
-                if bound is not None and bound.model is not None and prop not in bound.cols:
-                    if prop not in ("id",):
-                        prop = bound.model.property(prop).name
+                known = bound is None or bound.model is None or prop in bound.cols
+                if not known and prop not in ("", "id"):
+                    prop = bound.model.property(prop).name
                 wanted.add(prop)
         if any(isinstance(o, RawExpr) for o in self.ns.order):
             return None

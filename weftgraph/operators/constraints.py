@@ -40,7 +40,7 @@ def required(graph: PropertyGraph, model: type[NodeModel]) -> DataFrame:
     missing = F.array_compact(F.array(*[F.when(col(n).isNull(), F.lit(n)) for n in names]))
     found = graph.node_frame(model).select("node_id", F.explode(missing).alias("field"))
     return found.select(
-        *_violation("required", model.label(), col("field"), col("node_id"), F.lit(1))
+        *_violation("required", model.label_name(), col("field"), col("node_id"), F.lit(1))
     )
 
 
@@ -66,7 +66,7 @@ def unique(
     names = names or [n for n, p in model.properties().items() if p.unique_index]
     if not names:
         return _nothing(graph)
-    return _duplicates(graph.node_frame(model), names, "unique", model.label())
+    return _duplicates(graph.node_frame(model), names, "unique", model.label_name())
 
 
 def unique_edges(graph: PropertyGraph, rel_type: str, names: list[str] | None = None) -> DataFrame:
@@ -100,7 +100,7 @@ def cardinality(
         many = degrees(graph, model, rel).where(col("n") > rule.most)
         found.append(
             many.select(
-                *_violation(name, model.label(), F.lit(rel_name), col("near_id"), col("n"))
+                *_violation(name, model.label_name(), F.lit(rel_name), col("near_id"), col("n"))
             )
         )
     if rule.least > 0:
@@ -108,7 +108,7 @@ def cardinality(
         none = graph.node_frame(model).join(linked, col("node_id") == col("near_id"), "left_anti")
         found.append(
             none.select(
-                *_violation(name, model.label(), F.lit(rel_name), col("node_id"), F.lit(0))
+                *_violation(name, model.label_name(), F.lit(rel_name), col("node_id"), F.lit(0))
             )
         )
     return reduce(DataFrame.unionByName, found) if found else _nothing(graph)
@@ -160,7 +160,7 @@ def connect_gate(
     both = asked.join(present, "near_id", "left")
     total = col("asked") + F.coalesce(col("has"), F.lit(0))
     return both.where(total > rule.most).select(
-        *_violation(rule.__name__, model.label(), F.lit(rel_name), col("near_id"), total)
+        *_violation(rule.__name__, model.label_name(), F.lit(rel_name), col("near_id"), total)
     )
 
 
@@ -186,7 +186,7 @@ def disconnect_gate(
         F.count(col("~gone")).alias("removed"),
     )
     return left.where((col("n") < rule.least) & (col("removed") > 0)).select(
-        *_violation(rule.__name__, model.label(), F.lit(rel_name), col("near_id"), col("n"))
+        *_violation(rule.__name__, model.label_name(), F.lit(rel_name), col("near_id"), col("n"))
     )
 
 

@@ -88,7 +88,7 @@ def path_values(ns: NodeSet, path: str) -> DataFrame:
 
     node_values = [
         F.struct(
-            F.lit(n.model.label()).alias("label"),
+            F.lit(n.model.label_name()).alias("label"),
             col(n.id).cast("string").alias("node_id"),
             properties(n.cols, ("node_id", "labels")).alias("properties"),
         )
@@ -186,7 +186,7 @@ def reachable(
 
 
 def _global_id(model: type[NodeModel], node_id: Column) -> Column:
-    return F.concat(F.lit(model.label() + "/"), node_id.cast("string"))
+    return F.concat(F.lit(model.label_name() + "/"), node_id.cast("string"))
 
 
 def _all_edges(graph: PropertyGraph, direction: Direction) -> DataFrame:

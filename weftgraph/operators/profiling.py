@@ -61,7 +61,7 @@ def node_properties(graph: PropertyGraph, model: type[NodeModel]) -> DataFrame:
         return graph.spark.createDataFrame([], schema)
     kinds = [F.lit(x) for n in names for x in (n, kind_of(frame.schema[n].dataType))]
     return _richest(frame, names).select(
-        F.lit(model.label()).alias("label"), F.explode("names").alias("property")
+        F.lit(model.label_name()).alias("label"), F.explode("names").alias("property")
     ).withColumn("kind", F.create_map(*kinds)[col("property")])
 
 
@@ -85,7 +85,7 @@ def outgoing(graph: PropertyGraph, model: type[NodeModel]) -> DataFrame:
             found.groupBy(col("labels")[0].alias("target"))
             .agg(F.max("best").alias("best"), F.sum("n").alias("n"))
             .select(
-                F.lit(model.label()).alias("label"),
+                F.lit(model.label_name()).alias("label"),
                 F.lit(edge.rel_type).alias("rel_type"),
                 "target",
                 F.array_join(col("best")["names"], ",").alias("properties"),
@@ -115,7 +115,7 @@ def inferred_cardinality(graph: PropertyGraph, edge: EdgeTable) -> DataFrame:
     first = F.when(zero, F.lit("Zero")).otherwise(F.lit("One"))
     second = F.when(zero & (col("most") <= 1), F.lit("OrOne")).otherwise(F.lit("OrMore"))
     return ends.select(
-        F.lit(edge.src.label()).alias("label"),
+        F.lit(edge.src.label_name()).alias("label"),
         F.lit(edge.rel_type).alias("rel_type"),
         F.concat(first, second).alias("cardinality"),
         "least",
@@ -143,7 +143,7 @@ def unique_candidates(graph: PropertyGraph, model: type[NodeModel]) -> DataFrame
                 F.max(F.when(col("value").isNotNull(), col("n"))) == 1, F.lit(False)
             ).alias("unique")
         )
-        .select(F.lit(model.label()).alias("label"), "property", "unique")
+        .select(F.lit(model.label_name()).alias("label"), "property", "unique")
     )
 
 

@@ -49,7 +49,7 @@ def as_batch(graph: PropertyGraph, model: type[NodeModel], rows: Any) -> DataFra
 
 
 def _id_type(graph: PropertyGraph, model: type[NodeModel]) -> T.DataType:
-    return graph.tables[model.label()][1].schema["node_id"].dataType
+    return graph.tables[model.label_name()][1].schema["node_id"].dataType
 
 
 def _positioned(batch: DataFrame, position: str | None) -> DataFrame:
@@ -64,7 +64,7 @@ def _default_id(graph: PropertyGraph, model: type[NodeModel], keys: Sequence[str
     """A text id made of the merge key: equal for equal keys, whatever task makes it."""
     if not isinstance(_id_type(graph, model), T.StringType):
         raise ValueError("give new_id: only text ids can be derived from the merge key")
-    return F.sha2(F.to_json(F.struct(F.lit(model.label()), *[col(k) for k in keys])), 256)
+    return F.sha2(F.to_json(F.struct(F.lit(model.label_name()), *[col(k) for k in keys])), 256)
 
 
 def _as_stored(model: type[NodeModel], rows: DataFrame, labels: list[str] | None) -> DataFrame:
@@ -104,7 +104,7 @@ def create(
         batch = batch.withColumn("node_id", new_id)
     elif "node_id" not in batch.columns:
         raise ValueError("new nodes need a node_id column or a new_id expression")
-    old = graph.tables[model.label()][1]
+    old = graph.tables[model.label_name()][1]
     return _append(graph, model, old, _as_stored(model, batch, None), None)
 
 
@@ -212,7 +212,7 @@ def _merge(
     no_key = reduce(lambda a, b: a | b, [col(k).isNull() for k in keys])
     rejected = batch.where(no_key).drop(POSITION)
     wanted = _reduced(batch.where(~no_key), keys, update)
-    old = graph.tables[model.label()][1]
+    old = graph.tables[model.label_name()][1]
     stored_key = {k: model.property(k).stored_name for k in keys}
     given = wanted.select(*[col(k).alias(f"~{k}") for k in keys])
     on = reduce(lambda a, b: a & b, [col(stored_key[k]) == col(f"~{k}") for k in keys])
@@ -297,7 +297,7 @@ def merge_under(
     created = wanted.join(present, on, "left_anti")
     identity = new_id if new_id is not None else _default_id(graph, target, ident)
     created = created.withColumn("node_id", identity)
-    old = graph.tables[target.label()][1]
+    old = graph.tables[target.label_name()][1]
     if update:
         given = [c for c in wanted.columns if c in target.properties() and c not in ident]
         touched = wanted.join(present, on).withColumn("node_id", col("~far"))
@@ -324,7 +324,7 @@ def merge_under(
 def delete(graph: PropertyGraph, model: type[NodeModel], ids: DataFrame) -> PropertyGraph:
     """Removes nodes and every edge that begins or ends at one of them."""
     gone = ids.select(col("node_id").alias("~gone")).distinct()
-    own, table = graph.tables[model.label()]
+    own, table = graph.tables[model.label_name()]
     kept = table.join(gone, col("node_id") == col("~gone"), "left_anti")
     result = graph.with_nodes(own, kept)
     for rel_type, edge in graph.edges.items():
@@ -360,7 +360,7 @@ def clear(graph: PropertyGraph) -> PropertyGraph:
 
 def save(graph: PropertyGraph, model: type[NodeModel], batch: DataFrame) -> PropertyGraph:
     """Overwrites all declared properties (and the labels) of the nodes in the batch."""
-    old = graph.tables[model.label()][1]
+    old = graph.tables[model.label_name()][1]
     right = batch.select(
         col("node_id").alias("~id"),
         *[

@@ -83,7 +83,7 @@ class PropertyGraph:
         """Adds or replaces the table of a label (stored column names, ``node_id``)."""
         if "node_id" not in frame.columns:
             raise ValueError("a node table needs a node_id column")
-        return PropertyGraph(self.spark, {**self.tables, model.label(): (model, frame)}, self.edges)
+        return PropertyGraph(self.spark, {**self.tables, model.label_name(): (model, frame)}, self.edges)
 
     def with_edges(
         self,
@@ -150,7 +150,7 @@ class PropertyGraph:
             (m, df) for m, df in self.tables.values() if m is model or issubclass(m, model)
         ]
         if not found:
-            raise ValueError(f"no node table for label {model.label()!r}")
+            raise ValueError(f"no node table for label {model.label_name()!r}")
         return found
 
     def node_frame(self, model: type[NodeModel], embedded: bool = False) -> DataFrame:
@@ -219,7 +219,7 @@ class PropertyGraph:
                     else:
                         chosen.append(F.lit(None).cast(prop.spark_type).alias(name))
             return edge.frame.select(*chosen)
-        owner = self.tables[edge.owner.label()][1]
+        owner = self.tables[edge.owner.label_name()][1]
         key = _as_column(edge.key)
         own, other = col("node_id"), key
         src, dst = (own, other) if edge.owner_end == "src" else (other, own)
@@ -270,7 +270,7 @@ class PropertyGraph:
                 whole = one if whole is None else whole.unionByName(one)
         if whole is None:
             raise RelationshipClassNotDefined(
-                f"no relationship joins {near.label()} and {rel.target.label()}"
+                f"no relationship joins {near.label_name()} and {rel.target.label_name()}"
             )
         return whole
 
