@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..errors import NotConnected
 from ..model import Direction, NodeModel, RelationshipDef
 from ..sources.graph import EdgeTable, PropertyGraph, as_table, col
+from .writes import as_expr
 
 
 def stored_names(edge: EdgeTable, frame: DataFrame) -> DataFrame:
@@ -65,7 +66,7 @@ def connect(
     model: type[NodeModel],
     rel_name: str,
     pairs: DataFrame,
-    new_edge_id: Column | None = None,
+    new_edge_id: Column | str | None = None,
 ) -> PropertyGraph:
     """Makes sure that each pair (``near_id, far_id`` and properties) has its edge.
 
@@ -95,7 +96,7 @@ def connect(
     touched = left.join(right.select("~key").distinct(), col("~edge_key") == col("~key"), "left_semi")
     missing = right.join(touched, on, "left_anti")
     near, far = _ends(rel)
-    ident = new_edge_id if new_edge_id is not None else F.sha2(
+    ident = as_expr(new_edge_id) if new_edge_id is not None else F.sha2(
         F.to_json(F.struct(col("~near"), col("~far"), *[col(f"~{p}") for p in props])), 256
     )
     new = missing.select(
@@ -164,7 +165,7 @@ def replace_edges(
     model: type[NodeModel],
     rel_name: str,
     pairs: DataFrame,
-    new_edge_id: Column | None = None,
+    new_edge_id: Column | str | None = None,
 ) -> PropertyGraph:
     """All edges of the near nodes go, then the pairs are connected."""
     ids = pairs.select(col("near_id").alias("node_id"))
@@ -177,7 +178,7 @@ def reconnect(
     model: type[NodeModel],
     rel_name: str,
     moves: DataFrame,
-    new_edge_id: Column | None = None,
+    new_edge_id: Column | str | None = None,
 ) -> PropertyGraph:
     """Moves edges from ``old_id`` to ``new_id`` and keeps their properties.
 
@@ -214,7 +215,7 @@ def reconnect(
     there = rest.select(col("~edge_key").alias("~present")).distinct()
     new = moved.join(there, col("~target") == col("~present"), "left_anti")
     near, far = _ends(rel)
-    ident = new_edge_id if new_edge_id is not None else F.sha2(
+    ident = as_expr(new_edge_id) if new_edge_id is not None else F.sha2(
         F.to_json(F.struct(col("~near"), col("~new"))), 256
     )
     new = new.select(

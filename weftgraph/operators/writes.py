@@ -48,6 +48,11 @@ def as_batch(graph: PropertyGraph, model: type[NodeModel], rows: Any) -> DataFra
     return graph.spark.createDataFrame(data, T.StructType(fields))
 
 
+def as_expr(value: Column | str) -> Column:
+    """A column as it is, text as a SQL expression."""
+    return F.expr(value) if isinstance(value, str) else value
+
+
 def _id_type(graph: PropertyGraph, model: type[NodeModel]) -> T.DataType:
     return graph.tables[model.label_name()][1].schema["node_id"].dataType
 
@@ -96,12 +101,12 @@ def _append(graph: PropertyGraph, model, old: DataFrame, new: DataFrame, labels)
 
 # ---------------------------------------------------------------------- create
 def create(
-    graph: PropertyGraph, model: type[NodeModel], rows: Any, new_id: Column | None = None
+    graph: PropertyGraph, model: type[NodeModel], rows: Any, new_id: Column | str | None = None
 ) -> PropertyGraph:
     """Appends nodes with defaults filled. The batch needs a ``node_id`` or ``new_id``."""
     batch = as_batch(graph, model, rows)
     if new_id is not None:
-        batch = batch.withColumn("node_id", new_id)
+        batch = batch.withColumn("node_id", as_expr(new_id))
     elif "node_id" not in batch.columns:
         raise ValueError("new nodes need a node_id column or a new_id expression")
     old = graph.tables[model.label_name()][1]
@@ -156,7 +161,7 @@ def create_violations(graph: PropertyGraph, model: type[NodeModel], rows: Any) -
 
 
 def create_checked(
-    graph: PropertyGraph, model: type[NodeModel], rows: Any, new_id: Column | None = None
+    graph: PropertyGraph, model: type[NodeModel], rows: Any, new_id: Column | str | None = None
 ) -> PropertyGraph:
     """As ``create``, but the whole batch is refused when any row breaks a rule."""
     batch = as_batch(graph, model, rows)
@@ -202,7 +207,7 @@ def _merge(
     update: bool,
     merge_by: dict[str, Any] | None = None,
     position: str | None = None,
-    new_id: Column | None = None,
+    new_id: Column | str | None = None,
 ) -> Upsert:
     batch = _positioned(as_batch(graph, model, rows), position)
     keys = list(merge_by["keys"]) if merge_by else model.merge_keys()
@@ -226,7 +231,7 @@ def _merge(
             *[col(stored_key[k]).alias(k) for k in keys]
         )
     created = wanted.join(matched.distinct(), keys, "left_anti")
-    identity = new_id if new_id is not None else _default_id(graph, model, keys)
+    identity = as_expr(new_id) if new_id is not None else _default_id(graph, model, keys)
     created = created.withColumn("node_id", identity)
     if update:
         old = _overwritten(model, old, wanted, keys, stored_key)
@@ -263,8 +268,8 @@ def merge_under(
     rel_props: Sequence[str] = (),
     keys: Sequence[str] | None = None,
     position: str | None = None,
-    new_id: Column | None = None,
-    new_edge_id: Column | None = None,
+    new_id: Column | str | None = None,
+    new_edge_id: Column | str | None = None,
 ) -> Upsert:
     """Merge of whole patterns: source node, relationship and target node together.
 
@@ -295,7 +300,7 @@ def merge_under(
     same += [col(p).isNull() | (col(p) == col(f"~{p}")) for p in rel_props]
     on = reduce(lambda a, b: a & b, same)
     created = wanted.join(present, on, "left_anti")
-    identity = new_id if new_id is not None else _default_id(graph, target, ident)
+    identity = as_expr(new_id) if new_id is not None else _default_id(graph, target, ident)
     created = created.withColumn("node_id", identity)
     old = graph.tables[target.label_name()][1]
     if update:
@@ -308,7 +313,7 @@ def merge_under(
     edge = graph.edge_table(rel.rel_type)
     outgoing = rel.direction != Direction.INCOMING
     a, b = ("source_id", "node_id") if outgoing else ("node_id", "source_id")
-    edge_id = new_edge_id if new_edge_id is not None else F.sha2(
+    edge_id = as_expr(new_edge_id) if new_edge_id is not None else F.sha2(
         F.to_json(F.struct(col("source_id"), col("node_id"), *[col(p) for p in rel_props])), 256
     )
     new_edges = created.select(

@@ -260,11 +260,24 @@ class DateTimeNativeProperty(Property):
 
 
 class JSONProperty(Property):
+    # the parser stops after the first value; a second element behind the text proves
+    # that the whole text was one value
+    _END = "~end~"
+
+    def _wrapped(self, raw: Column) -> Column:
+        text = F.concat(F.lit("["), raw, F.lit(f',"{self._END}"]'))
+        return F.try_parse_json(text)
+
+    def _whole(self, raw: Column) -> Column:
+        end = F.try_variant_get(self._wrapped(raw), "$[1]", "string")
+        return F.coalesce(end == self._END, F.lit(False))
+
     def typed(self, raw: Column) -> Column:
-        return F.try_parse_json(raw)
+        value = F.try_variant_get(self._wrapped(raw), "$[0]", "variant")
+        return F.when(self._whole(raw), value)
 
     def bad(self, raw: Column) -> Column:
-        return raw.isNotNull() & F.try_parse_json(raw).isNull()
+        return raw.isNotNull() & ~self._whole(raw)
 
     def stored(self, value: Column) -> Column:
         return F.to_json(value)
