@@ -53,17 +53,19 @@ class Bound:
         """A property column; fields of a packed value are reached by name."""
         if self.kind == "value":
             return col(self.id)[prop] if prop else col(self.id)
-        if self.kind == "node" and prop in ("id", "node_id"):
-            return col(self.id)
-        if self.kind == "edge" and prop == "id":
-            return col(self.id)
+        return col(self.flat(prop))
+
+    def flat(self, prop: str) -> str:
+        """The name of the flat column of a property."""
+        if self.kind == "value" or prop == "id":
+            return self.id
         if prop not in self.cols and self.model is not None:
             prop = self.model.property(prop).name
         elif prop not in self.cols and self.rel is not None and self.rel.model is not None:
             prop = self.rel.model.property(prop).name
         if prop not in self.cols:
             raise ValueError(f"No such property {prop}")
-        return col(self.cols[prop])
+        return self.cols[prop]
 
     def packed(self, only: set[str] | None = None) -> Column:
         """The whole variable as one column; null where an optional path is missing."""
@@ -115,6 +117,7 @@ class Composition:
         self.tree: dict[str, Any] = {}
         self.returns: list[str] = []
         self.row_key: list[str] = []
+        self.types: dict[str, Any] = {}  # of the flat columns that came from tables
         self.inside = inside  # a sub-query does not return its own root
         self.aggregates: dict[str, Annotation] = {}
         self.keep = list(keep or [])  # context columns every step must carry
@@ -173,9 +176,10 @@ class Composition:
                 self.df = self.df.join(frame, col(self.root.id) == col(on))
             self.vars.update(imported)
 
-    @staticmethod
-    def _renamed(frame: DataFrame, name: str) -> DataFrame:
-        return frame.select(*[col(c).alias(f"{name}.{c}") for c in frame.columns])
+    def _renamed(self, frame: DataFrame, name: str) -> DataFrame:
+        names = [f"{name}.{c}" for c in frame.columns]
+        self.types.update(zip(names, (f.dataType for f in frame.schema.fields)))
+        return frame.toDF(*names)
 
     @staticmethod
     def _node_bound(frame: DataFrame, name: str, model: type[NodeModel]) -> Bound:
@@ -287,6 +291,7 @@ class Composition:
         for prop in table.props:
             hidden = owner.embedded[embedded_prop(rel.rel_type, prop)]
             made[prop] = F.when(present, col(hidden))
+            self.types[f"{edge}.{prop}"] = self.types.get(hidden)
         df = df.withColumns({f"{edge}.{p}": c for p, c in made.items()})
         cols = {p: f"{edge}.{p}" for p in made}
         return df, Bound("edge", f"{edge}.edge_id", cols, rel=rel)
@@ -476,9 +481,11 @@ class Composition:
 
     def _q_column(self, q: Q, frame: DataFrame) -> Column:
         def resolve(lookup: Lookup) -> Column:
-            c = self._lookup_bound(lookup).column(lookup.prop)
-            needs_type = lookup.op in ("exact", "ne", "lt", "lte", "gt", "gte", "in")
-            dtype = self._type(c, frame) if needs_type else None
+            bound = self._lookup_bound(lookup)
+            c = bound.column(lookup.prop)
+            dtype = None
+            if lookup.op in ("exact", "ne", "lt", "lte", "gt", "gte", "in"):
+                dtype = self.types.get(bound.flat(lookup.prop)) or self._type(c, frame)
             return lookup_column(c, dtype, lookup)
 
         return q.column(resolve)

@@ -68,6 +68,7 @@ def fulltext_topk(frame: DataFrame, model: type[NodeModel], query: FulltextFilte
     terms = query_terms(query.query_string)
     if not terms:
         return frame.where(F.lit(False)).withColumn(SCORE, F.lit(0.0))
+    lowered = F.lower(col(prop.name))
     words = frame.where(col(prop.name).isNotNull()).withColumn("~words", tokens(col(prop.name)))
     counts = [term_frequency(col("~words"), t).alias(f"~tf{i}") for i, t in enumerate(terms)]
     figures = (
@@ -80,18 +81,29 @@ def fulltext_topk(frame: DataFrame, model: type[NodeModel], query: FulltextFilte
         .select(F.struct("*").alias("figures"))
         .scalar()
     )
+    # only texts that contain a term at all are split into words again
+    possible = lowered.contains(F.lit(terms[0]))
+    for term in terms[1:]:
+        possible = possible | lowered.contains(F.lit(term))
     kept = [col(c) for c in frame.columns]
-    scored = words.select(*kept, F.size("~words").alias("~len"), *counts)
-    hit = F.lit(False)
-    for i in range(len(terms)):
-        hit = hit | (col(f"~tf{i}") > 0)
-    scored = scored.where(hit).withColumn("~figures", figures)
+    scored = (
+        frame.where(possible)
+        .withColumn("~words", tokens(col(prop.name)))
+        .select(*kept, F.size("~words").alias("~len"), *counts)
+        .withColumn("~figures", figures)
+    )
     score = F.lit(0.0)
     for i in range(len(terms)):
         idf = inverse_document_frequency(col("~figures")["n"], col("~figures")[f"df{i}"])
         score = score + idf * saturated(col(f"~tf{i}"), col("~len"), col("~figures")["avg"])
-    scored = scored.withColumn(SCORE, score)
+    best = (
+        scored.withColumn(SCORE, score)
+        .orderBy(col(SCORE).desc(), col("node_id"))
+        .limit(query.topk)
+    )
+    # rows are taken in order of their score, so that cutting the low scores after the
+    # limit gives the same rows as before it, and the score is computed once
+    hit = col(SCORE) > 0
     if query.threshold:
-        scored = scored.where(col(SCORE) >= query.threshold)
-    best = scored.orderBy(col(SCORE).desc(), col("node_id")).limit(query.topk)
-    return best.select(*kept, col(SCORE))
+        hit = col(SCORE) >= query.threshold
+    return best.where(hit).select(*kept, col(SCORE))

@@ -174,11 +174,34 @@ SOURCES = {
     PartWords: ("part", "p_partkey"),
 }
 
+# The columns of the supplied tables. With a given schema no file has to
+# be opened before the query runs.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
 LINE_ID = "struct(l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate, l_extendedprice)"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def node_table(spark: SparkSession, folder: str, model: type[NodeModel]) -> DataFrame:
@@ -190,11 +213,9 @@ def node_table(spark: SparkSession, folder: str, model: type[NodeModel]) -> Data
 
 
 def lines(spark: SparkSession, folder: str, src: str, dst: str) -> DataFrame:
-    return table(spark, folder, "lineitem").select(
-        F.expr(LINE_ID).alias("edge_id"),
-        F.col(src).alias("src_id"),
-        F.col(dst).alias("dst_id"),
-        *[F.col(f"l_{p}").alias(p) for p in Line.properties()],
+    return table(spark, folder, "lineitem").selectExpr(
+        f"{LINE_ID} AS edge_id", f"{src} AS src_id", f"{dst} AS dst_id",
+        *[f"l_{p} AS {p}" for p in Line.properties()],
     )
 
 

@@ -19,7 +19,11 @@ from ..model import Direction, NodeModel, RelationshipDef, RelModel
 
 def col(name: str) -> Column:
     """A column by its exact name, whatever characters the name has."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(_quoted(name))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def default_array(labels: Iterable[str]) -> Column:
@@ -77,6 +81,7 @@ class PropertyGraph:
         self.spark = spark
         self.tables = dict(tables or {})
         self.edges = dict(edges or {})
+        self._frames: dict[tuple[type[NodeModel], bool], DataFrame] = {}
 
     # -- building ---------------------------------------------------------
     def with_nodes(self, model: type[NodeModel], frame: DataFrame) -> PropertyGraph:
@@ -158,34 +163,45 @@ class PropertyGraph:
 
         With ``embedded`` the keys and properties of embedded edges ride along.
         """
-        parts = [self._one_table(m, df, model, embedded) for m, df in self.tables_of(model)]
-        whole = parts[0]
-        for part in parts[1:]:
-            whole = whole.unionByName(part, allowMissingColumns=True)
-        return whole
+        if (model, embedded) not in self._frames:
+            parts = [self._one_table(m, df, model, embedded) for m, df in self.tables_of(model)]
+            whole = parts[0]
+            for part in parts[1:]:
+                whole = whole.unionByName(part, allowMissingColumns=True)
+            self._frames[model, embedded] = whole
+        return self._frames[model, embedded]
 
     def _one_table(
         self, own: type[NodeModel], frame: DataFrame, asked: type[NodeModel], embedded: bool
     ) -> DataFrame:
+        # one text per column: the whole projection is a single call to the JVM
         present = set(frame.columns)
-        labels = col("labels") if "labels" in present else default_array(own.inherited_labels())
-        chosen = [col("node_id"), labels.alias("labels")]
+        labels = ", ".join("'" + x.replace("'", "\\'") + "'" for x in own.inherited_labels())
+        chosen = ["node_id", "labels" if "labels" in present else f"array({labels}) AS labels"]
+        computed: dict[str, Column] = {}
         for name, prop in asked.properties().items():
             if prop.stored_name in present:
-                chosen.append(col(prop.stored_name).alias(name))
+                chosen.append(f"{_quoted(prop.stored_name)} AS {_quoted(name)}")
             elif prop.has_default and not callable(prop.default):
-                chosen.append(prop.default_column().alias(name))
+                computed[name] = prop.default_column()
+                chosen.append(_quoted(name))
             else:
-                chosen.append(F.lit(None).cast(prop.spark_type).alias(name))
+                kind = prop.spark_type.simpleString()
+                chosen.append(f"CAST(NULL AS {kind}) AS {_quoted(name)}")
+        carried: dict[str, Column | str] = {}
         if embedded:
             for edge in self.edges.values():
                 if edge.owner is own:
-                    chosen.append(_as_column(edge.key).alias(key_column(edge.rel_type)))
+                    carried[key_column(edge.rel_type)] = edge.key
                     for name, value in edge.props.items():
-                        chosen.append(
-                            _as_column(value).alias(embedded_prop(edge.rel_type, name))
-                        )
-        return frame.select(*chosen)
+                        carried[embedded_prop(edge.rel_type, name)] = value
+        for name, value in carried.items():
+            if isinstance(value, str):
+                chosen.append(f"{_quoted(value)} AS {_quoted(name)}")
+            else:
+                computed[name] = value
+                chosen.append(_quoted(name))
+        return (frame.withColumns(computed) if computed else frame).selectExpr(*chosen)
 
     def nodes(self, model: type[NodeModel], ids: Any = None):
         """A lazy query over all nodes of a label, or over the given ids only.
