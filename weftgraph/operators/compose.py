@@ -34,7 +34,8 @@ from .nodeset import NodeSet, Path, Traversal
 from .product import product
 from .semantic import fulltext_topk, vector_topk
 
-FIXED_EDGE = ("edge_id", "src_id", "dst_id")
+# from this size on, the list of the groups that need parts is surely small
+BROADCAST_PART_SIZE = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -117,6 +118,8 @@ class Composition:
         self.tree: dict[str, Any] = {}
         self.returns: list[str] = []
         self.row_key: list[str] = []
+        self.root_frame: DataFrame | None = None
+        self._reads: set[str] | None = None
         self.types: dict[str, Any] = {}  # of the flat columns that came from tables
         self.inside = inside  # a sub-query does not return its own root
         self.aggregates: dict[str, Annotation] = {}
@@ -157,6 +160,7 @@ class Composition:
             if ns.fulltext is not None:
                 frame = fulltext_topk(frame, ns.model, ns.fulltext)
             self.df = self._renamed(frame, self.root_name)
+            self.root_frame = self.df
             self.root = self._node_bound(frame, self.root_name, ns.model)
             self.row_key = [self.root.id]
         self.vars[self.root_name] = self.root
@@ -228,8 +232,13 @@ class Composition:
         path: Path,
         same: Bound | None = None,
         how: str = "inner",
+        needed: bool = True,
     ) -> tuple[DataFrame, Bound, Bound]:
-        """Follows one relationship from ``near``; ``same`` fixes the node reached."""
+        """Follows one relationship from ``near``; ``same`` fixes the node reached.
+
+        A node of which only the id is ``needed`` is not joined if its edge is known to
+        end at an existing node.
+        """
         table = None
         if rel.rel_type not in (None, "*"):
             table = self.graph.edge_table(rel.rel_type)
@@ -238,7 +247,7 @@ class Composition:
             near_owns = (table.owner_end == "src") == outgoing
             hidden = key_column(rel.rel_type)
             if near_owns and hidden in near.embedded:
-                return self._hop_by_own_key(df, near, rel, node, edge, same, how)
+                return self._hop_by_own_key(df, near, rel, node, edge, same, how, needed)
             if not near_owns and same is not None and hidden in same.embedded:
                 df = df.where(col(same.embedded[hidden]) == col(near.id))
                 df, bound = self._embedded_edge(df, same, near.id, rel, edge, near_owns)
@@ -257,6 +266,9 @@ class Composition:
         if same is not None:
             df = df.join(right, on & (col(f"{edge}.far_id") == col(same.id)), how)
             return df, same, bound_edge
+        if not needed and table is not None and table.verified and how == "inner":
+            far_id = f"{edge}.far_id"
+            return df.join(right, on), Bound("node", far_id, {"node_id": far_id}, rel.target), bound_edge
         frame = self.graph.node_frame(rel.target, embedded=True)
         nodes = self._renamed(frame, node)
         bound = self._node_bound(frame, node, rel.target)
@@ -265,11 +277,14 @@ class Composition:
             return df.join(right, on).join(nodes, far), bound, bound_edge
         return df.join(right.join(nodes, far), on, how), bound, bound_edge
 
-    def _hop_by_own_key(self, df, near, rel, node, edge, same, how):
+    def _hop_by_own_key(self, df, near, rel, node, edge, same, how, needed):
         hidden = near.embedded[key_column(rel.rel_type)]
         if same is not None:
             df = df.where(col(hidden) == col(same.id))
             bound = same
+        elif not needed and self.graph.edge_table(rel.rel_type).verified:
+            bound = Bound("node", hidden, {"node_id": hidden}, rel.target)
+            df = df.where(col(hidden).isNotNull()) if how == "inner" else df
         else:
             frame = self.graph.node_frame(rel.target, embedded=True)
             bound = self._node_bound(frame, node, rel.target)
@@ -353,14 +368,22 @@ class Composition:
                 self.counters["node"] += 1
                 node = f"{node}{self.counters['node']}"
             how = "left" if path.optional and df is not None and i == 0 else "inner"
+            needed = self._node_needed(prefix, node) or (
+                not last and self._holds_key(rel.target, steps[i + 1])
+            )
             if df is None:
                 # an optional path starts as a frame of its own, keyed by the root id
                 df, near_col, bound, bound_edge = self._detached(rel, node, edge, path)
                 root_key = near_col
+                ids = self._selected_roots()
+                if ids is not None:
+                    df = df.join(ids, col(near_col) == col("~root"), "left_semi")
                 if same is not None:
                     conditions.append(col(same.id) == col(bound.id))
             else:
-                df, bound, bound_edge = self._hop(df, near, rel, node, edge, path, same, how)
+                df, bound, bound_edge = self._hop(
+                    df, near, rel, node, edge, path, same, how, needed
+                )
             for other_type, other_id in seen:
                 if other_type == rel.rel_type:
                     df = df.where(col(other_id) != col(bound_edge.id))
@@ -391,6 +414,65 @@ class Composition:
             on = col(self.root.id) == col(root_key)
             self.optional_frames.append((df, reduce(lambda a, b: a & b, conditions, on), []))
 
+    def _node_needed(self, path: str, name: str) -> bool:
+        """Is anything but the id of the node at the end of a path ever read?"""
+        if self.requested is None or self.keep:
+            return True
+        if self._reads is None:
+            self._reads = self._reads_of_query()
+        return "*" in self._reads or path in self._reads or name in self._reads
+
+    def _reads_of_query(self) -> set[str]:
+        ns, reads = self.ns, set()
+        raw = [o for o in ns.order if isinstance(o, RawExpr)]
+        raw += [o for t in ns.transforms for o in t.ordering if isinstance(o, RawExpr)]
+        raw += [v for t in ns.transforms for v in t.vars.values() if isinstance(v["source"], RawExpr)]
+        if raw:
+            return {"*"}
+        for lookup in ns.q.lookups():
+            if not lookup.on_edge:
+                reads.add("__".join(lookup.path))
+        for spec in [*self.requested, *(o.lstrip("-") for o in ns.order)]:
+            if "|" in spec:
+                continue
+            path, _, prop = spec.rpartition("__")
+            if path and prop not in ("id", "node_id"):
+                reads.add(path)
+            reads.add(spec.partition(".")[0])
+        sources = [v["source"] for t in ns.transforms for v in t.vars.values()]
+        sources += [c for sq in ns.subqueries for c in sq.context]
+        for _, function in ns.extras:
+            counted = isinstance(function, Size) and isinstance(function.source, Collect)
+            inner: Any = function
+            while isinstance(inner, AnnotateFunction):
+                inner = inner.source
+            if not counted:
+                sources.append(inner)
+        for source in sources:
+            reads.add(source.node if isinstance(source, NodeNameResolver) else str(source))
+        return reads
+
+    def _holds_key(self, model: type[NodeModel], rel: RelationshipDef) -> bool:
+        table = self.graph.edges.get(rel.rel_type) if rel.rel_type else None
+        return table is not None and table.owner is not None and issubclass(model, table.owner)
+
+    def _selected_roots(self) -> DataFrame | None:
+        """The ids left by the conditions on the root alone; None if there are none."""
+        ns = self.ns
+        if self.root_frame is None:
+            return None
+        own = [
+            part
+            for part in (ns.q.conjuncts() if ns.q else [])
+            if all(not lookup.path for lookup in part.lookups())
+        ]
+        if not own and ns.source is None and ns.vector is None and ns.fulltext is None:
+            return None
+        frame = self.root_frame
+        for part in own:
+            frame = frame.where(self._q_column(part, frame))
+        return frame.select(col(self.root.id).alias("~root"))
+
     def _single_step_from_key(self, steps: list[RelationshipDef]) -> bool:
         # conditions on such a path would have to sit in the join that is built at once,
         # so the short form is used only when no condition mentions the path
@@ -810,7 +892,7 @@ class Composition:
         part_size = min([p for p in parts if p], default=None)
         made = {}
         if part_size and group:
-            frame, group_part = self._parted(frame, group, annotations, part_size)
+            frame, group_part = self._parted(frame, list(keys), group, annotations, part_size)
         else:
             group_part = group
         for a in annotations:
@@ -830,28 +912,37 @@ class Composition:
             self.root = kept_vars[self.root_name]
         self.aggregates = {a.name: a for a in annotations}
 
-    def _parted(self, frame, group, annotations, part_size):
+    def _parted(self, frame, keys, group, annotations, part_size):
         """Numbers bounded parts of the groups that exceed ``part_size`` rows."""
-        counts = frame.groupBy(*[col(g).alias(f"~g{i}") for i, g in enumerate(group)]).agg(
+        collects = [a.function for a in annotations]
+        distinct = any(isinstance(f, Collect) and f.distinct for f in collects)
+        if not all(isinstance(f, Collect) for f in collects):
+            raise ValueError("part_size goes with Collect only: count and pick in another query")
+        if distinct and (self.pending or len({a.bound.id for a in annotations}) > 1):
+            raise ValueError("distinct lists in parts take one variable and no ordering")
+        counts = frame.groupBy(*[col(k).alias(f"~g{i}") for i, k in enumerate(keys)]).agg(
             F.count(F.lit(1)).alias("~n")
         )
-        # at most rows / part_size groups are that large
         large = counts.where(col("~n") > part_size).withColumn(
             "~parts", F.ceil(col("~n") / F.lit(part_size))
         )
+        if part_size >= BROADCAST_PART_SIZE:
+            # there are at most (rows / part_size) groups of that size
+            large = F.broadcast(large)
         on = reduce(
-            lambda a, b: a & b,
-            [col(g).eqNullSafe(col(f"~g{i}")) for i, g in enumerate(group)],
+            lambda a, b: a & b, [col(k).eqNullSafe(col(f"~g{i}")) for i, k in enumerate(keys)]
         )
         known = [col(c) for c in frame.columns]
         marked = frame.join(large, on, "left").select(*known, col("~parts"))
-        items = [col(k) for k in self.row_key]
+        # equal elements must meet in one part if they are to be merged
+        items = [col(annotations[0].bound.id)] if distinct else [col(k) for k in self.row_key]
         if not self.pending:
             part = F.coalesce(F.pmod(F.xxhash64(*items), col("~parts")), F.lit(0))
             return marked.withColumn("~part", part.cast("bigint")), group + ["~part"]
         small = marked.where(col("~parts").isNull()).withColumn("~part", F.lit(0).cast("bigint"))
+        # large groups are laid out in order over many tasks; each task holds one part
         width = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        order = [col(g) for g in group] + [k.sort_column() for k in self.pending]
+        order = [col(k) for k in keys] + [k.sort_column() for k in self.pending]
         big = marked.where(col("~parts").isNotNull())
         big = big.repartitionByRange(width, *order, *items).withColumn(
             "~part", F.spark_partition_id().cast("bigint")
@@ -1021,7 +1112,8 @@ def count_rows(ns: NodeSet, name: str) -> DataFrame:
 
 def _plain_count(ns: NodeSet) -> DataFrame:
     stripped = replace(ns, order=(), skip=0, stop=None, extras=())
-    whole = Composition(stripped, until_conditions=not (ns.subqueries or ns.transforms))
+    simple = not (ns.subqueries or ns.transforms)
+    whole = Composition(stripped, requested=[] if simple else None, until_conditions=simple)
     return whole.df.agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -1049,7 +1141,7 @@ def _factored(ns: NodeSet) -> DataFrame | None:
         own.setdefault(places.pop(), []).append(part)
     root_only = Q(*own.get(None, []))
     base = replace(ns, paths=(), q=root_only, order=(), skip=0, stop=None, extras=())
-    root = Composition(base, until_conditions=True)
+    root = Composition(base, requested=[], until_conditions=True)
     counted = root.df.select(col(root.root.id).alias("~root"))
     product_of = F.lit(1).cast("bigint")
     for i, index in enumerate(walked):
@@ -1061,6 +1153,7 @@ def _factored(ns: NodeSet) -> DataFrame | None:
         # the conditions on the root already cut the base
         one = Composition(
             replace(base, paths=path, q=Q(*own.get(index, [])), existence=()),
+            requested=[],
             until_conditions=True,
         )
         matches = one.df.groupBy(col(one.root.id).alias(f"~id{i}")).agg(

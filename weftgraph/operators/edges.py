@@ -94,7 +94,9 @@ def connect(
     same += [col(f"~{p}").isNull() | (col(p) == col(f"~{p}")) for p in props]
     on = reduce(lambda a, b: a & b, same)
     touched = left.join(right.select("~key").distinct(), col("~edge_key") == col("~key"), "left_semi")
-    missing = right.join(touched, on, "left_anti")
+    # each kind of edge once: a pair may have a large share of all edges
+    kinds = touched.select("~edge_key", *[col(p) for p in props]).distinct()
+    missing = right.join(kinds, on, "left_anti")
     near, far = _ends(rel)
     ident = as_expr(new_edge_id) if new_edge_id is not None else F.sha2(
         F.to_json(F.struct(col("~near"), col("~far"), *[col(f"~{p}") for p in props])), 256
