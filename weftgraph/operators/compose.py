@@ -250,14 +250,14 @@ class Composition:
                 return self._hop_by_own_key(df, near, rel, node, edge, same, how, needed)
             if not near_owns and same is not None and hidden in same.embedded:
                 df = df.where(col(same.embedded[hidden]) == col(near.id))
-                df, bound = self._embedded_edge(df, same, near.id, rel, edge, near_owns)
+                df, bound = self._embedded_edge(df, same, near.id, rel, edge, False)
                 return df, same, bound
             if not near_owns and same is None and self._sole_table(rel.target, table.owner):
                 frame = self.graph.node_frame(rel.target, embedded=True)
                 right = self._renamed(frame, node)
                 bound = self._node_bound(frame, node, rel.target)
                 df = df.join(right, col(near.id) == col(bound.embedded[hidden]), how)
-                df, bound_edge = self._embedded_edge(df, bound, near.id, rel, edge, near_owns)
+                df, bound_edge = self._embedded_edge(df, bound, near.id, rel, edge, how == "left")
                 return df, bound, bound_edge
         edges = self.graph.oriented_edges(near.model, rel, path.max_hops)
         right = self._renamed(edges, edge)
@@ -289,24 +289,26 @@ class Composition:
             frame = self.graph.node_frame(rel.target, embedded=True)
             bound = self._node_bound(frame, node, rel.target)
             df = df.join(self._renamed(frame, node), col(hidden) == col(bound.id), how)
-        df, bound_edge = self._embedded_edge(df, near, bound.id, rel, edge, True)
+        df, bound_edge = self._embedded_edge(df, near, bound.id, rel, edge, how == "left")
         return df, bound, bound_edge
 
-    def _embedded_edge(self, df, owner: Bound, other_id: str, rel, edge: str, near_owns: bool):
-        """Edge columns taken from the node row that holds the edge."""
+    def _embedded_edge(self, df, owner: Bound, other_id: str, rel, edge: str, outer: bool):
+        """Edge columns taken from the node row that holds the edge.
+
+        After an outer join they are null unless both ends are there; otherwise they
+        are the plain columns, so that conditions on them reach the scan.
+        """
         table = self.graph.edge_table(rel.rel_type)
         own, other = col(owner.id), col(other_id)
         present = own.isNotNull() & other.isNotNull()
         ends = (own, other) if table.owner_end == "src" else (other, own)
-        made = {
-            "edge_id": F.when(present, own),
-            "src_id": F.when(present, ends[0]),
-            "dst_id": F.when(present, ends[1]),
-        }
+        made = {"edge_id": own, "src_id": ends[0], "dst_id": ends[1]}
         for prop in table.props:
             hidden = owner.embedded[embedded_prop(rel.rel_type, prop)]
-            made[prop] = F.when(present, col(hidden))
+            made[prop] = col(hidden)
             self.types[f"{edge}.{prop}"] = self.types.get(hidden)
+        if outer:
+            made = {p: F.when(present, c) for p, c in made.items()}
         df = df.withColumns({f"{edge}.{p}": c for p, c in made.items()})
         cols = {p: f"{edge}.{p}" for p in made}
         return df, Bound("edge", f"{edge}.edge_id", cols, rel=rel)
@@ -441,12 +443,18 @@ class Composition:
             reads.add(spec.partition(".")[0])
         sources = [v["source"] for t in ns.transforms for v in t.vars.values()]
         sources += [c for sq in ns.subqueries for c in sq.context]
-        for _, function in ns.extras:
+        for alias, function in ns.extras:
             counted = isinstance(function, Size) and isinstance(function.source, Collect)
             inner: Any = function
             while isinstance(inner, AnnotateFunction):
                 inner = inner.source
-            if not counted:
+            fields = {
+                spec.partition(".")[2]
+                for spec in self.requested
+                if spec.partition(".")[0] == alias
+            }
+            only_ids = bool(fields) and fields <= {"node_id", "edge_id"}
+            if not counted and not only_ids:
                 sources.append(inner)
         for source in sources:
             reads.add(source.node if isinstance(source, NodeNameResolver) else str(source))
@@ -1029,8 +1037,17 @@ class Composition:
             return df.orderBy(*order) if order and not partition else df
         total = order + [col(k).asc_nulls_last() for k in self.row_key]
         if partition:
-            window = Window.partitionBy(*[col(p) for p in partition]).orderBy(*total)
-            ranked = df.withColumn("~rank", F.row_number().over(window))
+            keys = [col(p) for p in partition]
+            rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*total))
+            if ns.stop is not None:
+                # first within shares of a context, so that a large one is cut down by
+                # many tasks before its rows meet
+                share = F.pmod(F.xxhash64(*[col(k) for k in self.row_key]), F.lit(32))
+                within = Window.partitionBy(*keys, col("~share")).orderBy(*total)
+                df = df.withColumn("~share", share)
+                df = df.withColumn("~rank", F.row_number().over(within))
+                df = df.where(col("~rank") <= ns.stop).drop("~rank", "~share")
+            ranked = df.withColumn("~rank", rank)
             if ns.stop is not None:
                 ranked = ranked.where(col("~rank") <= ns.stop)
             return ranked.where(col("~rank") > ns.skip).drop("~rank")
@@ -1048,10 +1065,14 @@ class Composition:
         return rest.orderBy(*order) if order else rest
 
     def first_per_source(self) -> DataFrame:
-        keys = [k.sort_column() for k in self.sort_keys()]
-        window = Window.partitionBy(col("~source")).orderBy(*keys, col(self.root.id))
-        first = self.df.withColumn("~rank", F.row_number().over(window)).where(col("~rank") == 1)
-        return first.select(*[self.vars[r].packed().alias(r) for r in self.returns])
+        """The first row of every source; an aggregate, so that tasks reduce before the shuffle."""
+        order = comparable(self.sort_keys(), self.df, [col(self.root.id)])
+        others = [r for r in self.returns if r != "source_id"]
+        row = F.struct(*[self.vars[r].packed().alias(r) for r in others])
+        first = self.df.groupBy(col("~source").alias("source_id")).agg(
+            F.min_by(row, order).alias("~first")
+        )
+        return first.select("source_id", *[col("~first")[r].alias(r) for r in others])
 
     # ------------------------------------------------------------------ results
     def structs(self) -> DataFrame:

@@ -375,6 +375,20 @@ def correlated_subquery(spark, folder):
     return found.values(id="id", latest="latest.node_id", latest_date="latest.orderdate")
 
 
+@query(
+    "J22_top_per_context",
+    """SELECT c_custkey AS id, o_orderkey AS order_id, o_totalprice AS totalprice FROM (
+         SELECT *, row_number() OVER (PARTITION BY o_custkey
+           ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders)
+       JOIN customer ON c_custkey = o_custkey WHERE rn <= 3""",
+)
+def top_per_context(spark, folder):
+    g = load(spark, folder, Customer, Order)
+    dearest = g.nodes(Customer).traverse(o="orders").order_by("-orders__totalprice")[:3]
+    found = g.nodes(Customer).subquery(dearest, ["o"], [NodeNameResolver("self")])
+    return found.values(id="id", order_id="o.node_id", totalprice="o.totalprice")
+
+
 @query(
     "J23_uncorrelated_subquery",
     """SELECT s_suppkey AS id, (SELECT max(p_retailprice) FROM part) AS top_price FROM supplier""",

@@ -193,9 +193,9 @@ def supplied_parts(spark, folder):
     return g.nodes(Supplier).traverse(part=Path("parts", **HIDDEN))
 
 
-def joined(rows, name):
-    ids = F.array_sort(F.transform(name, lambda x: x["node_id"]))
-    return rows.select("id", "part", F.array_join(ids, ",").alias("parts"))
+def joined(found):
+    rows = found.values("id", "part", parts="all.node_id")
+    return rows.withColumn("parts", F.array_join(F.array_sort("parts"), ","))
 
 
 @query(
@@ -206,7 +206,7 @@ def joined(rows, name):
 )
 def collect(spark, folder):
     found = supplied_parts(spark, folder).annotate(all=Collect("part", part_size=PART_SIZE))
-    return joined(found.values("id", "all.node_id", "part", all="all"), "all")
+    return joined(found)
 
 
 @query(
@@ -218,7 +218,7 @@ def collect(spark, folder):
 def collect_distinct(spark, folder):
     function = Collect("part", distinct=True, part_size=PART_SIZE)
     found = supplied_parts(spark, folder).annotate(all=function)
-    return joined(found.values("id", "part", all="all"), "all")
+    return joined(found)
 
 
 @query(
