@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from typing import Any
@@ -262,10 +262,11 @@ def merge_under(
     graph: PropertyGraph,
     source: type[NodeModel],
     rel_name: str,
-    rows: DataFrame,
+    rows: Any,
     *,
+    source_id: Any = None,
     update: bool = False,
-    rel_props: Sequence[str] = (),
+    rel_props: Sequence[str] | Mapping[str, Any] = (),
     keys: Sequence[str] | None = None,
     position: str | None = None,
     new_id: Column | str | None = None,
@@ -273,14 +274,23 @@ def merge_under(
 ) -> Upsert:
     """Merge of whole patterns: source node, relationship and target node together.
 
-    Each row names its ``source_id``. A target counts as existing only if it already
-    hangs on that source by such a relationship (with equal ``rel_props``); otherwise a
-    new node and a new edge are created, even if an equal node exists elsewhere.
+    Each row names its ``source_id`` (or all share the given one). A target counts as
+    existing only if it already hangs on that source by such a relationship, with equal
+    edge properties; otherwise a new node and a new edge are created, even if an equal
+    node exists elsewhere. ``rel_props`` are columns of the rows, or values for all rows.
     """
     rel = source.relationship(rel_name)
     target = rel.target
     keys = list(keys or target.merge_keys())
-    batch = _positioned(rows, position)
+    batch = _positioned(as_batch(graph, target, rows), position)
+    if source_id is not None:
+        batch = batch.withColumn("source_id", F.lit(source_id))
+    if isinstance(rel_props, Mapping):
+        if rel.model is None and rel_props:
+            raise NotImplementedError("edge properties need a relationship model")
+        given = {p: F.lit(v).cast(rel.model.property(p).spark_type) for p, v in rel_props.items()}
+        batch = batch.withColumns(given) if given else batch
+        rel_props = list(rel_props)
     ident = ["source_id", *keys, *rel_props]
     no_key = reduce(lambda a, b: a | b, [col(k).isNull() for k in ["source_id", *keys]])
     rejected = batch.where(no_key).drop(POSITION)

@@ -215,11 +215,20 @@ class DateProperty(Property):
         return F.try_to_date(shaped, "yyyy-MM-dd")
 
 
-class DateTimeProperty(Property):
-    """Stored as seconds since the epoch in UTC."""
-
+class _Moment(Property):
     spark_type = T.TimestampType()
 
+    def __init__(self, *, default_now: bool = False, **options: Any):
+        if default_now:
+            if options.get("default") is not None:
+                raise ValueError("too many defaults")
+            options["default"] = F.current_timestamp
+        super().__init__(**options)
+
+
+class DateTimeProperty(_Moment):
+    """Stored as seconds since the epoch in UTC."""
+
     def typed(self, raw: Column) -> Column:
         seconds = raw.try_cast("double")
         micros = F.round(seconds * 1_000_000).try_cast("bigint")
@@ -229,9 +238,7 @@ class DateTimeProperty(Property):
         return F.unix_micros(value.cast("timestamp")) / F.lit(1_000_000.0)
 
 
-class DateTimeFormatProperty(Property):
-    spark_type = T.TimestampType()
-
+class DateTimeFormatProperty(_Moment):
     def __init__(self, *, format: str = "%Y-%m-%d", **options: Any):
         super().__init__(**options)
         self.format = format
@@ -253,17 +260,19 @@ class DateTimeFormatProperty(Property):
         return F.date_format(value, self.java_format)
 
 
-class DateTimeNativeProperty(Property):
+class DateTimeNativeProperty(_Moment):
     """Already a timestamp in the store."""
 
-    spark_type = T.TimestampType()
-
 
 class JSONProperty(Property):
     # the parser stops after the first value; a second element behind the text proves
     # that the whole text was one value
     _END = "~end~"
 
+    def __init__(self, *, ensure_ascii: bool = True, **options: Any):
+        super().__init__(**options)
+        self.ensure_ascii = ensure_ascii
+
     def _wrapped(self, raw: Column) -> Column:
         text = F.concat(F.lit("["), raw, F.lit(f',"{self._END}"]'))
         return F.try_parse_json(text)
@@ -280,7 +289,27 @@ class JSONProperty(Property):
         return raw.isNotNull() & ~self._whole(raw)
 
     def stored(self, value: Column) -> Column:
-        return F.to_json(value)
+        """JSON text, by default with all other characters than ASCII escaped."""
+        text = F.to_json(value)
+        if not self.ensure_ascii:
+            return text
+
+        def unit(code: Column) -> Column:
+            return F.concat(F.lit("\\u"), F.lower(F.lpad(F.hex(code), 4, "0")))
+
+        def escaped(ch: Column) -> Column:
+            code = F.ascii(ch)
+            high = F.lit(0xD7C0) + F.shiftright(code, 10)
+            low = F.lit(0xDC00) + code.bitwiseAND(F.lit(0x3FF))
+            return (
+                F.when(code < 128, ch)
+                .when(code < 0x10000, unit(code))
+                .otherwise(F.concat(unit(high), unit(low)))
+            )
+
+        plain = text.rlike(r"\A\p{ASCII}*\z")
+        letters = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+        return F.when(plain, text).otherwise(F.array_join(F.transform(letters, escaped), ""))
 
 
 class ArrayProperty(Property):

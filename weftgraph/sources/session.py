@@ -13,6 +13,8 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # stored moments are seconds since the epoch in UTC; values without a zone are UTC
+    "spark.sql.session.timeZone": "UTC",
 }
 
 
