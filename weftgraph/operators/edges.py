@@ -107,11 +107,11 @@ def connect(
     )
     kept = edges
     if props:
+        some_null = reduce(lambda a, b: a | b, [col(f"~{p}").isNull() for p in props])
         cleared = (
-            touched.join(right, on)
+            touched.join(right.where(some_null), on)
             .groupBy(col("edge_id").alias("~cleared"))
             .agg(*[F.bool_or(col(f"~{p}").isNull()).alias(f"~null~{p}") for p in props])
-            .where(reduce(lambda a, b: a | b, [col(f"~null~{p}") for p in props]))
         )
         kept = edges.join(cleared, col("edge_id") == col("~cleared"), "left").select(
             *[

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from ..functions.scoring import (
     FulltextFilter,
     VectorFilter,
-    cosine_score,
-    euclidean_score,
     inverse_document_frequency,
     query_terms,
     saturated,
     term_frequency,
-    tokens,
+    vector_score,
+    word_count,
+    words,
 )
 from ..model import NodeModel
 from ..sources.graph import col
@@ -43,14 +43,16 @@ def vector_topk(frame: DataFrame, model: type[NodeModel], query: VectorFilter) -
         )
     _threshold(query.threshold, "Vector Filter")
     vector = [float(x) for x in query.candidate_vector]
-    score = cosine_score if prop.vector_index.similarity_function == "cosine" else euclidean_score
+    score = vector_score(col(prop.name), vector, prop.vector_index.similarity_function)
     best = (
-        frame.withColumn(SCORE, score(col(prop.name), vector))
-        .where(col(SCORE).isNotNull())
-        .orderBy(col(SCORE).desc(), col("node_id"))
+        frame.withColumn(SCORE, score)
+        .orderBy(col(SCORE).desc_nulls_last(), col("node_id"))
         .limit(query.topk)
     )
-    return best.where(col(SCORE) >= query.threshold) if query.threshold else best
+    # rows without a score come last; they are dropped after the limit, where the test
+    # does not make the score be computed twice
+    least = query.threshold or 0.0
+    return best.where(col(SCORE) >= least)
 
 
 def fulltext_topk(frame: DataFrame, model: type[NodeModel], query: FulltextFilter) -> DataFrame:
@@ -68,28 +70,33 @@ def fulltext_topk(frame: DataFrame, model: type[NodeModel], query: FulltextFilte
     terms = query_terms(query.query_string)
     if not terms:
         return frame.where(F.lit(False)).withColumn(SCORE, F.lit(0.0))
-    lowered = F.lower(col(prop.name))
-    words = frame.where(col(prop.name).isNotNull()).withColumn("~words", tokens(col(prop.name)))
-    counts = [term_frequency(col("~words"), t).alias(f"~tf{i}") for i, t in enumerate(terms)]
+    split = words(col(prop.name))
     figures = (
-        words.select(F.size("~words").alias("~len"), *counts)
+        frame.where(col(prop.name).isNotNull())
+        .select(split.alias("~words"))
+        .select(
+            word_count(col("~words")).alias("~len"),
+            *[F.array_contains("~words", t).alias(f"~has{i}") for i, t in enumerate(terms)],
+        )
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.avg("~len").alias("avg"),
-            *[F.count_if(col(f"~tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))],
+            *[F.count_if(col(f"~has{i}")).alias(f"df{i}") for i in range(len(terms))],
         )
         .select(F.struct("*").alias("figures"))
         .scalar()
     )
     # only texts that contain a term at all are split into words again
+    lowered = F.lower(col(prop.name))
     possible = lowered.contains(F.lit(terms[0]))
     for term in terms[1:]:
         possible = possible | lowered.contains(F.lit(term))
+    counts = [term_frequency(col("~words"), t).alias(f"~tf{i}") for i, t in enumerate(terms)]
     kept = [col(c) for c in frame.columns]
     scored = (
         frame.where(possible)
-        .withColumn("~words", tokens(col(prop.name)))
-        .select(*kept, F.size("~words").alias("~len"), *counts)
+        .withColumn("~words", split)
+        .select(*kept, word_count(col("~words")).alias("~len"), *counts)
         .withColumn("~figures", figures)
     )
     score = F.lit(0.0)

@@ -60,10 +60,10 @@ def vector_topk(spark, folder):
 
 @query(
     "X2_vector_threshold",
-    f"SELECT vec_id AS id, round(score, 6) AS score FROM {TOP20} WHERE score >= 0.6",
+    f"SELECT vec_id AS id, round(score, 6) AS score FROM {TOP20} WHERE score >= 0.65",
 )
 def vector_threshold(spark, folder):
-    return scored(nearest(load(spark, folder, Vec), threshold=0.6), id="id")
+    return scored(nearest(load(spark, folder, Vec), threshold=0.65), id="id")
 
 
 @query(
