@@ -373,19 +373,25 @@ class Composition:
             needed = self._node_needed(prefix, node) or (
                 not last and self._holds_key(rel.target, steps[i + 1])
             )
+            detached = path.optional and df is not self.df
+            if detached and same is not None:
+                # the fixed node is outside this frame: match again, compare in the join
+                shown, fixed, same = f"{node}~{edge}", same, None
+            else:
+                shown, fixed = node, None
             if df is None:
                 # an optional path starts as a frame of its own, keyed by the root id
-                df, near_col, bound, bound_edge = self._detached(rel, node, edge, path)
+                df, near_col, bound, bound_edge = self._detached(rel, shown, edge, path)
                 root_key = near_col
                 ids = self._selected_roots()
                 if ids is not None:
                     df = df.join(ids, col(near_col) == col("~root"), "left_semi")
-                if same is not None:
-                    conditions.append(col(same.id) == col(bound.id))
             else:
                 df, bound, bound_edge = self._hop(
-                    df, near, rel, node, edge, path, same, how, needed
+                    df, near, rel, shown, edge, path, same, how, needed
                 )
+            if fixed is not None:
+                conditions.append(col(fixed.id) == col(bound.id))
             for other_type, other_id in seen:
                 if other_type == rel.rel_type:
                     df = df.where(col(other_id) != col(bound_edge.id))
