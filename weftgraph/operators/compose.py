@@ -34,6 +34,8 @@ from .nodeset import NodeSet, Path, Traversal
 from .product import product
 from .semantic import fulltext_topk, vector_topk
 
+# more ids than this are joined as a table
+LISTED_IDS = 1_000
 # from this size on, the list of the groups that need parts is surely small
 BROADCAST_PART_SIZE = 1_000_000
 
@@ -150,11 +152,18 @@ class Composition:
             self._root_from_traversal(ns.source)
         else:
             frame = self.graph.node_frame(ns.model, embedded=True)
-            if isinstance(ns.source, DataFrame):
-                frame = frame.join(ns.source.select("node_id"), "node_id", "left_semi")
-            elif ns.source is not None:
-                ids = ns.source if isinstance(ns.source, (list, tuple, set)) else [ns.source]
-                frame = frame.where(col("node_id").isin(list(ids)))
+            given = ns.source
+            if given is not None and not isinstance(given, DataFrame):
+                given = list(given) if isinstance(given, (list, tuple, set)) else [given]
+                if len(given) <= LISTED_IDS:
+                    frame = frame.where(col("node_id").isin(given))
+                else:
+                    # too many for the plan: a table of ids
+                    given = self.graph.spark.createDataFrame(
+                        [(i,) for i in given], f"node_id {frame.schema['node_id'].dataType.simpleString()}"
+                    )
+            if isinstance(given, DataFrame):
+                frame = frame.join(given.select("node_id"), "node_id", "left_semi")
             if ns.vector is not None:
                 frame = vector_topk(frame, ns.model, ns.vector)
             if ns.fulltext is not None:

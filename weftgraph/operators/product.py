@@ -15,9 +15,14 @@ def product(left: DataFrame, right: DataFrame, on: Column | None = None, side: i
     values are.
     """
     cells = F.array(*[F.lit(i) for i in range(side)])
-    at = F.pmod(F.xxhash64(F.struct(*[F.col(f"`{c}`") for c in left.columns])), F.lit(side))
-    to = F.pmod(F.xxhash64(F.struct(*[F.col(f"`{c}`") for c in right.columns])), F.lit(side))
+    at, to = _share(left, side), _share(right, side)
     a = left.withColumn("~row", at.cast("int")).withColumn("~col", F.explode(cells))
     b = right.withColumn("~col", to.cast("int")).withColumn("~row", F.explode(cells))
     pairs = a.join(b, ["~row", "~col"]).drop("~row", "~col")
     return pairs if on is None else pairs.where(on)
+
+
+def _share(frame: DataFrame, side: int) -> Column:
+    # the partition counts too: many equal rows are spread as well
+    values = [F.col(f"`{c}`") for c in frame.columns]
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *values), F.lit(side))

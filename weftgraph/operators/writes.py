@@ -221,25 +221,30 @@ def _merge(
     stored_key = {k: model.property(k).stored_name for k in keys}
     given = wanted.select(*[col(k).alias(f"~{k}") for k in keys])
     on = reduce(lambda a, b: a & b, [col(stored_key[k]) == col(f"~{k}") for k in keys])
+    # only nodes that carry the labels can match
+    fits = _carries(model, old, labels or model.inherited_labels())
     # the stored keys that the batch touches: no more than the batch has
-    matched = old.join(given, on, "left_semi").select(
+    matched = old.where(fits).join(given, on, "left_semi").select(
         *[col(stored_key[k]).alias(k) for k in keys]
     )
-    if labels is not None and "labels" in old.columns:
-        has_label = F.array_contains(col("labels"), labels[0])
-        matched = old.where(has_label).join(given, on, "left_semi").select(
-            *[col(stored_key[k]).alias(k) for k in keys]
-        )
     created = wanted.join(matched.distinct(), keys, "left_anti")
     identity = as_expr(new_id) if new_id is not None else _default_id(graph, model, keys)
     created = created.withColumn("node_id", identity)
     if update:
-        old = _overwritten(model, old, wanted, keys, stored_key)
+        old = _overwritten(model, old, wanted, keys, stored_key, fits)
     new = _as_stored(model, created, labels)
     return Upsert(_append(graph, model, old, new, labels), rejected)
 
 
-def _overwritten(model, old: DataFrame, wanted: DataFrame, keys, stored_key) -> DataFrame:
+def _carries(model, old: DataFrame, labels: list[str]) -> Column:
+    if "labels" in old.columns:
+        return reduce(lambda a, b: a & b, [F.array_contains(col("labels"), x) for x in labels])
+    return F.lit(set(labels) <= set(model.inherited_labels()))
+
+
+def _overwritten(
+    model, old: DataFrame, wanted: DataFrame, keys, stored_key, fits: Column | None = None
+) -> DataFrame:
     given = [c for c in wanted.columns if c in model.properties() and c not in keys]
     if not given:
         return old
@@ -247,6 +252,7 @@ def _overwritten(model, old: DataFrame, wanted: DataFrame, keys, stored_key) ->
         *[col(k).alias(f"~{k}") for k in keys], *[col(c).alias(f"~new~{c}") for c in given]
     )
     on = reduce(lambda a, b: a & b, [col(stored_key[k]) == col(f"~{k}") for k in keys])
+    on = on if fits is None else on & fits
     changed = {model.property(c).stored_name: col(f"~new~{c}") for c in given}
     return old.join(right, on, "left").select(
         *[

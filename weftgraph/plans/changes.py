@@ -126,7 +126,7 @@ def merge_by(spark, folder):
         members(spark, folder), Member, batch, position="pos", new_id=NEW_ID,
         merge_by={"keys": ["segment"], "label": "Partner"},
     )
-    rows = done.graph.nodes(Member).values("id", "name", "segment", "labels")
+    rows = done.graph.stored(Member).selectExpr("node_id as id", "name", "segment", "labels")
     return rows.withColumn("labels", F.array_join("labels", ","))
 
 

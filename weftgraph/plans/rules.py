@@ -322,12 +322,22 @@ class Numbered(NodeModel):
     rating = IntegerProperty(default=lambda: 5)
 
 
-@query("V7_unique_id")
+@query(
+    "V7_unique_id",
+    """SELECT c_custkey AS id, CASE WHEN c_acctbal < 0 THEN c_name END AS given,
+              c_acctbal >= 0 AS generated, CAST(1 AS BIGINT) AS times FROM customer""",
+)
 def unique_id(spark, folder):
     raw = table(spark, folder, "customer").selectExpr(
         "c_custkey as node_id", "if(c_acctbal < 0, c_name, null) as uid"
     )
-    return V.with_defaults(Numbered, raw).select("node_id", "uid")
+    filled = V.with_defaults(Numbered, raw)
+    generated = F.col("uid").rlike(r"\A[0-9a-f]{32}\z")
+    return filled.groupBy("uid").agg(
+        F.min("node_id").alias("id"), F.count(F.lit(1)).alias("times")
+    ).select(
+        "id", F.when(~generated, F.col("uid")).alias("given"), generated.alias("generated"), "times"
+    )
 
 
 @query(

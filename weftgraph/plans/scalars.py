@@ -44,10 +44,11 @@ def array_functions(spark, folder):
     return found.values(id="id", n="n", last_word="last_word")
 
 
-@query("N3_random")
+@query("N3_random", "SELECT c_custkey AS id, true AS in_range FROM customer")
 def random(spark, folder):
     nodes = load(spark, folder, Customer).nodes(Customer)
-    return nodes.ids().withColumn("r", F.rand(3))
+    drawn = nodes.ids().withColumn("r", F.rand(3))
+    return drawn.selectExpr("id", "r >= 0 and r < 1 as in_range")
 
 
 @query(

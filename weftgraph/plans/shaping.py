@@ -356,7 +356,7 @@ def order_by(spark, folder):
     return found.values(id="id", seg="segment", acctbal="acctbal")
 
 
-@query("O2_random_order")
+@query("O2_random_order", "SELECT c_custkey AS id, c_name AS name FROM customer")
 def random_order(spark, folder):
     return load(spark, folder, Customer).nodes(Customer).order_by("?", seed=7).values("id", "name")
 

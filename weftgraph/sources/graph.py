@@ -149,10 +149,20 @@ class PropertyGraph:
         return PropertyGraph(self.spark, self.tables, {**self.edges, edge.rel_type: edge})
 
     # -- nodes ------------------------------------------------------------
+    def stored(self, model: type[NodeModel]) -> DataFrame:
+        """The whole table of a label as it is stored."""
+        return self.tables[model.label_name()][1]
+
     def tables_of(self, model: type[NodeModel]) -> list[tuple[type[NodeModel], DataFrame]]:
-        """The tables of a model and of the models derived from it."""
+        """The tables with nodes of a label.
+
+        They are those of the model and of the models derived from it, and any table of
+        a parent model whose rows tell their own labels.
+        """
         found = [
-            (m, df) for m, df in self.tables.values() if m is model or issubclass(m, model)
+            (m, df)
+            for m, df in self.tables.values()
+            if issubclass(m, model) or (issubclass(model, m) and "labels" in df.columns)
         ]
         if not found:
             raise ValueError(f"no node table for label {model.label_name()!r}")
@@ -176,6 +186,8 @@ class PropertyGraph:
     ) -> DataFrame:
         # one text per column: the whole projection is a single call to the JVM
         present = set(frame.columns)
+        if "labels" in present:
+            frame = frame.where(F.array_contains(col("labels"), asked.label_name()))
         labels = ", ".join("'" + x.replace("'", "\\'") + "'" for x in own.inherited_labels())
         chosen = ["node_id", "labels" if "labels" in present else f"array({labels}) AS labels"]
         computed: dict[str, Column] = {}

@@ -26,8 +26,9 @@ def tune(spark: SparkSession) -> SparkSession:
 
 def checkpointed(frame: DataFrame) -> DataFrame:
     """Writes a frame to the reliable checkpoint folder and cuts its lineage there."""
-    context = frame.sparkSession.sparkContext
+    spark = frame.sparkSession
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        shared = context.getConf().get("spark.checkpoint.dir", None)
+        shared = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="weftgraph-checkpoint-"))
     return frame.checkpoint(eager=True)
