@@ -70,6 +70,7 @@ class Badger(NodeModel):
     friend = Relationship("Badger", "FRIEND")
     hates = RelationshipTo("Badger", "HATES", model=Hates)
     den = RelationshipTo("Badger", "DEN", cardinality=ZeroOrOne)
+    guests = RelationshipFrom("Badger", "DEN", cardinality=ZeroOrOne)
 
 
 def rows(graph, model, *names):
@@ -275,3 +276,16 @@ def test_endpoints_and_unique(spark):
         Badger, spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, None)], "node_id long, name string")
     )
     assert [(r.item, r.n) for r in C.unique(g, Badger).collect()] == [("a", 2)]
+
+
+def test_checked_connect_and_disconnect(spark):
+    g = E.connect_checked(badgers(spark), Badger, "den", pair_frame(spark, [(0, 1)]))
+    for wrong, rule in (((0, 2), "ZeroOrOne"), ((2, 1), "ZeroOrOne"), ((2, 9), "endpoint")):
+        pairs = pair_frame(spark, [wrong])
+        assert [r.rule for r in C.connect_gates(g, Badger, "den", pairs).collect()] == [rule]
+        with pytest.raises((CardinalityViolation, ConstraintViolation)):
+            E.connect_checked(g, Badger, "den", pairs)
+    soft = E.connect_checked(g, Badger, "den", pair_frame(spark, [(0, 2)]), mode="report")
+    assert edge_set(soft, "DEN", "src_id", "dst_id") == [(0, 1), (0, 2)]
+    gone = E.disconnect_checked(g, Badger, "den", pair_frame(spark, [(0, 1)]))
+    assert edge_set(gone, "DEN", "src_id", "dst_id") == []

@@ -963,13 +963,17 @@ class Composition:
             part = F.coalesce(F.pmod(F.xxhash64(*items), col("~parts")), F.lit(0))
             return marked.withColumn("~part", part.cast("bigint")), group + ["~part"]
         small = marked.where(col("~parts").isNull()).withColumn("~part", F.lit(0).cast("bigint"))
-        # large groups are laid out in order over many tasks; each task holds one part
+        # large groups are laid out in order over many tasks, which number their rows:
+        # the high bits of the number are the task, the low 33 bits the row
         width = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         order = [col(k) for k in keys] + [k.sort_column() for k in self.pending]
         big = marked.where(col("~parts").isNotNull())
-        big = big.repartitionByRange(width, *order, *items).withColumn(
-            "~part", F.spark_partition_id().cast("bigint")
-        )
+        big = big.repartitionByRange(width, *order, *items).sortWithinPartitions(*order, *items)
+        big = big.withColumn("~at", F.monotonically_increasing_id())
+        task, row = F.shiftright("~at", 33), col("~at").bitwiseAND(F.lit((1 << 33) - 1))
+        per_task = -(-(1 << 33) // part_size)
+        number = task * F.lit(per_task) + F.floor(row / F.lit(part_size))
+        big = big.withColumn("~part", number.cast("bigint")).drop("~at")
         return small.unionByName(big), group + ["~part"]
 
     def _aggregate(self, a: Annotation, frame: DataFrame, parted: bool) -> Column:

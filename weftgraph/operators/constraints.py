@@ -164,6 +164,27 @@ def connect_gate(
     )
 
 
+def connect_gates(
+    graph: PropertyGraph, model: type[NodeModel], rel_name: str, proposed: DataFrame
+) -> DataFrame:
+    """Everything that forbids the proposed edges: both cardinalities and the target class."""
+    rel = model.relationship(rel_name)
+    found = [connect_gate(graph, model, rel_name, proposed)]
+    inverse = inverse_of(model, rel)
+    if inverse is not None:
+        turned = proposed.select(col("far_id").alias("near_id"), col("near_id").alias("far_id"))
+        found.append(connect_gate(graph, rel.target, inverse.name, turned))
+    nodes = graph.node_frame(rel.target).select("node_id")
+    asked = proposed.groupBy("far_id").agg(F.count(F.lit(1)).alias("n"))
+    strange = asked.join(nodes, col("far_id") == col("node_id"), "left_anti")
+    found.append(
+        strange.select(
+            *_violation("endpoint", model.label_name(), F.lit(rel_name), col("far_id"), col("n"))
+        )
+    )
+    return reduce(DataFrame.unionByName, found)
+
+
 def disconnect_gate(
     graph: PropertyGraph,
     model: type[NodeModel],

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..errors import NotConnected
 from ..model import Direction, NodeModel, RelationshipDef
 from ..sources.graph import EdgeTable, PropertyGraph, as_table, col
+from .constraints import connect_gates, disconnect_gate, enforce
 from .writes import as_expr
 
 
@@ -124,6 +125,31 @@ def connect(
     return _store(graph, edge, _with_rows(kept, new))
 
 
+def connect_checked(
+    graph: PropertyGraph,
+    model: type[NodeModel],
+    rel_name: str,
+    pairs: DataFrame,
+    new_edge_id: Column | str | None = None,
+    mode: str = "fail",
+) -> PropertyGraph:
+    """As ``connect``, but no edge is made if any pair breaks a rule (``mode="fail"``)."""
+    enforce(connect_gates(graph, model, rel_name, pairs), mode)
+    return connect(graph, model, rel_name, pairs, new_edge_id)
+
+
+def disconnect_checked(
+    graph: PropertyGraph,
+    model: type[NodeModel],
+    rel_name: str,
+    pairs: DataFrame,
+    mode: str = "fail",
+) -> PropertyGraph:
+    """As ``disconnect``, but the last edge of a node that needs one is kept."""
+    enforce(disconnect_gate(graph, model, rel_name, pairs), mode)
+    return disconnect(graph, model, rel_name, pairs)
+
+
 def disconnect(
     graph: PropertyGraph, model: type[NodeModel], rel_name: str, pairs: DataFrame
 ) -> PropertyGraph:

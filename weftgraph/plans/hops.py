@@ -71,7 +71,7 @@ def either_direction(spark, folder):
 
 @query(
     "J4_untyped",
-    """SELECT rel_type, count(*) AS n, sum(price) AS total FROM (
+    """SELECT rel_type, count(*) AS n, CAST(sum(price) AS DOUBLE) AS total FROM (
          SELECT 'PLACED' AS rel_type, CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders
          UNION ALL SELECT 'URGENT', CAST(o_totalprice AS DECIMAL(18,2)) FROM orders
          WHERE o_orderpriority = '1-URGENT') GROUP BY rel_type""",
@@ -86,7 +86,7 @@ def untyped(spark, folder):
     rows = found.values(rel_type="any_order|rel_type", price="any_order__totalprice")
     return rows.groupBy("rel_type").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("price").cast("decimal(18,2)")).alias("total"),
+        F.sum(F.col("price").cast("decimal(18,2)")).cast("double").alias("total"),
     )
 
 

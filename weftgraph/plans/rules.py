@@ -155,6 +155,18 @@ def connect_gate(spark, folder):
     return C.connect_gate(g, Document, "label", proposed, ZeroOrOne)
 
 
+@query(
+    "C10_both_ends",
+    rule_sql("One", "Order", "customer", "o_orderkey", 2, "orders WHERE o_orderstatus = 'P'"),
+)
+def both_ends(spark, folder):
+    # each such order has its one customer already
+    g = load(spark, folder, Customer, Order)
+    waiting = g.nodes(Order).filter(status="P").traverse("customer")
+    proposed = waiting.values(near_id="customer__id", far_id="id")
+    return C.connect_gates(g, Customer, "orders", proposed)
+
+
 @query(
     "C11_endpoint_class",
     rule_sql("endpoint", "CONTAINS", "dst", "l_partkey", "count(*)",
@@ -271,7 +283,7 @@ class Dated(NodeModel):
 @query(
     "V4_dates",
     """SELECT event_id AS id,
-         CASE WHEN value < 20 THEN CAST(ts AS DATE) END AS day,
+         CASE WHEN value < 20 THEN CAST(CAST(ts AS DATE) AS VARCHAR) END AS day,
          CASE WHEN event_type <> 'error' THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS moment,
          CASE WHEN user_id > 5 THEN strftime(ts, '%Y-%m-%d %H:%M') END AS shown FROM events""",
 )
@@ -285,7 +297,7 @@ def dates(spark, folder):
     )
     rows = V.checked(Dated, raw)
     return rows.select(
-        F.col("node_id").alias("id"), "day",
+        F.col("node_id").alias("id"), F.col("day").cast("string").alias("day"),
         F.date_format("moment", "yyyy-MM-dd HH:mm:ss").alias("moment"),
         F.date_format("shown", "yyyy-MM-dd HH:mm").alias("shown"),
     )

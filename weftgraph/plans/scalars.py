@@ -77,7 +77,7 @@ def cast(spark, folder):
     """SELECT o_orderkey AS id, epoch(o_orderdate) AS seconds,
               strftime(o_orderdate, '%Y-%m-%d %H:%M') AS back,
               strftime(o_orderdate, '%d/%m/%Y') AS shown,
-              CAST(o_orderdate AS DATE) AS day FROM orders""",
+              CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders""",
 )
 def dates(spark, folder):
     rows = load(spark, folder, Order).node_frame(Order)
@@ -92,7 +92,7 @@ def dates(spark, folder):
         "seconds",
         F.date_format(epoch.typed(F.col("seconds")), "yyyy-MM-dd HH:mm").alias("back"),
         "shown",
-        shown.typed(F.col("shown")).cast("date").alias("day"),
+        shown.typed(F.col("shown")).cast("date").cast("string").alias("day"),
     )
 
 
