@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import simhash_trie
+from weftgraph.llm import simhash_trie, suffix_merge
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,3 +33,9 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+@query("op5_suffix_merge")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_merge.without_repeats(table(spark, folder, "documents"), texts=False)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
