@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import simhash_trie, suffix_merge
+from weftgraph.llm import language_id, simhash_trie, suffix_merge
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,3 +39,12 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     found = suffix_merge.without_repeats(table(spark, folder, "documents"), texts=False)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op3_language_id")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    out = language_id.held_out(4, 2)
+    model = language_id.fitted(docs, ~out)
+    rows = docs.select("doc_id", out.alias("held_out"), "text")
+    return language_id.predicted(rows, model).drop("text")
