@@ -137,3 +137,19 @@ def components(edges: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         pairs.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
+
+
+#: Of UTF-8 bytes: A-Z in lower case, a-z, digits and all beyond ASCII kept, the rest blank.
+WORD_BYTES = bytes(
+    c + 32
+    if 65 <= c <= 90
+    else c
+    if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128
+    else 32
+    for c in range(256)
+)
+
+
+def words_of(text: str | None) -> list[bytes]:
+    """Words of a whole text, as UTF-8: runs of letters, digits and characters beyond ASCII."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(WORD_BYTES).split()

@@ -7,7 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import language_id, simhash_trie, suffix_merge
+from weftgraph.llm import (
+    language_id,
+    license_automaton,
+    pieces_viterbi,
+    simhash_trie,
+    suffix_merge,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,3 +54,36 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     model = language_id.fitted(docs, ~out)
     rows = docs.select("doc_id", out.alias("held_out"), "text")
     return language_id.predicted(rows, model).drop("text")
+
+
+@query("op2_license_automaton")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    found = license_automaton.scanned(table(spark, folder, "documents"))
+    base = F.transform("places", lambda x: x["label"])
+    spans = F.transform("spans", lambda x: x["label"])
+    starts = F.transform("places", lambda x: x["start"])
+
+    def joined(labels):
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(F.concat(base, spans)).alias("labels"),
+        F.when(F.size("places") > 0, 1.0)
+        .otherwise(
+            F.coalesce(F.array_max(F.transform("spans", lambda x: x["covered"])), F.lit(0.0))
+        )
+        .alias("score"),
+        F.size("spans").cast("long").alias("n_spans"),
+    )
+
+
+@query("op7_pieces_viterbi")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    model = pieces_viterbi.loaded()
+    return pieces_viterbi.encoded_digests(table(spark, folder, "documents"), model)
