@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftgraph.llm import (
+    benchmark_windows,
     language_id,
     license_automaton,
     pieces_viterbi,
@@ -87,3 +88,10 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     model = pieces_viterbi.loaded()
     return pieces_viterbi.encoded_digests(table(spark, folder, "documents"), model)
+
+
+@query("op9_benchmark_windows")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return benchmark_windows.leaks(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
