@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,15 +34,18 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text (null: empty) and a key of two longs without nulls.
+    """doc_id, text (null: empty), a key of two longs without nulls, and `rest`: all other columns.
 
     The key is the same for rows of the same doc_id and text. Rows that repeat share it: what
     is found for one of them holds for all, and joins by it start from one row a key.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select("doc_id", text.alias("text")).select(
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    rest = F.struct(*(others or [F.lit(True).alias("none")]))
+    return docs.select("doc_id", text.alias("text"), rest.alias("rest")).select(
         "doc_id",
         "text",
+        "rest",
         F.coalesce("doc_id", F.lit(0)).cast("long").alias("key_id"),
         F.xxhash64("doc_id", "text").alias("key_hash"),
     )
@@ -153,3 +157,9 @@ WORD_BYTES = bytes(
 def words_of(text: str | None) -> list[bytes]:
     """Words of a whole text, as UTF-8: runs of letters, digits and characters beyond ASCII."""
     return (text or "").encode("utf-8", "surrogatepass").translate(WORD_BYTES).split()
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Hashes whose bits all depend on all bits of the given ones."""
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftgraph.llm.common import components, stored, tasks_for
+from weftgraph.llm.common import KEY, components, keyed, mixed, stored, tasks_for
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 SEED = 42
@@ -29,6 +29,12 @@ CHUNK = 1 << 18
 PAIRS = 1 << 21
 
 
+#: Near duplicates by similarity: 64-bit words of a fingerprint, turns, leading bits of each turn.
+WIDE = 4
+TURNS = 36
+LEAD = 16
+
+
 def shingle_hashes(text: str, words: int) -> list[int]:
     found = text.encode("utf-8", "surrogatepass").translate(LOWER).split()
     joined = b" ".join(found)
@@ -43,9 +49,9 @@ def shingle_hashes(text: str, words: int) -> list[int]:
     ]
 
 
-def majority_bits(hashes: list[int]) -> int:
+def majority_bits(hashes: list[int] | np.ndarray) -> int:
     """A bit is 1 if it is set in over half of the hashes; none: 0."""
-    if not hashes:
+    if not len(hashes):
         return 0
     all_hashes = np.array(hashes, dtype=">u8")
     counts = np.zeros(64, np.int64)
@@ -103,12 +109,29 @@ class Forest:
                 self.root = up
 
 
-def trie_links(keys: np.ndarray, lead: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (indexes) that connect the sorted distinct keys which agree in the first `lead` bits
-    and differ in at most `budget` others."""
+def trie_links(
+    keys: np.ndarray,
+    lead: int,
+    budget: int,
+    rest: list[np.ndarray] | None = None,
+    whole_budget: int = 0,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links (indexes) that connect the sorted keys which agree in the first `lead` bits and
+    differ in at most `budget` others; and with `rest`, further words of the fingerprints, in at
+    most `whole_budget` bits in all."""
     n, forest = len(keys), Forest(len(keys))
     out_a, out_b = [], []
 
+    def near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        differ = np.bitwise_count(keys[x] ^ keys[y]).astype(np.int64)
+        hit = differ <= budget
+        if rest:
+            at = np.flatnonzero(hit)
+            for word in rest:
+                differ[at] += np.bitwise_count(word[x[at]] ^ word[y[at]])
+            hit &= differ <= whole_budget
+        return hit
+
     def link(a: np.ndarray, b: np.ndarray) -> None:
         used = forest.link(a, b)
         out_a.append(a[used])
@@ -117,8 +140,9 @@ def trie_links(keys: np.ndarray, lead: int, budget: int) -> tuple[np.ndarray, np
     if n < 2:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     same = keys[1:] >> np.uint64(64 - lead) == keys[:-1] >> np.uint64(64 - lead)
-    near = np.flatnonzero(same & (np.bitwise_count(keys[1:] ^ keys[:-1]) <= budget))
-    link(near, near + 1)
+    before = np.flatnonzero(same)
+    before = before[near(before, before + 1)]
+    link(before, before + 1)
     start = np.concatenate([[0], np.flatnonzero(~same) + 1])
     end = np.concatenate([start[1:], [n]])
     # frontiers of node pairs: ranges a and b of the keys, and the bits in which they differ
@@ -147,7 +171,8 @@ def trie_links(keys: np.ndarray, lead: int, budget: int) -> tuple[np.ndarray, np
             at, of = flat - (ends - size[which])[pair], which[pair]
             width = bhi[of] - blo[of]
             x, y = alo[of] + at // width, blo[of] + at % width
-            hit = (x < y) & (np.bitwise_count(keys[x] ^ keys[y]) <= budget)
+            x, y = x[x < y], y[x < y]
+            hit = near(x, y)
             link(x[hit], y[hit])
         alo, ahi, blo, bhi, err = (x[~small] for x in (alo, ahi, blo, bhi, err))
         if not len(alo):
@@ -232,3 +257,135 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, budget: int = BUDGET) -
     least = member.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = member.join(least, "root").select("bits", "component_id")
     return rows.join(named, "bits").select("doc_id", "bits", "component_id")
+
+
+# Near duplicates by similarity. Texts of similarity s (Jaccard, of shingle sets much alike in
+# size) have fingerprints that differ in about acos(2 s / (1 + s)) / pi of their bits: 15 % at 0.8,
+# too many for blocks that must agree. So fingerprints have several words, and each turn orders
+# the bits of one word anew; two of them meet if they agree in the leading bits of some turn.
+
+
+def differing_bits(similar: float) -> float:
+    """Share of bits that is expected to differ at a similarity of sets."""
+    return float(np.arccos(2 * similar / (1 + similar)) / np.pi)
+
+
+def wide_fingerprints(docs: DataFrame, words: int) -> DataFrame:
+    """key and WIDE longs w0, w1, ... of each row, from its distinct shingles: the first word of
+    their hashes, the others of hashes mixed anew."""
+
+    def more(first: np.ndarray) -> Iterator[np.ndarray]:
+        for i in range(WIDE):
+            yield first if not i else mixed(first + np.uint64(i * 0x9E3779B97F4A7C15 % (1 << 64)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = np.zeros((batch.num_rows, WIDE), np.uint64)
+            for i, text in enumerate(batch.column("text")):
+                hashes = np.unique(np.array(shingle_hashes(text.as_py(), words), np.uint64))
+                if len(hashes):
+                    made[i] = [majority_bits(x) for x in more(hashes)]
+            columns = [pa.array(made[:, i].copy().view(np.int64)) for i in range(WIDE)]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in KEY), *columns], [*KEY, *WORD_NAMES]
+            )
+
+    fields = ", ".join(f"{w} long" for w in WORD_NAMES)
+    return docs.select("text", *KEY).mapInArrow(run, f"key_id long, key_hash long, {fields}")
+
+
+WORD_NAMES = [f"w{i}" for i in range(WIDE)]
+
+
+def turned(word: np.ndarray, turn: int) -> np.ndarray:
+    """The bits of 64-bit words in the order of a turn."""
+    order = np.random.default_rng(turn).permutation(64)
+    bits = np.unpackbits(word.astype(">u8").view(np.uint8)).reshape(-1, 64)[:, order]
+    packed = np.ascontiguousarray(np.packbits(bits, axis=1))
+    return packed.view(">u8").ravel().astype(np.uint64)
+
+
+def similar_links(distinct: DataFrame, similar: float) -> DataFrame:
+    """(a, b) nodes: links that connect fingerprints as near as the similarity asks.
+
+    distinct: node and the words. A word may differ in three standard deviations more bits than
+    expected, the whole fingerprint in a twelfth more.
+    """
+    share = differing_bits(similar)
+    budget = int(np.ceil(64 * share + 3 * np.sqrt(64 * share * (1 - share))))
+    whole_budget = int(64 * WIDE * share * 13 / 12)
+    tasks = tasks_for(distinct.sparkSession, distinct.count() * TURNS, ROWS_A_TASK)
+    fields = ", ".join(f"{w} long" for w in WORD_NAMES)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for turn in range(TURNS):
+                word = np.asarray(batch.column(1 + turn % WIDE)).view(np.uint64)
+                lead = (turned(word, turn) >> np.uint64(64 - LEAD)).astype(np.int32)
+                number = pa.array(np.full(len(lead), turn, np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [number, pa.array(lead), *batch.columns],
+                    ["turn", "lead", "node", *WORD_NAMES],
+                )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [[np.asarray(c) for c in b.columns] for b in batches]
+        if not held:
+            return
+        turns, nodes, *words = (np.concatenate(c) for c in zip(*held, strict=True))
+        for turn in range(TURNS):
+            own = np.flatnonzero(turns == turn)
+            keys = turned(words[turn % WIDE][own].view(np.uint64), turn)
+            order = np.argsort(keys)
+            own, keys = own[order], keys[order]
+            rest = [w[own].view(np.uint64) for i, w in enumerate(words) if i != turn % WIDE]
+            a, b = trie_links(keys, LEAD, budget, rest, whole_budget)
+            if len(a):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(nodes[own[a]]), pa.array(nodes[own[b]])], ["a", "b"]
+                )
+
+    dealt = distinct.select("node", *WORD_NAMES).mapInArrow(
+        deal, f"turn int, lead int, node long, {fields}"
+    )
+    return (
+        dealt.repartition(tasks, "turn", "lead")
+        .select("turn", "node", *WORD_NAMES)
+        .mapInArrow(run, "a long, b long")
+    )
+
+
+def without_near_duplicates(docs: DataFrame, words: int = 5, similar: float = 0.8) -> DataFrame:
+    """The rows of docs, one of each group of near duplicates: that of the smallest doc_id.
+
+    Groups connect texts whose shingles are as similar as asked, by their fingerprints: pairs near
+    the threshold may fall on either side of it. Of rows that repeat one stays, a null doc_id comes
+    before all others, and texts without words are copies of each other.
+    """
+    rows = keyed(docs)
+    prints = stored(wide_fingerprints(rows, words))
+    distinct = stored(prints.groupBy(*WORD_NAMES).agg(F.min("key_hash").alias("node")))
+    roots = components(similar_links(distinct, similar))
+    member = distinct.join(roots, "node", "left").select(
+        *WORD_NAMES, F.coalesce("root", "node").alias("root")
+    )
+    ids = keyed(docs).select(*KEY, F.struct("doc_id", *KEY).alias("first"))
+    first = ids.groupBy(*KEY).agg(F.min("first").alias("first"))
+    kept = (
+        prints.join(first, KEY)
+        .groupBy(*WORD_NAMES)
+        .agg(F.min("first").alias("first"))
+        .join(member, WORD_NAMES)
+        .groupBy("root")
+        .agg(F.min("first").alias("first"))
+        .select(*[F.col(f"first.{k}").alias(f"kept_{k}") for k in KEY])
+    )
+    own = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.coalesce("doc_id", F.lit(0)).cast("long").alias("kept_key_id"),
+        F.xxhash64("doc_id", F.coalesce(F.col("text").cast("string"), F.lit(""))).alias(
+            "kept_key_hash"
+        ),
+    )
+    keys = [f"kept_{k}" for k in KEY]
+    return own.dropDuplicates(keys).join(kept, keys, "left_semi").select("row.*")

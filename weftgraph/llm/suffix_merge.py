@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftgraph.llm.common import KEY, keyed, stored, tasks_for
+from weftgraph.llm.common import KEY, keyed, mixed, stored, tasks_for
 
 LENGTH = 400
 GRAM = 128
@@ -42,11 +42,6 @@ FACTOR = 0x9E3779B97F4A7C15
 SECOND = 0xC2B2AE3D27D4EB4F
 
 
-def mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(32))
-
-
 class Rolling:
     """Hashes of all byte strings of a length: prefix sums of c * factor**i, shifted to i = 0."""
 
@@ -416,31 +411,33 @@ def counted_task(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = Rolling(FACTOR), Rolling(SECOND)
-        names = ["context_id", "context_hash", "context_first", *KEY, "first", "offset"]
+        names = ["context_id", "context_hash", "context_first", *KEY, "firsts", "offset"]
         names += ["one", "two", "times"]
+        lists = pa.list_(pa.int64())
 
-        def flush(held: dict[bytes, list]) -> Iterator[pa.RecordBatch]:
+        def flush(held: dict[bytes, dict]) -> Iterator[pa.RecordBatch]:
             for data, places in held.items():
-                n = len(places)
-                member = np.column_stack([np.tile(places[0], (n, 1)), np.array(places)])
-                sums = np.frombuffer(data, np.uint8)
-                a, b = (
-                    x.hashes(x.sums(sums), length).view(np.int64) for x in (one, two)
-                )
-                m = len(a)
-                nulls = [pa.nulls(n, pa.int64())] * 4
+                n, keys = len(places), np.array(list(places))
+                context = (*keys[0].tolist(), next(iter(places.values()))[0])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(member[:, i].copy()) for i in range(6)] + nulls, names
+                    [pa.array(np.full(n, x)) for x in context]
+                    + [pa.array(keys[:, i].copy()) for i in range(2)]
+                    + [pa.array(list(places.values()), lists)]
+                    + [pa.nulls(n, pa.int64())] * 4,
+                    names,
                 )
-                same = [pa.array(np.full(m, x)) for x in places[0]]
+                sums = np.frombuffer(data, np.uint8)
+                a, b = (x.hashes(x.sums(sums), length).view(np.int64) for x in (one, two))
+                m, times = len(a), sum(map(len, places.values()))
                 yield pa.RecordBatch.from_arrays(
-                    same
-                    + [pa.nulls(m, pa.int64())] * 3
-                    + [pa.array(np.arange(m)), pa.array(a), pa.array(b), pa.array(np.full(m, n))],
+                    [pa.array(np.full(m, x)) for x in context]
+                    + [pa.nulls(m, pa.int64())] * 2
+                    + [pa.nulls(m, lists), pa.array(np.arange(m)), pa.array(a), pa.array(b)]
+                    + [pa.array(np.full(m, times))],
                     names,
                 )
 
-        held: dict[bytes, list] = {}
+        held: dict[bytes, dict] = {}
         size = 0
         for batch in batches:
             for text, *key, found in zip(*(batch.column(i) for i in range(4)), strict=True):
@@ -448,7 +445,7 @@ def counted_task(length: int):
                 key = (key[0].as_py(), key[1].as_py())
                 for x in found.as_py():
                     string = data[x["first"] : x["end"]]
-                    held.setdefault(string, []).append((*key, x["first"]))
+                    held.setdefault(string, {}).setdefault(key, []).append(x["first"])
                     size += len(string) + 100
                 if size > RUN_BYTES:
                     yield from flush(held)
@@ -459,12 +456,12 @@ def counted_task(length: int):
 
 
 def hot_spans(rows: DataFrame, length: int) -> DataFrame:
-    """Spans around anchors with very many places, from counts of their strings' hashes.
+    """key and spans around anchors with very many places, from counts of their strings' hashes.
 
     No task gets all places of an anchor: equal strings are summed before the shuffle, unequal
     ones are spread by their hash (128 bits)."""
     names = "context_id long, context_hash long, context_first long, key_id long, key_hash long"
-    names += ", first long, offset long, one long, two long, times long"
+    names += ", firsts array<long>, offset long, one long, two long, times long"
     found = stored(rows.mapInArrow(counted_task(length), names))
     strings, context = found.where("one IS NOT NULL"), ["context_id", "context_hash", "context_first"]
     twice = strings.groupBy("one", "two").agg(F.sum("times").alias("n")).where("n > 1").drop("n")
@@ -474,11 +471,15 @@ def hot_spans(rows: DataFrame, length: int) -> DataFrame:
         .groupBy(*context)
         .agg(F.min("offset").alias("least"), F.max("offset").alias("most"))
     )
-    member = found.where("one IS NULL").select(*context, *KEY, "first")
+    member = found.where("one IS NULL").select(*context, *KEY, "firsts")
     return member.join(reach, context).select(
         *KEY,
-        (F.col("first") + F.col("least")).alias("lo"),
-        (F.col("first") + F.col("most") + length).alias("hi"),
+        F.transform(
+            "firsts",
+            lambda x: F.struct(
+                (x + F.col("least")).alias("lo"), (x + F.col("most") + length).alias("hi")
+            ),
+        ).alias("spans"),
     )
 
 
@@ -492,7 +493,8 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
         raise ValueError(f"strings must be longer than {GRAM} bytes")
     spark = rows.sparkSession
     found = stored(anchors(rows, length))
-    counts = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
+    # a table of its own: the join with it then splits an anchor that has very many rows
+    counts = stored(found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"))
     kept = stored(
         found.join(counts, "gram").select(
             "gram",
@@ -516,9 +518,14 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     spans = runs.groupBy("part").applyInArrow(
         merge_task(length), "key_id long, key_hash long, lo long, hi long"
     )
-    if hot:
-        spans = spans.union(hot_spans(with_text("hot"), length))
-    return spans.groupBy(*KEY).agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+    spans = spans.groupBy(*KEY).agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+    if not hot:
+        return spans
+    return (
+        spans.union(hot_spans(with_text("hot"), length))
+        .groupBy(*KEY)
+        .agg(F.flatten(F.collect_set("spans")).alias("spans"))
+    )
 
 
 def union_of(spans: list[dict] | None) -> list[tuple[int, int]]:
@@ -533,14 +540,15 @@ def union_of(spans: list[dict] | None) -> list[tuple[int, int]]:
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, texts: bool = True) -> DataFrame:
-    """doc_id, key, n_bytes, n_removed, n_spans, kept_sha256 and kept (the text, or null if not
-    asked for), one row for each of docs.
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the text, or null if not asked for)
+    and rest (the other columns, of all rows that texts are asked for), one row for each of docs.
 
     A null text counts as empty; repeated rows are copies of each other; a span that cuts a
     character leaves bytes that `kept` drops and `kept_sha256` has.
     """
-    rows = keyed(docs)
+    rows = keyed(docs if texts else docs.select("doc_id", "text"))
     spans = repeated_spans(rows, length)
+    rest = rows.schema["rest"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -562,18 +570,18 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, texts: bool = True) -
             columns = list(zip(*made, strict=True)) if made else [()] * 5
             kinds = [pa.int64()] * 3 + [pa.string()] * 2
             yield pa.RecordBatch.from_arrays(
-                [batch.column(k) for k in ("doc_id", *KEY)]
+                [batch.column(k) for k in ("doc_id", "rest")]
                 + [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
-                ["doc_id", *KEY, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
+                ["doc_id", "rest", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
             )
 
     return (
         rows.withColumn("doc_id", F.col("doc_id").cast("long"))
         .join(spans, KEY, "left")
-        .select("doc_id", *KEY, "text", "spans")
+        .select("doc_id", "rest", "text", "spans")
         .mapInArrow(
             run,
-            "doc_id long, key_id long, key_hash long, n_bytes long, n_removed long,"
-            " n_spans long, kept_sha256 string, kept string",
+            f"doc_id long, rest {rest}, n_bytes long, n_removed long, n_spans long,"
+            " kept_sha256 string, kept string",
         )
     )
