@@ -11,6 +11,7 @@ from weftgraph.llm import (
     benchmark_windows,
     language_id,
     license_automaton,
+    minhash_bins,
     pieces_viterbi,
     simhash_trie,
     suffix_merge,
@@ -95,3 +96,18 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return benchmark_windows.leaks(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
     )
+
+
+@query("op4_minhash_bins")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    found = minhash_bins.with_edits(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        minhash_bins.packed(F.col("bins")).alias("fingerprint"),
+        minhash_bins.packed(F.col("edited_bins")).alias("edited_fingerprint"),
+        minhash_bins.likeness(F.col("bins"), F.col("edited_bins")).alias("near_edited"),
+        minhash_bins.likeness(F.col("bins"), F.col("next_bins")).alias("near_next"),
+        "next_doc_id",
+    )
