@@ -15,6 +15,7 @@ from weftgraph.llm import (
     pieces_viterbi,
     simhash_trie,
     suffix_merge,
+    toxic_lexicon,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +112,15 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
         minhash_bins.likeness(F.col("bins"), F.col("next_bins")).alias("near_next"),
         "next_doc_id",
     )
+
+
+@query("op6_toxic_lexicon")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    out = language_id.held_out(5, 0)
+    lexicon = toxic_lexicon.fitted(
+        docs.where(F.col("doc_id").isNotNull() & ~out)
+        .select("doc_id", "text")
+        .join(labels.select("doc_id", "toxic"), "doc_id")
+    )
+    return toxic_lexicon.scored(docs, lexicon, out)
