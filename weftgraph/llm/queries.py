@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from weftgraph.llm import (
     benchmark_windows,
+    label_shards,
     language_id,
     license_automaton,
     minhash_bins,
@@ -124,3 +125,18 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
         .join(labels.select("doc_id", "toxic"), "doc_id")
     )
     return toxic_lexicon.scored(docs, lexicon, out)
+
+
+@query("op8_label_shards")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    rows = label_shards.numbered(table(spark, folder, "documents"))
+    found = label_shards.balanced(rows, label_shards.copy_links(rows))
+    return found.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
