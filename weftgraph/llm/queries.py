@@ -17,6 +17,7 @@ from weftgraph.llm import (
     simhash_trie,
     suffix_merge,
     toxic_lexicon,
+    warc_merkle,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +141,37 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+#: Content of a record, as warc_merkle.content has it.
+RECORD = """coalesce(strlen(url) || ':' || url, '-') || coalesce(strlen(html) || ':' || html, '-')"""
+
+
+@query(
+    "op1_warc_merkle",
+    f"""WITH source AS (SELECT page_id, {RECORD} AS body FROM pages),
+    replica AS (
+        SELECT page_id, CASE page_id % 101 WHEN 1
+               THEN coalesce(strlen(url) || ':' || url, '-') || coalesce(
+                    strlen(html || ' ') || ':' || html || ' ', '-')
+               ELSE {RECORD} END AS body
+        FROM pages WHERE page_id % 101 <> 2
+        UNION ALL
+        SELECT -1 - page_id, {RECORD} FROM pages WHERE page_id % 101 = 3)
+    SELECT coalesce(s.page_id, r.page_id) AS record_id,
+           CASE WHEN r.page_id IS NULL THEN 'missing' WHEN s.page_id IS NULL THEN 'added'
+                ELSE 'changed' END AS kind,
+           CAST(strlen(s.body) AS BIGINT) AS bytes, CAST(strlen(r.body) AS BIGINT) AS replica_bytes,
+           sha256(s.body) AS digest, sha256(r.body) AS replica_digest
+    FROM source s FULL JOIN replica r ON s.page_id = r.page_id
+    WHERE s.body IS DISTINCT FROM r.body""",
+)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    """A replica with damage in known places: pages altered, left out and put in by their number."""
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    part = F.col("page_id") % 101
+    altered = F.when(part == 1, F.concat("html", F.lit(" "))).otherwise(F.col("html"))
+    replica = pages.where(part != 2).select("page_id", "url", altered.alias("html")).union(
+        pages.where(part == 3).select(-1 - F.col("page_id"), "url", "html")
+    )
+    return warc_merkle.audit(pages, replica, "page_id", ["url", "html"])
