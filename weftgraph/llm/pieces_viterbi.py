@@ -14,10 +14,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftgraph.llm.common import sliced
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 #: Stands for a U+2581 of the text itself; no valid text has a lone surrogate.
@@ -25,7 +26,7 @@ LITERAL = "\ud800"
 #: A character by its bytes scores this much less than the worst piece.
 PENALTY = 10.0
 #: Words whose pieces a task remembers.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 
 @dataclass
@@ -41,67 +42,103 @@ class Pieces:
     raw: list[bytes] = field(default_factory=list)
     worst: float = 0.0
     by_word: bool = True
-    memory: dict[str, tuple[float, list[int]]] = field(default_factory=dict)
+    #: Words met of late and before, the steps and pieces of states met: of one task.
+    memory: dict[str, tuple[float, bytes]] = field(default_factory=dict)
+    older: dict[str, tuple[float, bytes]] = field(default_factory=dict)
+    steps: dict[int, int] = field(default_factory=dict)
+    ending: dict[int, tuple[tuple[int, float, int], ...]] = field(default_factory=dict)
 
     def tables(self) -> dict:
         """The tables alone, of plain types, whose size the vocabulary bounds: to broadcast."""
-        return {name: value for name, value in vars(self).items() if name != "memory"}
+        own = ("memory", "older", "steps", "ending")
+        return {name: value for name, value in vars(self).items() if name not in own}
 
-    def split(self, text: str) -> list[str]:
+    def words(self, text: str) -> list[str]:
         """The text with blanks marked, cut before each run of blanks if no piece crosses one."""
-        marked = BLANK + text.replace(BLANK, LITERAL).replace(" ", BLANK)
-        return regex.findall(rf"{BLANK}*[^{BLANK}]+|{BLANK}+", marked) if self.by_word else [marked]
+        if not self.by_word:
+            return [BLANK + text.replace(" ", BLANK)]
+        out, blanks = [], BLANK
+        for part in text.split(" "):
+            if part:
+                out.append(blanks + part)
+                blanks = BLANK
+            else:
+                blanks += BLANK
+        if len(blanks) > 1:
+            out.append(blanks[1:])
+        return out
+
+    def step(self, state: int, code: int) -> int:
+        """The state after a character: along the longest piece that may still come."""
+        key, follow = state << 21 | code, self.follow
+        while True:
+            found = follow.get(state << 21 | code)
+            if found is not None or not state:
+                break
+            state = self.fail[state]
+        self.steps[key] = found or 0
+        return found or 0
+
+    def outputs(self, state: int) -> tuple[tuple[int, float, int], ...]:
+        """(size, score, number) of all pieces that end at a state, along the output links."""
+        out, at = [], state if self.piece[state] else self.output[state]
+        while at:
+            number, size, value = self.piece[at]
+            out.append((size, value, number))
+            at = self.output[at]
+        self.ending[state] = tuple(out)
+        return self.ending[state]
 
     def best(self, word: str) -> tuple[float, list[int]]:
         """Score and numbers of the pieces with the highest sum of scores; of equals the longer."""
-        n, state = len(word), 0
-        score, back = [0.0] * (n + 1), [(-1, 1)] * (n + 1)
-        follow, fail, piece, output = self.follow, self.fail, self.piece, self.output
-        for i, character in enumerate(word):
+        state, worst = 0, self.worst
+        score, back = [0.0], [(1, 0.0, -1)]
+        steps, ending = self.steps, self.ending
+        for character in word:
             code = ord(character)
-            while True:
-                found = follow.get(state << 21 | code)
-                if found is not None:
-                    state = found
-                    break
-                if not state:
-                    break
-                state = fail[state]
-            top, how = score[i] + self.worst, (-1, 1)
-            at = state if piece[state] else output[state]
-            while at:
-                number, size, value = piece[at]
-                if score[i + 1 - size] + value > top:
-                    top, how = score[i + 1 - size] + value, (number, size)
-                at = output[at]
-            score[i + 1], back[i + 1] = top, how
+            after = steps.get(state << 21 | code)
+            state = self.step(state, code) if after is None else after
+            top, how = score[-1] + worst, None
+            found = ending.get(state)
+            for one in self.outputs(state) if found is None else found:
+                value = score[-one[0]] + one[1]
+                if value > top:
+                    top, how = value, one
+            score.append(top)
+            back.append(how)
         ids: list[int] = []
-        i = n
+        i = len(word)
         while i:
-            number, size = back[i]
-            if number >= 0:
-                ids.append(number)
+            how = back[i]
+            if how is not None:
+                ids.append(how[2])
+                i -= how[0]
             else:
-                real = BLANK if word[i - 1] == LITERAL else word[i - 1]
+                i -= 1
+                real = BLANK if word[i] == LITERAL else word[i]
                 ids.extend(self.byte_ids[b] for b in reversed(real.encode("utf-8")))
-            i -= size
-        return score[n], ids[::-1]
+        return score[-1], ids[::-1]
 
-    def encode(self, text: str) -> tuple[float, list[int]]:
-        if not text:
-            return 0.0, []
+    def encode(self, text: str) -> tuple[float, np.ndarray]:
+        """Sum of scores and piece numbers."""
         total, ids, memory = 0.0, [], self.memory
-        for word in self.split(text):
+        if BLANK in text:
+            text = text.replace(BLANK, LITERAL)
+        for word in self.words(text) if text else []:
             found = memory.get(word)
             if found is None:
-                found = self.best(word)
-                if len(memory) >= REMEMBERED:
-                    memory.clear()
+                found = self.older.get(word)
+                if found is None:
+                    score, numbers = self.best(word)
+                    found = (score, np.array(numbers, "<i4").tobytes())
                 if len(word) <= 64:
                     memory[word] = found
+                if len(memory) >= REMEMBERED:
+                    self.older, self.memory = memory, {}
+                    memory = self.memory
             total += found[0]
-            ids += found[1]
-        return total, ids
+            ids.append(found[1])
+        return total, np.frombuffer(b"".join(ids), "<i4")
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")[1:]
@@ -129,7 +166,7 @@ def loaded(path: str = MODEL) -> Pieces:
             continue
         score = model.get_score(i)
         scores.append(score)
-        out.by_word &= not regex.search(rf"[^{BLANK}]{BLANK}", name)
+        out.by_word &= BLANK not in name.lstrip(BLANK)
         state = 0
         for character in name:
             key = state << 21 | ord(character)
@@ -188,18 +225,17 @@ def _mapped(docs: DataFrame, model: Pieces, whole: bool) -> DataFrame:
         pieces = Pieces(**shared.value)
         of_bytes = np.zeros(len(pieces.raw), np.int64)
         of_bytes[pieces.byte_ids] = 1
-        for batch in batches:
+        for batch in sliced(batches):
             made: list[list] = [[] for _ in names]
             for text in batch.column(1):
                 text = text.as_py() or ""
                 score, ids = pieces.encode(text)
-                same = pieces.decode(ids) == text
+                same = pieces.decode(ids.tolist()) == text
                 if whole:
-                    row = (np.array(ids, np.int32), score, same)
+                    row = (ids, score, same)
                 else:
-                    numbers = np.array(ids, np.dtype("<i4"))
-                    digest = hashlib.sha256(numbers.tobytes()).hexdigest()
-                    row = (len(ids), int(of_bytes[numbers].sum()), digest, score, same)
+                    digest = hashlib.sha256(ids.tobytes()).hexdigest()
+                    row = (len(ids), int(of_bytes[ids].sum()), digest, score, same)
                 for column, value in zip(made, row, strict=True):
                     column.append(value)
             yield pa.RecordBatch.from_arrays(
@@ -217,7 +253,7 @@ def decoded(rows: DataFrame, model: Pieces) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(**shared.value)
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [pieces.decode(x.as_py() or []) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"]
