@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftgraph.llm.common import words_of
+from weftgraph.llm.common import sliced, words_of
 
 WORDS = 5
 SIMILAR = 0.8
@@ -192,7 +192,7 @@ def leaks(
         )
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in sliced(batches):
                 made = [
                     (doc.as_py(), *found)
                     for doc, text in zip(batch.column(0), batch.column(1), strict=True)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -54,6 +56,13 @@ def keyed(docs: DataFrame) -> DataFrame:
 KEY = ["key_id", "key_hash"]
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The rows of batches, a few at a time: what a task makes of texts then stays small."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def tasks_for(spark: SparkSession, rows: int, rows_a_task: int) -> int:
     """Partitions so that each has about rows_a_task rows, and no fewer than shuffles have."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_a_task))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftgraph.llm.common import words_of
+from weftgraph.llm.common import sliced, words_of
 
 # Phrases whose every place counts, and their labels.
 BASE = {
@@ -193,7 +193,7 @@ def scanned(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             sizes, places, spans = [], [], []
             for text in batch.column(1):
                 words = words_of(text.as_py())

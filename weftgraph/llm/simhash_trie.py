@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftgraph.llm.common import KEY, components, keyed, mixed, stored, tasks_for
+from weftgraph.llm.common import KEY, components, keyed, mixed, sliced, stored, tasks_for
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 SEED = 42
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id and the 64-bit fingerprint of each row's whole text, as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             made = [
                 majority_bits(shingle_hashes(text.as_py() or "", words)) for text in batch.column(1)
             ]
@@ -279,7 +279,7 @@ def wide_fingerprints(docs: DataFrame, words: int) -> DataFrame:
             yield first if not i else mixed(first + np.uint64(i * 0x9E3779B97F4A7C15 % (1 << 64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             made = np.zeros((batch.num_rows, WIDE), np.uint64)
             for i, text in enumerate(batch.column("text")):
                 hashes = np.unique(np.array(shingle_hashes(text.as_py(), words), np.uint64))

@@ -24,13 +24,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftgraph.llm.common import KEY, keyed, mixed, stored, tasks_for
+from weftgraph.llm.common import KEY, keyed, mixed, sliced, stored, tasks_for
 
 LENGTH = 400
 GRAM = 128
 #: Bytes of text that are hashed at once, and that a run holds before it is sorted.
-CHUNK = 2_000_000
-RUN_BYTES = 32_000_000
+CHUNK = 500_000
+RUN_BYTES = 12_000_000
 #: Suffixes that one merge gets on average.
 MERGED = 20_000
 #: An anchor with more places than this is not merged in one task: its strings are counted apart.
@@ -134,7 +134,7 @@ def anchors(rows: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = Rolling(FACTOR)
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [x.as_py().encode("utf-8", "surrogatepass") for x in batch.column("text")]
             ids, hashes = (np.asarray(batch.column(k)) for k in KEY)
             for number, gram, place, first, last in anchors_of(texts, length, rolling):
@@ -377,7 +377,7 @@ def run_task(parts: int):
                 [pa.array(list(held), pa.int32()), pa.array(blobs, pa.binary())], ["part", "run"]
             )
 
-        for batch in batches:
+        for batch in sliced(batches):
             for text, *key, found in zip(*(batch.column(i) for i in range(4)), strict=True):
                 data = text.as_py().encode("utf-8", "surrogatepass")
                 key = (key[0].as_py(), key[1].as_py())
@@ -439,7 +439,7 @@ def counted_task(length: int):
 
         held: dict[bytes, dict] = {}
         size = 0
-        for batch in batches:
+        for batch in sliced(batches):
             for text, *key, found in zip(*(batch.column(i) for i in range(4)), strict=True):
                 data = text.as_py().encode("utf-8", "surrogatepass")
                 key = (key[0].as_py(), key[1].as_py())
@@ -551,7 +551,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, texts: bool = True) -
     rest = rows.schema["rest"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             made = []
             for text, found in zip(batch.column("text"), batch.column("spans"), strict=True):
                 data = text.as_py().encode("utf-8", "surrogatepass")

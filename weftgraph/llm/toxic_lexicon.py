@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftgraph.llm.common import stored
+from weftgraph.llm.common import sliced, stored
 
 #: Rows of each label that are learned from (about), words that are weighed, and their least count.
 SAMPLE = 10_000
@@ -166,7 +166,7 @@ def fitted(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = folding()
-        for batch in batches:
+        for batch in sliced(batches):
             words = [sorted(set(folded(x.as_py(), table).split())) for x in batch.column(1)]
             sizes = [len((x.as_py() or "").split()) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
@@ -263,7 +263,7 @@ def scored(docs: DataFrame, lexicon: Lexicon, flag: Column | None = None) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = lexicon.matcher()
-        for batch in batches:
+        for batch in sliced(batches):
             made = []
             for text in batch.column(2):
                 text = text.as_py()
