@@ -25,11 +25,14 @@ SAMPLE = 1_000
 BUCKETS = 1 << 13
 SIZES = (2, 3, 4)
 WIDTH = 16
+#: Passes over the sample, and the least number of steps of a small one.
 EPOCHS = 12
+STEPS = 1_500
 BATCH = 32
 RATE = 20.0
-#: Share of wrong labels among the accepted that the threshold may leave.
+#: Share of wrong labels among the accepted that the threshold may leave, and the most it may cost.
 ERROR = 0.01
+REJECTED = 0.01
 #: Strings that are looked up at once.
 CHUNK = 1 << 19
 UNKNOWN = "und"
@@ -131,8 +134,9 @@ def trained(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Mo
     weights = rng.normal(0, 0.1, (WIDTH, len(languages))).astype(np.float32)
     bias = np.zeros(len(languages), np.float32)
     # every fourth row is also seen as a tenth of its strings, so that short texts are learned
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
+    epochs = max(EPOCHS, -(-STEPS * BATCH // len(learn)))
+    for epoch in range(epochs):
+        rate = RATE * (1 - epoch / epochs)
         for first in range(0, len(learn), BATCH):
             batch = learn[first : first + BATCH]
             x = np.zeros((len(batch), BUCKETS), np.float32)
@@ -168,8 +172,11 @@ def trained(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Mo
     by = np.argsort(-sure)
     wrong = np.cumsum(~right[by]) / np.arange(1, len(by) + 1)
     good = np.flatnonzero(wrong <= ERROR)
+    # nothing is sure of less than a little over chance; a few wrong labels of a small sample must
+    # not cost more than the share that may be rejected
     floor = 1.2 / len(languages) if len(languages) > 1 else 0.0
-    model.threshold = max(floor, float(sure[by][good[-1]]) if len(good) < len(by) and len(good) else floor)
+    asked = float(sure[by][good[-1]]) if len(good) and len(good) < len(by) else floor
+    model.threshold = max(floor, min(asked, float(np.quantile(sure, REJECTED))))
     return model
 
 
