@@ -43,9 +43,9 @@ class AnnotateFunction:
 class Collect(AnnotateFunction):
     """The list of all values in a group; nodes and edges are distinct by id.
 
-    A group may hold a large share of all rows. With ``part_size`` the list of such
-    a group is returned as several rows, numbered by ``part``, of about that many
-    elements each, and no task ever holds the whole group.
+    A group may hold a large share of all rows. With ``part_size`` every list is returned
+    as rows numbered by ``part``, of that many elements each (the last may have fewer),
+    and no task ever holds a whole group.
     """
 
     distinct: bool = False

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -10,10 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Statements a raw expression may not contain.
-SIDE_EFFECTS = re.compile(r"MERGE|CREATE|DELETE|DETACH", re.IGNORECASE)
-
-
 @dataclass(frozen=True)
 class RawExpr:
     """A Spark SQL expression used in an ordering or a transform.
@@ -23,10 +18,6 @@ class RawExpr:
 
     text: str
 
-    def __post_init__(self) -> None:
-        if SIDE_EFFECTS.search(self.text):
-            raise ValueError("RawExpr: Do not include any action that has side effect")
-
 
 @dataclass(frozen=True)
 class SortKey:

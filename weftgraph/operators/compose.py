@@ -31,14 +31,10 @@ from ..functions.ordering import RawExpr, SortKey, comparable
 from ..model import Direction, NodeModel, RelationshipDef
 from ..sources.graph import col, embedded_prop, key_column
 from .nodeset import NodeSet, Path, Traversal
+from .positions import POSITION, numbered
 from .product import product
 from .semantic import fulltext_topk, vector_topk
 
-# more ids than this are joined as a table
-LISTED_IDS = 1_000
-# from this size on, the list of the groups that need parts is surely small
-BROADCAST_PART_SIZE = 1_000_000
-
 
 @dataclass(frozen=True)
 class Bound:
@@ -155,13 +151,8 @@ class Composition:
             given = ns.source
             if given is not None and not isinstance(given, DataFrame):
                 given = list(given) if isinstance(given, (list, tuple, set)) else [given]
-                if len(given) <= LISTED_IDS:
-                    frame = frame.where(col("node_id").isin(given))
-                else:
-                    # too many for the plan: a table of ids
-                    given = self.graph.spark.createDataFrame(
-                        [(i,) for i in given], f"node_id {frame.schema['node_id'].dataType.simpleString()}"
-                    )
+                kind = frame.schema["node_id"].dataType.simpleString()
+                given = self.graph.spark.createDataFrame([(i,) for i in given], f"node_id {kind}")
             if isinstance(given, DataFrame):
                 frame = frame.join(given.select("node_id"), "node_id", "left_semi")
             if ns.vector is not None:
@@ -352,9 +343,8 @@ class Composition:
             rel = model.relationship(name)
             if rel.rel_type not in (None, "*") and rel.rel_type not in self.graph.edges:
                 raise RelationshipClassNotDefined(
-                    f"Relationship of type {rel.rel_type!r} is not part of this graph. "
-                    "Note that when using the traverse method, the relationship type "
-                    "must be defined in the model."
+                    f"path {path.value!r} needs edges of type {rel.rel_type!r}, "
+                    "which the graph lacks"
                 )
             steps.append(rel)
             model = rel.target
@@ -936,45 +926,21 @@ class Composition:
         self.aggregates = {a.name: a for a in annotations}
 
     def _parted(self, frame, keys, group, annotations, part_size):
-        """Numbers bounded parts of the groups that exceed ``part_size`` rows."""
+        """Numbers the rows of every group in order and cuts them into parts of ``part_size``."""
         collects = [a.function for a in annotations]
         distinct = any(isinstance(f, Collect) and f.distinct for f in collects)
         if not all(isinstance(f, Collect) for f in collects):
             raise ValueError("part_size goes with Collect only: count and pick in another query")
         if distinct and (self.pending or len({a.bound.id for a in annotations}) > 1):
             raise ValueError("distinct lists in parts take one variable and no ordering")
-        counts = frame.groupBy(*[col(k).alias(f"~g{i}") for i, k in enumerate(keys)]).agg(
-            F.count(F.lit(1)).alias("~n")
-        )
-        large = counts.where(col("~n") > part_size).withColumn(
-            "~parts", F.ceil(col("~n") / F.lit(part_size))
-        )
-        if part_size >= BROADCAST_PART_SIZE:
-            # there are at most (rows / part_size) groups of that size
-            large = F.broadcast(large)
-        on = reduce(
-            lambda a, b: a & b, [col(k).eqNullSafe(col(f"~g{i}")) for i, k in enumerate(keys)]
-        )
-        known = [col(c) for c in frame.columns]
-        marked = frame.join(large, on, "left").select(*known, col("~parts"))
-        # equal elements must meet in one part if they are to be merged
-        items = [col(annotations[0].bound.id)] if distinct else [col(k) for k in self.row_key]
-        if not self.pending:
-            part = F.coalesce(F.pmod(F.xxhash64(*items), col("~parts")), F.lit(0))
-            return marked.withColumn("~part", part.cast("bigint")), group + ["~part"]
-        small = marked.where(col("~parts").isNull()).withColumn("~part", F.lit(0).cast("bigint"))
-        # large groups are laid out in order over many tasks, which number their rows:
-        # the high bits of the number are the task, the low 33 bits the row
-        width = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        order = [col(k) for k in keys] + [k.sort_column() for k in self.pending]
-        big = marked.where(col("~parts").isNotNull())
-        big = big.repartitionByRange(width, *order, *items).sortWithinPartitions(*order, *items)
-        big = big.withColumn("~at", F.monotonically_increasing_id())
-        task, row = F.shiftright("~at", 33), col("~at").bitwiseAND(F.lit((1 << 33) - 1))
-        per_task = -(-(1 << 33) // part_size)
-        number = task * F.lit(per_task) + F.floor(row / F.lit(part_size))
-        big = big.withColumn("~part", number.cast("bigint")).drop("~at")
-        return small.unionByName(big), group + ["~part"]
+        first = annotations[0].bound.id
+        if distinct:
+            frame = frame.dropDuplicates(list(dict.fromkeys([*keys, first])))
+        order = [k.sort_column() for k in self.pending]
+        order += [col(k).asc_nulls_last() for k in dict.fromkeys([first, *self.row_key])]
+        placed = numbered(frame, keys, order)
+        part = F.floor(col(POSITION) / F.lit(part_size)).cast("bigint")
+        return placed.withColumn("~part", part).drop(POSITION), group + ["~part"]
 
     def _aggregate(self, a: Annotation, frame: DataFrame, parted: bool) -> Column:
         collect = a.function.collected()
@@ -1058,29 +1024,22 @@ class Composition:
         if partition:
             keys = [col(p) for p in partition]
             rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*total))
-            if ns.stop is not None:
-                # first within shares of a context, so that a large one is cut down by
-                # many tasks before its rows meet
-                share = F.pmod(F.xxhash64(*[col(k) for k in self.row_key]), F.lit(32))
-                within = Window.partitionBy(*keys, col("~share")).orderBy(*total)
-                df = df.withColumn("~share", share)
-                df = df.withColumn("~rank", F.row_number().over(within))
-                df = df.where(col("~rank") <= ns.stop).drop("~rank", "~share")
-            ranked = df.withColumn("~rank", rank)
-            if ns.stop is not None:
-                ranked = ranked.where(col("~rank") <= ns.stop)
+            if ns.stop is None:
+                placed = numbered(df, partition, total)
+                return placed.where(col(POSITION) >= ns.skip).drop(POSITION)
+            # first within what each task has of a context, so that a large one is cut down by
+            # many tasks before its rows meet
+            within = Window.partitionBy(*keys, col("~share")).orderBy(*total)
+            df = df.withColumn("~share", F.spark_partition_id())
+            df = df.withColumn("~rank", F.row_number().over(within))
+            df = df.where(col("~rank") <= ns.stop).drop("~rank", "~share")
+            ranked = df.withColumn("~rank", rank).where(col("~rank") <= ns.stop)
             return ranked.where(col("~rank") > ns.skip).drop("~rank")
         if ns.stop is not None:
             page = df.orderBy(*total).offset(ns.skip) if ns.skip else df.orderBy(*total)
             return page.limit(ns.stop - ns.skip)
-        # everything but the first rows: those few are removed by id, so that the rest
-        # never passes through a single task
-        keys = {k: f"~skip{i}" for i, k in enumerate(self.row_key)}
-        head = df.orderBy(*total).limit(ns.skip).select(
-            *[col(k).alias(a) for k, a in keys.items()]
-        )
-        on = reduce(lambda a, b: a & b, [col(k).eqNullSafe(col(a)) for k, a in keys.items()])
-        rest = df.join(head, on, "left_anti")
+        # everything but the first rows: all are numbered over many tasks
+        rest = numbered(df, [], total).where(col(POSITION) >= ns.skip).drop(POSITION)
         return rest.orderBy(*order) if order else rest
 
     def first_per_source(self) -> DataFrame:
@@ -1110,10 +1069,7 @@ class Composition:
     def nested(self) -> DataFrame:
         exported = [n for sq in self.ns.subqueries for n in sq.return_set if n in self.vars]
         if not self.tree and not exported:
-            raise RuntimeError(
-                "Nothing to resolve. Make sure to include relations in the result using "
-                "traverse() or filter()."
-            )
+            raise RuntimeError("the query follows no path, so there is nothing to nest")
 
         def relations(tree: dict[str, Any]) -> list[Column]:
             found = []

@@ -211,6 +211,50 @@ def disconnect_gate(
     )
 
 
+def disconnect_all_gate(
+    graph: PropertyGraph,
+    model: type[NodeModel],
+    rel_name: str,
+    sources: DataFrame,
+    rule: type[Cardinality] | None = None,
+) -> DataFrame:
+    """Sources (``near_id``) that have edges and may not lose all of them, with 0 left over.
+
+    Replacing all edges of a source empties it first, so that this is its gate too.
+    """
+    rel = model.relationship(rel_name)
+    rule = rule or rel.cardinality
+    if rule.least == 0:
+        return _nothing(graph)
+    linked = degrees(graph, model, rel).join(sources.select("near_id").distinct(), "near_id", "left_semi")
+    return linked.select(
+        *_violation(rule.__name__, model.label_name(), F.lit(rel_name), col("near_id"), F.lit(0))
+    )
+
+
+def cardinality_report(
+    graph: PropertyGraph,
+    model: type[NodeModel],
+    rel_name: str,
+    rule: type[Cardinality] | None = None,
+) -> DataFrame:
+    """One row: how many nodes and edges a rule was applied to, and how many nodes break it."""
+    rel = model.relationship(rel_name)
+    rule = rule or rel.cardinality
+    counted = degrees(graph, model, rel)
+    n = F.coalesce(col("n"), F.lit(0))
+    broken = n < rule.least
+    if rule.most is not None:
+        broken = broken | (n > rule.most)
+    nodes = graph.node_frame(model).select("node_id")
+    return nodes.join(counted, col("node_id") == col("near_id"), "left").agg(
+        F.first(F.lit(rule.__name__)).alias("rule"),
+        F.count(F.lit(1)).alias("nodes"),
+        F.coalesce(F.sum(n), F.lit(0)).alias("edges"),
+        F.count_if(broken).alias("violations"),
+    )
+
+
 def endpoints(
     graph: PropertyGraph, rel_type: str, model: type[NodeModel] | None = None, end: str = "dst"
 ) -> DataFrame:
@@ -239,8 +283,7 @@ def check_all(graph: PropertyGraph) -> DataFrame:
     parts = [check_model(graph, model) for model, _ in graph.tables.values()]
     for rel_type in graph.edges:
         parts.append(unique_edges(graph, rel_type))
-        if not graph.edges[rel_type].verified:
-            parts += [endpoints(graph, rel_type, end="src"), endpoints(graph, rel_type)]
+        parts += [endpoints(graph, rel_type, end="src"), endpoints(graph, rel_type)]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -31,16 +31,14 @@ def _attribute(model: type[NodeModel], name: str):
     try:
         return model.property(name)
     except ValueError as e:
-        raise AttributeError(f"Attribute '{name}' not found on '{model.__name__}'.") from e
+        raise AttributeError(f"{model.__name__} declares no property {name!r}") from e
 
 
 def vector_topk(frame: DataFrame, model: type[NodeModel], query: VectorFilter) -> DataFrame:
     """The k best rows with their score; the threshold cuts those k afterwards."""
     prop = _attribute(model, query.vector_attribute_name)
     if prop.vector_index is None:
-        raise AttributeError(
-            f"Attribute {query.vector_attribute_name} is not declared with a vector index."
-        )
+        raise AttributeError(f"{query.vector_attribute_name!r} can't be searched as a vector")
     _threshold(query.threshold, "Vector Filter")
     vector = [float(x) for x in query.candidate_vector]
     score = vector_score(col(prop.name), vector, prop.vector_index.similarity_function)
@@ -63,9 +61,7 @@ def fulltext_topk(frame: DataFrame, model: type[NodeModel], query: FulltextFilte
     """
     prop = _attribute(model, query.fulltext_attribute_name)
     if prop.fulltext_index is None:
-        raise AttributeError(
-            f"Attribute {query.fulltext_attribute_name} is not declared with a full text index."
-        )
+        raise AttributeError(f"{query.fulltext_attribute_name!r} can't be searched as a text")
     _threshold(query.threshold, "Full Text Filter")
     terms = query_terms(query.query_string)
     if not terms:

@@ -1,10 +1,14 @@
 """Batch writes: each query returns the content of the resulting tables."""
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from .. import FloatProperty, IntegerProperty, NodeModel, PropertyGraph, StringProperty
 from ..operators import edges as E
 from ..operators import writes as W
+from ..sources.session import shared_folder
+from ..sources.store import read_graph, write_graph
 from .registry import query
 from .tables import Customer, Event, Nation, Order, Part, Supplier, load, node_table, table
 
@@ -258,6 +262,20 @@ def replace(spark, folder):
     return homes(E.replace_edges(g, Customer, "nation", pairs))
 
 
+@query(
+    "W10_replace_written",
+    """SELECT c_custkey AS customer, CASE WHEN c_mktsegment = 'BUILDING' THEN 0
+              ELSE c_nationkey END AS nation FROM customer""",
+)
+def replace_written(spark, folder):
+    """The same after writing the graph and reading it back."""
+    g = load(spark, folder, Customer, Nation)
+    pairs = pairs_of(g).selectExpr("near_id", "0 as far_id")
+    at = f"{shared_folder(spark)}/graph-{uuid4().hex}"
+    write_graph(E.replace_edges(g, Customer, "nation", pairs), at)
+    return homes(read_graph(g, at))
+
+
 @query(
     "W11_reconnect",
     """SELECT c_custkey AS customer, CASE WHEN c_mktsegment = 'BUILDING'

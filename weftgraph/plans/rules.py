@@ -79,9 +79,38 @@ def edge_uniqueness(spark, folder):
     return C.unique_edges(load(spark, folder, Customer, Order), "PLACED", ["since"])
 
 
-@query("C4_zero_or_more", rule_sql("ZeroOrMore", "Customer", "orders", 0, 0, "customer WHERE false"))
+@query(
+    "C4_zero_or_more",
+    """SELECT 'ZeroOrMore' AS rule, (SELECT count(*) FROM customer) AS nodes,
+              CAST(count(*) AS BIGINT) AS edges, CAST(0 AS BIGINT) AS violations
+       FROM orders JOIN customer ON c_custkey = o_custkey""",
+)
 def zero_or_more(spark, folder):
-    return C.cardinality(load(spark, folder, Customer, Order), Customer, "orders", ZeroOrMore)
+    g = load(spark, folder, Customer, Order)
+    return C.cardinality_report(g, Customer, "orders", ZeroOrMore)
+
+
+@query(
+    "C7_cardinality_report",
+    """SELECT 'One' AS rule, count(*) AS nodes, CAST(sum(n) AS BIGINT) AS edges,
+              count(*) FILTER (n <> 1) AS violations
+       FROM (SELECT o_orderkey, count(l_orderkey) AS n FROM orders LEFT JOIN lineitem
+             ON l_orderkey = o_orderkey GROUP BY o_orderkey)""",
+)
+def cardinality_report(spark, folder):
+    return C.cardinality_report(load(spark, folder, Order, Part), Order, "parts", One)
+
+
+@query(
+    "C7_no_disconnect_all",
+    rule_sql("One", "Order", "parts", "o_orderkey", 0,
+             """orders WHERE o_orderstatus = 'P'
+                AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)"""),
+)
+def no_disconnect_all(spark, folder):
+    g = load(spark, folder, Order, Part)
+    sources = g.nodes(Order).filter(status="P").values(near_id="id")
+    return C.disconnect_all_gate(g, Order, "parts", sources, One)
 
 
 @query(
@@ -138,9 +167,19 @@ def inverse_end(spark, folder):
     return C.inverse_cardinality(g, Supplier, "parts", ZeroOrOne)
 
 
-@query("C9_soft_check", REQUIRED)
+@query(
+    "C9_soft_check",
+    f"""{REQUIRED} UNION ALL SELECT 'stored', 'Customer', 'name', NULL, count(*) FROM customer""",
+)
 def soft_check(spark, folder):
-    return C.enforce(C.required(nameless(spark, folder), Customer), mode="report")
+    """What breaks the rule, and that all nodes are there in spite of it."""
+    g = nameless(spark, folder)
+    found = C.enforce(C.required(g, Customer), mode="report")
+    stored = g.nodes(Customer).count_df().selectExpr(
+        "'stored' as rule", "'Customer' as subject", "'name' as field",
+        "cast(null as string) as item", "n",
+    )
+    return found.unionByName(stored)
 
 
 @query(

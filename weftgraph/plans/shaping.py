@@ -16,7 +16,7 @@ from .registry import query
 from .tables import Customer, Nation, Order, Part, Region, Supplier, load, with_stored
 
 HIDDEN = dict(include_nodes_in_return=False, include_rels_in_return=False)
-PART_SIZE = 1_000_000  # a longer list is returned in parts
+PART_SIZE = 50  # a list is returned in parts of so many elements
 
 NULLED = "(SELECT *, nullif(c_mktsegment, 'BUILDING') AS seg FROM customer)"
 ORDER_PART = """orders JOIN lineitem ON l_orderkey = o_orderkey
@@ -200,9 +200,10 @@ def joined(found):
 
 @query(
     "A1_collect",
-    """SELECT l_suppkey AS id, CAST(0 AS BIGINT) AS part,
-              array_to_string(list_sort(list(l_partkey)), ',') AS parts
-       FROM lineitem GROUP BY l_suppkey""",
+    """SELECT id, part, array_to_string(list_sort(list(l_partkey)), ',') AS parts FROM (
+         SELECT l_suppkey AS id, l_partkey, CAST((row_number() OVER (
+           PARTITION BY l_suppkey ORDER BY l_partkey) - 1) // 50 AS BIGINT) AS part FROM lineitem)
+       GROUP BY id, part""",
 )
 def collect(spark, folder):
     found = supplied_parts(spark, folder).annotate(all=Collect("part", part_size=PART_SIZE))
@@ -211,9 +212,11 @@ def collect(spark, folder):
 
 @query(
     "A2_collect_distinct",
-    """SELECT l_suppkey AS id, CAST(0 AS BIGINT) AS part,
-              array_to_string(list_sort(list(DISTINCT l_partkey)), ',') AS parts
-       FROM lineitem GROUP BY l_suppkey""",
+    """SELECT id, part, array_to_string(list_sort(list(l_partkey)), ',') AS parts FROM (
+         SELECT l_suppkey AS id, l_partkey, CAST((row_number() OVER (
+           PARTITION BY l_suppkey ORDER BY l_partkey) - 1) // 50 AS BIGINT) AS part
+         FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem))
+       GROUP BY id, part""",
 )
 def collect_distinct(spark, folder):
     function = Collect("part", distinct=True, part_size=PART_SIZE)
@@ -310,10 +313,9 @@ def count_of_page(spark, folder):
 )
 def any_row(spark, folder):
     nodes = load(spark, folder, Customer).nodes(Customer)
-    counts = [nodes.filter(acctbal__gt=v)[0:1].count_df(n) for v, n in ((9000, "a"), (1e12, "b"))]
-    return counts[0].select(
-        (F.col("a") > 0).alias("some"), (counts[1].scalar() > 0).alias("none")
-    )
+    some = nodes.filter(acctbal__gt=9000).exists_df("some")
+    none = nodes.filter(acctbal__gt=1e12).exists_df("none")
+    return some.select("some", none.scalar().alias("none"))
 
 
 @query(
@@ -401,9 +403,10 @@ def order_by_expression(spark, folder):
 
 @query(
     "O7_ordered_collect",
-    """SELECT o_custkey AS id, CAST(0 AS BIGINT) AS part,
-              string_agg(strftime(o_orderdate, '%Y-%m-%d'), ',' ORDER BY o_orderdate DESC) AS dates
-       FROM orders GROUP BY o_custkey""",
+    """SELECT id, part, string_agg(strftime(day, '%Y-%m-%d'), ',' ORDER BY day DESC) AS dates
+       FROM (SELECT o_custkey AS id, o_orderdate AS day, CAST((row_number() OVER (
+               PARTITION BY o_custkey ORDER BY o_orderdate DESC) - 1) // 5 AS BIGINT) AS part
+             FROM orders) GROUP BY id, part""",
 )
 def ordered_collect(spark, folder):
     g = load(spark, folder, Customer, Order)
@@ -417,7 +420,7 @@ def ordered_collect(spark, folder):
             },
             ordering=["-day"],
         )
-        .annotate(days=Collect("day", part_size=PART_SIZE))
+        .annotate(days=Collect("day", part_size=5))
         .values("id", "part", "days")
     )
     text = F.transform("days", lambda d: F.date_format(d, "yyyy-MM-dd"))
@@ -444,24 +447,23 @@ def skip(spark, folder):
 
 @query("L2_item", f"({ORDERED} LIMIT 1 OFFSET 5)")
 def item(spark, folder):
-    return by_balance(spark, folder)[5:6].values("id", "acctbal")
+    return by_balance(spark, folder).page_of(5).values("id", "acctbal")
 
 
 @query("L3_get", "SELECT c_custkey AS id, c_acctbal AS acctbal FROM customer WHERE c_custkey = 7")
 def get(spark, folder):
-    # a getter reads two rows, to tell one from many
     nodes = load(spark, folder, Customer).nodes(Customer)
-    return nodes.filter(name="Customer#000000007")[0:2].values("id", "acctbal")
+    return nodes.page_to_get(name="Customer#000000007").values("id", "acctbal")
 
 
 @query("L4_get_or_none", "SELECT c_custkey AS id FROM customer WHERE c_name = 'nobody'")
 def get_or_none(spark, folder):
-    return load(spark, folder, Customer).nodes(Customer).filter(name="nobody")[0:2].ids()
+    return load(spark, folder, Customer).nodes(Customer).page_to_get(name="nobody").ids()
 
 
 @query("L5_first", f"({ORDERED} LIMIT 1)")
 def first(spark, folder):
-    return by_balance(spark, folder)[0:1].values("id", "acctbal")
+    return by_balance(spark, folder).page_of_first().values("id", "acctbal")
 
 
 @query(

@@ -181,8 +181,18 @@ class IntegerProperty(Property):
 
 
 class FloatProperty(Property):
+    """A decimal number, an infinity or not-a-number; no type suffixes, no hexadecimal form."""
+
     spark_type = T.DoubleType()
 
+    def typed(self, raw: Column) -> Column:
+        text = F.trim(raw.cast("string"))
+        number = r"(?i)\A[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)(e[+-]?\d+)?\z"
+        odd = r"(?i)\A[+-]?(inf|infinity|nan)\z"
+        plain = F.when(text.rlike(number), F.replace(text, F.lit("_"), F.lit("")))
+        unsigned = F.regexp_replace(F.lower(text), r"\A[+-](?=nan)", "")
+        return F.when(text.rlike(odd), unsigned).otherwise(plain).try_cast("double")
+
 
 class BooleanProperty(Property):
     """Truthiness: zero, the empty text and the empty list are false."""
@@ -211,8 +221,8 @@ class DateProperty(Property):
 
     def typed(self, raw: Column) -> Column:
         text = F.substring_index(raw.cast("string"), "T", 1)
-        shaped = F.when(text.rlike(r"\A\d{4}-\d{2}-\d{2}\z"), text)
-        return F.try_to_date(shaped, "yyyy-MM-dd")
+        shaped = F.when(text.rlike(r"\A\d{4}-\d{1,2}-\d{1,2}\z"), text)
+        return F.try_to_date(shaped, "yyyy-M-d")
 
 
 class _Moment(Property):

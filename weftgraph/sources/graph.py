@@ -227,9 +227,7 @@ class PropertyGraph:
     # -- edges ------------------------------------------------------------
     def edge_table(self, rel_type: str) -> EdgeTable:
         if rel_type not in self.edges:
-            raise RelationshipClassNotDefined(
-                f"Relationship of type {rel_type!r} is not part of this graph."
-            )
+            raise RelationshipClassNotDefined(f"the graph has no edges of type {rel_type!r}")
         return self.edges[rel_type]
 
     def edge_frame(self, rel_type: str) -> DataFrame:

@@ -24,11 +24,18 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that `spark.checkpoint.dir` names; a new one only where all runs on one machine."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return named or tempfile.mkdtemp(prefix="weftgraph-checkpoint-")
+
+
 def checkpointed(frame: DataFrame) -> DataFrame:
     """Writes a frame to the reliable checkpoint folder and cuts its lineage there."""
     spark = frame.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="weftgraph-checkpoint-"))
+        context.setCheckpointDir(shared_folder(spark))
     return frame.checkpoint(eager=True)
