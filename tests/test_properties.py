@@ -117,3 +117,22 @@ def test_models():
 
         class Clash(NodeModel):
             properties = StringProperty()
+
+
+def test_numbers_and_dates_at_the_edge(spark):
+    from weftgraph import DateProperty, FloatProperty
+
+    numbers = {
+        "1.5": 1.5, " -2e3 ": -2000.0, "1_000": 1000.0, ".5": 0.5, "7.": 7.0, "inf": float("inf"),
+        "1d": None, "0x1p3": None, "2f": None, "": None, "1__0": None, "e5": None,
+    }
+    rows = spark.createDataFrame([(k,) for k in numbers], "raw string")
+    prop = FloatProperty()
+    found = {r.raw: (r.v, r.bad) for r in rows.select("raw", prop.typed(rows.raw).alias("v"), prop.bad(rows.raw).alias("bad")).collect()}
+    assert found == {k: (v, v is None) for k, v in numbers.items()}
+    dates = {"2024-1-5": "2024-01-05", "2024-01-05": "2024-01-05", "2024-13-1": None, "24-1-5": None,
+             "2024-02-30": None, "2024-1-05T10:00:00": "2024-01-05"}
+    rows = spark.createDataFrame([(k,) for k in dates], "raw string")
+    prop = DateProperty()
+    found = {r.raw: r.v and str(r.v) for r in rows.select("raw", prop.typed(rows.raw).alias("v")).collect()}
+    assert found == dates

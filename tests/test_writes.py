@@ -28,7 +28,7 @@ from weftgraph.operators import edges as E
 from weftgraph.operators import writes as W
 
 
-class Client(NodeModel):
+class Account(NodeModel):
     email = StringProperty(unique_index=True, required=True)
     age = IntegerProperty()
 
@@ -45,32 +45,32 @@ class Keyed(NodeModel):
     age = IntegerProperty()
 
 
-class Pets(RelModel):
+class Crossing(RelModel):
     since = DateTimeNativeProperty()
     notes = StringProperty()
 
 
-class Dog(NodeModel):
+class Boat(NodeModel):
     name = StringProperty(required=True)
-    owner = RelationshipTo("Human", "OWNS", model=Pets)
+    skipper = RelationshipTo("Skipper", "SAILS", model=Crossing)
 
 
-class Human(NodeModel):
+class Skipper(NodeModel):
     name = StringProperty(unique_index=True)
-    pets = RelationshipFrom(Dog, "OWNS", model=Pets)
+    boats = RelationshipFrom(Boat, "SAILS", model=Crossing)
 
 
-class Hates(RelModel):
+class Rivalry(RelModel):
     since = IntegerProperty()
     reason = StringProperty()
 
 
-class Badger(NodeModel):
+class Harbour(NodeModel):
     name = StringProperty(unique_index=True)
-    friend = Relationship("Badger", "FRIEND")
-    hates = RelationshipTo("Badger", "HATES", model=Hates)
-    den = RelationshipTo("Badger", "DEN", cardinality=ZeroOrOne)
-    guests = RelationshipFrom("Badger", "DEN", cardinality=ZeroOrOne)
+    twins = Relationship("Harbour", "TWIN OF")
+    rivals = RelationshipTo("Harbour", "RIVAL OF", model=Rivalry)
+    pilot = RelationshipTo("Harbour", "PILOTED BY", cardinality=ZeroOrOne)
+    piloted = RelationshipFrom("Harbour", "PILOTED BY", cardinality=ZeroOrOne)
 
 
 def rows(graph, model, *names):
@@ -83,10 +83,10 @@ def empty(spark, model, columns):
 
 
 def test_create_or_update(spark):
-    g = empty(spark, Client, "email string, age long")
+    g = empty(spark, Account, "email string, age long")
     g = W.create_or_update(
         g,
-        Client,
+        Account,
         [
             {"email": "merge1", "age": 11},
             {"email": "merge2"},
@@ -94,33 +94,33 @@ def test_create_or_update(spark):
             {"email": "merge2", "age": 2},
         ],
     ).require_clean()
-    assert rows(g, Client, "email", "age") == {("merge1", 11), ("merge2", 2), ("merge3", 1)}
-    before = rows(g, Client, "id", "email")
+    assert rows(g, Account, "email", "age") == {("merge1", 11), ("merge2", 2), ("merge3", 1)}
+    before = rows(g, Account, "id", "email")
     g = W.create_or_update(
-        g, Client, [{"email": "merge1", "age": 22}, {"email": "merge4", "age": None}]
+        g, Account, [{"email": "merge1", "age": 22}, {"email": "merge4", "age": None}]
     ).graph
-    assert rows(g, Client, "email", "age") >= {("merge1", 22), ("merge4", None), ("merge2", 2)}
-    assert before <= rows(g, Client, "id", "email")
-    bad = W.get_or_create(g, Client, [{"email": None, "age": 1}])
+    assert rows(g, Account, "email", "age") >= {("merge1", 22), ("merge4", None), ("merge2", 2)}
+    assert before <= rows(g, Account, "id", "email")
+    bad = W.get_or_create(g, Account, [{"email": None, "age": 1}])
     assert bad.rejected.count() == 1
     with pytest.raises(ConstraintViolation):
         bad.require_clean()
 
 
 def test_create_checks_the_whole_batch(spark):
-    g = empty(spark, Client, "email string, age long")
-    g = W.create_checked(g, Client, [{"email": "jim6", "age": 3}], new_id="email")
+    g = empty(spark, Account, "email string, age long")
+    g = W.create_checked(g, Account, [{"email": "jim6", "age": 3}], new_id="email")
     with pytest.raises(UniqueProperty):
         W.create_checked(
-            g, Client, [{"email": "jim6", "age": 3}, {"email": "jim7", "age": 5}], new_id="email"
+            g, Account, [{"email": "jim6", "age": 3}, {"email": "jim7", "age": 5}], new_id="email"
         )
     with pytest.raises(RequiredProperty):
-        W.create_checked(g, Client, [{"age": 5}], new_id="'x'")
-    assert not g.nodes(Client).filter(email="jim7")
+        W.create_checked(g, Account, [{"age": 5}], new_id="'x'")
+    assert not g.nodes(Account).filter(email="jim7")
     with pytest.raises(ValueError):
-        W.create(g, Client, [{"email": "a"}])
+        W.create(g, Account, [{"email": "a"}])
     with pytest.raises(ValueError):
-        W.create(g, Client, [{"mail": "a"}], new_id="'x'")
+        W.create(g, Account, [{"mail": "a"}], new_id="'x'")
 
 
 def test_defaults_and_given_values(spark):
@@ -147,46 +147,46 @@ def test_merge_by(spark):
     assert len(W.create_or_update(g, Keyed, other).graph.nodes(Keyed)) == 2
 
 
-def pets(spark):
-    g = empty(spark, Dog, "name string")
+def boats(spark):
+    g = empty(spark, Boat, "name string")
     people = spark.createDataFrame([("b", "Bob"), ("t", "Tim")], "node_id string, name string")
-    g = g.with_nodes(Human, people)
+    g = g.with_nodes(Skipper, people)
     none = spark.createDataFrame(
         [], "edge_id string, src_id string, dst_id string, since timestamp, notes string"
     )
-    return g.with_edges("OWNS", none, src=Dog, dst=Human, model=Pets)
+    return g.with_edges("SAILS", none, src=Boat, dst=Skipper, model=Crossing)
 
 
 def test_merge_under_a_source(spark):
-    g = pets(spark)
-    for owner in ("b", "t", "b"):
-        g = W.merge_under(g, Human, "pets", [{"name": "Gizmo"}], source_id=owner).graph
-    assert len(g.nodes(Dog)) == 2  # not the same gizmo, but Bob's is found again
-    found = g.nodes(Human).traverse("pets").values("name", "pets__name").collect()
+    g = boats(spark)
+    for skipper in ("b", "t", "b"):
+        g = W.merge_under(g, Skipper, "boats", [{"name": "Gizmo"}], source_id=skipper).graph
+    assert len(g.nodes(Boat)) == 2  # not the same gizmo, but Bob's is found again
+    found = g.nodes(Skipper).traverse("boats").values("name", "boats__name").collect()
     assert sorted(map(tuple, found)) == [("Bob", "Gizmo"), ("Tim", "Gizmo")]
 
 
 def test_merge_under_with_edge_properties(spark):
-    g = pets(spark)
+    g = boats(spark)
     first = {"since": datetime(2019, 3, 10), "notes": "First adoption"}
     for props in (first, first, {**first, "notes": "Updated note"}):
         g = W.merge_under(
-            g, Human, "pets", [{"name": "Spot"}], source_id="b", rel_props=props, update=True
+            g, Skipper, "boats", [{"name": "Spot"}], source_id="b", rel_props=props, update=True
         ).graph
-    found = g.nodes(Human).traverse("pets").values("pets__id", "pets|notes").collect()
+    found = g.nodes(Skipper).traverse("boats").values("boats__id", "boats|notes").collect()
     assert len({r[0] for r in found}) == 2
     assert {r[1] for r in found} == {"First adoption", "Updated note"}
 
 
-def badgers(spark):
+def harbours(spark):
     g = PropertyGraph(spark)
     nodes = [(i, n) for i, n in enumerate("abcd")]
-    g = g.with_nodes(Badger, spark.createDataFrame(nodes, "node_id long, name string"))
+    g = g.with_nodes(Harbour, spark.createDataFrame(nodes, "node_id long, name string"))
     ends = "edge_id string, src_id long, dst_id long"
-    for kind, more in (("FRIEND", ""), ("HATES", ", since long, reason string"), ("DEN", "")):
+    for kind, more in (("TWIN OF", ""), ("RIVAL OF", ", since long, reason string"), ("PILOTED BY", "")):
         g = g.with_edges(
-            kind, spark.createDataFrame([], ends + more), src=Badger, dst=Badger,
-            model=Hates if more else None,
+            kind, spark.createDataFrame([], ends + more), src=Harbour, dst=Harbour,
+            model=Rivalry if more else None,
         )
     return g
 
@@ -200,92 +200,92 @@ def edge_set(g, kind, *columns):
 
 
 def test_connect_in_either_direction_twice(spark):
-    g = E.connect(badgers(spark), Badger, "friend", pair_frame(spark, [(0, 1)]))
-    g = E.connect(g, Badger, "friend", pair_frame(spark, [(1, 0), (0, 1)]))
-    assert edge_set(g, "FRIEND", "src_id", "dst_id") == [(0, 1)]
-    assert len(g.nodes(Badger).traverse("friend")) == 2
+    g = E.connect(harbours(spark), Harbour, "twins", pair_frame(spark, [(0, 1)]))
+    g = E.connect(g, Harbour, "twins", pair_frame(spark, [(1, 0), (0, 1)]))
+    assert edge_set(g, "TWIN OF", "src_id", "dst_id") == [(0, 1)]
+    assert len(g.nodes(Harbour).traverse("twins")) == 2
 
 
 def test_parallel_edges_by_property(spark):
     more = ", since long, reason string"
-    g = E.connect(badgers(spark), Badger, "hates", pair_frame(spark, [(0, 1, 1, "a")], more))
+    g = E.connect(harbours(spark), Harbour, "rivals", pair_frame(spark, [(0, 1, 1, "a")], more))
     g = E.connect(
-        g, Badger, "hates", pair_frame(spark, [(0, 1, 1, "a"), (0, 1, 1, "b")], more)
+        g, Harbour, "rivals", pair_frame(spark, [(0, 1, 1, "a"), (0, 1, 1, "b")], more)
     )
-    assert edge_set(g, "HATES", "since", "reason") == [(1, "a"), (1, "b")]
+    assert edge_set(g, "RIVAL OF", "since", "reason") == [(1, "a"), (1, "b")]
     # a null property is not compared: both edges match and lose it
-    g = E.connect(g, Badger, "hates", pair_frame(spark, [(0, 1, 1, None)], more))
-    assert edge_set(g, "HATES", "since", "reason") == [(1, None), (1, None)]
+    g = E.connect(g, Harbour, "rivals", pair_frame(spark, [(0, 1, 1, None)], more))
+    assert edge_set(g, "RIVAL OF", "since", "reason") == [(1, None), (1, None)]
 
 
 def test_disconnect_replace_reconnect(spark):
-    g = E.connect(badgers(spark), Badger, "friend", pair_frame(spark, [(0, 1), (0, 2), (3, 1)]))
-    gone = E.disconnect(g, Badger, "friend", pair_frame(spark, [(1, 0)]))
-    assert edge_set(gone, "FRIEND", "src_id", "dst_id") == [(0, 2), (3, 1)]
+    g = E.connect(harbours(spark), Harbour, "twins", pair_frame(spark, [(0, 1), (0, 2), (3, 1)]))
+    gone = E.disconnect(g, Harbour, "twins", pair_frame(spark, [(1, 0)]))
+    assert edge_set(gone, "TWIN OF", "src_id", "dst_id") == [(0, 2), (3, 1)]
     ids = spark.createDataFrame([(1,)], "node_id long")
-    gone = E.disconnect_all(g, Badger, "friend", ids)
-    assert edge_set(gone, "FRIEND", "src_id", "dst_id") == [(0, 2)]
-    new = E.replace_edges(g, Badger, "friend", pair_frame(spark, [(0, 3)]))
-    assert edge_set(new, "FRIEND", "src_id", "dst_id") == [(0, 3), (3, 1)]
+    gone = E.disconnect_all(g, Harbour, "twins", ids)
+    assert edge_set(gone, "TWIN OF", "src_id", "dst_id") == [(0, 2)]
+    new = E.replace_edges(g, Harbour, "twins", pair_frame(spark, [(0, 3)]))
+    assert edge_set(new, "TWIN OF", "src_id", "dst_id") == [(0, 3), (3, 1)]
     more = ", since long, reason string"
-    h = E.connect(g, Badger, "hates", pair_frame(spark, [(0, 1, 5, "x"), (0, 2, 6, "y")], more))
+    h = E.connect(g, Harbour, "rivals", pair_frame(spark, [(0, 1, 5, "x"), (0, 2, 6, "y")], more))
     moves = spark.createDataFrame([(0, 1, 3), (0, 2, 2)], "near_id long, old_id long, new_id long")
-    moved = E.reconnect_checked(h, Badger, "hates", moves)
-    assert edge_set(moved, "HATES", "dst_id", "since", "reason") == [(2, 6, "y"), (3, 5, "x")]
+    moved = E.reconnect_checked(h, Harbour, "rivals", moves)
+    assert edge_set(moved, "RIVAL OF", "dst_id", "since", "reason") == [(2, 6, "y"), (3, 5, "x")]
     onto = spark.createDataFrame([(0, 1, 2)], "near_id long, old_id long, new_id long")
-    merged = E.reconnect(h, Badger, "hates", onto)
-    assert edge_set(merged, "HATES", "dst_id", "since", "reason") == [(2, 5, "x")]
+    merged = E.reconnect(h, Harbour, "rivals", onto)
+    assert edge_set(merged, "RIVAL OF", "dst_id", "since", "reason") == [(2, 5, "x")]
     wrong = spark.createDataFrame([(3, 1, 2)], "near_id long, old_id long, new_id long")
     with pytest.raises(NotConnected):
-        E.reconnect_checked(h, Badger, "hates", wrong)
+        E.reconnect_checked(h, Harbour, "rivals", wrong)
 
 
 def test_delete_and_clear(spark):
-    g = E.connect(badgers(spark), Badger, "friend", pair_frame(spark, [(0, 1), (0, 2), (3, 1)]))
-    g = W.delete(g, Badger, spark.createDataFrame([(1,)], "node_id long"))
-    assert len(g.nodes(Badger)) == 3
-    assert edge_set(g, "FRIEND", "src_id", "dst_id") == [(0, 2)]
+    g = E.connect(harbours(spark), Harbour, "twins", pair_frame(spark, [(0, 1), (0, 2), (3, 1)]))
+    g = W.delete(g, Harbour, spark.createDataFrame([(1,)], "node_id long"))
+    assert len(g.nodes(Harbour)) == 3
+    assert edge_set(g, "TWIN OF", "src_id", "dst_id") == [(0, 2)]
     none = W.clear(g)
-    assert len(none.nodes(Badger)) == 0 and none.edge_frame("FRIEND").count() == 0
+    assert len(none.nodes(Harbour)) == 0 and none.edge_frame("TWIN OF").count() == 0
 
 
 def test_cardinality_rules(spark):
-    g = E.connect(badgers(spark), Badger, "den", pair_frame(spark, [(0, 1), (2, 1)]))
-    assert C.cardinality(g, Badger, "den").count() == 0
-    assert C.connect_gate(g, Badger, "den", pair_frame(spark, [(0, 2), (1, 2)])).count() == 1
-    twice = E.connect(g, Badger, "den", pair_frame(spark, [(0, 2)]))
+    g = E.connect(harbours(spark), Harbour, "pilot", pair_frame(spark, [(0, 1), (2, 1)]))
+    assert C.cardinality(g, Harbour, "pilot").count() == 0
+    assert C.connect_gate(g, Harbour, "pilot", pair_frame(spark, [(0, 2), (1, 2)])).count() == 1
+    twice = E.connect(g, Harbour, "pilot", pair_frame(spark, [(0, 2)]))
     with pytest.raises(CardinalityViolation):
-        C.enforce(C.cardinality(twice, Badger, "den"))
-    assert C.enforce(C.cardinality(twice, Badger, "den"), "report").count() == 1
-    assert C.cardinality(g, Badger, "den", OneOrMore).count() == 2
-    assert C.cardinality(twice, Badger, "den", One).count() == 3
-    last = C.disconnect_gate(g, Badger, "den", pair_frame(spark, [(0, 1)]), OneOrMore)
+        C.enforce(C.cardinality(twice, Harbour, "pilot"))
+    assert C.enforce(C.cardinality(twice, Harbour, "pilot"), "report").count() == 1
+    assert C.cardinality(g, Harbour, "pilot", OneOrMore).count() == 2
+    assert C.cardinality(twice, Harbour, "pilot", One).count() == 3
+    last = C.disconnect_gate(g, Harbour, "pilot", pair_frame(spark, [(0, 1)]), OneOrMore)
     assert [r.item for r in last.collect()] == ["0"]
-    two = C.disconnect_gate(twice, Badger, "den", pair_frame(spark, [(0, 1)]), OneOrMore)
+    two = C.disconnect_gate(twice, Harbour, "pilot", pair_frame(spark, [(0, 1)]), OneOrMore)
     assert two.count() == 0
 
 
 def test_endpoints_and_unique(spark):
-    g = badgers(spark)
+    g = harbours(spark)
     lost = spark.createDataFrame(
         [("x", 0, 9)], "edge_id string, src_id long, dst_id long"
     )
-    g = g.with_edges("DEN", lost, src=Badger, dst=Badger)
-    assert [r.item for r in C.endpoints(g, "DEN").collect()] == ["9"]
+    g = g.with_edges("PILOTED BY", lost, src=Harbour, dst=Harbour)
+    assert [r.item for r in C.endpoints(g, "PILOTED BY").collect()] == ["9"]
     g = g.with_nodes(
-        Badger, spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, None)], "node_id long, name string")
+        Harbour, spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, None)], "node_id long, name string")
     )
-    assert [(r.item, r.n) for r in C.unique(g, Badger).collect()] == [("a", 2)]
+    assert [(r.item, r.n) for r in C.unique(g, Harbour).collect()] == [("a", 2)]
 
 
 def test_checked_connect_and_disconnect(spark):
-    g = E.connect_checked(badgers(spark), Badger, "den", pair_frame(spark, [(0, 1)]))
+    g = E.connect_checked(harbours(spark), Harbour, "pilot", pair_frame(spark, [(0, 1)]))
     for wrong, rule in (((0, 2), "ZeroOrOne"), ((2, 1), "ZeroOrOne"), ((2, 9), "endpoint")):
         pairs = pair_frame(spark, [wrong])
-        assert [r.rule for r in C.connect_gates(g, Badger, "den", pairs).collect()] == [rule]
+        assert [r.rule for r in C.connect_gates(g, Harbour, "pilot", pairs).collect()] == [rule]
         with pytest.raises((CardinalityViolation, ConstraintViolation)):
-            E.connect_checked(g, Badger, "den", pairs)
-    soft = E.connect_checked(g, Badger, "den", pair_frame(spark, [(0, 2)]), mode="report")
-    assert edge_set(soft, "DEN", "src_id", "dst_id") == [(0, 1), (0, 2)]
-    gone = E.disconnect_checked(g, Badger, "den", pair_frame(spark, [(0, 1)]))
-    assert edge_set(gone, "DEN", "src_id", "dst_id") == []
+            E.connect_checked(g, Harbour, "pilot", pairs)
+    soft = E.connect_checked(g, Harbour, "pilot", pair_frame(spark, [(0, 2)]), mode="report")
+    assert edge_set(soft, "PILOTED BY", "src_id", "dst_id") == [(0, 1), (0, 2)]
+    gone = E.disconnect_checked(g, Harbour, "pilot", pair_frame(spark, [(0, 1)]))
+    assert edge_set(gone, "PILOTED BY", "src_id", "dst_id") == []

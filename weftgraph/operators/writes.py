@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from ..errors import ConstraintViolation, RequiredProperty, UniqueProperty
 from ..model import Direction, NodeModel
 from ..sources.graph import PropertyGraph, as_table, col, default_array
+from ..sources.session import checkpointed
 
 POSITION = "~position"
 
@@ -28,7 +29,7 @@ class Upsert:
     def require_clean(self) -> PropertyGraph:
         bad = self.rejected.first()
         if bad is not None:
-            raise ConstraintViolation(f"row without a merge key: {bad}")
+            raise ConstraintViolation(f"row without a merge key or a required property: {bad}")
         return self.graph
 
 
@@ -62,7 +63,17 @@ def _positioned(batch: DataFrame, position: str | None) -> DataFrame:
         return batch.withColumnRenamed(position, POSITION)
     if POSITION in batch.columns:
         return batch
-    return batch.withColumn(POSITION, F.monotonically_increasing_id())
+    # numbered once and kept: a repeated task would number its rows anew
+    return checkpointed(batch.withColumn(POSITION, F.monotonically_increasing_id()))
+
+
+def _unusable(model: type[NodeModel], batch: DataFrame, keys: Sequence[str]) -> Column:
+    """Rows without a key, or without a required property that has no default."""
+    bad = reduce(lambda a, b: a | b, [col(k).isNull() for k in keys])
+    for name, prop in model.properties().items():
+        if prop.required and not prop.has_default and name not in keys:
+            bad = bad | (col(name).isNull() if name in batch.columns else F.lit(True))
+    return bad
 
 
 def _default_id(graph: PropertyGraph, model: type[NodeModel], keys: Sequence[str]) -> Column:
@@ -214,9 +225,9 @@ def _merge(
     if not keys:
         raise ValueError(f"{model.__name__} has no merge key")
     labels = [merge_by["label"]] if merge_by and merge_by.get("label") else None
-    no_key = reduce(lambda a, b: a | b, [col(k).isNull() for k in keys])
-    rejected = batch.where(no_key).drop(POSITION)
-    wanted = _reduced(batch.where(~no_key), keys, update)
+    unusable = _unusable(model, batch, keys)
+    rejected = batch.where(unusable).drop(POSITION)
+    wanted = _reduced(batch.where(~unusable), keys, update)
     old = graph.tables[model.label_name()][1]
     stored_key = {k: model.property(k).stored_name for k in keys}
     given = wanted.select(*[col(k).alias(f"~{k}") for k in keys])
@@ -298,9 +309,9 @@ def merge_under(
         batch = batch.withColumns(given) if given else batch
         rel_props = list(rel_props)
     ident = ["source_id", *keys, *rel_props]
-    no_key = reduce(lambda a, b: a | b, [col(k).isNull() for k in ["source_id", *keys]])
-    rejected = batch.where(no_key).drop(POSITION)
-    wanted = _reduced(batch.where(~no_key), ident, update)
+    unusable = _unusable(target, batch, ["source_id", *keys])
+    rejected = batch.where(unusable).drop(POSITION)
+    wanted = _reduced(batch.where(~unusable), ident, update)
     edges = graph.oriented_edges(source, rel)
     sources = wanted.select(col("source_id").alias("near_id")).distinct()
     near = edges.join(sources, "near_id", "left_semi")

@@ -31,7 +31,7 @@ def members(spark, folder):
 
 
 def member_batch(spark, folder):
-    """Suppliers as new members, rich customers again (twice), and rows without a key."""
+    """Suppliers as new members, rich customers again (twice), and the suppliers again."""
     new = table(spark, folder, "supplier").selectExpr(
         "s_name as name", "s_acctbal as balance", "cast(null as string) as segment",
         "s_suppkey as pos",
@@ -90,12 +90,21 @@ OLD = """SELECT c_custkey AS id, c_name AS name, {balance} AS balance, {segment}
 @query(
     "W2_get_or_create",
     OLD.format(balance="c_acctbal", segment="c_mktsegment")
-    + NEW_MEMBERS.format(balance="s_acctbal", segment="NULL"),
+    + NEW_MEMBERS.format(balance="s_acctbal", segment="NULL")
+    + """ UNION ALL SELECT NULL, NULL, s_acctbal, 'NAMELESS', NULL FROM supplier""",
 )
 def get_or_create(spark, folder):
-    batch = member_batch(spark, folder)
+    """The members afterwards, and the rows that were handed back for lack of a key."""
+    nameless = table(spark, folder, "supplier").selectExpr(
+        "cast(null as string) as name", "s_acctbal as balance", "'NAMELESS' as segment",
+        "4000000000 + s_suppkey as pos",
+    )
+    batch = member_batch(spark, folder).unionByName(nameless)
     done = W.get_or_create(members(spark, folder), Member, batch, position="pos", new_id=NEW_ID)
-    return member_rows(done.graph)
+    back = done.rejected.selectExpr(
+        "cast(null as bigint) as id", "name", "balance", "segment", "cast(null as bigint) as rating"
+    )
+    return member_rows(done.graph).unionByName(back)
 
 
 @query(
