@@ -108,13 +108,16 @@ def connect(
     )
     kept = edges
     if props:
+        # what is set to null depends on the ends and the properties alone: found for each kind
         some_null = reduce(lambda a, b: a | b, [col(f"~{p}").isNull() for p in props])
         cleared = (
-            touched.join(right.where(some_null), on)
-            .groupBy(col("edge_id").alias("~cleared"))
+            kinds.join(right.where(some_null), on)
+            .groupBy(col("~edge_key").alias("~of"), *[col(p).alias(f"~had~{p}") for p in props])
             .agg(*[F.bool_or(col(f"~{p}").isNull()).alias(f"~null~{p}") for p in props])
         )
-        kept = edges.join(cleared, col("edge_id") == col("~cleared"), "left").select(
+        is_kind = [col("~edge_key") == col("~of")]
+        is_kind += [col(p).eqNullSafe(col(f"~had~{p}")) for p in props]
+        kept = left.join(cleared, reduce(lambda a, b: a & b, is_kind), "left").select(
             *[
                 F.when(~F.coalesce(col(f"~null~{c}"), F.lit(False)), col(c)).alias(c)
                 if c in props
