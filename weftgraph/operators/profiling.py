@@ -162,13 +162,14 @@ def report(graph: PropertyGraph) -> DataFrame:
             )
     for edge in graph.edges.values():
         ends = outgoing_of(graph, edge)
-        rule = inferred_cardinality(graph, edge).select("rel_type", "cardinality")
+        # one value for each type: a scalar, not a join on a constant
+        rule = inferred_cardinality(graph, edge).select("cardinality").scalar()
         parts.append(
-            ends.join(rule, "rel_type").select(
+            ends.select(
                 "label",
                 col("rel_type").alias("name"),
                 F.concat(F.lit("to "), col("target")).alias("kind"),
-                col("cardinality").alias("detail"),
+                rule.alias("detail"),
             )
         )
     return reduce(DataFrame.unionByName, parts)
