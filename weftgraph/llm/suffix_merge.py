@@ -464,7 +464,10 @@ def hot_spans(rows: DataFrame, length: int) -> DataFrame:
     names += ", firsts array<long>, offset long, one long, two long, times long"
     found = stored(rows.mapInArrow(counted_task(length), names))
     strings, context = found.where("one IS NOT NULL"), ["context_id", "context_hash", "context_first"]
-    twice = strings.groupBy("one", "two").agg(F.sum("times").alias("n")).where("n > 1").drop("n")
+    # a table of its own, as above: the join with it splits a string that very many contexts have
+    twice = stored(
+        strings.groupBy("one", "two").agg(F.sum("times").alias("n")).where("n > 1").drop("n")
+    )
     reach = (
         strings.select(*context, "offset", "one", "two")
         .join(twice, ["one", "two"])
