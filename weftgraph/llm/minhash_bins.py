@@ -13,14 +13,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftgraph.llm.common import KEY, cut_points, keyed, piece_of, stored
+from weftgraph.llm.common import KEY, cut_points, keyed, piece_of, stored, tasks_for
 
 WORDS = 5
 BINS_LOG = 7
 BINS = 1 << BINS_LOG
 BITS = 8
-#: Rows of a piece in which ids are put in order, and the most pieces.
-ORDERED = 1_000_000
+#: Rows of a piece in which ids are put in order, and the most pieces (each cut is compared).
+ORDERED = 100_000
 PIECES = 1_000
 
 
@@ -115,8 +115,8 @@ def following(ids: DataFrame) -> DataFrame:
     Ids are cut into pieces of the order. The greatest id of a piece also closes the piece above,
     and that of the top piece the lowest, so that every id sees the next one in its own piece.
     """
-    count = ids.count()
-    cuts = cut_points(ids, "doc_id", min(PIECES, max(4, count // ORDERED)))
+    pieces = min(PIECES, tasks_for(ids.sparkSession, ids.count(), ORDERED))
+    cuts = cut_points(ids, "doc_id", pieces)
     top = ids.orderBy(F.desc_nulls_last("doc_id"), *KEY).select("doc_id", *KEY).head()
     if top is None:
         return ids.select(*KEY, *[F.col(k).alias(f"next_{k}") for k in KEY])
