@@ -6,7 +6,6 @@ from collections import Counter
 
 import pytest
 from llm_frames import clashing, documents, odd_texts, words
-from pyspark.sql import functions as F
 
 from weftgraph.llm import (
     benchmark_windows,
@@ -109,9 +108,7 @@ def test_toxic_words_are_learned_and_seen_through_disguise(spark):
         texts.append(" ".join(own))
         toxic.append(int(i % 4 == 0))
     marks = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
-    lexicon = toxic_lexicon.fitted(
-        documents(spark, texts).join(marks, "doc_id"), exceptions=("vormak tower",)
-    )
+    lexicon = toxic_lexicon.fitted(documents(spark, texts), marks, exceptions=("vormak tower",))
     assert {"vormak", "iopsii"} <= set(lexicon.weights)
     tries = ["a VORMAK b", "a v0rmаk b", "a lоp5il b", "a vormaker b", "a vormak tower b", "clean", None, ""]
     rows = {r.doc_id: r for r in toxic_lexicon.scored(clashing(documents(spark, tries)), lexicon).collect()}
@@ -119,7 +116,7 @@ def test_toxic_words_are_learned_and_seen_through_disguise(spark):
     assert rows[4].n_exceptions == 1
     assert rows[6].score == rows[7].score
     assert all(0 <= r.score <= 1 for r in rows.values())
-    empty = toxic_lexicon.fitted(documents(spark, []).withColumn("toxic", F.lit(1)))
+    empty = toxic_lexicon.fitted(documents(spark, []), marks)
     assert toxic_lexicon.scored(documents(spark, odd_texts()), empty).count() == len(odd_texts())
 
 

@@ -120,11 +120,7 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     out = language_id.held_out(5, 0)
-    lexicon = toxic_lexicon.fitted(
-        docs.where(F.col("doc_id").isNotNull() & ~out)
-        .select("doc_id", "text")
-        .join(labels.select("doc_id", "toxic"), "doc_id")
-    )
+    lexicon = toxic_lexicon.fitted(docs, labels.where(~out))
     return toxic_lexicon.scored(docs, lexicon, out)
 
 

@@ -148,21 +148,28 @@ def normalised(total: float, n_words: int) -> float:
     return total / math.log2(4 + n_words)
 
 
-def fitted(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
-    """Learns from text and toxic (0 or 1) of at most about SAMPLE rows of each label.
-
-    Equal texts count once. Without rows of both labels the lexicon is empty.
+def fitted(
+    docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS
+) -> Lexicon:
+    """Learns from the texts of at most about SAMPLE labelled rows (doc_id, toxic 0 or 1) of each
+    label.
+
+    The sample is drawn from the labels, and its bound lets it be broadcast: texts are not
+    shuffled. Equal texts count once. Without texts of both labels the lexicon is empty.
     """
-    rows = labelled.where("toxic IN (0, 1) AND text IS NOT NULL").select(
-        F.col("toxic").cast("int").alias("toxic"), F.col("text").cast("string").alias("text")
+    marks = (
+        labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL")
+        .select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+        .distinct()
     )
-    counts = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    counts = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
     if len(counts) < 2:
         return Lexicon({}, exceptions, 1.0, -2.0)
-    draw = F.pmod(F.xxhash64(F.lit("sample"), "text"), F.lit(1 << 40)) / F.lit(1 << 40)
+    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 40)) / F.lit(1 << 40)
     share = F.when(F.col("toxic") == 1, min(1.0, SAMPLE / counts[1])).otherwise(
         min(1.0, SAMPLE / counts[0])
     )
+    sample = F.broadcast(marks.where(draw < share))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = folding()
@@ -180,13 +187,17 @@ def fitted(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lex
             )
 
     taken = (
-        rows.where(draw < share)
+        docs.where(F.col("text").isNotNull())
+        .select("doc_id", F.col("text").cast("string").alias("text"))
+        .join(sample, "doc_id")
         .select("toxic", "text", F.xxhash64("text").alias("text_hash"))
         .mapInArrow(run, "toxic int, text_hash long, size long, words array<string>")
         .dropDuplicates(["text_hash", "toxic"])
     )
     taken = stored(taken)
     n = {r["toxic"]: r["count"] for r in taken.groupBy("toxic").count().collect()}
+    if len(n) < 2:
+        return Lexicon({}, exceptions, 1.0, -2.0)
     by_word = taken.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(
         F.sum("toxic").alias("bad"), F.count("*").alias("n")
     )
