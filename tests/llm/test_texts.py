@@ -191,7 +191,7 @@ def test_leaks_are_those_of_brute_force(spark):
     rng = random.Random(6)
     items = [" ".join(words(rng, rng.randrange(12, 45), 400)) for _ in range(15)] + ["two words", None, ""]
     texts = odd_texts()[:10] + ["Two, words!"]
-    for i in range(80):
+    for i in range(200):
         own = words(rng, rng.randrange(10, 120), 400)
         passage = rng.choice(items[:15]).upper().split()
         for _ in range(i % 4):
