@@ -20,6 +20,9 @@ from weftgraph.llm import (
 )
 from weftgraph.llm.common import keyed, stored
 
+#: Words of the least passage that is cut where it repeats.
+PASSAGE = 51
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter and those whose language is not sure enough."""
@@ -34,8 +37,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts every byte of a 400-byte string that occurs twice; all documents stay."""
-    found = suffix_merge.without_repeats(docs).withColumn("n_chars", F.length("kept").cast("long"))
+    """Cuts every passage of over 50 words, and every byte of a 400-byte string, that occurs twice;
+    all documents stay."""
+    found = suffix_merge.without_repeats(docs, words=PASSAGE).withColumn("n_chars", F.length("kept").cast("long"))
     own = {"doc_id": F.col("doc_id"), "text": F.col("kept"), "n_chars": F.col("n_chars")}
     return found.select(*[own.get(c, F.col(f"rest.`{c}`")).alias(c) for c in docs.columns])
 

@@ -10,6 +10,7 @@ import xxhash
 from llm_frames import clashing, documents, odd_texts, words
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from weftgraph.llm import minhash_bins, simhash_trie, suffix_merge
 
 LENGTH = 200
@@ -81,6 +82,25 @@ def test_repeated_rows_are_copies_and_other_columns_stay(spark):
     assert suffix_merge.without_repeats(docs.limit(0), LENGTH).count() == 0
 
 
+def test_pipeline_cuts_repeated_passages_of_51_short_words(spark):
+    rng = random.Random(11)
+    texts, shared = [], []
+    for n in (50, 51, 55, 60):
+        passage = words(rng, n, 900)
+        assert len(" ".join(passage)) < 400
+        shared.append(passage)
+        own = [" ".join(words(rng, 70, 10**9)) for _ in range(2)]
+        texts += [f"{own[0]} {' '.join(passage)}", "\n".join(passage) + f"\n{own[1]}"]
+    docs = documents(spark, texts + [None, "", "a b"])
+    found = {r.doc_id: r for r in corpus_pipeline.repeats(spark, docs, "").collect()}
+    assert len(found) == len(texts) + 3
+    for i, text in enumerate(texts):
+        own, passage = text.split(), shared[i // 2]
+        left = own if len(passage) == 50 else own[:-len(passage)] if i % 2 == 0 else own[len(passage):]
+        assert found[i].text.split() == left
+        assert found[i].n_chars == len(found[i].text)
+
+
 def test_merge_gives_sorted_strings_with_their_common_prefixes():
     rng = random.Random(4)
     strings = [bytes(rng.choices(b"ab", k=rng.randrange(1, 12))) for _ in range(400)]

@@ -11,15 +11,19 @@ suffixes with the same anchor meet. Loser trees merge the runs: a contender carr
 prefix it has with the last output; unequal ones decide a match without reading a byte, and equal
 ones are compared from there on. The merged order and its common prefixes tell which strings of
 `length` bytes around an anchor occur twice.
+
+Strings of a number of words are found by the same sort: a text is then the row of its words'
+64-bit hashes, and spans are taken back to the bytes of the words that lie whole in them.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +44,28 @@ COMPARED = 50_000
 
 FACTOR = 0x9E3779B97F4A7C15
 SECOND = 0xC2B2AE3D27D4EB4F
+#: Bytes of a word's hash. With words as units, GRAM is so many times fewer words.
+CODE = 8
+#: What bytes.split() takes for blank.
+BLANK = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+
+
+def bytes_of(text: str) -> bytes:
+    return text.encode("utf-8", "surrogatepass")
+
+
+def codes_of(text: str) -> bytes:
+    """The hashes of a text's words in a row."""
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(w) for w in bytes_of(text).split()], np.uint64).tobytes()
+
+
+def bytes_of_words(data: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans of the words' hashes as spans of the text's bytes, from whole words only."""
+    solid = np.concatenate([[False], ~BLANK[np.frombuffer(data, np.uint8)], [False]])
+    edges = np.flatnonzero(solid[1:] != solid[:-1])
+    words = [(-(-lo // CODE), hi // CODE) for lo, hi in spans]
+    return [(int(edges[2 * a]), int(edges[2 * b - 1])) for a, b in words if a < b]
 
 
 class Rolling:
@@ -129,13 +155,13 @@ def anchors_of(texts: list[bytes], length: int, rolling: Rolling) -> Iterator[tu
         )
 
 
-def anchors(rows: DataFrame, length: int) -> DataFrame:
+def anchors(rows: DataFrame, length: int, unit: Callable[[str], bytes] = bytes_of) -> DataFrame:
     """gram, key, place, first, last of every anchor of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = Rolling(FACTOR)
         for batch in sliced(batches):
-            texts = [x.as_py().encode("utf-8", "surrogatepass") for x in batch.column("text")]
+            texts = [unit(x.as_py()) for x in batch.column("text")]
             ids, hashes = (np.asarray(batch.column(k)) for k in KEY)
             for number, gram, place, first, last in anchors_of(texts, length, rolling):
                 yield pa.RecordBatch.from_arrays(
@@ -364,7 +390,7 @@ def merge_task(length: int):
     return run
 
 
-def run_task(parts: int):
+def run_task(parts: int, unit: Callable[[str], bytes]):
     """Sorted front-coded runs of the anchors' contexts of each task's texts, cut by anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -379,7 +405,7 @@ def run_task(parts: int):
 
         for batch in sliced(batches):
             for text, *key, found in zip(*(batch.column(i) for i in range(4)), strict=True):
-                data = text.as_py().encode("utf-8", "surrogatepass")
+                data = unit(text.as_py())
                 key = (key[0].as_py(), key[1].as_py())
                 for x in found.as_py():
                     string = data[x["place"] : x["end"]]
@@ -402,7 +428,7 @@ def run_task(parts: int):
     return run
 
 
-def counted_task(length: int):
+def counted_task(length: int, unit: Callable[[str], bytes]):
     """For anchors with very many places: contexts (string null) and hashes of their strings.
 
     Equal contexts of a task's texts are one: `member` rows name its places, and rows with hashes
@@ -441,7 +467,7 @@ def counted_task(length: int):
         size = 0
         for batch in sliced(batches):
             for text, *key, found in zip(*(batch.column(i) for i in range(4)), strict=True):
-                data = text.as_py().encode("utf-8", "surrogatepass")
+                data = unit(text.as_py())
                 key = (key[0].as_py(), key[1].as_py())
                 for x in found.as_py():
                     string = data[x["first"] : x["end"]]
@@ -455,14 +481,14 @@ def counted_task(length: int):
     return run
 
 
-def hot_spans(rows: DataFrame, length: int) -> DataFrame:
+def hot_spans(rows: DataFrame, length: int, unit: Callable[[str], bytes]) -> DataFrame:
     """key and spans around anchors with very many places, from counts of their strings' hashes.
 
     No task gets all places of an anchor: equal strings are summed before the shuffle, unequal
     ones are spread by their hash (128 bits)."""
     names = "context_id long, context_hash long, context_first long, key_id long, key_hash long"
     names += ", firsts array<long>, offset long, one long, two long, times long"
-    found = stored(rows.mapInArrow(counted_task(length), names))
+    found = stored(rows.mapInArrow(counted_task(length, unit), names))
     strings, context = found.where("one IS NOT NULL"), ["context_id", "context_hash", "context_first"]
     # a table of its own, as above: the join with it splits a string that very many contexts have
     twice = stored(
@@ -486,16 +512,18 @@ def hot_spans(rows: DataFrame, length: int) -> DataFrame:
     )
 
 
-def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_spans(
+    rows: DataFrame, length: int = LENGTH, unit: Callable[[str], bytes] = bytes_of
+) -> DataFrame:
     """key and `spans` (lo, hi in bytes, may overlap): every byte of a string that occurs twice.
 
-    rows: from `keyed`. Rows that repeat count as other documents; texts shorter than `length`
+    rows: from `keyed`; unit: what of a text the strings are made of. Rows that repeat count as other documents; texts shorter than `length`
     have no spans.
     """
     if length <= GRAM:
         raise ValueError(f"strings must be longer than {GRAM} bytes")
     spark = rows.sparkSession
-    found = stored(anchors(rows, length))
+    found = stored(anchors(rows, length, unit))
     # a table of its own: the join with it then splits an anchor that has very many rows
     counts = stored(found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"))
     kept = stored(
@@ -517,7 +545,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
         )
         return rows.select("text", *KEY).join(lists, KEY).select("text", *KEY, "found")
 
-    runs = with_text("NOT hot").mapInArrow(run_task(parts), "part int, run binary")
+    runs = with_text("NOT hot").mapInArrow(run_task(parts, unit), "part int, run binary")
     spans = runs.groupBy("part").applyInArrow(
         merge_task(length), "key_id long, key_hash long, lo long, hi long"
     )
@@ -525,7 +553,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     if not hot:
         return spans
     return (
-        spans.union(hot_spans(with_text("hot"), length))
+        spans.union(hot_spans(with_text("hot"), length, unit))
         .groupBy(*KEY)
         .agg(F.flatten(F.collect_set("spans")).alias("spans"))
     )
@@ -542,23 +570,35 @@ def union_of(spans: list[dict] | None) -> list[tuple[int, int]]:
     return out
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, texts: bool = True) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, length: int = LENGTH, texts: bool = True, words: int | None = None
+) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the text, or null if not asked for)
     and rest (the other columns, of all rows that texts are asked for), one row for each of docs.
 
-    A null text counts as empty; repeated rows are copies of each other; a span that cuts a
+    With `words`, strings of so many words that occur twice are cut too, whatever their bytes and
+    the blanks between them. A null text counts as empty; repeated rows are copies of each other; a span that cuts a
     character leaves bytes that `kept` drops and `kept_sha256` has.
     """
     rows = keyed(docs if texts else docs.select("doc_id", "text"))
     spans = repeated_spans(rows, length)
+    if words:
+        coded = repeated_spans(rows, words * CODE, codes_of).withColumnRenamed("spans", "coded")
+        spans = spans.join(coded, KEY, "full")
+    else:
+        spans = spans.withColumn("coded", F.lit(None).cast("array<struct<lo:bigint,hi:bigint>>"))
     rest = rows.schema["rest"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             made = []
-            for text, found in zip(batch.column("text"), batch.column("spans"), strict=True):
-                data = text.as_py().encode("utf-8", "surrogatepass")
-                cut = union_of(found.as_py())
+            columns = [batch.column(c) for c in ("text", "spans", "coded")]
+            for text, found, coded in zip(*columns, strict=True):
+                data, spans = bytes_of(text.as_py()), found.as_py() or []
+                if coded.is_valid:
+                    of_words = bytes_of_words(data, union_of(coded.as_py()))
+                    spans = spans + [{"lo": lo, "hi": hi} for lo, hi in of_words]
+                cut = union_of(spans)
                 edges = [0, *(x for span in cut for x in span), len(data)]
                 kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
                 made.append(
@@ -581,7 +621,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, texts: bool = True) -
     return (
         rows.withColumn("doc_id", F.col("doc_id").cast("long"))
         .join(spans, KEY, "left")
-        .select("doc_id", "rest", "text", "spans")
+        .select("doc_id", "rest", "text", "spans", "coded")
         .mapInArrow(
             run,
             f"doc_id long, rest {rest}, n_bytes long, n_removed long, n_spans long,"
