@@ -221,6 +221,53 @@ def jaccard(a, b):
     return len(x & y) / len(x | y) if x | y else 1.0
 
 
+def pairs_of(rng, same, other, count):
+    """Pairs of texts with `same` shingles of five words in common and `other` not, of each."""
+    out = []
+    for _ in range(count):
+        base = words(rng, same + 4, 10**9)
+        out += [" ".join(base + words(rng, other, 10**9)) for _ in range(2)]
+    return out
+
+
+def test_isolated_pairs_are_near_duplicates_by_exact_similarity(spark):
+    rng = random.Random(12)
+    near = pairs_of(rng, 272, 34, 60)  # 272 of 340: 0.8
+    unlike = pairs_of(rng, 266, 34, 30) + pairs_of(rng, 238, 34, 60)  # 0.797, 0.778
+    for texts, value in ((near, 0.8), (unlike, 0.798)):
+        for x, y in zip(texts[::2], texts[1::2], strict=True):
+            assert (jaccard(x, y) >= 0.8) == (value == 0.8)
+    docs = documents(spark, near + unlike)
+    kept = {r.doc_id for r in simhash_trie.without_near_duplicates(docs).collect()}
+    assert set(range(len(near), len(near) + len(unlike))) <= kept
+    missed = sum(i + 1 in kept for i in range(0, len(near), 2))
+    assert all(i in kept for i in range(0, len(near), 2))
+    assert missed <= 1
+
+
+def test_wrong_sure_links_hide_no_pair(spark, monkeypatch):
+    """With a budget that takes texts of similarity 0.7 for sure, the result is the same."""
+    rng = random.Random(13)
+    texts = []
+    for _ in range(6):
+        base = words(rng, 204, 10**9)
+        for _ in range(8):
+            own = base + words(rng, 40, 10**9)
+            texts += [" ".join(own), " ".join(own[:-12] + words(rng, 12, 10**9))]
+    docs = documents(spark, texts)
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if i // 16 == j // 16 and jaccard(texts[i], texts[j]) >= 0.8 and root[i] != root[j]:
+                root = [root[j] if r == root[i] else r for r in root]
+    share = simhash_trie.differing_bits
+    for value in (0.8, 0.55):
+        monkeypatch.setattr(simhash_trie, "differing_bits", lambda _, v=value: share(v))
+        kept = {r.doc_id for r in simhash_trie.without_near_duplicates(docs).collect()}
+        assert len(kept) == len(set(root))
+        assert {root[i] for i in kept} == set(root)
+
+
 def test_minhash_estimates_and_edits(spark):
     rng = random.Random(9)
     texts = [" ".join(words(rng, rng.randrange(1, 400))) for _ in range(60)]

@@ -10,6 +10,7 @@ that connect what is within the budget, not all pairs, so a large group gives fe
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,8 @@ PAIRS = 1 << 21
 
 #: Near duplicates by similarity: 64-bit words of a fingerprint, turns, leading bits of each turn.
 WIDE = 4
-TURNS = 36
-LEAD = 16
+TURNS = 64
+LEAD = 13
 
 
 def shingle_hashes(text: str, words: int) -> list[int]:
@@ -115,12 +116,19 @@ def trie_links(
     budget: int,
     rest: list[np.ndarray] | None = None,
     whole_budget: int = 0,
+    sizes: np.ndarray | None = None,
+    similar: float = 0.0,
+    forest: Forest | None = None,
+    every: bool = False,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Links (indexes) that connect the sorted keys which agree in the first `lead` bits and
     differ in at most `budget` others; and with `rest`, further words of the fingerprints, in at
-    most `whole_budget` bits in all."""
-    n, forest = len(keys), Forest(len(keys))
-    out_a, out_b = [], []
+    most `whole_budget` bits in all; and with `sizes`, of sets whose sizes allow the similarity.
+
+    `forest` has what is connected before, and gets the links. With `every` it gets none, and all
+    pairs are given that it does not connect."""
+    n, forest = len(keys), forest or Forest(len(keys))
+    out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
 
     def near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         differ = np.bitwise_count(keys[x] ^ keys[y]).astype(np.int64)
@@ -130,19 +138,23 @@ def trie_links(
             for word in rest:
                 differ[at] += np.bitwise_count(word[x[at]] ^ word[y[at]])
             hit &= differ <= whole_budget
+        if sizes is not None:
+            few, many = np.minimum(sizes[x], sizes[y]), np.maximum(sizes[x], sizes[y])
+            hit &= few >= similar * many - 1e-9
         return hit
 
     def link(a: np.ndarray, b: np.ndarray) -> None:
-        used = forest.link(a, b)
+        used = forest.root[a] != forest.root[b] if every else forest.link(a, b)
         out_a.append(a[used])
         out_b.append(b[used])
 
     if n < 2:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     same = keys[1:] >> np.uint64(64 - lead) == keys[:-1] >> np.uint64(64 - lead)
-    before = np.flatnonzero(same)
-    before = before[near(before, before + 1)]
-    link(before, before + 1)
+    if not every:  # else they are among the pairs below
+        before = np.flatnonzero(same)
+        before = before[near(before, before + 1)]
+        link(before, before + 1)
     start = np.concatenate([[0], np.flatnonzero(~same) + 1])
     end = np.concatenate([start[1:], [n]])
     # frontiers of node pairs: ranges a and b of the keys, and the bits in which they differ
@@ -263,6 +275,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, budget: int = BUDGET) -
 # size) have fingerprints that differ in about acos(2 s / (1 + s)) / pi of their bits: 15 % at 0.8,
 # too many for blocks that must agree. So fingerprints have several words, and each turn orders
 # the bits of one word anew; two of them meet if they agree in the leading bits of some turn.
+# Fingerprints only name candidates: what links texts is the similarity of their shingles.
 
 
 def differing_bits(similar: float) -> float:
@@ -270,9 +283,19 @@ def differing_bits(similar: float) -> float:
     return float(np.arccos(2 * similar / (1 + similar)) / np.pi)
 
 
+def set_hash(hashes: np.ndarray) -> int:
+    """A signed 64-bit hash of sorted distinct hashes; of none, 0."""
+    found = xxhash.xxh64_intdigest(hashes.tobytes(), SEED) if len(hashes) else 0
+    return found - (1 << 64) if found >> 63 else found
+
+
+def distinct_shingles(text: str, words: int) -> np.ndarray:
+    return np.unique(np.array(shingle_hashes(text, words), np.uint64))
+
+
 def wide_fingerprints(docs: DataFrame, words: int) -> DataFrame:
-    """key and WIDE longs w0, w1, ... of each row, from its distinct shingles: the first word of
-    their hashes, the others of hashes mixed anew."""
+    """key, node, n and WIDE longs w0, w1, ... of each row: hash and number of its distinct
+    shingles, and the majority of the first word of their hashes, and of hashes mixed anew."""
 
     def more(first: np.ndarray) -> Iterator[np.ndarray]:
         for i in range(WIDE):
@@ -281,17 +304,22 @@ def wide_fingerprints(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             made = np.zeros((batch.num_rows, WIDE), np.uint64)
+            of = np.zeros((batch.num_rows, 2), np.int64)
             for i, text in enumerate(batch.column("text")):
-                hashes = np.unique(np.array(shingle_hashes(text.as_py(), words), np.uint64))
+                hashes = distinct_shingles(text.as_py(), words)
+                of[i] = set_hash(hashes), len(hashes)
                 if len(hashes):
                     made[i] = [majority_bits(x) for x in more(hashes)]
-            columns = [pa.array(made[:, i].copy().view(np.int64)) for i in range(WIDE)]
+            columns = [pa.array(of[:, i].copy()) for i in range(2)]
+            columns += [pa.array(made[:, i].copy().view(np.int64)) for i in range(WIDE)]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in KEY), *columns], [*KEY, *WORD_NAMES]
+                [*(batch.column(k) for k in KEY), *columns], [*KEY, "node", "n", *WORD_NAMES]
             )
 
     fields = ", ".join(f"{w} long" for w in WORD_NAMES)
-    return docs.select("text", *KEY).mapInArrow(run, f"key_id long, key_hash long, {fields}")
+    return docs.select("text", *KEY).mapInArrow(
+        run, f"key_id long, key_hash long, node long, n long, {fields}"
+    )
 
 
 WORD_NAMES = [f"w{i}" for i in range(WIDE)]
@@ -305,78 +333,149 @@ def turned(word: np.ndarray, turn: int) -> np.ndarray:
     return packed.view(">u8").ravel().astype(np.uint64)
 
 
-def similar_links(distinct: DataFrame, similar: float) -> DataFrame:
-    """(a, b) nodes: links that connect fingerprints as near as the similarity asks.
+def candidates(distinct: DataFrame, similar: float, hide: bool = True) -> DataFrame:
+    """(a, b, sure) nodes whose fingerprints are as near as the similarity may leave them.
 
-    distinct: node and the words. A word may differ in three standard deviations more bits than
-    expected, the whole fingerprint in a twelfth more.
+    distinct: node, n, the words, and root, what is known to be connected. A word and the whole
+    fingerprint may differ in three standard deviations more bits than expected. Pairs that differ
+    in two standard deviations less are `sure`, and only enough of them are given to connect what
+    they connect; of the others, all that neither roots nor sure links of their task connect.
+    Not to `hide` is to take no pair for sure.
     """
     share = differing_bits(similar)
-    budget = int(np.ceil(64 * share + 3 * np.sqrt(64 * share * (1 - share))))
-    whole_budget = int(64 * WIDE * share * 13 / 12)
+    whole = 64 * WIDE
+    budget, most = (
+        int(np.ceil(bits * share + 3 * np.sqrt(bits * share * (1 - share)))) for bits in (64, whole)
+    )
+    least = max(0, int(whole * share - 2 * np.sqrt(whole * share * (1 - share))))
     tasks = tasks_for(distinct.sparkSession, distinct.count() * TURNS, ROWS_A_TASK)
     fields = ", ".join(f"{w} long" for w in WORD_NAMES)
+    names = ["node", "n", "root", *WORD_NAMES]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for turn in range(TURNS):
-                word = np.asarray(batch.column(1 + turn % WIDE)).view(np.uint64)
+                word = np.asarray(batch.column(3 + turn % WIDE)).view(np.uint64)
                 lead = (turned(word, turn) >> np.uint64(64 - LEAD)).astype(np.int32)
-                number = pa.array(np.full(len(lead), turn, np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [number, pa.array(lead), *batch.columns],
-                    ["turn", "lead", "node", *WORD_NAMES],
-                )
+                bucket = pa.array(lead + np.int32(turn << LEAD))
+                yield pa.RecordBatch.from_arrays([bucket, *batch.columns], ["bucket", *names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [[np.asarray(c) for c in b.columns] for b in batches]
         if not held:
             return
-        turns, nodes, *words = (np.concatenate(c) for c in zip(*held, strict=True))
+        buckets, nodes, sizes, roots, *words = (np.concatenate(c) for c in zip(*held, strict=True))
         for turn in range(TURNS):
-            own = np.flatnonzero(turns == turn)
+            own = np.flatnonzero(buckets >> LEAD == turn)
             keys = turned(words[turn % WIDE][own].view(np.uint64), turn)
             order = np.argsort(keys)
             own, keys = own[order], keys[order]
             rest = [w[own].view(np.uint64) for i, w in enumerate(words) if i != turn % WIDE]
-            a, b = trie_links(keys, LEAD, budget, rest, whole_budget)
-            if len(a):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes[own[a]]), pa.array(nodes[own[b]])], ["a", "b"]
+            forest = Forest(len(own))
+            _, first, which = np.unique(roots[own], return_index=True, return_inverse=True)
+            forest.root = first[which]
+            for sure, at_most in ((True, least), (False, most))[not hide :]:
+                a, b = trie_links(
+                    keys, LEAD, budget, rest, at_most, sizes[own], similar, forest, not sure
                 )
-
-    dealt = distinct.select("node", *WORD_NAMES).mapInArrow(
-        deal, f"turn int, lead int, node long, {fields}"
+                if len(a):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(nodes[own[x]]) for x in (a, b)] + [pa.array(np.full(len(a), sure))],
+                        ["a", "b", "sure"],
+                    )
+
+    dealt = distinct.select(*names).mapInArrow(
+        deal, f"bucket int, node long, n long, root long, {fields}"
     )
     return (
-        dealt.repartition(tasks, "turn", "lead")
-        .select("turn", "node", *WORD_NAMES)
-        .mapInArrow(run, "a long, b long")
+        dealt.repartition(tasks, "bucket")
+        .mapInArrow(run, "a long, b long, sure boolean")
+        .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .agg(F.max("sure").alias("sure"))
+    )
+
+
+def verified(pairs: DataFrame, texts: DataFrame, words: int, similar: float) -> DataFrame:
+    """pairs with `same`: whether the exact similarity of their texts' shingles is as asked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        @lru_cache(64)
+        def shingles(text: str) -> np.ndarray:
+            return distinct_shingles(text, words)
+
+        for batch in sliced(batches):
+            same = []
+            for x, y in zip(batch.column("text_a"), batch.column("text_b"), strict=True):
+                x, y = shingles(x.as_py()), shingles(y.as_py())
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                same.append(both >= similar * (len(x) + len(y) - both) - 1e-9)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in ("a", "b", "sure")] + [pa.array(same, pa.bool_())],
+                ["a", "b", "sure", "same"],
+            )
+
+    one, two = (texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
+    joined = pairs.join(one, "a").join(two, "b")
+    return joined.mapInArrow(run, "a long, b long, sure boolean, same boolean")
+
+
+def similar_links(distinct: DataFrame, rows: DataFrame, words: int, similar: float) -> DataFrame:
+    """(a, b) nodes: links of at least the exact similarity that connect all candidates that have it.
+
+    distinct: node, n, the words, and the key of a row of `rows`. Sure links that turn out wrong may
+    have hidden others: the nodes that sure links connected to them are searched again from what
+    is verified, with nothing taken for sure.
+    """
+
+    def checked(own: DataFrame, hide: bool = True) -> DataFrame:
+        pairs = stored(candidates(own, similar, hide))
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        needed = distinct.select("node", *KEY).join(ends, "node", "left_semi")
+        texts = rows.select("text", *KEY).join(needed, KEY).dropDuplicates(["node"])
+        return stored(verified(pairs, stored(texts.select("node", "text")), words, similar))
+
+    found = checked(distinct.withColumn("root", F.col("node")))
+    links = found.where("same").select("a", "b")
+    wrong = found.where("sure AND NOT same").select(F.col("a").alias("node"))
+    if wrong.isEmpty():
+        return links
+    group = stored(components(found.where("sure").select("a", "b")))
+    hidden = group.join(wrong, "node").select("root").distinct()
+    known = components(links).withColumnRenamed("root", "known")
+    again = (
+        group.join(hidden, "root", "left_semi")
+        .select("node")
+        .join(distinct, "node")
+        .join(known, "node", "left")
+        .withColumn("root", F.coalesce("known", "node"))
     )
+    more = checked(stored(again.select(*distinct.columns, "root")), hide=False)
+    return links.union(more.where("same").select("a", "b"))
 
 
 def without_near_duplicates(docs: DataFrame, words: int = 5, similar: float = 0.8) -> DataFrame:
     """The rows of docs, one of each group of near duplicates: that of the smallest doc_id.
 
-    Groups connect texts whose shingles are as similar as asked, by their fingerprints: pairs near
-    the threshold may fall on either side of it. Of rows that repeat one stays, a null doc_id comes
+    Groups connect texts whose shingles are as similar as asked, exactly; fingerprints only find
+    them, and may miss a pair near the threshold. Of rows that repeat one stays, a null doc_id comes
     before all others, and texts without words are copies of each other.
     """
     rows = keyed(docs)
     prints = stored(wide_fingerprints(rows, words))
-    distinct = stored(prints.groupBy(*WORD_NAMES).agg(F.min("key_hash").alias("node")))
-    roots = components(similar_links(distinct, similar))
-    member = distinct.join(roots, "node", "left").select(
-        *WORD_NAMES, F.coalesce("root", "node").alias("root")
+    distinct = stored(
+        prints.groupBy("node", "n", *WORD_NAMES)
+        .agg(F.min(F.struct(*KEY)).alias("key"))
+        .select("node", "n", *WORD_NAMES, "key.*")
     )
+    roots = components(similar_links(distinct, rows, words, similar))
     ids = keyed(docs).select(*KEY, F.struct("doc_id", *KEY).alias("first"))
     first = ids.groupBy(*KEY).agg(F.min("first").alias("first"))
     kept = (
         prints.join(first, KEY)
-        .groupBy(*WORD_NAMES)
+        .groupBy("node")
         .agg(F.min("first").alias("first"))
-        .join(member, WORD_NAMES)
-        .groupBy("root")
+        .join(roots, "node", "left")
+        .groupBy(F.coalesce("root", "node").alias("root"))
         .agg(F.min("first").alias("first"))
         .select(*[F.col(f"first.{k}").alias(f"kept_{k}") for k in KEY])
     )
