@@ -209,3 +209,31 @@ def test_leaks_are_those_of_brute_force(spark):
     assert all(r.differing_bits <= benchmark_windows.RADIUS for r in found)
     assert benchmark_windows.leaks(documents(spark, texts), benchmark.limit(0)).count() == 0
     assert benchmark_windows.leaks(documents(spark, []), benchmark).count() == 0
+
+
+def test_near_copies_of_shared_passages_are_leaks_in_any_block(spark, monkeypatch):
+    rng = random.Random(14)
+    shared = words(rng, 58, 10**9)
+    half = words(rng, 29, 10**9)
+    items = [shared] * 30 + [half + words(rng, 29, 10**9) for _ in range(30)]
+    items += [words(rng, 58, 10**9) for _ in range(30)]
+    benchmark = spark.createDataFrame(
+        [(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string"
+    )
+    # one word edited, in what items share, in what only this one has, and in an item of its own
+    texts = []
+    for item, at in ((0, 29), (30, 12), (31, 45), (60, 29)):
+        own = list(items[item])
+        own[at] = "edited"
+        texts.append(" ".join(words(rng, 30, 10**9) + own + words(rng, 30, 10**9)))
+    docs = documents(spark, texts)
+
+    def found():
+        rows = benchmark_windows.leaks(docs, benchmark).collect()
+        return {(r.doc_id, r.item_id, r.first_word, round(r.similarity, 9), r.differing_bits) for r in rows}
+
+    whole = found()
+    assert {x[:2] for x in whole} == {(0, i) for i in range(30)} | {(1, 30), (2, 31), (3, 60)}
+    assert all(x[2] == 30 and x[3] >= round(49 / 59, 9) for x in whole)
+    monkeypatch.setattr(benchmark_windows, "ITEMS", 7)
+    assert found() == whole

@@ -4,7 +4,10 @@ verified by exact weighted-shingle similarity.
 A window of as many words as an item has the fingerprint of its shingles, weighted by how rare
 they are among the items. Fingerprints are cut into blocks; two that differ in at most RADIUS bits
 differ in at most BLOCK_RADIUS bits of one block, so items are listed by every value that near to
-their blocks. What the index finds is verified by the weighted Jaccard similarity of shingles.
+their blocks. What the index finds is verified by the Jaccard similarity of shingles, weighted or
+plain, whichever is higher: an edit in the rare part of a passage counts more by weight, one in a part
+that many items share counts less. So there are fingerprints of both kinds. Weights are counted over
+all items, whatever block they are in.
 
 Only windows that share a shingle with an item of their size are fingerprinted: all others have
 similarity 0. Items are taken in blocks of a fixed number, each against all documents.
@@ -46,13 +49,22 @@ def shingles(words: list[bytes], size: int) -> list[int]:
 class Index:
     """Items with their fingerprints, weights of shingles, and the blocks' lists."""
 
-    def __init__(self, items: list[tuple[int, list[bytes]]], size: int) -> None:
+    def __init__(
+        self,
+        items: list[tuple[int, list[bytes]]],
+        size: int,
+        counted: tuple[int, dict[int, int]] | None = None,
+    ) -> None:
+        """counted: the number of items with words, and of those that have each shingle that
+        several of them have; by default of these items."""
         self.size = size
         self.items = [(i, w, shingles(w, size)) for i, w in items if w]
-        document_count = Counter(s for _, _, found in self.items for s in set(found))
-        n = max(1, len(self.items))
-        self.weights = {s: math.log(1 + n / c) for s, c in document_count.items()}
-        self.rare = math.log(1 + 2 * n)  # of a shingle that no item has
+        if counted is None:
+            found = Counter(s for _, _, found in self.items for s in set(found))
+            counted = len(self.items), {s: c for s, c in found.items() if c > 1}
+        n = max(1, counted[0])
+        self.weights = {s: math.log(1 + n / c) for s, c in counted[1].items()}
+        self.rare = math.log(1 + n)  # of a shingle that one item has, or none
         self.vocabulary: dict[bytes, int] = {}
         for _, words, _ in self.items:
             for word in words:
@@ -61,9 +73,10 @@ class Index:
         self.sizes: dict[int, set[int]] = defaultdict(set)
         self.short: dict[bytes, list[int]] = defaultdict(list)
         self.counts = [Counter(found) for _, _, found in self.items]
-        self.totals = [sum(self.weights[s] for s in found) for _, _, found in self.items]
-        self.prints = np.zeros(len(self.items), np.uint64)
-        self.blocks: dict[int, list[dict[int, list[int]]]] = {}
+        self.totals = [sum(self.weight(s) for s in found) for _, _, found in self.items]
+        #: by weight, and plain
+        self.prints = [np.zeros(len(self.items), np.uint64) for _ in range(2)]
+        self.blocks: list[dict[int, list[dict[int, list[int]]]]] = [{}, {}]
         near = [
             sum(1 << b for b in bits)
             for r in range(BLOCK_RADIUS + 1)
@@ -75,14 +88,14 @@ class Index:
                 continue
             for s in found:
                 self.sizes[s].add(len(words))
-            self.prints[k] = self.fingerprints(found, len(found))[0]
-            own = self.blocks.setdefault(
-                len(words), [defaultdict(list) for _ in range(BLOCKS)]
-            )
-            for b in range(BLOCKS):
-                value = int(self.prints[k]) >> (b * 64 // BLOCKS) & (1 << 64 // BLOCKS) - 1
-                for flip in near:
-                    own[b][value ^ flip].append(k)
+            made = self.fingerprints(found, len(found))
+            for print_, prints, blocks in zip(made, self.prints, self.blocks, strict=True):
+                prints[k] = print_[0]
+                own = blocks.setdefault(len(words), [defaultdict(list) for _ in range(BLOCKS)])
+                for b in range(BLOCKS):
+                    value = int(print_[0]) >> (b * 64 // BLOCKS) & (1 << 64 // BLOCKS) - 1
+                    for flip in near:
+                        own[b][value ^ flip].append(k)
         self.keys = np.array(sorted({self._code(w[i : i + size]) for _, w, _ in self.items
                                      for i in range(len(w) - size + 1)}), np.int64)
 
@@ -95,14 +108,22 @@ class Index:
     def weight(self, shingle: int) -> float:
         return self.weights.get(shingle, self.rare)
 
-    def fingerprints(self, hashes: list[int], count: int) -> np.ndarray:
-        """Of each run of `count` shingles: bit 1 where the weights of ones outweigh the zeros."""
+    def fingerprints(self, hashes: list[int], count: int) -> list[np.ndarray]:
+        """Of each run of `count` shingles, by weight and plain: bit 1 where ones outweigh zeros.
+
+        Where all weights are the same, the two are."""
         weights = np.array([self.weight(s) for s in hashes])
         bits = np.unpackbits(np.array(hashes, ">u8").view(np.uint8)).reshape(-1, 64)
-        sums = np.zeros((len(hashes) + 1, 64))
-        np.cumsum((2.0 * bits - 1.0) * weights[:, None], axis=0, out=sums[1:])
-        ones = sums[count:] - sums[: len(hashes) - count + 1] > 1e-9
-        return np.packbits(ones, axis=1).view(">u8").ravel().astype(np.uint64)
+
+        def majority(values: np.ndarray) -> np.ndarray:
+            sums = np.zeros((len(hashes) + 1, 64))
+            np.cumsum((2.0 * bits - 1.0) * values[:, None], axis=0, out=sums[1:])
+            ones = sums[count:] - sums[: len(hashes) - count + 1] > 1e-9
+            return np.packbits(ones, axis=1).view(">u8").ravel().astype(np.uint64)
+
+        weighted = majority(weights)
+        even = (weights == weights[0]).all()
+        return [weighted, weighted if even else majority(np.ones(len(hashes)))]
 
     def hits(self, words: list[bytes]) -> np.ndarray:
         """Places of runs of words that some item has (or, rarely, look so)."""
@@ -121,10 +142,15 @@ class Index:
         return at[self.keys[place] == signed]
 
     def similarity(self, item: int, window: Counter, total: float) -> float:
+        """The weighted similarity, or the plain one if that is higher."""
         own = self.counts[item]
         few, many = (own, window) if len(own) < len(window) else (window, own)
-        both = sum(min(c, many[s]) * self.weight(s) for s, c in few.items() if s in many)
-        return both / (total + self.totals[item] - both)
+        shared = [(s, min(c, many[s])) for s, c in few.items() if s in many]
+        both, plain = sum(c * self.weight(s) for s, c in shared), sum(c for _, c in shared)
+        return max(
+            both / (total + self.totals[item] - both),
+            plain / (window.total() + own.total() - plain),
+        )
 
     def search(self, words: list[bytes], similar: float) -> list[tuple[int, int, int, int, float]]:
         """(item, first word, words, differing bits, similarity) of each item's best window."""
@@ -154,13 +180,20 @@ class Index:
         found = shingles(words[lo : hi + n], self.size)
         count = min(len(found), n - self.size + 1)
         weights = np.concatenate([[0.0], np.cumsum([self.weight(s) for s in found])])
-        for i, print_ in enumerate(self.fingerprints(found, count).tolist()):
+        made = [x.tolist() for x in self.fingerprints(found, count)]
+        for i, prints in enumerate(zip(*made, strict=True)):
             near: set[int] = set()
-            for b, lists in enumerate(self.blocks[n]):
-                near.update(lists.get(print_ >> (b * 64 // BLOCKS) & (1 << 64 // BLOCKS) - 1, ()))
+            for print_, blocks in zip(prints, self.blocks, strict=True):
+                for b, lists in enumerate(blocks[n]):
+                    near.update(
+                        lists.get(print_ >> (b * 64 // BLOCKS) & (1 << 64 // BLOCKS) - 1, ())
+                    )
             window = None
             for item in near:
-                differ = (print_ ^ int(self.prints[item])).bit_count()
+                differ = min(
+                    (print_ ^ int(own[item])).bit_count()
+                    for print_, own in zip(prints, self.prints, strict=True)
+                )
                 if differ > RADIUS:
                     continue
                 if window is None:
@@ -170,6 +203,25 @@ class Index:
                     best[item] = (lo + i, min(n, len(words)), differ, min(1.0, value))
 
 
+def counted(items: DataFrame, size: int) -> tuple[int, dict[int, int]]:
+    """Number of items with words, and of those with each shingle that several of them have."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            for text in batch.column("text"):
+                # None stands for the item, so that one pass counts both
+                found = set(shingles(words_of(text.as_py()), size))
+                if found:
+                    made = pa.array(np.array(list(found), np.uint64).view(np.int64))
+                    made = pa.concat_arrays([made, pa.nulls(1, pa.int64())])
+                    yield pa.RecordBatch.from_arrays([made], ["shingle"])
+
+    own = items.where("item_id IS NOT NULL").select("text").mapInArrow(run, "shingle long")
+    rows = own.groupBy("shingle").count().where("shingle IS NULL OR count > 1").collect()
+    several = {x["shingle"] % (1 << 64): x["count"] for x in rows if x["shingle"] is not None}
+    return sum(x["count"] for x in rows if x["shingle"] is None), several
+
+
 def leaks(
     docs: DataFrame, benchmark: DataFrame, size: int = WORDS, similar: float = SIMILAR
 ) -> DataFrame:
@@ -183,12 +235,14 @@ def leaks(
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
     blocks = max(1, -(-items.count() // ITEMS))
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    weights = counted(items, size)
 
     def one(block: int) -> DataFrame:
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         index = Index(
             sorted((x.item_id, words_of(x.text)) for x in own.collect() if x.item_id is not None),
             size,
+            weights,
         )
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
