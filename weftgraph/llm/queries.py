@@ -1,4 +1,4 @@
-"""The queries of the ten operators over the supplied tables."""
+"""The queries of the operators over the supplied tables."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from weftgraph.llm import (
     benchmark_windows,
+    fill_middle,
     label_shards,
     language_id,
     license_automaton,
@@ -171,3 +172,45 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
         pages.where(part == 3).select(-1 - F.col("page_id"), "url", "html")
     )
     return warc_merkle.audit(pages, replica, "page_id", ["url", "html"])
+
+
+@query(
+    "op13_fill_middle",
+    """WITH rows AS (SELECT doc_id, coalesce(text, '') AS text,
+               sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS digits FROM documents),
+    cut AS (SELECT *, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS tokens,
+               CAST('0x' || substr(digits, 1, 8) AS BIGINT) AS h1,
+               CAST('0x' || substr(digits, 9, 8) AS BIGINT) AS h2,
+               CAST('0x' || substr(digits, 17, 8) AS BIGINT) AS h3,
+               CAST('0x' || substr(digits, 25, 8) AS BIGINT) AS h4 FROM rows),
+    formed AS (SELECT *, len(tokens) AS n,
+               least(h1 % (len(tokens) + 1), h2 % (len(tokens) + 1)) AS a,
+               greatest(h1 % (len(tokens) + 1), h2 % (len(tokens) + 1)) AS b,
+               CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>')
+                      OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                    WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM cut),
+    parts AS (SELECT *, coalesce(array_to_string(tokens[1:a], ''), '') AS prefix,
+               coalesce(array_to_string(tokens[a + 1:b], ''), '') AS middle,
+               coalesce(array_to_string(tokens[b + 1:n], ''), '') AS suffix FROM formed)
+    SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+           CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text
+                  WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                  ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(CASE form WHEN 'plain' THEN text ELSE prefix || middle || suffix END)
+               AS restored_sha256
+    FROM parts""",
+)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    found = fill_middle.transformed(table(spark, folder, "documents"))
+    again = fill_middle.restored(F.col("output"), F.col("form"))
+    return found.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(again.cast("binary"), 256).alias("restored_sha256"),
+    )
