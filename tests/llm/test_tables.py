@@ -127,4 +127,4 @@ def test_pipeline_stages(spark):
 
 
 def test_every_operator_has_its_query():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}

@@ -16,6 +16,7 @@ from weftgraph.llm import (
     minhash_bins,
     pieces_viterbi,
     simhash_trie,
+    spelling_variants,
     suffix_merge,
     toxic_lexicon,
     warc_merkle,
@@ -214,3 +215,8 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
         F.sha2(again.cast("binary"), 256).alias("restored_sha256"),
     )
+
+
+@query("op12_spelling_variants")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, folder, "documents"))
