@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from weftgraph.llm import (
     benchmark_windows,
+    bloom_lm,
     fill_middle,
     label_shards,
     language_id,
@@ -220,3 +221,11 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
 @query("op12_spelling_variants")
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return spelling_variants.variants(table(spark, folder, "documents"))
+
+
+@query("op11_bloom_lm")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    out = language_id.held_out(7, 2)
+    found = bloom_lm.scored(docs, bloom_lm.fitted(docs, ~out))
+    return found.select("doc_id", out.alias("held_out"), *[c for c in found.columns if c != "doc_id"])
