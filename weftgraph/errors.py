@@ -35,3 +35,7 @@ class CardinalityViolation(ValueError):
 
 class ConstraintViolation(ValueError):
     """Any other broken rule."""
+
+
+class VersionConflict(RuntimeError):
+    """Another writer published the same version of a store first."""
