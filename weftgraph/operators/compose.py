@@ -588,6 +588,11 @@ class Composition:
     def _exists(self, name: str, wanted: bool) -> DataFrame:
         rel = self.ns.model.relationship(name)
         how = "left_semi" if wanted else "left_anti"
+        if rel.rel_type == "*":
+            from .paths import reaching
+
+            ids = reaching(self.graph, self.ns.model, rel).select(col("node_id").alias("~has"))
+            return self.df.join(ids, col(self.root.id) == col("~has"), how)
         table = self.graph.edge_table(rel.rel_type) if rel.rel_type else None
         hidden = key_column(str(rel.rel_type))
         near_owns = (

@@ -122,33 +122,102 @@ def reachable(
     graph: PropertyGraph,
     model: type[NodeModel],
     rel: RelationshipDef,
-    max_hops: int,
+    max_hops: int | None = None,
     start: DataFrame | None = None,
 ) -> DataFrame:
-    """Pairs joined by a path of 1 to ``max_hops`` edges, with the least number of hops.
+    """Pairs joined by a path of one or more edges, with the least number of hops.
 
-    The wildcard type ``"*"`` follows edges of all types. Every round joins only the
-    newest pairs with the edges, drops what was found before and is written to the
-    checkpoint folder, so that a lost executor repeats one round at most. A path that
-    ends where it began counts in a directed search only: without direction it would
-    walk one edge back and forth.
+    Without ``max_hops`` paths may have any length. The wildcard type ``"*"`` follows edges
+    of all types. Every round is written to the checkpoint folder, so that a lost executor
+    repeats one round at most. A path that ends where it began counts in a directed search
+    only: without direction it would walk one edge back and forth.
     """
-    if max_hops < 1:
+    if max_hops is not None and max_hops < 1:
         raise ValueError("max_hops must be at least 1")
     wildcard = rel.rel_type == "*"
-    edges = _all_edges(graph, rel.direction) if wildcard else orient(
-        graph.edge_frame(rel.rel_type), rel.direction
+    step = _steps(graph, rel)
+    either = rel.direction == Direction.EITHER
+    begin = None
+    if start is not None or max_hops is not None:
+        begin = (graph.node_frame(model) if start is None else start).select("node_id")
+        if wildcard:
+            begin = begin.select(_global_id(model, col("node_id")).alias("node_id"))
+    if max_hops is not None:
+        pairs = _bounded(step, begin, max_hops, either)
+    else:
+        if begin is not None:
+            # only what can be reached from there can lie on a path
+            inside = spread(step, begin).select(col("node_id").alias("~in"))
+            step = step.join(inside, col("~from") == col("~in"), "left_semi")
+        pairs = _closure(step, either)
+        if begin is not None:
+            pairs = pairs.join(begin, col("near_id") == col("node_id"), "left_semi")
+    if wildcard or max_hops is None:
+        name = (lambda m, c: _global_id(m, c)) if wildcard else (lambda m, c: c)
+        near = graph.node_frame(model).select(col("node_id").alias("~near"))
+        far = graph.node_frame(rel.target).select(col("node_id").alias("~far"))
+        pairs = (
+            pairs.join(near, col("near_id") == name(model, col("~near")))
+            .join(far, col("far_id") == name(rel.target, col("~far")))
+            .select(col("~near").alias("near_id"), col("~far").alias("far_id"), "hops")
+        )
+    return pairs.select(
+        "near_id",
+        "far_id",
+        F.struct("near_id", "far_id").alias("edge_id"),
+        col("near_id").alias("src_id"),
+        col("far_id").alias("dst_id"),
+        "hops",
     )
-    step = edges.select(col("near_id").alias("~from"), col("far_id").alias("~to")).distinct()
-    begin = graph.node_frame(model) if start is None else start
-    begin = begin.select("node_id")
-    if wildcard:
-        begin = begin.select(_global_id(model, col("node_id")).alias("node_id"))
+
+
+def reaching(graph: PropertyGraph, model: type[NodeModel], rel: RelationshipDef) -> DataFrame:
+    """``node_id`` of the nodes of ``model`` from which a target node can be reached, by one or
+    more edges. One search backwards from all targets: it keeps nodes, never pairs.
+
+    Without direction, walking one edge back and forth does not count as reaching oneself.
+    """
+    wildcard = rel.rel_type == "*"
+    step = _steps(graph, rel)
+    far = graph.node_frame(rel.target).select("node_id")
+    near = graph.node_frame(model).select(col("node_id").alias("~own"))
+    name = (lambda m, c: _global_id(m, c)) if wildcard else (lambda m, c: c)
+    targets = far.select(name(rel.target, col("node_id")).alias("node_id"))
+    if rel.direction == Direction.EITHER:
+        # of every connected part the least and the greatest target: a node needs one other than itself
+        parts = _parts(step.where(col("~from") != col("~to")))
+        known = parts.join(targets.distinct(), "node_id").groupBy("~part")
+        ends = known.agg(F.min("node_id").alias("~least"), F.max("node_id").alias("~most"))
+        found = parts.join(ends, "~part").where(
+            (col("~least") != col("node_id")) | (col("~most") != col("node_id"))
+        )
+        found = found.select(col("node_id").alias("~from"))
+    else:
+        backwards = step.select(col("~to").alias("~from"), col("~from").alias("~to"))
+        reach = spread(backwards, targets.distinct()).select(col("node_id").alias("~hit"))
+        found = step.join(reach, col("~to") == col("~hit"), "left_semi").select("~from").distinct()
+    return near.join(found, name(model, col("~own")) == col("~from"), "left_semi").select(
+        col("~own").alias("node_id")
+    )
+
+
+def _steps(graph: PropertyGraph, rel: RelationshipDef) -> DataFrame:
+    """Each pair of neighbours once: ``~from`` and ``~to``."""
+    if rel.rel_type == "*":
+        edges = _all_edges(graph, rel.direction)
+    else:
+        edges = orient(graph.edge_frame(rel.rel_type), rel.direction)
+    edges = edges.where(col("near_id").isNotNull() & col("far_id").isNotNull())
+    return edges.select(col("near_id").alias("~from"), col("far_id").alias("~to")).distinct()
+
+
+def _bounded(step: DataFrame, begin: DataFrame, max_hops: int, either: bool) -> DataFrame:
+    """Pairs within some hops of each other: every round joins only the newest pairs."""
     frontier = (
         step.join(begin, col("~from") == col("node_id"), "left_semi")
         .select(col("~from").alias("near_id"), col("~to").alias("far_id"))
     )
-    if rel.direction == Direction.EITHER:
+    if either:
         frontier = frontier.where(col("near_id") != col("far_id"))
     frontier = checkpointed(frontier.withColumn("hops", F.lit(1).cast("bigint")))
     rounds = [frontier]
@@ -159,30 +228,144 @@ def reachable(
             .select("near_id", col("~to").alias("far_id"))
             .distinct()
         )
-        if rel.direction == Direction.EITHER:
+        if either:
             further = further.where(col("near_id") != col("far_id"))
         fresh = further.join(found.select("near_id", "far_id"), ["near_id", "far_id"], "left_anti")
         frontier = checkpointed(fresh.withColumn("hops", F.lit(hop).cast("bigint")))
         if frontier.isEmpty():
             break
         rounds.append(frontier)
-    pairs = reduce(DataFrame.unionByName, rounds)
-    if wildcard:
-        near = graph.node_frame(model).select(col("node_id").alias("~near"))
-        far = graph.node_frame(rel.target).select(col("node_id").alias("~far"))
-        pairs = (
-            pairs.join(near, col("near_id") == _global_id(model, col("~near")))
-            .join(far, col("far_id") == _global_id(rel.target, col("~far")))
-            .select(col("~near").alias("near_id"), col("~far").alias("far_id"), "hops")
+    return reduce(DataFrame.unionByName, rounds)
+
+
+def _closure(step: DataFrame, either: bool) -> DataFrame:
+    """All pairs joined by a path, by doubling.
+
+    With all pairs of at most n hops known, a least path of up to 2 n hops is a pair of exactly n
+    hops and a known one behind it. So the rounds are the logarithm of the longest least path, and
+    each joins only the outermost pairs with what is known.
+    """
+    pairs = step.select(col("~from").alias("near_id"), col("~to").alias("far_id"))
+    if either:
+        pairs = pairs.where(col("near_id") != col("far_id"))
+    rounds = [checkpointed(pairs.withColumn("hops", F.lit(1).cast("bigint")))]
+    length = 1
+    while True:
+        known = reduce(DataFrame.unionByName, rounds)
+        outer = rounds[-1].where(col("hops") == length)
+        if outer.isEmpty():
+            return known
+        behind = known.select(
+            col("near_id").alias("~via"), col("far_id").alias("~end"), col("hops").alias("~more")
         )
-    return pairs.select(
-        "near_id",
-        "far_id",
-        F.struct("near_id", "far_id").alias("edge_id"),
-        col("near_id").alias("src_id"),
-        col("far_id").alias("dst_id"),
-        "hops",
+        further = outer.join(behind, col("far_id") == col("~via")).select(
+            "near_id", col("~end").alias("far_id"), (col("hops") + col("~more")).alias("hops")
+        )
+        if either:
+            further = further.where(col("near_id") != col("far_id"))
+        further = further.groupBy("near_id", "far_id").agg(F.min("hops").alias("hops"))
+        rounds.append(
+            checkpointed(
+                further.join(known.select("near_id", "far_id"), ["near_id", "far_id"], "left_anti")
+            )
+        )
+        length *= 2
+
+
+#: Rounds of a search that take one step each before long ways are followed by jumps.
+PLAIN_STEPS = 3
+
+
+def spread(step: DataFrame, seeds: DataFrame) -> DataFrame:
+    """The seeds and every node that they reach (``node_id``), for edges ``~from``, ``~to``.
+
+    The first rounds take one step each. Then every open node picks one node before it, and these
+    picks are doubled: a whole chain behind a reached node is found in a logarithm of its length.
+    A search with ever new picks ends when no step finds anything.
+    """
+    step = checkpointed(step)
+    frontier = checkpointed(seeds.select("node_id").where(col("node_id").isNotNull()).distinct())
+    reached, turn = [frontier], 0
+    while True:
+        found = reduce(DataFrame.unionByName, reached)
+        fresh = (
+            step.join(frontier, col("~from") == col("node_id"), "left_semi")
+            .select(col("~to").alias("node_id"))
+            .distinct()
+            .join(found, "node_id", "left_anti")
+        )
+        frontier = checkpointed(fresh)
+        if frontier.isEmpty():
+            return found
+        reached.append(frontier)
+        turn += 1
+        if turn < PLAIN_STEPS:
+            continue
+        found = reduce(DataFrame.unionByName, reached)
+        jumped = _jumped(step, found, turn)
+        reached.append(jumped)
+        frontier = checkpointed(frontier.unionByName(jumped))
+
+
+def _jumped(step: DataFrame, found: DataFrame, turn: int) -> DataFrame:
+    """Open nodes with a reached one among the nodes before them, along one pick each."""
+    open_steps = step.join(found, col("~to") == col("node_id"), "left_anti")
+    picked = open_steps.groupBy(col("~to").alias("node_id")).agg(
+        F.min_by("~from", F.xxhash64("~from", "~to", F.lit(turn))).alias("~at")
+    )
+    mark = found.select(col("node_id").alias("~known"))
+    state = picked.join(mark, col("~at") == col("~known"), "left").select(
+        "node_id", "~at", col("~known").isNotNull().alias("~hit")
     )
+    state = checkpointed(state)
+    hits = state.where("`~hit`").count()
+    while True:
+        before = state.select(
+            col("node_id").alias("~via"), col("~at").alias("~next"), col("~hit").alias("~before")
+        )
+        state = checkpointed(
+            state.join(before, col("~at") == col("~via"), "left").select(
+                "node_id",
+                F.when(col("~hit"), col("~at")).otherwise(F.coalesce("~next", "~at")).alias("~at"),
+                (col("~hit") | F.coalesce("~before", F.lit(False))).alias("~hit"),
+            )
+        )
+        now = state.where("`~hit`").count()
+        if now == hits:
+            return state.where("`~hit`").select("node_id")
+        hits = now
+
+
+def _parts(step: DataFrame) -> DataFrame:
+    """``node_id`` and ``~part`` of all nodes of edges in both directions: the least node connected.
+
+    Alternates two steps: every node hands its larger neighbours to its least one, then its smaller
+    ones, so that the rounds are the logarithm of the longest way.
+    """
+
+    def star(pairs: DataFrame, large: bool) -> DataFrame:
+        least = pairs.groupBy("~from").agg(F.least(col("~from"), F.min("~to")).alias("~least"))
+        side = col("~to") > col("~from") if large else col("~to") <= col("~from")
+        moved = pairs.where(side).join(least, "~from")
+        out = moved.select(col("~to").alias("~from"), col("~least").alias("~to"))
+        if not large:
+            out = out.unionByName(least.select("~from", col("~least").alias("~to")))
+        return out.where(col("~from") != col("~to")).distinct()
+
+    pairs, before = checkpointed(step.select("~from", "~to").distinct()), None
+    while True:
+        both = pairs.unionByName(pairs.select(col("~to").alias("~from"), col("~from").alias("~to")))
+        pairs = checkpointed(star(star(both.distinct(), True).select(
+            F.greatest("~from", "~to").alias("~from"), F.least("~from", "~to").alias("~to")
+        ), False))
+        state = pairs.agg(
+            F.count(F.lit(1)), F.sum(F.xxhash64("~from", "~to").cast("decimal(38,0)"))
+        ).first()
+        if state == before:
+            break
+        before = state
+    roots = pairs.select(col("~to").alias("node_id"), col("~to").alias("~part")).distinct()
+    return pairs.select(col("~from").alias("node_id"), col("~to").alias("~part")).unionByName(roots)
 
 
 def _global_id(model: type[NodeModel], node_id: Column) -> Column:

@@ -5,10 +5,13 @@ from pyspark.sql import functions as F
 from .. import (
     Collect,
     Last,
+    NodeModel,
     NodeNameResolver,
     Path,
     PropertyGraph,
+    RelationshipTo,
     Size,
+    StringProperty,
 )
 from ..operators.paths import (
     connected,
@@ -19,18 +22,22 @@ from ..operators.paths import (
     reachable,
     repeated,
 )
+from ..sources.session import tune
 from .registry import query
 from .tables import (
     Customer,
     Document,
     Label,
+    Line,
     Nation,
     Order,
     Part,
     Region,
     Supplier,
     Turn,
+    lines,
     load,
+    node_table,
 )
 
 NEXT = """(SELECT concat(a.conv_id, ':', a.turn) AS src, concat(b.conv_id, ':', b.turn) AS dst
@@ -331,6 +338,90 @@ def reachable_turns(spark, folder):
     return found.select("near_id", "far_id", "hops")
 
 
+@query(
+    "J20_reachable_unbounded",
+    f"""WITH RECURSIVE e AS (SELECT src, dst FROM {NEXT}),
+        r(near_id, far_id, hops) AS (
+            SELECT src, dst, 1 FROM e
+            UNION ALL SELECT near_id, dst, hops + 1 FROM r JOIN e ON far_id = src)
+        SELECT near_id, far_id, CAST(hops AS BIGINT) AS hops FROM r""",
+)
+def reachable_any_length(spark, folder):
+    """Every later turn of a conversation, however far: rounds double the length."""
+    g = load(spark, folder, Turn)
+    return reachable(g, Turn, Turn.relationship("next")).select("near_id", "far_id", "hops")
+
+
+#: Customers know another one each, so that there are ways into rings and round them.
+KNOWS = "(c_custkey * c_custkey + 1) % {n}"
+
+
+class Acquainted(NodeModel):
+    segment = StringProperty(db_property="c_mktsegment")
+    knows = RelationshipTo("Acquainted", "KNOWS")
+
+
+@query(
+    "J20_reachable_in_rings",
+    f"""WITH RECURSIVE e AS (SELECT c_custkey AS src, {KNOWS.format(n="(SELECT count(*) FROM customer)")}
+              AS dst FROM customer),
+        r(near_id, far_id) AS (
+            SELECT src, dst FROM e WHERE src < 200
+            UNION SELECT near_id, dst FROM r JOIN e ON far_id = src)
+        SELECT near_id, CAST(count(*) AS BIGINT) AS n, CAST(sum(far_id) AS BIGINT) AS ids
+        FROM r GROUP BY near_id""",
+)
+def reachable_in_rings(spark, folder):
+    """How many customers some of them reach, where every way ends in a ring."""
+    rows = node_table(spark, folder, Customer)
+    g = PropertyGraph(tune(spark)).with_nodes(Acquainted, rows)
+    known = rows.selectExpr(
+        "node_id AS edge_id", "node_id AS src_id", f"{KNOWS.format(n=rows.count())} AS dst_id"
+    )
+    g = g.with_edges("KNOWS", known, src=Acquainted, dst=Acquainted)
+    found = reachable(
+        g, Acquainted, Acquainted.relationship("knows"), start=rows.where("node_id < 200")
+    )
+    return found.groupBy("near_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("far_id").alias("ids")
+    )
+
+
+class Shopper(NodeModel):
+    """Customers of the dear orders alone, and whatever hangs on these."""
+
+    segment = StringProperty(db_property="c_mktsegment")
+    anything = RelationshipTo("Part", "*")
+
+
+def shoppers(spark, folder):
+    orders = node_table(spark, folder, Order).where("o_totalprice > 400000")
+    g = PropertyGraph(tune(spark)).with_nodes(Shopper, node_table(spark, folder, Customer))
+    g = g.with_nodes(Order, orders).with_nodes(Part, node_table(spark, folder, Part))
+    g = g.with_embedded_edges("PLACED", src=Shopper, dst=Order, owner_end="dst", key="o_custkey")
+    parts = lines(spark, folder, "l_orderkey", "l_partkey")
+    return g.with_edges("CONTAINS", parts, src=Order, dst=Part, model=Line)
+
+
+DEAR = """EXISTS (SELECT 1 FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+          JOIN part ON p_partkey = l_partkey WHERE o_custkey = c_custkey AND o_totalprice > 400000)"""
+
+
+@query("J11_has_any_length", f"SELECT c_custkey AS id, c_mktsegment AS segment FROM customer WHERE {DEAR}")
+def has_any_length(spark, folder):
+    g = shoppers(spark, folder)
+    return g.nodes(Shopper).has(anything=True).values("id", "segment")
+
+
+@query(
+    "J12_has_not_any_length",
+    f"SELECT c_custkey AS id, c_mktsegment AS segment FROM customer WHERE NOT {DEAR}",
+)
+def has_not_any_length(spark, folder):
+    g = shoppers(spark, folder)
+    return g.nodes(Shopper).has(anything=False).values("id", "segment")
+
+
 @query(
     "J21_node_pairs",
     """SELECT c_custkey AS customer, s_suppkey AS supplier, s_acctbal - c_acctbal AS gap

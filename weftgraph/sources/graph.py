@@ -263,8 +263,6 @@ class PropertyGraph:
         if rel.rel_type == "*":
             from ..operators.paths import reachable
 
-            if max_hops is None:
-                raise ValueError("a path of any length needs max_hops")
             return reachable(self, near, rel, max_hops)
         if rel.rel_type is None:
             return self._untyped(near, rel)
