@@ -394,24 +394,37 @@ def node_pairs(
     names: tuple[str, str],
     equal: list[tuple[str, str]] | None = None,
     where: Column | None = None,
+    compare: list[tuple[str, str, str]] | None = None,
 ) -> DataFrame:
     """Pairs of nodes from two independent queries, packed under the given names.
 
-    ``equal`` lists properties that must agree and makes this a keyed join. Without
-    it every node meets every other one, spread over a grid of tasks.
+    ``equal`` lists properties that must agree and makes this a keyed join. ``compare`` lists
+    inequalities (property, ``<`` ``<=`` ``>`` or ``>=``, property of the other node), which
+    are joined by ranges of their values. Without either every node meets every other one,
+    spread over a grid of tasks.
     """
     from .compose import Composition
     from .product import product
+    from .theta import COMPARE, theta_join
 
     sides = []
     for i, (ns, name) in enumerate(zip((left, right), names)):
         comp = Composition(ns)
         keys = [comp.root.column(e[i]).alias(f"~{name}{n}") for n, e in enumerate(equal or [])]
+        for n, e in enumerate(compare or []):
+            keys.append(comp.root.column(e[2 * i]).alias(f"~{name}?{n}"))
         sides.append(comp.paged().select(comp.root.packed().alias(name), *keys))
     a, b = sides
+    inequalities = [
+        (f"~{names[0]}?{n}", e[1], f"~{names[1]}?{n}") for n, e in enumerate(compare or [])
+    ]
     if equal:
         on = [col(f"~{names[0]}{n}") == col(f"~{names[1]}{n}") for n in range(len(equal))]
         pairs = a.join(b, on)
+        for x, op, y in inequalities:
+            pairs = pairs.where(COMPARE[op](col(x), col(y)))
+    elif inequalities:
+        pairs = theta_join(a, b, inequalities)
     else:
         pairs = product(a, b)
     pairs = pairs if where is None else pairs.where(where)

@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def product(left: DataFrame, right: DataFrame, on: Column | None = None, side: int = 8) -> DataFrame:
+def product(
+    left: DataFrame, right: DataFrame, on: Column | None = None, side: int | None = None
+) -> DataFrame:
     """Pairs of rows (that satisfy ``on``), as a keyed join over ``side`` × ``side`` cells.
 
+    Without a given side there are about as many cells as a shuffle has partitions.
+
     A left row belongs to one grid row and is copied to all its cells; a right row
     belongs to one grid column. Every pair meets in exactly one cell, no side is
     collected or broadcast whole, and all cells have about the same size whatever the
     values are.
     """
+    if side is None:
+        side = max(2, math.isqrt(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     cells = F.array(*[F.lit(i) for i in range(side)])
     at, to = _share(left, side), _share(right, side)
     a = left.withColumn("~row", at.cast("int")).withColumn("~col", F.explode(cells))

@@ -22,6 +22,7 @@ from ..operators.paths import (
     reachable,
     repeated,
 )
+from ..operators.theta import theta_join
 from ..sources.session import tune
 from .registry import query
 from .tables import (
@@ -38,6 +39,7 @@ from .tables import (
     lines,
     load,
     node_table,
+    with_stored,
 )
 
 NEXT = """(SELECT concat(a.conv_id, ':', a.turn) AS src, concat(b.conv_id, ':', b.turn) AS dst
@@ -438,6 +440,61 @@ def pairs_of_nodes(spark, folder):
     )
 
 
+@query(
+    "J21_pairs_less",
+    """SELECT n_nationkey AS nation, p_partkey AS part FROM nation, part
+       WHERE n_nationkey > p_retailprice - 975""",
+)
+def pairs_less(spark, folder):
+    """One inequality alone."""
+    g = with_stored(load(spark, folder, Nation, Part), Part, p_retailprice="p_retailprice - 975")
+    found = node_pairs(
+        g.nodes(Nation), g.nodes(Part), ("n", "p"), compare=[("id", ">", "price")]
+    )
+    return found.selectExpr("n.node_id as nation", "p.node_id as part")
+
+
+@query(
+    "J21_pairs_between",
+    """SELECT s_suppkey AS supplier, c_custkey AS customer FROM supplier, customer
+       WHERE c_acctbal >= s_acctbal AND c_acctbal < s_acctbal + 25""",
+)
+def pairs_between(spark, folder):
+    """Values between two bounds of the other side."""
+    g = load(spark, folder, Supplier, Customer)
+    ceiling = supplier_with_ceiling(g)
+    found = theta_join(
+        g.nodes(Customer).values(customer="id", balance="acctbal"), ceiling,
+        [("balance", ">=", "floor"), ("balance", "<", "ceiling")],
+    )
+    return found.select("supplier", "customer")
+
+
+def supplier_with_ceiling(g):
+    return g.nodes(Supplier).values(supplier="id", floor="acctbal").selectExpr(
+        "supplier", "floor", "floor + 25 as ceiling"
+    )
+
+
+@query(
+    "J21_pairs_two_inequalities",
+    """SELECT c_custkey AS customer, s_suppkey AS supplier FROM customer, supplier
+       WHERE c_acctbal < s_acctbal - 4000 AND c_nationkey > s_nationkey + 5""",
+)
+def pairs_two(spark, folder):
+    """Two columns compared at once: cells over both."""
+    g = load(spark, folder, Customer, Supplier, Nation)
+    left = g.nodes(Customer).traverse("nation").values(
+        customer="id", balance="acctbal", home="nation__id"
+    )
+    right = g.nodes(Supplier).traverse("nation").values(
+        supplier="id", other="acctbal", base="nation__id"
+    )
+    right = right.selectExpr("supplier", "other - 4000 as other", "base + 5 as base")
+    found = theta_join(left, right, [("balance", "<", "other"), ("home", ">", "base")])
+    return found.select("customer", "supplier")
+
+
 HIDDEN = dict(include_nodes_in_return=False, include_rels_in_return=False)
 
 
@@ -497,6 +554,18 @@ def uncorrelated_subquery(spark, folder):
     return found.values("id", "top_price")
 
 
+@query(
+    "J23_uncorrelated_rows",
+    """SELECT s_suppkey AS id, p_partkey AS part FROM supplier, part
+       WHERE p_retailprice > 999""",
+)
+def uncorrelated_rows(spark, folder):
+    """A sub-query of many rows: each supplier beside each of the dearest parts."""
+    g = load(spark, folder, Supplier, Part)
+    dear = g.nodes(Part).filter(price__gt=999)
+    return g.nodes(Supplier).subquery(dear, ["part"]).values(id="id", part="part.node_id")
+
+
 @query(
     "J24_nested_subquery",
     f"""SELECT c_custkey AS id, latest, coalesce(n, 0) AS times FROM customer
