@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 import xxhash
 from llm_frames import clashing, documents, odd_texts, words
 from pyspark.sql import functions as F
@@ -245,8 +246,10 @@ def test_isolated_pairs_are_near_duplicates_by_exact_similarity(spark):
     assert missed <= 1
 
 
-def test_wrong_sure_links_hide_no_pair(spark, monkeypatch):
-    """With a budget that takes texts of similarity 0.7 for sure, the result is the same."""
+@pytest.mark.parametrize("members", [256, 5])
+def test_groups_of_candidates_are_verified_whole(spark, monkeypatch, members):
+    """Of groups of texts of similarity 0.7, with copies at 0.9, in one block and in many."""
+    monkeypatch.setattr(simhash_trie, "MEMBERS", members)
     rng = random.Random(13)
     texts = []
     for _ in range(6):
@@ -260,12 +263,42 @@ def test_wrong_sure_links_hide_no_pair(spark, monkeypatch):
         for j in range(i):
             if i // 16 == j // 16 and jaccard(texts[i], texts[j]) >= 0.8 and root[i] != root[j]:
                 root = [root[j] if r == root[i] else r for r in root]
-    share = simhash_trie.differing_bits
-    for value in (0.8, 0.55):
-        monkeypatch.setattr(simhash_trie, "differing_bits", lambda _, v=value: share(v))
-        kept = {r.doc_id for r in simhash_trie.without_near_duplicates(docs).collect()}
-        assert len(kept) == len(set(root))
-        assert {root[i] for i in kept} == set(root)
+    kept = {r.doc_id for r in simhash_trie.without_near_duplicates(docs).collect()}
+    assert len(kept) == len(set(root))
+    assert {root[i] for i in kept} == set(root)
+
+
+def test_a_large_group_gives_no_pairs_as_rows(spark):
+    """A base with many near copies that are no near copies of each other."""
+    rng = random.Random(14)
+    base = words(rng, 300, 10**9)
+    texts = [" ".join(base)]
+    for _ in range(300):
+        own = list(base)
+        for at in rng.sample(range(0, 300, 10), 6):
+            own[at] = f"own{rng.random()}"
+        texts.append(" ".join(own))
+    assert jaccard(texts[0], texts[1]) > 0.8 > jaccard(texts[1], texts[2])
+    docs = documents(spark, texts)
+    rows = simhash_trie.keyed(docs)
+    prints = simhash_trie.wide_fingerprints(rows, 5)
+    distinct = simhash_trie.stored(prints)
+    links = simhash_trie.candidate_links(distinct, 0.8).count()
+    assert links <= simhash_trie.TURNS * len(texts)
+    true = simhash_trie.similar_links(distinct, rows, 5, 0.8)
+    assert 300 <= true.count() <= 3 * len(texts)
+    assert simhash_trie.without_near_duplicates(docs).count() == 1
+
+
+def test_shared_counts_are_those_of_sets(monkeypatch):
+    monkeypatch.setattr(simhash_trie, "CELLS", 40)
+    rng = random.Random(15)
+    sets = [sorted(rng.sample(range(60), rng.randrange(40))) for _ in range(12)]
+    found = simhash_trie.shared_counts([np.array(x, np.uint64) for x in sets])
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            if i != j:
+                assert found[i, j] == len(set(x) & set(y))
 
 
 def test_minhash_estimates_and_edits(spark):

@@ -10,7 +10,6 @@ that connect what is within the budget, not all pairs, so a large group gives fe
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +33,10 @@ PAIRS = 1 << 21
 WIDE = 4
 TURNS = 64
 LEAD = 13
+#: Members of a block of a group of candidates, and shingles of one; cells of a matrix at once.
+MEMBERS = 256
+MASS = 1 << 19
+CELLS = 1 << 23
 
 
 def shingle_hashes(text: str, words: int) -> list[int]:
@@ -119,14 +122,12 @@ def trie_links(
     sizes: np.ndarray | None = None,
     similar: float = 0.0,
     forest: Forest | None = None,
-    every: bool = False,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Links (indexes) that connect the sorted keys which agree in the first `lead` bits and
     differ in at most `budget` others; and with `rest`, further words of the fingerprints, in at
     most `whole_budget` bits in all; and with `sizes`, of sets whose sizes allow the similarity.
 
-    `forest` has what is connected before, and gets the links. With `every` it gets none, and all
-    pairs are given that it does not connect."""
+    `forest` has what is connected before, and gets the links."""
     n, forest = len(keys), forest or Forest(len(keys))
     out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
 
@@ -144,17 +145,16 @@ def trie_links(
         return hit
 
     def link(a: np.ndarray, b: np.ndarray) -> None:
-        used = forest.root[a] != forest.root[b] if every else forest.link(a, b)
+        used = forest.link(a, b)
         out_a.append(a[used])
         out_b.append(b[used])
 
     if n < 2:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     same = keys[1:] >> np.uint64(64 - lead) == keys[:-1] >> np.uint64(64 - lead)
-    if not every:  # else they are among the pairs below
-        before = np.flatnonzero(same)
-        before = before[near(before, before + 1)]
-        link(before, before + 1)
+    before = np.flatnonzero(same)
+    before = before[near(before, before + 1)]
+    link(before, before + 1)
     start = np.concatenate([[0], np.flatnonzero(~same) + 1])
     end = np.concatenate([start[1:], [n]])
     # frontiers of node pairs: ranges a and b of the keys, and the bits in which they differ
@@ -333,29 +333,27 @@ def turned(word: np.ndarray, turn: int) -> np.ndarray:
     return packed.view(">u8").ravel().astype(np.uint64)
 
 
-def candidates(distinct: DataFrame, similar: float, hide: bool = True) -> DataFrame:
-    """(a, b, sure) nodes whose fingerprints are as near as the similarity may leave them.
+def candidate_links(distinct: DataFrame, similar: float) -> DataFrame:
+    """(a, b): links that connect all nodes whose fingerprints are as near as the similarity may
+    leave them.
 
-    distinct: node, n, the words, and root, what is known to be connected. A word and the whole
-    fingerprint may differ in three standard deviations more bits than expected. Pairs that differ
-    in two standard deviations less are `sure`, and only enough of them are given to connect what
-    they connect; of the others, all that neither roots nor sure links of their task connect.
-    Not to `hide` is to take no pair for sure.
+    distinct: node, n and the words. A word and the whole fingerprint may differ in three standard
+    deviations more bits than expected. Each task gives only links that connect what it finds: a
+    group of thousands gives a few for each of its members, not its pairs.
     """
     share = differing_bits(similar)
-    whole = 64 * WIDE
     budget, most = (
-        int(np.ceil(bits * share + 3 * np.sqrt(bits * share * (1 - share)))) for bits in (64, whole)
+        int(np.ceil(bits * share + 3 * np.sqrt(bits * share * (1 - share))))
+        for bits in (64, 64 * WIDE)
     )
-    least = max(0, int(whole * share - 2 * np.sqrt(whole * share * (1 - share))))
     tasks = tasks_for(distinct.sparkSession, distinct.count() * TURNS, ROWS_A_TASK)
     fields = ", ".join(f"{w} long" for w in WORD_NAMES)
-    names = ["node", "n", "root", *WORD_NAMES]
+    names = ["node", "n", *WORD_NAMES]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for turn in range(TURNS):
-                word = np.asarray(batch.column(3 + turn % WIDE)).view(np.uint64)
+                word = np.asarray(batch.column(2 + turn % WIDE)).view(np.uint64)
                 lead = (turned(word, turn) >> np.uint64(64 - LEAD)).astype(np.int32)
                 bucket = pa.array(lead + np.int32(turn << LEAD))
                 yield pa.RecordBatch.from_arrays([bucket, *batch.columns], ["bucket", *names])
@@ -364,100 +362,135 @@ def candidates(distinct: DataFrame, similar: float, hide: bool = True) -> DataFr
         held = [[np.asarray(c) for c in b.columns] for b in batches]
         if not held:
             return
-        buckets, nodes, sizes, roots, *words = (np.concatenate(c) for c in zip(*held, strict=True))
+        buckets, nodes, sizes, *words = (np.concatenate(c) for c in zip(*held, strict=True))
         for turn in range(TURNS):
             own = np.flatnonzero(buckets >> LEAD == turn)
             keys = turned(words[turn % WIDE][own].view(np.uint64), turn)
             order = np.argsort(keys)
             own, keys = own[order], keys[order]
             rest = [w[own].view(np.uint64) for i, w in enumerate(words) if i != turn % WIDE]
-            forest = Forest(len(own))
-            _, first, which = np.unique(roots[own], return_index=True, return_inverse=True)
-            forest.root = first[which]
-            for sure, at_most in ((True, least), (False, most))[not hide :]:
-                a, b = trie_links(
-                    keys, LEAD, budget, rest, at_most, sizes[own], similar, forest, not sure
+            a, b = trie_links(keys, LEAD, budget, rest, most, sizes[own], similar)
+            if len(a):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(nodes[own[x]]) for x in (a, b)], ["a", "b"]
                 )
-                if len(a):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(nodes[own[x]]) for x in (a, b)] + [pa.array(np.full(len(a), sure))],
-                        ["a", "b", "sure"],
-                    )
-
-    dealt = distinct.select(*names).mapInArrow(
-        deal, f"bucket int, node long, n long, root long, {fields}"
-    )
-    return (
-        dealt.repartition(tasks, "bucket")
-        .mapInArrow(run, "a long, b long, sure boolean")
-        .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .agg(F.max("sure").alias("sure"))
-    )
 
+    dealt = distinct.select(*names).mapInArrow(deal, f"bucket int, node long, n long, {fields}")
+    links = dealt.repartition(tasks, "bucket").mapInArrow(run, "a long, b long")
+    return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Numbers of common members of all pairs of sets: products of blocks of an indicator matrix."""
+    n = len(sets)
+    flat = np.concatenate(sets)
+    row = np.repeat(np.arange(n), [len(x) for x in sets])
+    order = np.argsort(flat, kind="stable")
+    flat, row = flat[order], row[order]
+    first = np.r_[True, flat[1:] != flat[:-1]]
+    column = np.cumsum(first) - 1
+    # members of one set alone are common to none
+    several = np.bincount(column)[column] > 1
+    row, column = row[several], column[several]
+    if not len(row):
+        return np.zeros((n, n), np.float32)
+    column = np.cumsum(np.r_[True, column[1:] != column[:-1]]) - 1
+    out = np.zeros((n, n), np.float32)
+    step = max(1, CELLS // n)
+    for low in range(0, int(column[-1]) + 1, step):
+        at = slice(*np.searchsorted(column, [low, low + step]))
+        part = np.zeros((n, step), np.float32)
+        part[row[at], column[at] - low] = 1
+        out += part @ part.T
+    return out
 
-def verified(pairs: DataFrame, texts: DataFrame, words: int, similar: float) -> DataFrame:
-    """pairs with `same`: whether the exact similarity of their texts' shingles is as asked."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        @lru_cache(64)
-        def shingles(text: str) -> np.ndarray:
-            return distinct_shingles(text, words)
+def similar_links(distinct: DataFrame, rows: DataFrame, words: int, similar: float) -> DataFrame:
+    """(a, b) nodes: links of at least the exact similarity, enough to connect all that have it
+    within each group that candidates connect.
+
+    distinct: node, n, the words, and the key of a row of `rows`. A group is dealt in blocks of
+    nodes; every two blocks meet in a job that has the shingles of both, and gives a forest of
+    the links it finds true. So no pair is a row, and no task holds more than two blocks.
+    """
+    group = components(stored(candidate_links(distinct, similar)))
+    group = stored(group.join(distinct, "node").select("node", "root", "n", *KEY))
 
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            same = []
-            for x, y in zip(batch.column("text_a"), batch.column("text_b"), strict=True):
-                x, y = shingles(x.as_py()), shingles(y.as_py())
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                same.append(both >= similar * (len(x) + len(y) - both) - 1e-9)
+            made = [distinct_shingles(x.as_py(), words).tobytes() for x in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("a", "b", "sure")] + [pa.array(same, pa.bool_())],
-                ["a", "b", "sure", "same"],
+                [*(batch.column(c) for c in ("node", "root")), pa.array(made, pa.binary())],
+                ["node", "root", "shingles"],
             )
 
-    one, two = (texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
-    joined = pairs.join(one, "a").join(two, "b")
-    return joined.mapInArrow(run, "a long, b long, sure boolean, same boolean")
+    texts = rows.select("text", *KEY).join(group.select("node", "root", *KEY), KEY)
+    texts = texts.dropDuplicates(["node"]).select("node", "root", "text")
+    sets = texts.mapInArrow(shingled, "node long, root long, shingles binary")
+    sums = group.groupBy("root").agg(F.count("*").alias("nodes"), F.sum("n").alias("all"))
+    size = F.greatest(F.ceil(F.col("nodes") / MEMBERS), F.ceil(F.col("all") / MASS)).cast("int")
+    large = stored(sums.select("root", size.alias("blocks")).where("blocks > 1"))
+    number = F.coalesce("blocks", F.lit(1))
+    own = F.pmod(F.xxhash64("node"), number).cast("int")
+    dealt = (
+        sets.join(large, "root", "left")
+        .withColumn("block", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), number - 1)))
+        .select(
+            F.xxhash64("root", F.least("block", "other"), F.greatest("block", "other")).alias("job"),
+            F.when(F.col("block") == F.col("other"), F.lit(2))
+            .otherwise((F.col("block") > F.col("other")).cast("int"))
+            .alias("side"),
+            "node",
+            "shingles",
+        )
+    )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in grouped(batches):
+            side = np.asarray(rows["side"])
+            # a block's own pairs have a job of their own
+            if len(side) < 2 or len(np.unique(side)) < 2 and side[0] < 2:
+                continue
+            members = [np.frombuffer(x, np.uint64) for x in rows["shingles"].to_pylist()]
+            count = np.fromiter(map(len, members), np.int64, len(members))
+            both = shared_counts(members) if count.sum() else np.zeros((len(count),) * 2)
+            near = both >= similar * (count[:, None] + count[None, :] - both) - 1e-9
+            a, b = np.nonzero(np.triu(near, 1))
+            forest = Forest(len(members))
+            used = forest.link(a, b)
+            nodes = np.asarray(rows["node"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes[a[used]]), pa.array(nodes[b[used]])], ["a", "b"]
+            )
 
-def similar_links(distinct: DataFrame, rows: DataFrame, words: int, similar: float) -> DataFrame:
-    """(a, b) nodes: links of at least the exact similarity that connect all candidates that have it.
+    placed = dealt.repartition("job").sortWithinPartitions("job")
+    return placed.mapInArrow(run, "a long, b long")
 
-    distinct: node, n, the words, and the key of a row of `rows`. Sure links that turn out wrong may
-    have hidden others: the nodes that sure links connected to them are searched again from what
-    is verified, with nothing taken for sure.
-    """
 
-    def checked(own: DataFrame, hide: bool = True) -> DataFrame:
-        pairs = stored(candidates(own, similar, hide))
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        needed = distinct.select("node", *KEY).join(ends, "node", "left_semi")
-        texts = rows.select("text", *KEY).join(needed, KEY).dropDuplicates(["node"])
-        return stored(verified(pairs, stored(texts.select("node", "text")), words, similar))
-
-    found = checked(distinct.withColumn("root", F.col("node")))
-    links = found.where("same").select("a", "b")
-    wrong = found.where("sure AND NOT same").select(F.col("a").alias("node"))
-    if wrong.isEmpty():
-        return links
-    group = stored(components(found.where("sure").select("a", "b")))
-    hidden = group.join(wrong, "node").select("root").distinct()
-    known = components(links).withColumnRenamed("root", "known")
-    again = (
-        group.join(hidden, "root", "left_semi")
-        .select("node")
-        .join(distinct, "node")
-        .join(known, "node", "left")
-        .withColumn("root", F.coalesce("known", "node"))
-    )
-    more = checked(stored(again.select(*distinct.columns, "root")), hide=False)
-    return links.union(more.where("same").select("a", "b"))
+def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each value of the first column, of rows in its order."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        value = np.asarray(batch.column(0))
+        if held and len(value) and np.asarray(held[-1].column(0))[-1] != value[0]:
+            yield pa.Table.from_batches(held)
+            held = []
+        first = 0
+        for end in (np.flatnonzero(value[1:] != value[:-1]) + 1).tolist():
+            yield pa.Table.from_batches([*held, batch.slice(first, end - first)])
+            held, first = [], end
+        if first < len(value):
+            held.append(batch.slice(first))
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def without_near_duplicates(docs: DataFrame, words: int = 5, similar: float = 0.8) -> DataFrame:
     """The rows of docs, one of each group of near duplicates: that of the smallest doc_id.
 
-    Groups connect texts whose shingles are as similar as asked, exactly; fingerprints only find
-    them, and may miss a pair near the threshold. Of rows that repeat one stays, a null doc_id comes
+    Groups connect texts whose shingles are as similar as asked, exactly; fingerprints only say where
+    to look, and may miss a pair near the threshold. Of rows that repeat one stays, a null doc_id comes
     before all others, and texts without words are copies of each other.
     """
     rows = keyed(docs)
