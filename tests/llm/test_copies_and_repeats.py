@@ -83,7 +83,9 @@ def test_repeated_rows_are_copies_and_other_columns_stay(spark):
     assert suffix_merge.without_repeats(docs.limit(0), LENGTH).count() == 0
 
 
-def test_pipeline_cuts_repeated_passages_of_51_short_words(spark):
+@pytest.mark.parametrize("hot", [suffix_merge.HOT, 1])
+def test_pipeline_cuts_repeated_passages_of_51_short_words(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix_merge, "HOT", hot)
     rng = random.Random(11)
     texts, shared = [], []
     for n in (50, 51, 55, 60):
@@ -100,6 +102,11 @@ def test_pipeline_cuts_repeated_passages_of_51_short_words(spark):
         left = own if len(passage) == 50 else own[:-len(passage)] if i % 2 == 0 else own[len(passage):]
         assert found[i].text.split() == left
         assert found[i].n_chars == len(found[i].text)
+    told = suffix_merge.without_repeats(docs, texts=False, words=51, cut_words=False)
+    for r in told.collect():
+        sizes = [0 if len(p) == 50 else len(" ".join(p)) for p in shared for _ in range(2)]
+        assert r.n_passage == (sizes[r.doc_id] if r.doc_id < len(texts) else 0)
+        assert r.n_removed == 0
 
 
 def test_merge_gives_sorted_strings_with_their_common_prefixes():

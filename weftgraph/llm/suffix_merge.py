@@ -19,7 +19,9 @@ Strings of a number of words are found by the same sort: a text is then the row
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,8 @@ MERGED = 20_000
 HOT = 4_096
 #: Suffixes of anchors with several contexts whose strings are compared at once.
 COMPARED = 50_000
+#: Places of such anchors whose strings are counted in one bucket, on average.
+PLACES = 5_000
 
 FACTOR = 0x9E3779B97F4A7C15
 SECOND = 0xC2B2AE3D27D4EB4F
@@ -428,40 +432,59 @@ def run_task(parts: int, unit: Callable[[str], bytes]):
     return run
 
 
-def counted_task(length: int, unit: Callable[[str], bytes]):
-    """For anchors with very many places: contexts (string null) and hashes of their strings.
+#: One string of a context: two hashes, the context's number in its batch, the string's offset in
+#: it, and how often the batch has the context.
+ENTRY = np.dtype([("one", "<u8"), ("two", "<u8"), ("context", "<i4"), ("offset", "<i4"), ("times", "<i4")])
+REACH = np.dtype([("context", "<i4"), ("least", "<i4"), ("most", "<i4")])
 
-    Equal contexts of a task's texts are one: `member` rows name its places, and rows with hashes
-    have its strings, each as often as it has places.
+
+def counted_task(length: int, unit: Callable[[str], bytes], step: int, buckets: int):
+    """For anchors with very many places: contexts with their places, and their strings' hashes.
+
+    A batch is some texts of a task, and equal contexts of it are one. A row with a key names a
+    document's places of a context; a row with a bucket has the strings whose hash falls into it, of
+    all contexts of the batch, in one binary value.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = Rolling(FACTOR), Rolling(SECOND)
-        names = ["context_id", "context_hash", "context_first", *KEY, "firsts", "offset"]
-        names += ["one", "two", "times"]
-        lists = pa.list_(pa.int64())
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+        kinds += [pa.int32(), pa.binary()]
+        names = ["batch", "context", *KEY, "firsts", "bucket", "strings"]
+
+        def rows(columns: list[list]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names
+            )
 
         def flush(held: dict[bytes, dict]) -> Iterator[pa.RecordBatch]:
-            for data, places in held.items():
-                n, keys = len(places), np.array(list(places))
-                context = (*keys[0].tolist(), next(iter(places.values()))[0])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, x)) for x in context]
-                    + [pa.array(keys[:, i].copy()) for i in range(2)]
-                    + [pa.array(list(places.values()), lists)]
-                    + [pa.nulls(n, pa.int64())] * 4,
-                    names,
-                )
+            number = int.from_bytes(os.urandom(8), "little", signed=True)
+            places, parts = [], []
+            for context, (data, found) in enumerate(held.items()):
+                for key, firsts in found.items():
+                    places.append((number, context, *key, firsts, None, None))
                 sums = np.frombuffer(data, np.uint8)
-                a, b = (x.hashes(x.sums(sums), length).view(np.int64) for x in (one, two))
-                m, times = len(a), sum(map(len, places.values()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(m, x)) for x in context]
-                    + [pa.nulls(m, pa.int64())] * 2
-                    + [pa.nulls(m, lists), pa.array(np.arange(m)), pa.array(a), pa.array(b)]
-                    + [pa.array(np.full(m, times))],
-                    names,
-                )
+                a, b = (x.hashes(x.sums(sums), length) for x in (one, two))
+                # every context begins where a string may: at a whole unit
+                at = np.arange(-next(iter(found.values()))[0] % step, len(a), step)
+                part = np.zeros(len(at), ENTRY)
+                part["one"], part["two"], part["offset"] = a[at], b[at], at
+                part["context"], part["times"] = context, sum(map(len, found.values()))
+                parts.append(part)
+            if not places:
+                return
+            yield rows([list(c) for c in zip(*places, strict=True)])
+            every = np.concatenate(parts)
+            bucket = (every["one"] >> np.uint64(32)).astype(np.int64) * buckets >> 32
+            order = np.argsort(bucket, kind="stable")
+            every, bucket = every[order], bucket[order]
+            cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(every) else []
+            packed = [
+                (number, None, None, None, None, int(bucket[i]), every[i:j].tobytes())
+                for i, j in pairwise(cuts)
+            ]
+            if packed:
+                yield rows([list(c) for c in zip(*packed, strict=True)])
 
         held: dict[bytes, dict] = {}
         size = 0
@@ -481,27 +504,71 @@ def counted_task(length: int, unit: Callable[[str], bytes]):
     return run
 
 
-def hot_spans(rows: DataFrame, length: int, unit: Callable[[str], bytes]) -> DataFrame:
-    """key and spans around anchors with very many places, from counts of their strings' hashes.
+def strings_task(table: pa.Table) -> pa.Table:
+    """For all strings of a bucket: where contexts of each batch have one that occurs twice."""
+    every = [np.frombuffer(x, ENTRY) for x in table["strings"].to_pylist()]
+    batch = np.repeat(np.arange(len(every)), [len(x) for x in every])
+    every = np.concatenate(every)
+    order = np.lexsort((every["two"], every["one"]))
+    one, two, times = every["one"][order], every["two"][order], every["times"][order]
+    new = np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])]
+    total = np.add.reduceat(times.astype(np.int64), np.flatnonzero(new))
+    twice = order[total[np.cumsum(new) - 1] > 1]
+    out = []
+    for number in np.unique(batch[twice]).tolist():
+        own = every[twice[batch[twice] == number]]
+        out.append((table["batch"][number].as_py(), reach_of(own["context"], own["offset"], own["offset"])))
+    columns = zip(*out, strict=True) if out else ([], [])
+    return pa.table(
+        [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary()), strict=True)],
+        ["batch", "reach"],
+    )
 
-    No task gets all places of an anchor: equal strings are summed before the shuffle, unequal
-    ones are spread by their hash (128 bits)."""
-    names = "context_id long, context_hash long, context_first long, key_id long, key_hash long"
-    names += ", firsts array<long>, offset long, one long, two long, times long"
-    found = stored(rows.mapInArrow(counted_task(length, unit), names))
-    strings, context = found.where("one IS NOT NULL"), ["context_id", "context_hash", "context_first"]
-    # a table of its own, as above: the join with it splits a string that very many contexts have
-    twice = stored(
-        strings.groupBy("one", "two").agg(F.sum("times").alias("n")).where("n > 1").drop("n")
+
+def reach_of(context: np.ndarray, least: np.ndarray, most: np.ndarray) -> bytes:
+    """The least and the greatest offset of each context."""
+    order = np.argsort(context, kind="stable")
+    first = np.flatnonzero(np.r_[True, context[order][1:] != context[order][:-1]])
+    out = np.zeros(len(first), REACH)
+    out["context"] = context[order][first]
+    out["least"] = np.minimum.reduceat(least[order], first)
+    out["most"] = np.maximum.reduceat(most[order], first)
+    return out.tobytes()
+
+
+def reach_task(table: pa.Table) -> pa.Table:
+    """Of the contexts of one batch, what all buckets found of them."""
+    every = np.concatenate([np.frombuffer(x, REACH) for x in table["reach"].to_pylist()])
+    found = np.frombuffer(reach_of(every["context"], every["least"], every["most"]), REACH)
+    return pa.table(
+        [
+            pa.array(np.full(len(found), table["batch"][0].as_py(), np.int64)),
+            *(pa.array(found[c].astype(k)) for c, k in zip(REACH.names, ("i4", "i8", "i8"), strict=True)),
+        ],
+        ["batch", *REACH.names],
     )
+
+
+def hot_spans(
+    rows: DataFrame, length: int, unit: Callable[[str], bytes], step: int, places: int
+) -> DataFrame:
+    """key and spans around anchors with very many places, from counts of their strings' hashes.
+
+    No task gets all places of an anchor: the strings of many contexts travel in one value, dealt
+    by their hash (128 bits), and are counted in arrays, so that rows follow the places alone."""
+    buckets = tasks_for(rows.sparkSession, places, PLACES)
+    names = "batch long, context int, key_id long, key_hash long, firsts array<long>, "
+    names += "bucket int, strings binary"
+    found = stored(rows.mapInArrow(counted_task(length, unit, step, buckets), names))
+    strings = found.where("bucket IS NOT NULL").select("bucket", "batch", "strings")
     reach = (
-        strings.select(*context, "offset", "one", "two")
-        .join(twice, ["one", "two"])
-        .groupBy(*context)
-        .agg(F.min("offset").alias("least"), F.max("offset").alias("most"))
+        strings.groupBy("bucket")
+        .applyInArrow(strings_task, "batch long, reach binary")
+        .groupBy("batch")
+        .applyInArrow(reach_task, "batch long, context int, least long, most long")
     )
-    member = found.where("one IS NULL").select(*context, *KEY, "firsts")
-    return member.join(reach, context).select(
+    member = found.where("bucket IS NULL").select("batch", "context", *KEY, "firsts")
+    return member.join(reach, ["batch", "context"]).select(
         *KEY,
         F.transform(
             "firsts",
@@ -513,11 +580,12 @@ def hot_spans(rows: DataFrame, length: int, unit: Callable[[str], bytes]) -> Dat
 
 
 def repeated_spans(
-    rows: DataFrame, length: int = LENGTH, unit: Callable[[str], bytes] = bytes_of
+    rows: DataFrame, length: int = LENGTH, unit: Callable[[str], bytes] = bytes_of, step: int = 1
 ) -> DataFrame:
     """key and `spans` (lo, hi in bytes, may overlap): every byte of a string that occurs twice.
 
-    rows: from `keyed`; unit: what of a text the strings are made of. Rows that repeat count as other documents; texts shorter than `length`
+    rows: from `keyed`; unit: what of a text the strings are made of, and step: the bytes of it after
+    which a string may begin. Rows that repeat count as other documents; texts shorter than `length`
     have no spans.
     """
     if length <= GRAM:
@@ -553,7 +621,7 @@ def repeated_spans(
     if not hot:
         return spans
     return (
-        spans.union(hot_spans(with_text("hot"), length, unit))
+        spans.union(hot_spans(with_text("hot"), length, unit, step, hot))
         .groupBy(*KEY)
         .agg(F.flatten(F.collect_set("spans")).alias("spans"))
     )
@@ -571,19 +639,25 @@ def union_of(spans: list[dict] | None) -> list[tuple[int, int]]:
 
 
 def without_repeats(
-    docs: DataFrame, length: int = LENGTH, texts: bool = True, words: int | None = None
+    docs: DataFrame,
+    length: int = LENGTH,
+    texts: bool = True,
+    words: int | None = None,
+    cut_words: bool = True,
 ) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the text, or null if not asked for)
-    and rest (the other columns, of all rows that texts are asked for), one row for each of docs.
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the text, or null if not asked for),
+    n_passage and rest (the other columns, of all rows that texts are asked for), one row for each
+    of docs.
 
-    With `words`, strings of so many words that occur twice are cut too, whatever their bytes and
-    the blanks between them. A null text counts as empty; repeated rows are copies of each other; a span that cuts a
+    With `words`, n_passage counts the bytes of strings of so many words that occur twice, whatever
+    their bytes and the blanks between them (else it is null); they are cut too unless `cut_words`
+    is false. A null text counts as empty; repeated rows are copies of each other; a span that cuts a
     character leaves bytes that `kept` drops and `kept_sha256` has.
     """
     rows = keyed(docs if texts else docs.select("doc_id", "text"))
     spans = repeated_spans(rows, length)
     if words:
-        coded = repeated_spans(rows, words * CODE, codes_of).withColumnRenamed("spans", "coded")
+        coded = repeated_spans(rows, words * CODE, codes_of, CODE).withColumnRenamed("spans", "coded")
         spans = spans.join(coded, KEY, "full")
     else:
         spans = spans.withColumn("coded", F.lit(None).cast("array<struct<lo:bigint,hi:bigint>>"))
@@ -595,9 +669,12 @@ def without_repeats(
             columns = [batch.column(c) for c in ("text", "spans", "coded")]
             for text, found, coded in zip(*columns, strict=True):
                 data, spans = bytes_of(text.as_py()), found.as_py() or []
+                passage = 0 if words else None
                 if coded.is_valid:
                     of_words = bytes_of_words(data, union_of(coded.as_py()))
-                    spans = spans + [{"lo": lo, "hi": hi} for lo, hi in of_words]
+                    passage = sum(hi - lo for lo, hi in of_words)
+                    if cut_words:
+                        spans = spans + [{"lo": lo, "hi": hi} for lo, hi in of_words]
                 cut = union_of(spans)
                 edges = [0, *(x for span in cut for x in span), len(data)]
                 kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
@@ -608,14 +685,15 @@ def without_repeats(
                         len(cut),
                         hashlib.sha256(kept).hexdigest(),
                         kept.decode("utf-8", "ignore") if texts else None,
+                        passage,
                     )
                 )
-            columns = list(zip(*made, strict=True)) if made else [()] * 5
-            kinds = [pa.int64()] * 3 + [pa.string()] * 2
+            columns = list(zip(*made, strict=True)) if made else [()] * 6
+            kinds = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(k) for k in ("doc_id", "rest")]
                 + [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
-                ["doc_id", "rest", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
+                ["doc_id", "rest", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "n_passage"],
             )
 
     return (
@@ -625,6 +703,6 @@ def without_repeats(
         .mapInArrow(
             run,
             f"doc_id long, rest {rest}, n_bytes long, n_removed long, n_spans long,"
-            " kept_sha256 string, kept string",
+            " kept_sha256 string, kept string, n_passage long",
         )
     )
