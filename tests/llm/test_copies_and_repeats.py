@@ -67,7 +67,7 @@ def test_repeats_are_those_of_brute_force(spark):
 
 
 def test_repeats_of_hot_anchors_and_small_pieces(spark, monkeypatch):
-    for name, value in (("HOT", 2), ("CHUNK", 700), ("RUN_BYTES", 5_000), ("COMPARED", 10)):
+    for name, value in (("HOT", 2), ("OFTEN", 3), ("CHUNK", 700), ("RUN_BYTES", 5_000), ("COMPARED", 10)):
         monkeypatch.setattr(suffix_merge, name, value)
     texts = passages(random.Random(2))
     want = {(i, *row) for i, row in enumerate(brute_cut(texts, LENGTH))}

@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from itertools import pairwise
 
 import numpy as np
@@ -37,6 +38,11 @@ GRAM = 128
 #: Bytes of text that are hashed at once, and that a run holds before it is sorted.
 CHUNK = 500_000
 RUN_BYTES = 12_000_000
+#: Anchors that a task packs at once, bytes of texts whose anchors one bucket gets, and how often an
+#: anchor must be in a batch to be known to repeat.
+FLUSHED = 500_000
+BUCKET_BYTES = 1 << 25
+OFTEN = 8
 #: Suffixes that one merge gets on average.
 MERGED = 20_000
 #: An anchor with more places than this is not merged in one task: its strings are counted apart.
@@ -64,6 +70,15 @@ def codes_of(text: str) -> bytes:
     return np.array([digest(w) for w in bytes_of(text).split()], np.uint64).tobytes()
 
 
+@dataclass(frozen=True)
+class Unit:
+    """What strings are made of: bytes of a text, strings' length, and where one may begin."""
+
+    length: int
+    of: Callable[[str], bytes] = bytes_of
+    step: int = 1
+
+
 def bytes_of_words(data: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Spans of the words' hashes as spans of the text's bytes, from whole words only."""
     solid = np.concatenate([[False], ~BLANK[np.frombuffer(data, np.uint8)], [False]])
@@ -159,28 +174,134 @@ def anchors_of(texts: list[bytes], length: int, rolling: Rolling) -> Iterator[tu
         )
 
 
-def anchors(rows: DataFrame, length: int, unit: Callable[[str], bytes] = bytes_of) -> DataFrame:
-    """gram, key, place, first, last of every anchor of every text."""
+#: One anchor: its hash, the document's key, its place, and the strings' first and last start
+#: before and after that.
+ANCHOR = np.dtype(
+    [("gram", "<i8"), ("key_id", "<i8"), ("key_hash", "<i8"), ("place", "<i4"), ("back", "<u2"), ("more", "<u2")]
+)
+
+
+def packed_anchors(units: list[Unit], buckets: int):
+    """Anchors of all texts of a task, dealt by their hash, in few binary values.
+
+    Of an anchor that is often in a batch already, which tells that it repeats, only the count is
+    dealt by its hash, and the places by the document: no bucket gets them all.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = Rolling(FACTOR)
+        held: list[list[np.ndarray]] = [[] for _ in units]
+
+        def flushed(unit: int) -> Iterator[tuple]:
+            every = np.concatenate(held[unit])
+            held[unit].clear()
+            every = every[np.argsort(every["gram"], kind="stable")]
+            first = np.flatnonzero(np.r_[True, every["gram"][1:] != every["gram"][:-1]])
+            count = np.diff(np.r_[first, len(every)])
+            often = count >= OFTEN
+            known = np.repeat(often, count)
+            sums = np.stack([every["gram"][first[often]], count[often]], axis=1).astype("<i8")
+            few, many = every[~known], every[known]
+            for kind, rows, by in (
+                ("few", few, few["gram"]),
+                ("many", many, many["key_hash"]),
+                ("sum", sums, sums[:, 0]),
+            ):
+                at = (mixed(by.astype(np.int64).view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(at, kind="stable")
+                cuts = np.flatnonzero(np.r_[True, np.diff(at[order]) > 0, True]) if len(at) else []
+                for i, j in pairwise(cuts):
+                    part = rows[order[i:j]]
+                    if kind != "sum":  # a column after the other packs better
+                        data = b"".join(np.ascontiguousarray(part[c]).tobytes() for c in ANCHOR.names)
+                    else:
+                        data = part.tobytes()
+                    yield unit, kind, int(at[order[i]]), zstandard.compress(data, 1)
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            kinds = [pa.int32(), pa.string(), pa.int32(), pa.binary()]
+            columns = zip(*rows, strict=True)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
+                ["unit", "kind", "bucket", "data"],
+            )
+
         for batch in sliced(batches):
-            texts = [unit(x.as_py()) for x in batch.column("text")]
             ids, hashes = (np.asarray(batch.column(k)) for k in KEY)
-            for number, gram, place, first, last in anchors_of(texts, length, rolling):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(gram),
-                        pa.array(ids[number]),
-                        pa.array(hashes[number]),
-                        *(pa.array(x.astype(np.int64)) for x in (place, first, last)),
-                    ],
-                    ["gram", *KEY, "place", "first", "last"],
-                )
+            for u, unit in enumerate(units):
+                texts = [unit.of(x.as_py()) for x in batch.column("text")]
+                for number, gram, place, first, last in anchors_of(texts, unit.length, rolling):
+                    rows = np.zeros(len(gram), ANCHOR)
+                    rows["gram"], rows["key_id"], rows["key_hash"] = gram, ids[number], hashes[number]
+                    rows["place"], rows["back"], rows["more"] = place, place - first, last - first
+                    held[u].append(rows)
+                if sum(map(len, held[u])) >= FLUSHED:
+                    yield batch_of(list(flushed(u)))
+        for u in range(len(units)):
+            if held[u]:
+                yield batch_of(list(flushed(u)))
+
+    return run
+
+
+KEPT = "unit int, gram long, key_id long, key_hash long, place long, first long, end long, n long"
 
-    return rows.select("text", *KEY).mapInArrow(
-        run, "gram long, key_id long, key_hash long, place long, first long, last long"
-    )
+
+def repeated_anchors(units: list[Unit]):
+    """Of one bucket of one unit: the anchors that stand twice or more, a row each; n is null where
+    the count is not known here, and rows without a key tell such counts."""
+
+    def run(table: pa.Table) -> pa.Table:
+        unit = table["unit"][0].as_py()
+        found: dict[str, list[np.ndarray]] = {"few": [], "many": [], "sum": []}
+        for kind, data in zip(table["kind"].to_pylist(), table["data"].to_pylist(), strict=True):
+            data = zstandard.decompress(data)
+            if kind == "sum":
+                found[kind].append(np.frombuffer(data, "<i8").reshape(-1, 2))
+                continue
+            n, at = len(data) // ANCHOR.itemsize, 0
+            rows = np.zeros(n, ANCHOR)
+            for name in ANCHOR.names:
+                kind_of = ANCHOR[name]
+                rows[name] = np.frombuffer(data, kind_of, n, at)
+                at += n * kind_of.itemsize
+            found[kind].append(rows)
+        few = np.concatenate([np.zeros(0, ANCHOR), *found["few"]])
+        many = np.concatenate([np.zeros(0, ANCHOR), *found["many"]])
+        sums = np.concatenate([np.zeros((0, 2), np.int64), *found["sum"]])
+        grams = np.concatenate([few["gram"], sums[:, 0]])
+        different, which = np.unique(grams, return_inverse=True)
+        weight = np.concatenate([np.ones(len(few), np.int64), sums[:, 1]])
+        total = np.bincount(which, weight, len(different)).astype(np.int64)
+        n = total[which[: len(few)]]
+        few, n = few[n > 1], n[n > 1]
+        told = np.unique(which[len(which) - len(sums) :])
+        rows = np.concatenate([few, many])
+        place = rows["place"].astype(np.int64)
+        first = place - rows["back"]
+        k, m = len(rows), len(told)
+        none = np.r_[np.zeros(k, bool), np.ones(m, bool)]
+
+        def column(values: np.ndarray, mask: np.ndarray | None = None) -> pa.Array:
+            return pa.array(np.r_[values, np.zeros(k + m - len(values), np.int64)], mask=mask)
+
+        return pa.table(
+            [
+                pa.array(np.full(k + m, unit, np.int32)),
+                pa.array(np.r_[rows["gram"], different[told]].astype(np.int64)),
+                *(column(rows[c], none) for c in KEY),
+                column(place),
+                column(first),
+                column(first + rows["more"] + units[unit].length),
+                pa.array(
+                    np.r_[n, np.zeros(len(many), np.int64), total[told]],
+                    mask=np.r_[np.zeros(len(n), bool), np.ones(len(many), bool), np.zeros(m, bool)],
+                ),
+            ],
+            ["unit", "gram", *KEY, "place", "first", "end", "n"],
+        )
+
+    return run
 
 
 def shared_prefix(a: bytes, b: bytes, known: int) -> int:
@@ -338,10 +459,12 @@ def repeated_offsets(
     return least, most
 
 
-def merge_task(length: int):
-    """For all runs of one part: key, lo, hi of repeated bytes around each anchor."""
+def merge_task(units: list[Unit], parts: int):
+    """For all runs of one part: unit, key, lo, hi of repeated bytes around each anchor."""
 
     def run(table: pa.Table) -> pa.Table:
+        unit = table["part"][0].as_py() // parts
+        length = units[unit].length
         out: list[np.ndarray] = []
         held: list[tuple] = []
 
@@ -389,12 +512,16 @@ def merge_task(length: int):
         close_group()
         close(held)
         spans = np.concatenate(out) if out else np.zeros((0, 4), np.int64)
-        return pa.table([pa.array(spans[:, i].copy()) for i in range(4)], [*KEY, "lo", "hi"])
+        return pa.table(
+            [pa.array(np.full(len(spans), unit, np.int32))]
+            + [pa.array(spans[:, i].copy()) for i in range(4)],
+            ["unit", *KEY, "lo", "hi"],
+        )
 
     return run
 
 
-def run_task(parts: int, unit: Callable[[str], bytes]):
+def run_task(parts: int, units: list[Unit]):
     """Sorted front-coded runs of the anchors' contexts of each task's texts, cut by anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -409,13 +536,14 @@ def run_task(parts: int, unit: Callable[[str], bytes]):
 
         for batch in sliced(batches):
             for text, *key, found in zip(*(batch.column(i) for i in range(4)), strict=True):
-                data = unit(text.as_py())
-                key = (key[0].as_py(), key[1].as_py())
-                for x in found.as_py():
+                key, found = (key[0].as_py(), key[1].as_py()), found.as_py()
+                data_of = {u: units[u].of(text.as_py()) for u in {x["unit"] for x in found}}
+                for x in found:
+                    data = data_of[x["unit"]]
                     string = data[x["place"] : x["end"]]
                     forward = len(string)
                     string += data[x["first"] : x["place"]][::-1]
-                    part = held.setdefault(x["gram"] % parts, {})
+                    part = held.setdefault(x["unit"] * parts + x["gram"] % parts, {})
                     places = part.get((string, forward))
                     if places is None:
                         part[(string, forward)] = [(*key, x["first"])]
@@ -438,7 +566,7 @@ ENTRY = np.dtype([("one", "<u8"), ("two", "<u8"), ("context", "<i4"), ("offset",
 REACH = np.dtype([("context", "<i4"), ("least", "<i4"), ("most", "<i4")])
 
 
-def counted_task(length: int, unit: Callable[[str], bytes], step: int, buckets: int):
+def counted_task(units: list[Unit], buckets: int):
     """For anchors with very many places: contexts with their places, and their strings' hashes.
 
     A batch is some texts of a task, and equal contexts of it are one. A row with a key names a
@@ -448,23 +576,24 @@ def counted_task(length: int, unit: Callable[[str], bytes], step: int, buckets:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = Rolling(FACTOR), Rolling(SECOND)
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
         kinds += [pa.int32(), pa.binary()]
-        names = ["batch", "context", *KEY, "firsts", "bucket", "strings"]
+        names = ["batch", "context", "unit", *KEY, "firsts", "bucket", "strings"]
 
         def rows(columns: list[list]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names
             )
 
-        def flush(held: dict[bytes, dict]) -> Iterator[pa.RecordBatch]:
+        def flush(held: dict[tuple[int, bytes], dict]) -> Iterator[pa.RecordBatch]:
             number = int.from_bytes(os.urandom(8), "little", signed=True)
             places, parts = [], []
-            for context, (data, found) in enumerate(held.items()):
+            for context, ((u, data), found) in enumerate(held.items()):
+                step = units[u].step
                 for key, firsts in found.items():
-                    places.append((number, context, *key, firsts, None, None))
+                    places.append((number, context, u, *key, firsts, None, None))
                 sums = np.frombuffer(data, np.uint8)
-                a, b = (x.hashes(x.sums(sums), length) for x in (one, two))
+                a, b = (x.hashes(x.sums(sums), units[u].length) for x in (one, two))
                 # every context begins where a string may: at a whole unit
                 at = np.arange(-next(iter(found.values()))[0] % step, len(a), step)
                 part = np.zeros(len(at), ENTRY)
@@ -480,21 +609,22 @@ def counted_task(length: int, unit: Callable[[str], bytes], step: int, buckets:
             every, bucket = every[order], bucket[order]
             cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(every) else []
             packed = [
-                (number, None, None, None, None, int(bucket[i]), every[i:j].tobytes())
+                (number, None, None, None, None, None, int(bucket[i]), every[i:j].tobytes())
                 for i, j in pairwise(cuts)
             ]
             if packed:
                 yield rows([list(c) for c in zip(*packed, strict=True)])
 
-        held: dict[bytes, dict] = {}
+        held: dict[tuple[int, bytes], dict] = {}
         size = 0
         for batch in sliced(batches):
             for text, *key, found in zip(*(batch.column(i) for i in range(4)), strict=True):
-                data = unit(text.as_py())
-                key = (key[0].as_py(), key[1].as_py())
-                for x in found.as_py():
-                    string = data[x["first"] : x["end"]]
-                    held.setdefault(string, {}).setdefault(key, []).append(x["first"])
+                key, found = (key[0].as_py(), key[1].as_py()), found.as_py()
+                data_of = {u: units[u].of(text.as_py()) for u in {x["unit"] for x in found}}
+                for x in found:
+                    string = data_of[x["unit"]][x["first"] : x["end"]]
+                    context = held.setdefault((x["unit"], string), {})
+                    context.setdefault(key, []).append(x["first"])
                     size += len(string) + 100
                 if size > RUN_BYTES:
                     yield from flush(held)
@@ -549,17 +679,15 @@ def reach_task(table: pa.Table) -> pa.Table:
     )
 
 
-def hot_spans(
-    rows: DataFrame, length: int, unit: Callable[[str], bytes], step: int, places: int
-) -> DataFrame:
-    """key and spans around anchors with very many places, from counts of their strings' hashes.
+def hot_spans(rows: DataFrame, units: list[Unit], places: int) -> DataFrame:
+    """unit, key, lo and hi around anchors with very many places, from counts of their strings' hashes.
 
     No task gets all places of an anchor: the strings of many contexts travel in one value, dealt
     by their hash (128 bits), and are counted in arrays, so that rows follow the places alone."""
     buckets = tasks_for(rows.sparkSession, places, PLACES)
-    names = "batch long, context int, key_id long, key_hash long, firsts array<long>, "
+    names = "batch long, context int, unit int, key_id long, key_hash long, firsts array<long>, "
     names += "bucket int, strings binary"
-    found = stored(rows.mapInArrow(counted_task(length, unit, step, buckets), names))
+    found = stored(rows.mapInArrow(counted_task(units, buckets), names))
     strings = found.where("bucket IS NOT NULL").select("bucket", "batch", "strings")
     reach = (
         strings.groupBy("bucket")
@@ -567,64 +695,58 @@ def hot_spans(
         .groupBy("batch")
         .applyInArrow(reach_task, "batch long, context int, least long, most long")
     )
-    member = found.where("bucket IS NULL").select("batch", "context", *KEY, "firsts")
-    return member.join(reach, ["batch", "context"]).select(
-        *KEY,
-        F.transform(
-            "firsts",
-            lambda x: F.struct(
-                (x + F.col("least")).alias("lo"), (x + F.col("most") + length).alias("hi")
-            ),
-        ).alias("spans"),
+    member = found.where("bucket IS NULL").select("batch", "context", "unit", *KEY, "firsts")
+    length = F.element_at(F.array(*[F.lit(u.length) for u in units]), F.col("unit") + 1)
+    return (
+        member.join(reach, ["batch", "context"])
+        .withColumn("x", F.explode("firsts"))
+        .select(
+            "unit",
+            *KEY,
+            (F.col("x") + F.col("least")).alias("lo"),
+            (F.col("x") + F.col("most") + length).alias("hi"),
+        )
     )
 
 
-def repeated_spans(
-    rows: DataFrame, length: int = LENGTH, unit: Callable[[str], bytes] = bytes_of, step: int = 1
-) -> DataFrame:
-    """key and `spans` (lo, hi in bytes, may overlap): every byte of a string that occurs twice.
+def repeated_spans(rows: DataFrame, units: list[Unit]) -> DataFrame:
+    """key and `spans` (unit, lo, hi; may overlap): all of every string of a unit that occurs twice.
 
-    rows: from `keyed`; unit: what of a text the strings are made of, and step: the bytes of it after
-    which a string may begin. Rows that repeat count as other documents; texts shorter than `length`
-    have no spans.
+    rows: from `keyed`. lo and hi are bytes of what the unit makes of a text. Rows that repeat count
+    as other documents; texts shorter than a unit's length have no spans of it.
     """
-    if length <= GRAM:
+    if min(u.length for u in units) <= GRAM:
         raise ValueError(f"strings must be longer than {GRAM} bytes")
     spark = rows.sparkSession
-    found = stored(anchors(rows, length, unit))
-    # a table of its own: the join with it then splits an anchor that has very many rows
-    counts = stored(found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"))
-    kept = stored(
-        found.join(counts, "gram").select(
-            "gram",
-            *KEY,
-            "place",
-            "first",
-            (F.col("last") + length).alias("end"),
-            (F.col("n") > HOT).alias("hot"),
-        )
+    size = rows.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    buckets = tasks_for(spark, size, BUCKET_BYTES)
+    packed = rows.select("text", *KEY).mapInArrow(
+        packed_anchors(units, buckets), "unit int, kind string, bucket int, data binary"
+    )
+    found = stored(packed.groupBy("unit", "bucket").applyInArrow(repeated_anchors(units), KEPT))
+    hottest = stored(found.where("key_id IS NULL").where(F.col("n") > HOT).select("unit", "gram"))
+    marked = found.where("key_id IS NOT NULL").join(
+        hottest.withColumn("listed", F.lit(True)), ["unit", "gram"], "left"
     )
-    hot, all_kept = kept.agg(F.count_if("hot"), F.count("*")).head()
-    parts = tasks_for(spark, all_kept - hot, MERGED)
+    hot = F.col("n") > HOT
+    marked = marked.withColumn("hot", F.coalesce(hot, F.lit(False)) | F.col("listed").isNotNull())
+    kept = stored(marked.select("unit", "gram", *KEY, "place", "first", "end", "hot"))
+    places, all_kept = kept.agg(F.count_if("hot"), F.count("*")).head()
+    parts = tasks_for(spark, all_kept - places, MERGED)
 
     def with_text(which: str) -> DataFrame:
         lists = kept.where(which).groupBy(*KEY).agg(
-            F.collect_set(F.struct("gram", "place", "first", "end")).alias("found")
+            F.collect_set(F.struct("unit", "gram", "place", "first", "end")).alias("found")
         )
         return rows.select("text", *KEY).join(lists, KEY).select("text", *KEY, "found")
 
-    runs = with_text("NOT hot").mapInArrow(run_task(parts, unit), "part int, run binary")
+    runs = with_text("NOT hot").mapInArrow(run_task(parts, units), "part int, run binary")
     spans = runs.groupBy("part").applyInArrow(
-        merge_task(length), "key_id long, key_hash long, lo long, hi long"
-    )
-    spans = spans.groupBy(*KEY).agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
-    if not hot:
-        return spans
-    return (
-        spans.union(hot_spans(with_text("hot"), length, unit, step, hot))
-        .groupBy(*KEY)
-        .agg(F.flatten(F.collect_set("spans")).alias("spans"))
+        merge_task(units, parts), "unit int, key_id long, key_hash long, lo long, hi long"
     )
+    if places:
+        spans = spans.union(hot_spans(with_text("hot"), units, places))
+    return spans.groupBy(*KEY).agg(F.collect_set(F.struct("unit", "lo", "hi")).alias("spans"))
 
 
 def union_of(spans: list[dict] | None) -> list[tuple[int, int]]:
@@ -655,23 +777,20 @@ def without_repeats(
     character leaves bytes that `kept` drops and `kept_sha256` has.
     """
     rows = keyed(docs if texts else docs.select("doc_id", "text"))
-    spans = repeated_spans(rows, length)
-    if words:
-        coded = repeated_spans(rows, words * CODE, codes_of, CODE).withColumnRenamed("spans", "coded")
-        spans = spans.join(coded, KEY, "full")
-    else:
-        spans = spans.withColumn("coded", F.lit(None).cast("array<struct<lo:bigint,hi:bigint>>"))
+    units = [Unit(length)] + ([Unit(words * CODE, codes_of, CODE)] if words else [])
+    spans = repeated_spans(rows, units)
     rest = rows.schema["rest"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             made = []
-            columns = [batch.column(c) for c in ("text", "spans", "coded")]
-            for text, found, coded in zip(*columns, strict=True):
-                data, spans = bytes_of(text.as_py()), found.as_py() or []
+            for text, found in zip(batch.column("text"), batch.column("spans"), strict=True):
+                data, found = bytes_of(text.as_py()), found.as_py() or []
+                spans = [x for x in found if not x["unit"]]
+                coded = [x for x in found if x["unit"]]
                 passage = 0 if words else None
-                if coded.is_valid:
-                    of_words = bytes_of_words(data, union_of(coded.as_py()))
+                if coded:
+                    of_words = bytes_of_words(data, union_of(coded))
                     passage = sum(hi - lo for lo, hi in of_words)
                     if cut_words:
                         spans = spans + [{"lo": lo, "hi": hi} for lo, hi in of_words]
@@ -699,7 +818,7 @@ def without_repeats(
     return (
         rows.withColumn("doc_id", F.col("doc_id").cast("long"))
         .join(spans, KEY, "left")
-        .select("doc_id", "rest", "text", "spans", "coded")
+        .select("doc_id", "rest", "text", "spans")
         .mapInArrow(
             run,
             f"doc_id long, rest {rest}, n_bytes long, n_removed long, n_spans long,"
