@@ -680,7 +680,7 @@ def reach_task(table: pa.Table) -> pa.Table:
 
 
 def hot_spans(rows: DataFrame, units: list[Unit], places: int) -> DataFrame:
-    """unit, key, lo and hi around anchors with very many places, from counts of their strings' hashes.
+    """key and spans (unit, lo, hi) around anchors with very many places, from counts of their strings' hashes.
 
     No task gets all places of an anchor: the strings of many contexts travel in one value, dealt
     by their hash (128 bits), and are counted in arrays, so that rows follow the places alone."""
@@ -697,15 +697,16 @@ def hot_spans(rows: DataFrame, units: list[Unit], places: int) -> DataFrame:
     )
     member = found.where("bucket IS NULL").select("batch", "context", "unit", *KEY, "firsts")
     length = F.element_at(F.array(*[F.lit(u.length) for u in units]), F.col("unit") + 1)
-    return (
-        member.join(reach, ["batch", "context"])
-        .withColumn("x", F.explode("firsts"))
-        .select(
-            "unit",
-            *KEY,
-            (F.col("x") + F.col("least")).alias("lo"),
-            (F.col("x") + F.col("most") + length).alias("hi"),
-        )
+    return member.join(reach, ["batch", "context"]).select(
+        *KEY,
+        F.transform(
+            "firsts",
+            lambda x: F.struct(
+                F.col("unit").alias("unit"),
+                (x + F.col("least")).alias("lo"),
+                (x + F.col("most") + length).alias("hi"),
+            ),
+        ).alias("spans"),
     )
 
 
@@ -744,9 +745,14 @@ def repeated_spans(rows: DataFrame, units: list[Unit]) -> DataFrame:
     spans = runs.groupBy("part").applyInArrow(
         merge_task(units, parts), "unit int, key_id long, key_hash long, lo long, hi long"
     )
-    if places:
-        spans = spans.union(hot_spans(with_text("hot"), units, places))
-    return spans.groupBy(*KEY).agg(F.collect_set(F.struct("unit", "lo", "hi")).alias("spans"))
+    spans = spans.groupBy(*KEY).agg(F.collect_set(F.struct("unit", "lo", "hi")).alias("spans"))
+    if not places:
+        return spans
+    return (
+        spans.union(hot_spans(with_text("hot"), units, places))
+        .groupBy(*KEY)
+        .agg(F.flatten(F.collect_set("spans")).alias("spans"))
+    )
 
 
 def union_of(spans: list[dict] | None) -> list[tuple[int, int]]:
