@@ -24,7 +24,7 @@ SCORE = "~score"
 
 def _threshold(value: object, what: str) -> None:
     if value is not None and not isinstance(value, float):
-        raise ValueError(f"{what} Threshold must be a float or None.")
+        raise ValueError(f"{what}: a threshold is a float or left out, not {value!r}")
 
 
 def _attribute(model: type[NodeModel], name: str):
