@@ -126,5 +126,19 @@ def test_pipeline_stages(spark):
     assert all(r.round_trip for r in kept["tokens"].values())
 
 
+def test_pipeline_stages_keep_columns_of_any_name(spark):
+    rng = random.Random(6)
+    texts = [" ".join(words(rng, 60, 10**9)) for _ in range(12)]
+    docs = documents(spark, [*texts, None, ""], langs=["en"] * 14)
+    names = ["score", "lang_pred", "accepted", "leaked", "a.b", "row", "kept", "spans", "n_passage"]
+    docs = docs.select("*", *[F.concat(F.lit(f"{n} of "), "doc_id").alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, FOLDER))
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", *names], name
+        for row in docs.collect():
+            assert [row[n] for n in names] == [f"{n} of {row.doc_id}" for n in names]
+    assert docs.count() == 12
+
+
 def test_every_operator_has_its_query():
     assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}

@@ -16,6 +16,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weftgraph.llm.common import sliced
 
@@ -245,8 +246,9 @@ def predicted(docs: DataFrame, model: Model | None) -> DataFrame:
                 [*batch.schema.names, *names],
             )
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.mapInArrow(run, f"{fields}, lang_pred string, score double, accepted boolean")
+    kinds = [T.StringType(), T.DoubleType(), T.BooleanType()]
+    added = [T.StructField(n, k) for n, k in zip(names, kinds, strict=True)]
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *added]))
 
 
 def held_out(modulus: int, remainder: int) -> Column:

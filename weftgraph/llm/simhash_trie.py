@@ -513,7 +513,7 @@ def without_near_duplicates(docs: DataFrame, words: int = 5, similar: float = 0.
         .select(*[F.col(f"first.{k}").alias(f"kept_{k}") for k in KEY])
     )
     own = docs.select(
-        F.struct(*docs.columns).alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.coalesce("doc_id", F.lit(0)).cast("long").alias("kept_key_id"),
         F.xxhash64("doc_id", F.coalesce(F.col("text").cast("string"), F.lit(""))).alias(
             "kept_key_hash"

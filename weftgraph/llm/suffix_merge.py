@@ -30,6 +30,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weftgraph.llm.common import KEY, keyed, mixed, sliced, stored, tasks_for
 
@@ -785,7 +786,11 @@ def without_repeats(
     rows = keyed(docs if texts else docs.select("doc_id", "text"))
     units = [Unit(length)] + ([Unit(words * CODE, codes_of, CODE)] if words else [])
     spans = repeated_spans(rows, units)
-    rest = rows.schema["rest"].dataType.simpleString()
+    # a type, not its text: the other columns may have any names
+    kinds = {"doc_id": T.LongType(), "rest": rows.schema["rest"].dataType}
+    kinds |= dict.fromkeys(("n_bytes", "n_removed", "n_spans"), T.LongType())
+    kinds |= {"kept_sha256": T.StringType(), "kept": T.StringType(), "n_passage": T.LongType()}
+    schema = T.StructType([T.StructField(n, k) for n, k in kinds.items()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
@@ -825,9 +830,5 @@ def without_repeats(
         rows.withColumn("doc_id", F.col("doc_id").cast("long"))
         .join(spans, KEY, "left")
         .select("doc_id", "rest", "text", "spans")
-        .mapInArrow(
-            run,
-            f"doc_id long, rest {rest}, n_bytes long, n_removed long, n_spans long,"
-            " kept_sha256 string, kept string, n_passage long",
-        )
+        .mapInArrow(run, schema)
     )
