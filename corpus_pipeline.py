@@ -27,8 +27,9 @@ PASSAGE = 51
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter and those whose language is not sure enough."""
     model = language_id.fitted(docs, ~language_id.held_out(4, 2))
-    found = language_id.predicted(docs, model)
-    return found.where("accepted").select(*docs.columns)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    found = language_id.predicted(docs.select(whole, "text"), model)
+    return found.where("accepted").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,9 +49,9 @@ def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that have a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     rows = keyed(docs).select(F.col("key_hash").alias("doc_id"), "text")
-    found = benchmark_windows.leaks(rows, benchmark).select(F.col("doc_id").alias("leaked"))
+    found = benchmark_windows.leaks(rows, benchmark).select(F.col("doc_id").alias("~leaked"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.join(found, F.xxhash64("doc_id", text) == F.col("leaked"), "left_anti")
+    return docs.join(found, F.xxhash64("doc_id", text) == F.col("`~leaked`"), "left_anti")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
