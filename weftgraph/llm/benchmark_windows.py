@@ -10,7 +10,9 @@ that many items share counts less. So there are fingerprints of both kinds. Weig
 all items, whatever block they are in.
 
 Only windows that share a shingle with an item of their size are fingerprinted: all others have
-similarity 0. Items are taken in blocks of a fixed number, each against all documents.
+similarity 0. An item of fewer words than a shingle is one shingle, so that a window of its size is
+the same or has similarity 0: these are looked up. Items are taken in blocks of a fixed number, each
+against all documents.
 """
 
 from __future__ import annotations
@@ -51,7 +53,7 @@ class Index:
 
     def __init__(
         self,
-        items: list[tuple[int, list[bytes]]],
+        items: list[tuple[int | None, list[bytes]]],
         size: int,
         counted: tuple[int, dict[int, int]] | None = None,
     ) -> None:
@@ -96,8 +98,12 @@ class Index:
                     value = int(print_[0]) >> (b * 64 // BLOCKS) & (1 << 64 // BLOCKS) - 1
                     for flip in near:
                         own[b][value ^ flip].append(k)
-        self.keys = np.array(sorted({self._code(w[i : i + size]) for _, w, _ in self.items
-                                     for i in range(len(w) - size + 1)}), np.int64)
+        #: codes of the runs that are looked for, by their number of words
+        codes: dict[int, set[int]] = defaultdict(set)
+        for _, words, _ in self.items:
+            n = min(len(words), size)
+            codes[n].update(self._code(words[i : i + n]) for i in range(len(words) - n + 1))
+        self.keys = {n: np.array(sorted(found), np.int64) for n, found in sorted(codes.items())}
 
     def _code(self, words: list[bytes]) -> int:
         code = 0
@@ -125,21 +131,21 @@ class Index:
         even = (weights == weights[0]).all()
         return [weighted, weighted if even else majority(np.ones(len(hashes)))]
 
-    def hits(self, words: list[bytes]) -> np.ndarray:
-        """Places of runs of words that some item has (or, rarely, look so)."""
-        get, n = self.vocabulary.get, len(words) - self.size + 1
-        if n < 1 or not len(self.keys):
+    def hits(self, numbers: np.ndarray, size: int) -> np.ndarray:
+        """Places of runs of `size` words that some item has (or, rarely, look so)."""
+        n = len(numbers) - size + 1
+        if n < 1 or size not in self.keys:
             return np.zeros(0, np.int64)
-        numbers = np.array([get(w, 0) for w in words], np.int64).view(np.uint64)
         code, known = np.zeros(n, np.uint64), np.ones(n, bool)
-        for i in range(self.size):
+        for i in range(size):
             part = numbers[i : i + n]
             code = code * np.uint64(0x5851F42D4C957F2D) + part
             known &= part > 0
         at = np.flatnonzero(known)
         signed = code[at].view(np.int64)
-        place = np.minimum(np.searchsorted(self.keys, signed), len(self.keys) - 1)
-        return at[self.keys[place] == signed]
+        keys = self.keys[size]
+        place = np.minimum(np.searchsorted(keys, signed), len(keys) - 1)
+        return at[keys[place] == signed]
 
     def similarity(self, item: int, window: Counter, total: float) -> float:
         """The weighted similarity, or the plain one if that is higher."""
@@ -155,10 +161,14 @@ class Index:
     def search(self, words: list[bytes], similar: float) -> list[tuple[int, int, int, int, float]]:
         """(item, first word, words, differing bits, similarity) of each item's best window."""
         best: dict[int, tuple] = {}
-        for item in self.short.get(b" ".join(words), []) if len(words) < self.size else []:
-            best[item] = (0, len(words), 0, 1.0)
+        get = self.vocabulary.get
+        numbers = np.array([get(w, 0) for w in words], np.int64).view(np.uint64)
+        for n in self.keys:
+            for at in self.hits(numbers, n).tolist() if n < self.size else ():
+                for item in self.short.get(b" ".join(words[at : at + n]), ()):
+                    best.setdefault(item, (at, n, 0, 1.0))
         by_size: dict[int, list[int]] = defaultdict(list)
-        for at in self.hits(words).tolist():
+        for at in self.hits(numbers, self.size).tolist():
             hashed = xxhash.xxh64_intdigest(b" ".join(words[at : at + self.size]))
             for n in self.sizes.get(hashed, ()):
                 by_size[n].append(at)
@@ -216,7 +226,7 @@ def counted(items: DataFrame, size: int) -> tuple[int, dict[int, int]]:
                     made = pa.concat_arrays([made, pa.nulls(1, pa.int64())])
                     yield pa.RecordBatch.from_arrays([made], ["shingle"])
 
-    own = items.where("item_id IS NOT NULL").select("text").mapInArrow(run, "shingle long")
+    own = items.select("text").mapInArrow(run, "shingle long")
     rows = own.groupBy("shingle").count().where("shingle IS NULL OR count > 1").collect()
     several = {x["shingle"] % (1 << 64): x["count"] for x in rows if x["shingle"] is not None}
     return sum(x["count"] for x in rows if x["shingle"] is None), several
@@ -228,8 +238,9 @@ def leaks(
     """doc_id, item_id, first_word, n_words, differing_bits, similarity: each document and item
     with a window of at least the similarity, once, with the best (then first) window.
 
-    Items of fewer words than a shingle match texts of exactly those words. Null or empty texts
-    and items match nothing, equal items all match, and repeated rows give their matches each.
+    Items of fewer words than a shingle match where their words stand one after the other. Null or
+    empty texts and items match nothing, equal items all match, and repeated rows give their matches
+    each; items with a null item_id are items like any other, and match with a null item_id.
     Documents of fewer words than an item are one window.
     """
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
@@ -239,10 +250,9 @@ def leaks(
 
     def one(block: int) -> DataFrame:
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
+        found = [(x.item_id, words_of(x.text)) for x in own.collect()]
         index = Index(
-            sorted((x.item_id, words_of(x.text)) for x in own.collect() if x.item_id is not None),
-            size,
-            weights,
+            sorted(found, key=lambda x: (x[0] is None, x[0] or 0, x[1])), size, weights
         )
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
