@@ -20,9 +20,11 @@ from pyspark.sql import types as T
 
 from weftgraph.llm.common import sliced
 
-#: At most so many languages, and rows of each, are learned from (the sample's bound).
-LANGUAGES = 100
+#: At most about so many rows of a language, and of all together, are learned from (the sample's
+#: bound); no language that has more gets fewer than the least.
 SAMPLE = 1_000
+ROWS = 16_000
+LEAST = 25
 BUCKETS = 1 << 13
 SIZES = (2, 3, 4)
 WIDTH = 16
@@ -31,9 +33,10 @@ EPOCHS = 12
 STEPS = 1_500
 BATCH = 32
 RATE = 20.0
-#: Share of wrong labels among the accepted that the threshold may leave, and the most it may cost.
+#: Share of wrong labels among the accepted that the threshold may leave, and the standard
+#: deviations by which the held-out rows must show more than that before it rises.
 ERROR = 0.01
-REJECTED = 0.01
+SURE = 1.645
 #: Strings that are looked up at once.
 CHUNK = 1 << 19
 UNKNOWN = "und"
@@ -170,27 +173,43 @@ def trained(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Mo
     model.temperature = min(np.geomspace(0.25, 4, 25), key=loss)
     p = model.probabilities(means)
     sure, right = p.max(axis=1), p.argmax(axis=1) == truth
-    by = np.argsort(-sure)
-    wrong = np.cumsum(~right[by]) / np.arange(1, len(by) + 1)
-    good = np.flatnonzero(wrong <= ERROR)
-    # nothing is sure of less than a little over chance; a few wrong labels of a small sample must
-    # not cost more than the share that may be rejected
-    floor = 1.2 / len(languages) if len(languages) > 1 else 0.0
-    asked = float(sure[by][good[-1]]) if len(good) and len(good) < len(by) else floor
-    model.threshold = max(floor, min(asked, float(np.quantile(sure, REJECTED))))
+    model.threshold = threshold(sure, right, len(languages))
     return model
 
 
-def fitted(docs: DataFrame, usable: Column, sample: int = SAMPLE) -> Model | None:
-    """Learns from at most LANGUAGES x about `sample` of the usable rows with text and lang.
+def threshold(sure: np.ndarray, right: np.ndarray, languages: int) -> float:
+    """The least score at which the error is not shown to be over ERROR by the rows at or above it.
 
-    Rows of a language are taken by a hash of doc_id below a share of its rows; the texts stay in
-    the tasks, which send the shares of buckets.
+    Shown is what the lower confidence bound (Wilson's) of the share of wrong rows says: a few wrong
+    rows of a small sample reject nothing, and on a large one the bound is the error itself. Where
+    it is over at every score, nothing is accepted. Nothing is sure of less than a little over
+    chance.
+    """
+    by = np.argsort(-sure, kind="stable")
+    n = np.arange(1, len(by) + 1)
+    share, z = np.cumsum(~right[by]) / n, SURE**2 / n
+    lower = (share + z / 2 - np.sqrt(z * share * (1 - share) + z**2 / 4)) / (1 + z)
+    # rows of the same score are accepted together
+    last = np.append(np.diff(sure[by]) != 0, True)
+    good = np.flatnonzero(last & (lower <= ERROR))
+    floor = 1.2 / languages if languages > 1 else 0.0
+    if not len(good):
+        return float("inf")
+    return floor if good[-1] == len(by) - 1 else max(floor, float(sure[by][good[-1]]))
+
+
+def fitted(docs: DataFrame, usable: Column, sample: int = SAMPLE, total: int = ROWS) -> Model | None:
+    """Learns from about `sample` of the usable rows with text and lang of each language.
+
+    All languages are learned. The more there are, the fewer rows each gives, so that they are about
+    `total` together, but LEAST of each. Rows of a language are taken by a hash of doc_id below a
+    share of its rows; the texts stay in the tasks, which send the shares of buckets.
     """
     rows = docs.where(usable & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().collect()
     if not counts:
         return None
+    sample = max(min(sample, LEAST), min(sample, total // len(counts)))
     draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 40)) / F.lit(1 << 40)
     share = F.create_map(
         *[F.lit(x) for r in counts for x in (r["lang"], min(1.0, sample / r["count"]))]
