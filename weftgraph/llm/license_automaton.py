@@ -54,6 +54,7 @@ class Automaton:
     def __init__(self, templates: dict[str, str], base: dict[str, str]) -> None:
         self.templates = [(t.encode().split(), label) for t, label in templates.items()]
         phrases = [(t.encode().split(), label) for t, label in base.items()]
+        phrases = [x for x in phrases if x[0]]
         strings = [x for x, _ in self.templates + phrases]
         known = sorted({w for s in strings for w in s})
         self.numbers = {w: i + 1 for i, w in enumerate(known)}
@@ -73,9 +74,15 @@ class Automaton:
             v = 0
             for word in string:
                 v = self.next[v][self.numbers[word]]
-            self.base[v].append((len(string), label))
+            if len(string) > 1:
+                self.base[v].append((len(string), label))
         for v in sorted(range(1, len(self.size)), key=lambda v: self.size[v]):
             self.base[v] = self.base[self.link[v]] + self.base[v]
+        #: words that are a phrase by themselves, and all their labels
+        self.alone = {self.numbers[s[0]]: [] for s, _ in phrases if len(s) == 1}
+        for string, label in phrases:
+            if len(string) == 1:
+                self.alone[self.numbers[string[0]]].append(label)
         self.pairs = np.zeros((len(known) + 1, len(known) + 1), bool)
         for string in strings:
             for a, b in zip(string, string[1:], strict=False):
@@ -116,14 +123,17 @@ class Automaton:
         """(start, label) of all base places; spans (template, label, first, last, covered)."""
         get = self.numbers.get
         numbers = np.array([get(w, 0) for w in words], np.int64)
-        if len(numbers) < 2:
-            return [], []
         places: list[tuple[int, str]] = []
+        if self.alone:
+            single = np.flatnonzero(np.isin(numbers, list(self.alone)))
+            places += [(i, label) for i in single.tolist() for label in self.alone[int(numbers[i])]]
+        if len(numbers) < 2:
+            return places, []
         runs: dict[int, list[tuple[int, int, int]]] = {}
         # a run of two words or more is made of pairs that stand in a template
         pair = np.flatnonzero(self.pairs[numbers[:-1], numbers[1:]])
         if not len(pair):
-            return [], []
+            return places, []
         cut = np.flatnonzero(np.diff(pair) > 1)
         begin = pair[np.concatenate([[0], cut + 1])].tolist()
         end = (pair[np.concatenate([cut, [len(pair) - 1]])] + 1).tolist()
