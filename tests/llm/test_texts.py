@@ -50,6 +50,22 @@ def test_licence_places_and_spans(spark):
     assert license_automaton.scanned(documents(spark, [])).count() == 0
 
 
+def test_phrases_of_one_word_are_places(spark):
+    base = {"copyright": "notice", "copyright holder": "holder", "copyleft": "left", "": "none"}
+    texts = ["Copyright", "x copyright holder copyright", "the COPYLEFT", "", None, "mit licence"]
+    docs = clashing(documents(spark, texts))
+    for templates in ({}, {"copyright notice and this permission": "mit"}):
+        rows = {r.doc_id: r.places for r in license_automaton.scanned(docs, templates, base).collect()}
+        assert [sorted((x.start, x.label) for x in rows[i]) for i in range(len(texts))] == [
+            [(0, "notice")],
+            [(1, "holder"), (1, "notice"), (3, "notice")],
+            [(1, "left")],
+            [],
+            [],
+            [],
+        ]
+
+
 def test_a_span_bridges_a_changed_word():
     found = license_automaton.Automaton(license_automaton.TEMPLATES, license_automaton.BASE)
     own = "x this work is freely licensed under the gnu general public license version 3 y".split()
@@ -88,6 +104,65 @@ def test_language_of_texts_not_learned_from(spark):
     assert {r.lang_pred for r in none} == {"und"}
 
 
+def brute_bucket(run):
+    """The bucket of one byte string, by plain integers."""
+    h = len(run) * 0x9E3779B1 & 0xFFFFFFFF
+    for byte in run:
+        h = (h ^ byte) * 0x01000193 & 0xFFFFFFFF
+    h ^= h >> 15
+    return (h * 0x85EBCA6B & 0xFFFFFFFF) >> 32 - (language_id.BUCKETS.bit_length() - 1)
+
+
+def test_predictions_are_those_of_a_plain_forward_pass(spark):
+    np, rng = language_id.np, random.Random(21)
+    langs = [rng.choice(list(SYLLABLES)) for _ in range(120)]
+    texts = [spoken(rng, lang, rng.randrange(1, 30)) for lang in langs] + odd_texts()
+    docs = documents(spark, texts, langs=langs + [None] * len(odd_texts()))
+    model = language_id.fitted(docs, ~language_id.held_out(4, 2))
+    for r in language_id.predicted(docs, model).collect():
+        if r.text is None or not any(c.isalpha() for c in r.text):
+            assert (r.lang_pred, r.score, r.accepted) == ("und", 0, False)
+            continue
+        data = language_id.cleaned(r.text)
+        counts = Counter(brute_bucket(data[i : i + n]) for n in (2, 3, 4) for i in range(len(data) - n + 1))
+        mean = sum(model.table[b] * c for b, c in counts.items()) / counts.total()
+        powers = np.exp((mean + model.bias) * model.temperature)
+        share = powers / powers.sum()
+        assert r.lang_pred == model.languages[share.argmax()]
+        assert r.score == pytest.approx(share.max(), rel=1e-9)
+        assert r.accepted == (r.score >= model.threshold)
+
+
+def test_all_of_many_languages_are_learned(spark):
+    rng = random.Random(22)
+    names = [f"l{i:03}" for i in range(150)]
+    own = {x: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(4)] for x in names}
+    langs = names * 12
+    texts = [" ".join(rng.choices(own[x], k=15)) for x in langs]
+    docs = documents(spark, texts, langs=langs)
+    model = language_id.fitted(docs, ~language_id.held_out(4, 2), total=150 * 8)
+    assert model.languages == names
+    rows = language_id.predicted(docs, model).collect()
+    assert sum(r.lang_pred == r.lang for r in rows) > 0.95 * len(rows)
+
+
+def test_the_threshold_rises_where_the_error_is_shown():
+    np = language_id.np
+    sure = np.linspace(1, 0.5, 10_000)
+    right = np.ones(10_000, bool)
+    assert language_id.threshold(sure, right, 4) == pytest.approx(0.3)
+    right[9_000::2] = False  # 5 % of all are wrong, all of them among the least sure
+    got = language_id.threshold(sure, right, 4)
+    accepted = sure >= got
+    assert 0.008 < (~right[accepted]).mean() < 0.013
+    # one wrong row of forty shows nothing; rows that are never right show it at any score
+    few = np.linspace(1, 0.5, 40)
+    assert language_id.threshold(few, np.arange(40) != 30, 4) == pytest.approx(0.3)
+    assert language_id.threshold(few, np.zeros(40, bool), 4) == float("inf")
+    # rows of one score are accepted together
+    assert language_id.threshold(np.full(200, 0.9), np.arange(200) >= 100, 4) == float("inf")
+
+
 def test_scores_do_not_depend_on_neighbours():
     rng = random.Random(3)
     table = language_id.np.random.default_rng(1).normal(size=(language_id.BUCKETS, 3))
@@ -176,7 +251,7 @@ def brute_leaks(texts, items, index):
         own = words_of(text)
         for k, (item, known, _) in enumerate(index.items):
             n = min(len(known), len(own))
-            for i in range(len(own) - n + 1):
+            for i in range(len(own) - n + 1 if own else 0):
                 window = Counter(benchmark_windows.shingles(own[i : i + n], index.size))
                 total = sum(index.weight(s) * c for s, c in window.items())
                 if not total:
@@ -190,7 +265,7 @@ def brute_leaks(texts, items, index):
 def test_leaks_are_those_of_brute_force(spark):
     rng = random.Random(6)
     items = [" ".join(words(rng, rng.randrange(12, 45), 400)) for _ in range(15)] + ["two words", None, ""]
-    texts = odd_texts()[:10] + ["Two, words!"]
+    texts = odd_texts()[:10] + ["Two, words!", "says TWO words twice: two\nwords", "two wordss", "two"]
     for i in range(200):
         own = words(rng, rng.randrange(10, 120), 400)
         passage = rng.choice(items[:15]).upper().split()
@@ -237,3 +312,30 @@ def test_near_copies_of_shared_passages_are_leaks_in_any_block(spark, monkeypatc
     assert all(x[2] == 30 and x[3] >= round(49 / 59, 9) for x in whole)
     monkeypatch.setattr(benchmark_windows, "ITEMS", 7)
     assert found() == whole
+
+
+def test_short_items_and_items_without_an_id_are_found_inside_texts(spark):
+    rng = random.Random(23)
+    whole = " ".join(words(rng, 20, 10**9))
+    items = [(1, "zeta omega kappa"), (2, "sigma"), (None, whole), (None, "zeta omega"), (None, None), (5, "")]
+    items += [(1, "zeta omega kappa")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    long = " ".join(words(rng, 60_000, 10**9))
+    texts = [
+        f"{long} Zeta, omega; KAPPA {long}",
+        "zeta kappa omega",
+        "the sigma",
+        f"before {whole} after",
+        "kappa zeta omega",
+        None,
+        long,
+    ]
+    rows = benchmark_windows.leaks(clashing(documents(spark, texts)), benchmark).collect()
+    assert sorted((r.doc_id, r.item_id or 0, r.first_word, r.n_words, r.similarity) for r in rows) == [
+        (0, 0, 60_000, 2, 1.0),
+        (0, 1, 60_000, 3, 1.0),
+        (0, 1, 60_000, 3, 1.0),
+        (2, 2, 1, 1, 1.0),
+        (3, 0, 1, 20, 1.0),
+        (4, 0, 1, 2, 1.0),
+    ]
