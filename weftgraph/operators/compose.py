@@ -939,20 +939,34 @@ class Composition:
         if distinct and (self.pending or len({a.bound.id for a in annotations}) > 1):
             raise ValueError("distinct lists in parts take one variable and no ordering")
         first = annotations[0].bound.id
+        ties = list(dict.fromkeys([first] if distinct else [first, *self.row_key]))
+        if not self.pending:
+            # numbering shuffles and stores its rows: only what is read of them goes along
+            read = dict.fromkeys([*group, *ties])
+            for a in annotations:
+                only = self._read_of(a)
+                read.update((c, None) for p, c in a.bound.cols.items() if only is None or p in only)
+                read[a.bound.id] = None
+            frame = frame.select(*[col(c) for c in read])
         if distinct:
-            frame = frame.dropDuplicates(list(dict.fromkeys([*keys, first])))
+            # what rides in the group is determined by its keys, and keeps this a hash aggregate
+            frame = frame.dropDuplicates(list(dict.fromkeys([*group, first])))
         order = [k.sort_column() for k in self.pending]
-        order += [col(k).asc_nulls_last() for k in dict.fromkeys([first, *self.row_key])]
+        order += [col(k).asc_nulls_last() for k in ties]
         placed = numbered(frame, keys, order)
         part = F.floor(col(POSITION) / F.lit(part_size)).cast("bigint")
         return placed.withColumn("~part", part).drop(POSITION), group + ["~part"]
 
+    def _read_of(self, a: Annotation) -> set[str] | None:
+        """The properties of what is collected that will be read; None means all."""
+        only = self._requested_of(a.name)
+        return None if not only or "" in only else only
+
     def _aggregate(self, a: Annotation, frame: DataFrame, parted: bool) -> Column:
         collect = a.function.collected()
         bound, function = a.bound, a.function
         present = col(bound.id).isNotNull()
-        only = self._requested_of(a.name)
-        only = None if not only or "" in only else only
+        only = self._read_of(a)
         if isinstance(function, Size) and isinstance(function.source, Collect):
             counted = F.count_distinct(col(bound.id)) if collect.distinct else F.count(col(bound.id))
             return counted.cast("bigint")
