@@ -237,3 +237,45 @@ def test_empty_graphs_and_empty_batches(spark, at):
     assert content(store.graph())["volumes"] == [(1, None, 1)]
     ids = rows(spark, "edge_id string, days long, src_id long", [("0", 5, 0)])
     assert store.save_edges("LENT_TO", ids).touched[0].written_rows == 0
+
+
+def test_new_edges_alone_travel_and_are_read_without_a_merge(spark, at):
+    store = GraphStore.create(library(spark), at, buckets=4)
+    pairs = rows(spark, "near_id long, far_id long, days long", [(3, 3, 3), (3, 4, 9), (3, 4, 9)])
+    done = store.connect(Volume, "lent", pairs)
+    (touched,) = done.touched
+    assert touched.written_rows == 1
+    for name in ("edges/LENT_TO", "edges/LENT_TO/by target"):
+        last = done.store.manifest.tables[name].segments[-1]
+        assert last.fresh and not last.base
+    found = done.store.graph().edge_frame("LENT_TO")
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert content(done.store.graph()) == content(E.connect(library(spark), Volume, "lent", pairs))
+
+
+def test_an_edge_that_was_cut_is_there_again_once(spark, at):
+    store = GraphStore.create(library(spark), at, buckets=4)
+    pairs = rows(spark, "near_id long, far_id long, days long", [(3, 4, 9), (5, 6, 9)])
+    before = content(store.graph())
+    for _ in range(2):
+        store = store.connect(Volume, "lent", pairs).store
+        joined = content(store.graph())
+        assert sorted(joined["lent"]) == sorted([*before["lent"], (3, 4, 9), (5, 6, 9)])
+        assert content(GraphStore.open(library(spark), at).graph()) == joined
+        store = store.disconnect(Volume, "lent", pairs.drop("days")).store
+        assert content(store.graph()) == before
+    store = store.connect(Volume, "lent", pairs).store.compact(1)
+    assert content(store.graph()) == joined
+    ends = store.folder.read(store.manifest.tables["edges/LENT_TO/by target"])
+    assert ends.count() == len(joined["lent"])
+
+
+def test_an_edge_with_the_id_of_a_new_one_does_not_double_the_id(spark, at):
+    store = GraphStore.create(library(spark), at, buckets=4)
+    pair = rows(spark, "near_id long, far_id long, days long", [(3, 4, 9)])
+    store = store.connect(Volume, "lent", pair).store
+    edge = store.graph().edge_frame("LENT_TO").where("src_id = 3 and dst_id = 4 and days = 9")
+    store = store.save_edges("LENT_TO", edge.selectExpr("edge_id", "src_id", "10L as days")).store
+    store = store.connect(Volume, "lent", pair).store
+    frame = store.graph().edge_frame("LENT_TO")
+    assert frame.count() == frame.select("edge_id").distinct().count() == 61

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -103,7 +104,8 @@ class GraphStore:
 
         def add(name: str, rows: DataFrame, identity: str, place: Iterable[str]) -> None:
             state = TableState(loose(rows.schema).json(), identity, tuple(place))
-            first = folder.write(name, placed(state, rows, buckets), identity, True)
+            # tasks write what they read: a row of the first version does not travel
+            first = folder.write(name, placed(state, rows, buckets), identity, True, moved=False)
             tables[name] = with_segment(state, first)
 
         for label, (model, frame) in graph.tables.items():
@@ -197,6 +199,24 @@ class GraphStore:
         ids = pairs.select(F.explode(F.array(*[col(c).cast("string") for c in used])).alias("id"))
         return self._edges(rel.rel_type, ids, None)
 
+    def _asked(self, rel: RelationshipDef, pairs: DataFrame) -> tuple[dict[str, set[int]], bool]:
+        """Buckets of the edges that join pairs, and whether a pair has a null property."""
+        name = edge_name(rel.rel_type)
+        state = self.manifest.tables[name]
+        source = col("near_id" if rel.direction == Direction.OUTGOING else "far_id").cast("string")
+        kind = next(f.dataType for f in state.struct().fields if f.name == "src_id")
+        pairs, props = E.with_defaults(self.declared.edge_table(rel.rel_type), pairs)
+        nulls = reduce(lambda a, b: a | b, [col(p).isNull() for p in props], F.lit(False))
+        found = (
+            pairs.select(
+                bucket_of([source.cast(kind)], self.manifest.buckets).alias("b"), nulls.alias("n")
+            )
+            .groupBy("b")
+            .agg(F.bool_or("n").alias("n"))
+            .collect()
+        )
+        return {name: {r["b"] for r in found}}, any(r["n"] for r in found)
+
     # -- a new version ----------------------------------------------------
     def _commit(self, part: Part, after: PropertyGraph, rejected: DataFrame | None = None) -> Written:
         tables, touched = dict(self.manifest.tables), []
@@ -241,6 +261,37 @@ class GraphStore:
         store = GraphStore(self.declared, self.folder, manifest)
         return Written(store, tuple(touched), rejected)
 
+    def _commit_additions(self, part: Part, rel_type: str, rows: DataFrame) -> Written | None:
+        """A version with new edges, or None if an edge of their id is there already.
+
+        The rows are written once, and the copy by target and the test of ids read that.
+        """
+        name, tables = edge_name(rel_type), dict(self.manifest.tables)
+        state, buckets = tables[name], self.manifest.buckets
+        fresh = dict(base=False, fresh=True, moved=False)
+        segment = self.folder.write(name, placed(state, rows, buckets), state.identity, **fresh)
+        new = self.folder.read(replace(state, segments=(segment,)))
+        report = Touched(
+            name, len(part.buckets[name]), buckets, state.size(part.buckets[name]), state.size()
+        )
+        if segment.buckets:
+            old = part.rows[name].where(F.length("edge_id") == E.HASHED)
+            if _repeated(old.select("edge_id").unionByName(new.select("edge_id"))):
+                return None
+            tables[name] = with_segment(state, segment)
+            report = replace(
+                report, written_rows=new.count(), written_bytes=sum(segment.buckets.values())
+            )
+            copy = tables[name + TARGETS]
+            ends = placed(copy, new.select("edge_id", "src_id", "dst_id"), buckets)
+            tables[name + TARGETS] = with_segment(
+                copy, self.folder.write(name + TARGETS, ends, copy.identity, **fresh)
+            )
+        verified = tuple(r for r in self.manifest.verified if r != rel_type)
+        manifest = Manifest(self.manifest.version + 1, buckets, tables, verified)
+        self.folder.publish(manifest)
+        return Written(GraphStore(self.declared, self.folder, manifest), (report,))
+
     def compact(self, least: int = 4) -> GraphStore:
         """A version with the same rows in which no bucket has `least` or more deltas."""
         tables = {
@@ -329,7 +380,10 @@ class GraphStore:
     ) -> Written:
         """With `checked`, the cardinality gates see all edges of both ends first."""
         rel = model.relationship(rel_name)
-        buckets = self._between(rel, pairs, "near_id", "far_id")
+        if new_edge_id is None and rel.direction != Direction.EITHER:
+            buckets, nulls = self._asked(rel, pairs)
+        else:
+            buckets, nulls = self._between(rel, pairs, "near_id", "far_id"), True
         part = self._part(buckets)
         if checked:
             ids = pairs.select(
@@ -337,6 +391,10 @@ class GraphStore:
             )
             wide = self._part(self._edges(rel.rel_type, ids, ids)).graph
             enforce(connect_gates(wide, model, rel_name, pairs), "fail")
+        rows = None if nulls else E.additions(part.graph, model, rel_name, pairs)
+        done = None if rows is None else self._commit_additions(part, rel.rel_type, rows)
+        if done is not None:
+            return done
         return self._commit(part, E.connect(part.graph, model, rel_name, pairs, new_edge_id))
 
     def disconnect(self, model: type[NodeModel], rel_name: str, pairs: DataFrame) -> Written:
@@ -384,6 +442,16 @@ class GraphStore:
         return self._commit(part, E.save_edges(part.graph, rel_type, values))
 
 
+def _repeated(ids: DataFrame) -> bool:
+    """Whether a value is there twice. Hashes of them travel, and values only where hashes agree."""
+    hashed = ids.select("edge_id", F.xxhash64("edge_id").alias("~hash"))
+    twice = hashed.groupBy("~hash").count().where("count > 1").select("~hash")
+    if twice.isEmpty():
+        return False
+    alike = hashed.join(twice, "~hash", "left_semi").groupBy("edge_id").count()
+    return not alike.where("count > 1").isEmpty()
+
+
 def touched_frame(written: Written) -> DataFrame:
     """What a write touched, as rows."""
     kinds = T.StructType(

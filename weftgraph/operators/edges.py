@@ -62,6 +62,54 @@ def _same_ends(rel: RelationshipDef, near: str, far: str) -> tuple[Column, Colum
     return edge, F.struct(col(near).alias("near"), col(far).alias("far"))
 
 
+def with_defaults(edge: EdgeTable, pairs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Pairs with the defaults of the edge's properties, and which properties they have."""
+    props = [p for p in edge.prop_names() if p in pairs.columns]
+    for name, prop in (edge.model.properties() if edge.model else {}).items():
+        if prop.has_default:
+            given = col(name) if name in props else F.lit(None).cast(prop.spark_type)
+            pairs = pairs.withColumn(name, F.coalesce(given, prop.default_column()))
+            props += [] if name in props else [name]
+    return pairs, props
+
+
+def hashed_id(props: list[str]) -> Column:
+    """The id of a new edge: HASHED letters, which its ends and given properties decide."""
+    return F.sha2(F.to_json(F.struct(col("~near"), col("~far"), *[col(f"~{p}") for p in props])), 256)
+
+
+HASHED = 64
+
+
+def additions(
+    graph: PropertyGraph, model: type[NodeModel], rel_name: str, pairs: DataFrame
+) -> DataFrame | None:
+    """The edges that ``connect`` adds for pairs without a null property, which change no other.
+
+    Edges and pairs meet in one exchange of ends and properties; edge ids do not travel. None if
+    that does not decide it: ends in any order, or values of other types than the edges have.
+    """
+    rel = model.relationship(rel_name)
+    if rel.direction == Direction.EITHER:
+        return None
+    edge = graph.edge_table(rel.rel_type)
+    pairs, props = with_defaults(edge, pairs)
+    near, far = _ends(rel)
+    names = ["~near", "~far", *[f"~{p}" for p in props]]
+    there = [c.alias(n) for c, n in zip(map(col, [near, far, *props]), names)]
+    asked = [c.alias(n) for c, n in zip(map(col, ["near_id", "far_id", *props]), names)]
+    old, new = graph.edge_frame(rel.rel_type).select(*there), pairs.select(*asked)
+    if [f.dataType for f in old.schema] != [f.dataType for f in new.schema]:
+        return None
+    both = old.withColumn("~old", F.lit(True)).unionByName(new.withColumn("~old", F.lit(False)))
+    kinds = both.groupBy(*map(col, names)).agg(F.bool_or("~old").alias("~old"))
+    rows = kinds.where(~col("~old")).select(
+        hashed_id(props).alias("edge_id"), col("~near").alias(near), col("~far").alias(far),
+        *[col(f"~{p}").alias(p) for p in props],
+    )
+    return stored_names(edge, rows)
+
+
 def connect(
     graph: PropertyGraph,
     model: type[NodeModel],
@@ -78,12 +126,7 @@ def connect(
     rel = model.relationship(rel_name)
     edge = graph.edge_table(rel.rel_type)
     edges = graph.edge_frame(rel.rel_type)
-    props = [p for p in edge.prop_names() if p in pairs.columns]
-    for name, prop in (edge.model.properties() if edge.model else {}).items():
-        if prop.has_default:
-            given = col(name) if name in props else F.lit(None).cast(prop.spark_type)
-            pairs = pairs.withColumn(name, F.coalesce(given, prop.default_column()))
-            props += [] if name in props else [name]
+    pairs, props = with_defaults(edge, pairs)
     right = pairs.select(
         col("near_id").alias("~near"), col("far_id").alias("~far"),
         *[col(p).alias(f"~{p}") for p in props],
@@ -99,9 +142,7 @@ def connect(
     kinds = touched.select("~edge_key", *[col(p) for p in props]).distinct()
     missing = right.join(kinds, on, "left_anti")
     near, far = _ends(rel)
-    ident = as_expr(new_edge_id) if new_edge_id is not None else F.sha2(
-        F.to_json(F.struct(col("~near"), col("~far"), *[col(f"~{p}") for p in props])), 256
-    )
+    ident = as_expr(new_edge_id) if new_edge_id is not None else hashed_id(props)
     new = missing.select(
         ident.alias("edge_id"), col("~near").alias(near), col("~far").alias(far),
         *[col(f"~{p}").alias(p) for p in props],

@@ -6,6 +6,8 @@ The manifest of a version lists the segments that make it up. Segments have name
 that what a failed write left behind belongs to no version, and a version is there once its
 manifest has been renamed into place, which only one of two writers can do. Readers merge a bucket's
 base with the deltas after it; `compacted` rewrites buckets so that there is nothing to merge.
+A *fresh* segment has only rows that were not there before, without marks: it is read beside the
+base and nothing is merged for it, but what later deltas change of it.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ class Segment:
     folder: str
     base: bool
     buckets: dict[int, int]
+    fresh: bool = False
 
 
 @dataclass(frozen=True)
@@ -75,7 +78,12 @@ class Manifest:
         tables = {}
         for name, t in raw["tables"].items():
             segments = tuple(
-                Segment(s["folder"], s["base"], {int(b): n for b, n in s["buckets"].items()})
+                Segment(
+                    s["folder"],
+                    s["base"],
+                    {int(b): n for b, n in s["buckets"].items()},
+                    s.get("fresh", False),
+                )
                 for s in t["segments"]
             )
             tables[name] = TableState(t["schema"], t["identity"], tuple(t["place"]), segments)
@@ -137,21 +145,30 @@ class Folder:
         return found
 
     # -- rows -------------------------------------------------------------
-    def write(self, name: str, rows: DataFrame, identity: str, base: bool) -> Segment:
-        """Rows with their bucket, sorted by it. Ranges split a bucket that holds very many rows."""
+    def write(
+        self,
+        name: str,
+        rows: DataFrame,
+        identity: str,
+        base: bool,
+        fresh: bool = False,
+        moved: bool = True,
+    ) -> Segment:
+        """Rows with their bucket, sorted by it. Ranges split a bucket that holds very many rows;
+        without `moved` each task writes a file for each bucket of its own rows, and no row travels."""
         at = f"data/{quote(name, safe='')}/{uuid4().hex}"
         keys = [col(BUCKET), col(identity)]
-        rows.repartitionByRange(*keys).sortWithinPartitions(*keys).write.partitionBy(BUCKET).parquet(
-            f"{self.path}/{at}"
-        )
-        return Segment(at, base, self.sizes(at))
+        rows = rows.repartitionByRange(*keys) if moved else rows
+        files = rows.sortWithinPartitions(*keys).write.option("compression", "zstd")
+        files.partitionBy(BUCKET).parquet(f"{self.path}/{at}")
+        return Segment(at, base, self.sizes(at), fresh)
 
     def _rows(self, state: TableState, segment: Segment, buckets: Collection[int] | None) -> DataFrame | None:
         live = set(segment.buckets) if buckets is None else set(segment.buckets) & set(buckets)
         if not live:
             return None
         fields = [*state.struct().fields, T.StructField(BUCKET, T.IntegerType())]
-        if not segment.base:
+        if not (segment.base or segment.fresh):
             fields.append(T.StructField(GONE, T.BooleanType()))
         rows = self.spark.read.schema(T.StructType(fields)).parquet(f"{self.path}/{segment.folder}")
         return rows.where(col(BUCKET).isin(sorted(live)))
@@ -166,19 +183,23 @@ class Folder:
         for turn, segment in enumerate(state.segments):
             rows = self._rows(state, segment, buckets)
             if rows is not None:
-                (base if segment.base else deltas).append(
-                    rows if segment.base else rows.withColumn(TURN, F.lit(turn))
-                )
+                whole = segment.base or segment.fresh
+                (base if whole else deltas).append(rows.withColumn(TURN, F.lit(turn)))
+        empty = empty.withColumn(TURN, F.lit(0))
         whole = reduce(DataFrame.unionByName, base) if base else empty
-        whole = whole.select(*map(col, [*names, BUCKET]))
         if not deltas:
-            return whole
+            return whole.select(*map(col, [*names, BUCKET]))
         last = reduce(DataFrame.unionByName, deltas)
         if len(deltas) > 1:
             rest = F.struct(*[col(c) for c in [*names, GONE] if c != state.identity])
-            last = last.groupBy(*map(col, keys)).agg(F.max_by(rest, col(TURN)).alias("~last"))
-            last = last.select(*map(col, keys), "~last.*")
-        kept = whole.join(last.select(*map(col, keys)), keys, "left_anti")
+            last = last.groupBy(*map(col, keys)).agg(
+                F.max_by(rest, col(TURN)).alias("~last"), F.max(TURN).alias(TURN)
+            )
+            last = last.select(*map(col, keys), "~last.*", col(TURN))
+        # an id that was gone may be there again in a fresh segment after its mark
+        after = last.select(*[col(c).alias(f"~d{c}") for c in [*keys, TURN]])
+        same = [col(c) == col(f"~d{c}") for c in keys]
+        kept = whole.join(after, [*same, col(TURN) < col(f"~d{TURN}")], "left_anti")
         added = last.where(~col(GONE)).select(*map(col, [*names, BUCKET]))
         return kept.select(*map(col, [*names, BUCKET])).unionByName(added)
 
