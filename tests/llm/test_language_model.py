@@ -132,6 +132,21 @@ def test_filter_keeps_within_its_bits(spark, monkeypatch):
     check(bloom_lm.scored(docs, model).collect(), rows, plain_base(rows), want)
 
 
+@pytest.mark.parametrize("order, bits", [(2, 1_200_000), (3, 1_200_000), (2, 0), (1, 0)])
+def test_what_the_filter_leaves_out_is_joined(spark, monkeypatch, order, bits):
+    """With `whole`, scores are those of all counts, whatever fits into the filter."""
+    monkeypatch.setattr(bloom_lm, "HASHES", 12)
+    monkeypatch.setattr(bloom_lm, "ENTRY_BITS", 640)
+    monkeypatch.setattr(bloom_lm, "COUNTED", 500)
+    texts = texts_of(9)
+    rows = list(zip([None, *range(1, len(texts)), 5, 5], [*texts, texts[5], texts[5]], strict=True))
+    docs = documents(spark, [t for _, t in rows], [i for i, _ in rows])
+    model = bloom_lm.fitted(docs, ~held_out(7, 2), order, bits=bits)
+    assert max(model.filter.least.values()) > 1
+    found = bloom_lm.scored(docs, model, whole=True).collect()
+    check(found, rows, plain_base(rows), plain_scores(rows, order))
+
+
 def test_filter_never_misses_and_seldom_errs(spark):
     texts = [" ".join(words(random.Random(i), 400, 3000)) for i in range(30)]
     docs = documents(spark, texts)

@@ -15,8 +15,10 @@ false members of the filter, about one in a hundred probes). All bits of one ent
 of 64 bits, so that a probe reads one place of the filter.
 
 The filter is broadcast. Its size follows the corpus until `BITS`, the bound; beyond it the rarest
-levels of the order that takes most are left out, as far as needed and nowhere else (such n-grams
-count as unseen and fall back on the shorter context). Counts themselves are never cut.
+levels of the order that takes most are left out, as far as needed and nowhere else. With `whole`,
+as in the query, n-grams that the filter does not have then get their level by a join with the exact
+counts of those left out; without it they count as unseen and fall back on the shorter context.
+Counts themselves are never cut.
 
 Exact counts of single tokens are a table. Tokens that have at least one in `HOT` of all tokens, of
 which there are at most HOT, are broadcast; all others are joined, so that no join key is hot.
@@ -349,6 +351,30 @@ def filter_rows(counts: DataFrame, parts: int, least: dict[int, int]) -> DataFra
     return counts.mapInArrow(run, "gram int, part int, bits binary")
 
 
+def places(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """Part and tag of n-grams in one number."""
+    return slots(hashes, parts) << 32 | tags(hashes, parts).astype(np.int64)
+
+
+def rare_rows(counts: DataFrame, parts: int, least: dict[int, int]) -> DataFrame:
+    """gram, place and level of all n-grams of levels that the filter leaves out, a row each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, 1):
+            row = batch.to_pylist()[0]
+            keys, learnt, _ = arrays_of(row)
+            tag = tags(keys, parts) if row["gram"] == 1 else keys
+            level = levels_of(learnt)
+            out = (level > 0) & (level < least[row["gram"]])
+            place = (np.int64(row["part"]) << 32) | tag[out].astype(np.int64)
+            columns = [np.full(len(place), row["gram"], np.int32), place, level[out].astype(np.int32)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in columns], ["gram", "place", "level"]
+            )
+
+    return counts.mapInArrow(run, "gram int, place long, level int")
+
+
 @dataclass
 class Filter:
     """The filter of all orders: words of bits, where each part of an order begins, and its size."""
@@ -382,18 +408,22 @@ class Model:
     """Small numbers and the filter (to broadcast), and the exact counts as tables."""
 
     order: int
-    #: Tokens learnt from, distinct ones, and the sum of the least counts of their levels.
+    #: Tokens learnt from, distinct ones, and the sum of the least counts of their levels: of those
+    #: that the filter has, and of all.
     tokens: int
     distinct: int
     mass: int
+    whole_mass: int
     filter: Filter
     #: Hashes of hot tokens in order and their exact counts, and all tokens' (a DataFrame).
     hot: np.ndarray
     hot_counts: np.ndarray
     counts: DataFrame | None = field(repr=False)
+    #: The n-grams that the filter leaves out (a DataFrame, None if it has all).
+    rare: DataFrame | None = field(default=None, repr=False)
 
     def tables(self) -> dict:
-        names = ("order", "tokens", "distinct", "mass", "hot", "hot_counts")
+        names = ("order", "tokens", "distinct", "mass", "whole_mass", "hot", "hot_counts")
         return {name: getattr(self, name) for name in names} | {"filter": vars(self.filter)}
 
     @classmethod
@@ -434,28 +464,91 @@ def fitted(docs: DataFrame, learn: Column, order: int = ORDER, bits: int = BITS)
         sum(r["learnt"] for r in own),
         sum(r["n"] for r in own if r["level"]),
         sum(int(EDGES[r["level"]]) * r["n"] for r in own if r["level"] >= least[1]),
+        sum(int(EDGES[r["level"]]) * r["n"] for r in own),
         gathered(counts, parts, least),
         hashes[in_order],
         hot["learnt"].to_numpy().astype(np.int64)[in_order],
         tokens.select("token", "learnt"),
+        rare_rows(counts, parts, least) if max(least.values()) > 1 else None,
     )
 
 
-def probabilities(texts: Texts, model: Model) -> np.ndarray:
-    """Smoothed probability of each token (those of beginnings have no meaning)."""
+def probabilities(texts: Texts, model: Model, rare: dict | None = None) -> np.ndarray:
+    """Smoothed probability of each token (those of beginnings have no meaning).
+
+    `rare` has places in order and levels for each order: of the n-grams of these texts that the
+    filter leaves out. With it no level is missing.
+    """
     grams = texts.grams(model.order)
+    least = model.filter.least if rare is None else dict.fromkeys(model.filter.least, 1)
+    mass = model.mass if rare is None else model.whole_mass
+
+    def levels(n: int, hashes: np.ndarray) -> np.ndarray:
+        level = model.filter.levels(n, hashes)
+        if rare and n in rare:
+            known, found = rare[n]
+            missing = np.flatnonzero(level == 0)
+            at, there = hot_places(places(hashes[missing], model.filter.parts), known)
+            level[missing[there]] = found[at[there]]
+        return level
+
     different, back = np.unique(grams[0], return_inverse=True)
-    level = model.filter.levels(1, different)[back]
-    p = (EDGES[level] + 1) / (model.mass + model.distinct + 1)
+    level = levels(1, different)[back]
+    p = (EDGES[level] + 1) / (mass + model.distinct + 1)
     for n in range(2, model.order + 1):
-        unseen = EDGES[model.filter.least[n - 1]] - 1
+        unseen = EDGES[least[n - 1]] - 1
         high = np.where(level, EDGES[level + 1] - 1, unseen)
         context = np.r_[0, high[:-1]][: len(high)]
-        level = model.filter.levels(n, grams[n - 1])
+        level = levels(n, grams[n - 1])
         p = np.minimum((EDGES[level] + MASS * p) / (context + MASS), 1.0)
     return p
 
 
+def rare_levels(rows: DataFrame, model: Model, shared) -> DataFrame:
+    """KEY and `rare`: for each text its n-grams that the filter leaves out, with their levels.
+
+    Asked for is what the filter does not have, so no n-gram of many rows to learn from.
+    """
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Model.of(shared.value)
+        for batch in sliced(batches, ROWS):
+            keys = [batch.column(i).to_numpy() for i in (1, 2)]
+            texts = Texts.of(batch.column(3).to_pylist(), own.order)
+            for n, hashes in enumerate(texts.grams(own.order), 1):
+                if own.filter.least[n] == 1:
+                    continue
+                inside = texts.inside(n)
+                different, back = np.unique(hashes[inside], return_inverse=True)
+                absent = own.filter.levels(n, different) == 0
+                chosen = absent[back]
+                pair = np.unique(texts.text[inside][chosen] * max(1, len(different)) + back[chosen])
+                row, gram = np.divmod(pair, max(1, len(different)))
+                place = places(different[gram], own.filter.parts)
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(k[row]) for k in keys), pa.array(np.full(len(row), n, np.int32)), pa.array(place)],
+                    [*KEY, "gram", "place"],
+                )
+
+    asked = rows.mapInArrow(ask, "key_id long, key_hash long, gram int, place long")
+    found = asked.join(model.rare, ["gram", "place"])
+    # rows that repeat share a key: a set, so that they add nothing
+    return found.groupBy(*KEY).agg(F.collect_set(F.struct("gram", "place", "level")).alias("rare"))
+
+
+def rare_tables(column: pa.Array) -> dict:
+    """For each order: places in order, and the greatest level of each."""
+    flat = column.flatten()
+    gram, place, level = (flat.field(x).to_numpy(zero_copy_only=False) for x in range(3))
+    out = {}
+    for n in np.unique(gram).tolist():
+        order = np.lexsort((level[gram == n], place[gram == n]))
+        at, high = place[gram == n][order], level[gram == n][order].astype(np.int64)
+        last = np.r_[at[1:] != at[:-1], True]
+        out[n] = (at[last], high[last])
+    return out
+
+
 def hot_places(tokens: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Place of each token among the hot ones, and whether it is one."""
     if not len(hot):
@@ -464,9 +557,11 @@ def hot_places(tokens: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndar
     return at, hot[at] == tokens
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
+def scored(docs: DataFrame, model: Model, whole: bool = False) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score, a row for each of docs.
 
+    With `whole`, n-grams that did not fit into the filter have their levels in the score too.
+
     score is the log10 probability of the text and its end under the model; base_score that of its
     tokens alone by exact counts, each raised by one. A null text counts as empty: its end alone.
     """
@@ -477,13 +572,16 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), *KEY, F.col("text").cast("binary").alias("text")
     )
 
+    joined = whole and model.rare is not None
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model.of(shared.value)
         for batch in sliced(batches, ROWS):
             n = batch.num_rows
             texts = Texts.of(batch.column(3).to_pylist(), own.order)
             real, text = texts.real, texts.text[texts.real]
-            log = np.log10(probabilities(texts, own)[real])
+            rare = rare_tables(batch.column(4)) if joined else None
+            log = np.log10(probabilities(texts, own, rare)[real])
             at, is_hot = hot_places(texts.tokens[real], own.hot)
             count = np.where(is_hot, own.hot_counts[at] if len(own.hot) else 0, 0)
             sums = [
@@ -520,7 +618,11 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
                 [*KEY, "token", "times"],
             )
 
-    own = rows.mapInArrow(
+    texts = rows
+    if joined:
+        found = rare_levels(rows, model, shared)
+        texts = rows.join(found, KEY, "left").select("doc_id", *KEY, "text", "rare")
+    own = texts.mapInArrow(
         score,
         "doc_id long, key_id long, key_hash long, n_tokens long, hot_known long, hot_log double, "
         "score double",
