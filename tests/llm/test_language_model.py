@@ -147,6 +147,33 @@ def test_what_the_filter_leaves_out_is_joined(spark, monkeypatch, order, bits):
     check(found, rows, plain_base(rows), plain_scores(rows, order))
 
 
+@pytest.mark.parametrize("order, hot, lowest", [(2, 4, 2), (3, 1 << 20, 2), (2, 4, 1)])
+def test_questions_travel_packed(spark, monkeypatch, order, hot, lowest):
+    """Rows follow chunks and parts, not n-grams; bytes are few; scores are those of all counts."""
+    monkeypatch.setattr(bloom_lm, "HASHES", 12)
+    monkeypatch.setattr(bloom_lm, "ENTRY_BITS", 640)
+    monkeypatch.setattr(bloom_lm, "HOT", hot)
+    monkeypatch.setattr(bloom_lm, "COUNTED", 500)
+    monkeypatch.setattr(bloom_lm, "PART_BYTES", 1 << 17)
+    monkeypatch.setattr(bloom_lm, "ASKED_BYTES", 1 << 12)
+    texts = texts_of(5)
+    rows = list(zip([None, *range(1, len(texts)), 5, 5], [*texts, texts[5], texts[5]], strict=True))
+    docs = documents(spark, [t for _, t in rows], [i for i, _ in rows])
+    model = bloom_lm.fitted(docs, ~held_out(7, 2), order, lowest=lowest)
+    assert model.filter.parts > 1 and model.filter.least[1] == 1 and model.filter.least[2] == lowest
+    plain = docs.selectExpr("doc_id", "cast(text as binary) as text")
+    shared = spark.sparkContext.broadcast(model.tables())
+    asked = bloom_lm.asked(plain, model, shared, True).collect()
+    chunks = {r.chunk for r in asked}
+    assert len(asked) <= len(chunks) * (1 + order * model.filter.parts)
+    assert sum(r.gram == 0 for r in asked) == len(chunks) > 4
+    n_tokens = sum(len(plain_tokens(t)) for _, t in rows)
+    asked_bytes = sum(len(r.data) for r in asked if r.gram > 1)
+    assert asked_bytes <= 4 * n_tokens * (order - 1) and (asked_bytes > 0) == (lowest > 1)
+    found = bloom_lm.scored(docs, model, whole=True).collect()
+    check(found, rows, plain_base(rows), plain_scores(rows, order))
+
+
 def test_filter_never_misses_and_seldom_errs(spark):
     texts = [" ".join(words(random.Random(i), 400, 3000)) for i in range(30)]
     docs = documents(spark, texts)

@@ -16,12 +16,16 @@ of 64 bits, so that a probe reads one place of the filter.
 
 The filter is broadcast. Its size follows the corpus until `BITS`, the bound; beyond it the rarest
 levels of the order that takes most are left out, as far as needed and nowhere else. With `whole`,
-as in the query, n-grams that the filter does not have then get their level by a join with the exact
-counts of those left out; without it they count as unseen and fall back on the shorter context.
-Counts themselves are never cut.
+as in the query, n-grams that the filter does not have then get their level from the exact counts;
+without it they count as unseen and fall back on the shorter context. Counts themselves are never
+cut.
 
 Exact counts of single tokens are a table. Tokens that have at least one in `HOT` of all tokens, of
-which there are at most HOT, are broadcast; all others are joined, so that no join key is hot.
+which there are at most HOT, are broadcast; all others are asked for.
+
+What is asked for travels packed: a task asks for the different n-grams of some megabytes of texts
+at once, each part of the hashes meets its counts, and the answers go back to those texts, of which
+only levels and places of answers were kept.
 """
 
 from __future__ import annotations
@@ -32,10 +36,12 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm.common import KEY, keyed, mixed, sliced, stored
+from weftgraph.llm.common import mixed, sliced, stored
 
 ORDER = 2
 #: Base of the logarithm that makes levels, and the weight of the shorter context.
@@ -52,6 +58,9 @@ COUNTED = 1_200_000
 PART_BYTES = 1 << 23
 #: Rows of texts that are taken at once.
 ROWS = 512
+#: Bytes of texts whose n-grams are asked for together, and n-grams that are probed at once.
+ASKED_BYTES = 1 << 23
+PROBED = 1 << 17
 
 #: Hashes of the tokens that end and that begin a text: of no word, as words have no blanks.
 END = np.uint64(xxhash.xxh64_intdigest(b" end"))
@@ -96,9 +105,16 @@ class Texts:
             parts += [begins, hashes, np.array([END])]
             sizes.append(len(found) + len(begins) + 1)
         tokens = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-        whole = np.array(sizes, np.int64)
-        at = np.arange(len(tokens)) - np.repeat(np.cumsum(whole) - whole, whole)
-        return cls(tokens, np.repeat(np.arange(len(texts)), whole), at >= len(begins))
+        return cls.laid(tokens, np.array(sizes, np.int64), order)
+
+    @classmethod
+    def laid(cls, tokens: np.ndarray, sizes: np.ndarray, order: int) -> Texts:
+        """Texts of these sizes, with their beginnings and ends."""
+        at = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        return cls(tokens, np.repeat(np.arange(len(sizes)), sizes), at >= max(1, order - 1))
+
+    def sizes(self, texts: int) -> np.ndarray:
+        return np.bincount(self.text, minlength=texts)
 
     def grams(self, order: int) -> list[np.ndarray]:
         """For 1 to order: hash of the n-gram that ends at each token (over texts' bounds too)."""
@@ -158,6 +174,28 @@ def unpacked(data: bytes, n: int) -> np.ndarray:
     return counts
 
 
+def planes(values: np.ndarray) -> bytes:
+    """Whole numbers with bytes of equal weight together, so that they pack well."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def from_planes(data: bytes, kind: type, n: int, at: int = 0) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    rows = np.frombuffer(data, np.uint8, n * size, at).reshape(size, n)
+    return np.ascontiguousarray(rows.T).reshape(-1).view(kind)
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Keys in order, as what each is more than the one before it."""
+    steps = np.diff(keys, prepend=keys.dtype.type(0))
+    return zstandard.compress(planes(steps), 3)
+
+
+def unpacked_keys(data: bytes, kind: type) -> np.ndarray:
+    data = zstandard.decompress(data)
+    return np.cumsum(from_planes(data, kind, len(data) // np.dtype(kind).itemsize), dtype=kind)
+
+
 def summed(keys: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
     """Different keys in order, and the sums of their counts; without counts, how often each is there."""
     if counts:
@@ -204,7 +242,7 @@ def counted(docs: DataFrame, learn: Column, order: int, parts: int) -> DataFrame
             ends = np.searchsorted(slots(keys, parts), np.arange(parts + 1))
             for part in np.flatnonzero(np.diff(ends)).tolist():
                 cut = slice(ends[part], ends[part + 1])
-                rows.append((1, part, keys[cut].tobytes(), packed(some[cut]), packed(every[cut])))
+                rows.append((1, part, packed_keys(keys[cut]), packed(some[cut]), packed(every[cut])))
             for gram in range(2, order + 1):
                 found = [t.grams(gram)[-1][t.inside(gram) & x] for t, x in held]
                 keys, some = summed(np.concatenate(found))
@@ -212,7 +250,7 @@ def counted(docs: DataFrame, learn: Column, order: int, parts: int) -> DataFrame
                 small = tags(keys, parts)
                 for part in np.flatnonzero(np.diff(ends)).tolist():
                     cut = slice(ends[part], ends[part + 1])
-                    rows.append((gram, part, small[cut].tobytes(), packed(some[cut]), None))
+                    rows.append((gram, part, packed_keys(small[cut]), packed(some[cut]), None))
             held.clear()
             return part_rows(rows)
 
@@ -230,7 +268,7 @@ def counted(docs: DataFrame, learn: Column, order: int, parts: int) -> DataFrame
     def merge(table: pa.Table) -> pa.Table:
         gram, part = table["gram"][0].as_py(), table["part"][0].as_py()
         kind = np.uint64 if gram == 1 else np.uint32
-        blobs = [np.frombuffer(x, kind) for x in table["keys"].to_pylist()]
+        blobs = [unpacked_keys(x, kind) for x in table["keys"].to_pylist()]
 
         def counts(name: str) -> np.ndarray:
             both = zip(table[name].to_pylist(), blobs, strict=True)
@@ -239,10 +277,10 @@ def counted(docs: DataFrame, learn: Column, order: int, parts: int) -> DataFrame
         keys = np.concatenate(blobs)
         if gram == 1:
             keys, some, every = summed(keys, counts("learnt"), counts("whole"))
-            row = (gram, part, keys.tobytes(), packed(some), packed(every))
+            row = (gram, part, packed_keys(keys), packed(some), packed(every))
         else:
             keys, some = summed(keys, counts("learnt"))
-            row = (gram, part, keys.tobytes(), packed(some), None)
+            row = (gram, part, packed_keys(keys), packed(some), None)
         return pa.Table.from_batches([part_rows([row])])
 
     text = F.col("text").cast("string").cast("binary")
@@ -253,7 +291,7 @@ def counted(docs: DataFrame, learn: Column, order: int, parts: int) -> DataFrame
 
 def arrays_of(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
     """Keys and counts of a row of `counted`."""
-    keys = np.frombuffer(row["keys"], np.uint64 if row["gram"] == 1 else np.uint32)
+    keys = unpacked_keys(row["keys"], np.uint64 if row["gram"] == 1 else np.uint32)
     whole = None if row["whole"] is None else unpacked(row["whole"], len(keys))
     return keys, unpacked(row["learnt"], len(keys)), whole
 
@@ -307,13 +345,16 @@ def level_sums(counts: DataFrame) -> list:
     return rows.groupBy("gram", "begin", "level").agg(*sums).collect()
 
 
-def thresholds(sums: list, order: int, bits: int) -> dict[int, int]:
-    """The least level of each order that the filter has, so that it keeps within its bits."""
+def thresholds(sums: list, order: int, bits: int, lowest: int = 1) -> dict[int, int]:
+    """The least level of each order that the filter has, so that it keeps within its bits.
+
+    It is `lowest` at least for n-grams of two tokens and more.
+    """
     entries = {g: {} for g in range(1, order + 1)}
     for r in sums:
         if r["level"]:
             entries[r["gram"]][r["level"]] = entries[r["gram"]].get(r["level"], 0) + r["n"]
-    least = dict.fromkeys(entries, 1)
+    least = {g: lowest if g > 1 else 1 for g in entries}
 
     def needed(gram: int) -> int:
         from_here = least[gram] - 1
@@ -351,30 +392,6 @@ def filter_rows(counts: DataFrame, parts: int, least: dict[int, int]) -> DataFra
     return counts.mapInArrow(run, "gram int, part int, bits binary")
 
 
-def places(hashes: np.ndarray, parts: int) -> np.ndarray:
-    """Part and tag of n-grams in one number."""
-    return slots(hashes, parts) << 32 | tags(hashes, parts).astype(np.int64)
-
-
-def rare_rows(counts: DataFrame, parts: int, least: dict[int, int]) -> DataFrame:
-    """gram, place and level of all n-grams of levels that the filter leaves out, a row each."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, 1):
-            row = batch.to_pylist()[0]
-            keys, learnt, _ = arrays_of(row)
-            tag = tags(keys, parts) if row["gram"] == 1 else keys
-            level = levels_of(learnt)
-            out = (level > 0) & (level < least[row["gram"]])
-            place = (np.int64(row["part"]) << 32) | tag[out].astype(np.int64)
-            columns = [np.full(len(place), row["gram"], np.int32), place, level[out].astype(np.int32)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in columns], ["gram", "place", "level"]
-            )
-
-    return counts.mapInArrow(run, "gram int, place long, level int")
-
-
 @dataclass
 class Filter:
     """The filter of all orders: words of bits, where each part of an order begins, and its size."""
@@ -415,12 +432,10 @@ class Model:
     mass: int
     whole_mass: int
     filter: Filter
-    #: Hashes of hot tokens in order and their exact counts, and all tokens' (a DataFrame).
+    #: Hashes of hot tokens in order and their exact counts, and those of all n-grams (`counted`).
     hot: np.ndarray
     hot_counts: np.ndarray
     counts: DataFrame | None = field(repr=False)
-    #: The n-grams that the filter leaves out (a DataFrame, None if it has all).
-    rare: DataFrame | None = field(default=None, repr=False)
 
     def tables(self) -> dict:
         names = ("order", "tokens", "distinct", "mass", "whole_mass", "hot", "hot_counts")
@@ -443,9 +458,14 @@ def gathered(counts: DataFrame, parts: int, least: dict[int, int]) -> Filter:
     return Filter(parts, least, np.concatenate(held), starts, sizes, bit_masks())
 
 
-def fitted(docs: DataFrame, learn: Column, order: int = ORDER, bits: int = BITS) -> Model:
+def fitted(
+    docs: DataFrame, learn: Column, order: int = ORDER, bits: int = BITS, lowest: int = 1
+) -> Model:
     """Counts the rows of docs for which learn holds, and builds the filter.
 
+    With `lowest` 2, n-grams of two tokens and more are in the filter from the second level on: those
+    that are there once take most of it. Only `scored` with `whole` then has all of them.
+
     To the driver come the filter (`bits` at most), at most HOT tokens, and sums of each level.
     """
     size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).head()[0] or 0
@@ -453,7 +473,7 @@ def fitted(docs: DataFrame, learn: Column, order: int = ORDER, bits: int = BITS)
     counts = counted(docs, learn, order, parts)
     sums = level_sums(counts)
     own = [r for r in sums if r["gram"] == 1 and not r["begin"]]
-    least = thresholds(sums, order, bits)
+    least = thresholds(sums, order, bits, lowest)
     whole = sum(r["whole"] for r in own)
     tokens = token_rows(counts)
     hot = tokens.where(F.col("whole") * HOT >= whole).select("token", "learnt").toArrow()
@@ -468,93 +488,200 @@ def fitted(docs: DataFrame, learn: Column, order: int = ORDER, bits: int = BITS)
         gathered(counts, parts, least),
         hashes[in_order],
         hot["learnt"].to_numpy().astype(np.int64)[in_order],
-        tokens.select("token", "learnt"),
-        rare_rows(counts, parts, least) if max(least.values()) > 1 else None,
+        counts,
     )
 
 
-def probabilities(texts: Texts, model: Model, rare: dict | None = None) -> np.ndarray:
-    """Smoothed probability of each token (those of beginnings have no meaning).
+def smoothed(levels: list[np.ndarray], model: Model, whole: bool) -> np.ndarray:
+    """Smoothed probability of each token, from the levels of each order's n-grams that end there.
 
-    `rare` has places in order and levels for each order: of the n-grams of these texts that the
-    filter leaves out. With it no level is missing.
+    With `whole`, no level is missing because the filter had no room.
     """
-    grams = texts.grams(model.order)
-    least = model.filter.least if rare is None else dict.fromkeys(model.filter.least, 1)
-    mass = model.mass if rare is None else model.whole_mass
-
-    def levels(n: int, hashes: np.ndarray) -> np.ndarray:
-        level = model.filter.levels(n, hashes)
-        if rare and n in rare:
-            known, found = rare[n]
-            missing = np.flatnonzero(level == 0)
-            at, there = hot_places(places(hashes[missing], model.filter.parts), known)
-            level[missing[there]] = found[at[there]]
-        return level
-
-    different, back = np.unique(grams[0], return_inverse=True)
-    level = levels(1, different)[back]
-    p = (EDGES[level] + 1) / (mass + model.distinct + 1)
+    least = dict.fromkeys(model.filter.least, 1) if whole else model.filter.least
+    mass = model.whole_mass if whole else model.mass
+    p = (EDGES[levels[0]] + 1) / (mass + model.distinct + 1)
     for n in range(2, model.order + 1):
         unseen = EDGES[least[n - 1]] - 1
-        high = np.where(level, EDGES[level + 1] - 1, unseen)
+        high = np.where(levels[n - 2], EDGES[levels[n - 2] + 1] - 1, unseen)
         context = np.r_[0, high[:-1]][: len(high)]
-        level = levels(n, grams[n - 1])
-        p = np.minimum((EDGES[level] + MASS * p) / (context + MASS), 1.0)
+        p = np.minimum((EDGES[levels[n - 1]] + MASS * p) / (context + MASS), 1.0)
     return p
 
 
-def rare_levels(rows: DataFrame, model: Model, shared) -> DataFrame:
-    """KEY and `rare`: for each text its n-grams that the filter leaves out, with their levels.
+def probabilities(texts: Texts, model: Model) -> np.ndarray:
+    """Probabilities by the filter alone (those of beginnings have no meaning)."""
+    grams = enumerate(texts.grams(model.order), 1)
+    return smoothed([model.filter.levels(n, hashes) for n, hashes in grams], model, False)
+
+
+def hot_places(tokens: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each token among the hot ones, and whether it is one."""
+    if not len(hot):
+        return np.zeros(len(tokens), np.int64), np.zeros(len(tokens), bool)
+    at = np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)
+    return at, hot[at] == tokens
+
+
+CHUNK_SCHEMA = "chunk long, gram int, part long, data binary"
+CHUNK = ["chunk", "gram", "part", "data"]
+CHUNK_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+
 
-    Asked for is what the filter does not have, so no n-gram of many rows to learn from.
+def chunk_rows(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [[] for _ in CHUNK]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(columns, CHUNK_TYPES, strict=True)], CHUNK
+    )
+
+
+#: Of a text in a chunk: its doc_id and whether it has one, its tokens with beginnings and end, how
+#: many of them are hot and known, and the sum of their logarithms.
+TEXT = np.dtype([("doc_id", "<i8"), ("valid", "?"), ("size", "<i8"), ("known", "<i8"), ("log", "<f8")])
+
+
+#: Marks the level of an n-gram that is asked for.
+ASKED = 128
+
+
+def kept_bytes(texts: np.ndarray, grams: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> bytes:
+    """What is kept of a chunk: its texts, and for each order levels (with marks), numbers of what
+    was asked for before (else 0), and the parts that were asked, in order of the first places."""
+    out = [np.array([len(texts)], "<i8").tobytes(), texts.tobytes()]
+    for level, number, part in grams:
+        out += [level.astype(np.uint8).tobytes(), planes(number.astype("<u4")), planes(part.astype("<u4"))]
+    return zstandard.compress(b"".join(out), 3)
+
+
+def kept_arrays(data: bytes, order: int) -> tuple[np.ndarray, Texts, list[tuple]]:
+    """The texts and their layout, and for each order: which tokens, levels and numbers of what was
+    asked for (0: nothing), and the parts."""
+    data = zstandard.decompress(data)
+    n = int(np.frombuffer(data, "<i8", 1)[0])
+    rows = np.frombuffer(data, TEXT, n, 8)
+    at, size = 8 + rows.nbytes, int(rows["size"].sum())
+    texts = Texts.laid(np.zeros(size, np.uint64), rows["size"], order)
+    grams = []
+    for gram in range(1, order + 1):
+        inside = texts.inside(gram)
+        m = int(inside.sum())
+        level = np.frombuffer(data, np.uint8, m, at)
+        marked = level >= ASKED
+        number = from_planes(data, "<u4", int(marked.sum()), at + m)
+        first = number == 0
+        part = from_planes(data, "<u4", int(first.sum()), at + m + number.nbytes)
+        place = np.zeros(m, np.int64)
+        place[marked] = np.where(first, np.cumsum(first), number)
+        grams.append((inside, level.astype(np.int64) % ASKED, place, part))
+        at += m + number.nbytes + part.nbytes
+    return rows, texts, grams
+
+
+def asked(rows: DataFrame, model: Model, shared, whole: bool) -> DataFrame:
+    """For each chunk of texts: what is kept of it (gram 0), and the keys that each part is asked for.
+
+    Asked for are the different tokens that are not hot and, with `whole`, n-grams that the filter
+    does not have where it had no room for all.
     """
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model.of(shared.value)
-        for batch in sliced(batches, ROWS):
-            keys = [batch.column(i).to_numpy() for i in (1, 2)]
-            texts = Texts.of(batch.column(3).to_pylist(), own.order)
-            for n, hashes in enumerate(texts.grams(own.order), 1):
-                if own.filter.least[n] == 1:
-                    continue
-                inside = texts.inside(n)
-                different, back = np.unique(hashes[inside], return_inverse=True)
-                absent = own.filter.levels(n, different) == 0
-                chosen = absent[back]
-                pair = np.unique(texts.text[inside][chosen] * max(1, len(different)) + back[chosen])
-                row, gram = np.divmod(pair, max(1, len(different)))
-                place = places(different[gram], own.filter.parts)
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(k[row]) for k in keys), pa.array(np.full(len(row), n, np.int32)), pa.array(place)],
-                    [*KEY, "gram", "place"],
+        parts = own.filter.parts
+        chunk = TaskContext.get().partitionId() << 32
+        ids, held, n = [], [], 0
+
+        def flushed() -> pa.RecordBatch:
+            texts = Texts.of(held, own.order)
+            kept = np.zeros(len(ids), TEXT)
+            kept["doc_id"], kept["valid"] = [x or 0 for x in ids], [x is not None for x in ids]
+            kept["size"] = texts.sizes(len(ids))
+            grams, out = [], []
+            for gram, hashes in enumerate(texts.grams(own.order), 1):
+                different, place, back = np.unique(
+                    hashes[texts.inside(gram)], return_index=True, return_inverse=True
                 )
+                level = np.zeros(len(different), np.uint8)
+                for first in range(0, len(different), PROBED):
+                    cut = slice(first, first + PROBED)
+                    level[cut] = own.filter.levels(gram, different[cut])
+                wanted = np.zeros(len(different), bool)
+                if gram == 1:
+                    at, is_hot = hot_places(different, own.hot)
+                    count = np.where(is_hot, own.hot_counts[at] if len(own.hot) else 0, 0)
+                    text, real = texts.text[texts.real], back[texts.real]
+                    kept["known"] = np.bincount(text, (count > 0)[real], len(ids))
+                    kept["log"] = np.bincount(text, np.log10(count + 1.0)[real], len(ids))
+                    wanted = ~is_hot
+                    if whole:
+                        level = np.where(level == 0, levels_of(count), level)
+                elif whole and own.filter.least[gram] > 1:
+                    wanted = level == 0
+                # what is wanted, in order of the places where it stands first
+                own_order = np.flatnonzero(wanted)
+                own_order = own_order[np.argsort(place[own_order])]
+                number = np.zeros(len(different), np.int64)
+                number[own_order] = np.arange(1, len(own_order) + 1)
+                marked = wanted[back]
+                again = np.where(place[back] == np.arange(len(back)), 0, number[back])[marked]
+                keys = different[own_order]
+                part_of = slots(keys, parts)
+                grams.append((level[back] + ASKED * marked, again, part_of))
+                by_part = np.argsort(part_of, kind="stable")
+                ends = np.searchsorted(part_of[by_part], np.arange(parts + 1))
+                keys = (keys if gram == 1 else tags(keys, parts))[by_part]
+                for part in np.flatnonzero(np.diff(ends)).tolist():
+                    out.append((chunk, gram, part, keys[ends[part] : ends[part + 1]].tobytes()))
+            out.append((chunk, 0, chunk, kept_bytes(kept, grams)))
+            ids.clear()
+            held.clear()
+            return chunk_rows(out)
 
-    asked = rows.mapInArrow(ask, "key_id long, key_hash long, gram int, place long")
-    found = asked.join(model.rare, ["gram", "place"])
-    # rows that repeat share a key: a set, so that they add nothing
-    return found.groupBy(*KEY).agg(F.collect_set(F.struct("gram", "place", "level")).alias("rare"))
-
-
-def rare_tables(column: pa.Array) -> dict:
-    """For each order: places in order, and the greatest level of each."""
-    flat = column.flatten()
-    gram, place, level = (flat.field(x).to_numpy(zero_copy_only=False) for x in range(3))
-    out = {}
-    for n in np.unique(gram).tolist():
-        order = np.lexsort((level[gram == n], place[gram == n]))
-        at, high = place[gram == n][order], level[gram == n][order].astype(np.int64)
-        last = np.r_[at[1:] != at[:-1], True]
-        out[n] = (at[last], high[last])
-    return out
+        for batch in sliced(batches, ROWS):
+            both = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            for doc_id, text in both:
+                ids.append(doc_id)
+                held.append(text)
+                n += len(text or b"") + 16
+                if n >= ASKED_BYTES:
+                    yield flushed()
+                    chunk, n = chunk + 1, 0
+        if held:
+            yield flushed()
 
+    return rows.mapInArrow(ask, CHUNK_SCHEMA)
+
+
+def answer(key: tuple, questions: pa.Table, counts: pa.Table) -> pa.Table:
+    """Counts of the tokens, or levels of the n-grams, that the chunks ask of a part, in their order."""
+    gram = key[0].as_py()
+    if gram == 0 or not questions.num_rows:
+        return questions.select(CHUNK)
+    known, learnt = np.zeros(0, np.uint64 if gram == 1 else np.uint32), np.zeros(0, np.int64)
+    for row in counts.to_pylist():
+        known, learnt, _ = arrays_of(row)
+    out = []
+    for row in questions.to_pylist():
+        wanted = np.frombuffer(row["data"], known.dtype)
+        at, there = hot_places(wanted, known)
+        found = np.where(there, learnt[at] if len(known) else 0, 0)
+        if gram == 1:
+            data = np.array([len(found)], "<i8").tobytes() + packed(found)
+        else:
+            data = levels_of(found).astype(np.uint8).tobytes()
+        out.append((row["chunk"], gram, row["part"], zstandard.compress(data, 3)))
+    return pa.Table.from_batches([chunk_rows(out)])
 
-def hot_places(tokens: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Place of each token among the hot ones, and whether it is one."""
-    if not len(hot):
-        return np.zeros(len(tokens), np.int64), np.zeros(len(tokens), bool)
-    at = np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)
-    return at, hot[at] == tokens
+
+def answers_of(rows: list[dict], gram: int, part: np.ndarray) -> np.ndarray:
+    """All answers to a chunk by their numbers, behind a zero for what was not asked."""
+    blobs = [r for r in sorted(rows, key=lambda r: r["part"]) if r["gram"] == gram]
+    blobs = [zstandard.decompress(r["data"]) for r in blobs]
+    if gram == 1:
+        found = [unpacked(x[8:], int(np.frombuffer(x, "<i8", 1)[0])) for x in blobs]
+    else:
+        found = [np.frombuffer(x, np.uint8).astype(np.int64) for x in blobs]
+    out = np.zeros(len(part) + 1, np.int64)
+    out[1 + np.argsort(part, kind="stable")] = np.concatenate([np.zeros(0, np.int64), *found])
+    return out
 
 
 def scored(docs: DataFrame, model: Model, whole: bool = False) -> DataFrame:
@@ -566,84 +693,56 @@ def scored(docs: DataFrame, model: Model, whole: bool = False) -> DataFrame:
     tokens alone by exact counts, each raised by one. A null text counts as empty: its end alone.
     """
     spark: SparkSession = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model.tables())
-    names = ["doc_id", *KEY]
-    rows = keyed(docs).select(
-        F.col("doc_id").cast("long").alias("doc_id"), *KEY, F.col("text").cast("binary").alias("text")
-    )
-
-    joined = whole and model.rare is not None
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model.of(shared.value)
-        for batch in sliced(batches, ROWS):
-            n = batch.num_rows
-            texts = Texts.of(batch.column(3).to_pylist(), own.order)
-            real, text = texts.real, texts.text[texts.real]
-            rare = rare_tables(batch.column(4)) if joined else None
-            log = np.log10(probabilities(texts, own, rare)[real])
-            at, is_hot = hot_places(texts.tokens[real], own.hot)
-            count = np.where(is_hot, own.hot_counts[at] if len(own.hot) else 0, 0)
-            sums = [
-                np.bincount(text, minlength=n),
-                np.bincount(text, count > 0, n).astype(np.int64),
-                np.bincount(text, np.log10(count + 1.0), n),
-                np.bincount(text, log, n),
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], *(pa.array(x) for x in sums)],
-                [*names, "n_tokens", "hot_known", "hot_log", "score"],
-            )
-
-    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = shared.value["hot"]
-        for batch in sliced(batches, ROWS):
-            keys = [batch.column(i).to_numpy() for i in (1, 2)]
-            texts = Texts.of(batch.column(3).to_pylist(), 1)
-            tokens, text = texts.tokens[texts.real], texts.text[texts.real]
-            different, back = np.unique(tokens, return_inverse=True)
-            cold = ~hot_places(different, hot)[1][back]
-            pair, times = np.unique(
-                text[cold] * max(1, len(different)) + back[cold], return_counts=True
-            )
-            row, word = np.divmod(pair, max(1, len(different)))
-            # one more row for each text, whose number tells how often the text is there
-            every = np.arange(batch.num_rows)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(pa.array(np.r_[k[row], k]) for k in keys),
-                    pa.array(np.r_[different[word].view(np.int64), keys[1][every]]),
-                    pa.array(np.r_[times, 0 * every]),
-                ],
-                [*KEY, "token", "times"],
-            )
-
-    texts = rows
-    if joined:
-        found = rare_levels(rows, model, shared)
-        texts = rows.join(found, KEY, "left").select("doc_id", *KEY, "text", "rare")
-    own = texts.mapInArrow(
-        score,
-        "doc_id long, key_id long, key_hash long, n_tokens long, hot_known long, hot_log double, "
-        "score double",
+    tables = model.tables()
+    shared = spark.sparkContext.broadcast(tables)
+    none = np.zeros(0, np.uint64)
+    small = tables | {"hot": none, "hot_counts": none, "filter": tables["filter"] | {"bits": none}}
+
+    def finish(table: pa.Table) -> pa.Table:
+        own = Model.of(small)
+        rows = table.to_pylist()
+        (kept,) = (r["data"] for r in rows if r["gram"] == 0)
+        docs, texts, grams = kept_arrays(kept, own.order)
+        real, text, n = texts.real, texts.text[texts.real], len(docs)
+        levels = []
+        for gram, (inside, level, place, part) in enumerate(grams, 1):
+            found = answers_of(rows, gram, part)[place]
+            if gram == 1:
+                known = docs["known"] + np.bincount(text, found[real] > 0, n).astype(np.int64)
+                log = docs["log"] + np.bincount(text, np.log10(found[real] + 1.0), n)
+                found = levels_of(found) if whole else 0 * found
+            levels.append(np.zeros(len(inside), np.int64))
+            levels[-1][inside] = np.where(level == 0, found, level)
+        p = smoothed(levels, own, whole)[real]
+        columns = [
+            pa.array(docs["doc_id"], mask=~docs["valid"]),
+            pa.array(np.bincount(text, minlength=n)),
+            pa.array(known),
+            pa.array(log),
+            pa.array(np.bincount(text, np.log10(p), n)),
+        ]
+        return pa.table(columns, ["doc_id", "n_tokens", "n_known", "log", "score"])
+
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("text").cast("string").cast("binary").alias("text"),
     )
-    pairs = rows.mapInArrow(rest, "key_id long, key_hash long, token long, times long")
-    learnt = model.counts.where("learnt > 0")
-    sums = (
-        pairs.join(learnt, "token", "left")
-        .groupBy(*KEY)
-        .agg(
-            F.sum(F.when(F.col("learnt") > 0, F.col("times")).otherwise(0)).alias("known"),
-            F.sum(F.col("times") * F.log10(F.coalesce("learnt", F.lit(0)) + 1.0)).alias("log"),
-            F.sum(F.when(F.col("times") == 0, 1).otherwise(0)).alias("copies"),
-        )
+    counts = model.counts.select("gram", F.col("part").cast("long").alias("part"), "keys", "learnt", "whole")
+    if not whole or max(model.filter.least.values()) == 1:
+        counts = counts.where("gram = 1")
+    # what a part has in all rows is of no use here
+    counts = counts.withColumn("whole", F.lit(None).cast("binary"))
+    questions = asked(rows, model, shared, whole).groupBy("gram", "part")
+    answers = questions.cogroup(counts.groupBy("gram", "part")).applyInArrow(answer, CHUNK_SCHEMA)
+    found = answers.groupBy("chunk").applyInArrow(
+        finish, "doc_id long, n_tokens long, n_known long, log double, score double"
     )
     each = float(np.log10(model.tokens + model.distinct + 1))
-    return own.join(sums, KEY).select(
+    return found.select(
         "doc_id",
         "n_tokens",
-        (F.col("hot_known") + F.expr("known div copies")).cast("long").alias("n_known"),
+        "n_known",
         F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("hot_log") + F.col("log") / F.col("copies") - F.col("n_tokens") * each).alias("base_score"),
+        (F.col("log") - F.col("n_tokens") * each).alias("base_score"),
         "score",
     )

@@ -227,5 +227,5 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     out = language_id.held_out(7, 2)
-    found = bloom_lm.scored(docs, bloom_lm.fitted(docs, ~out), whole=True)
+    found = bloom_lm.scored(docs, bloom_lm.fitted(docs, ~out, lowest=2), whole=True)
     return found.select("doc_id", out.alias("held_out"), *[c for c in found.columns if c != "doc_id"])
