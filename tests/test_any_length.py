@@ -152,3 +152,22 @@ def test_nothing_to_follow(spark):
     assert [r.node_id for r in spread(empty, seeds).collect()] == [1]
     with pytest.raises(ValueError):
         reachable(g, Station, Station.relationship("line"), max_hops=0)
+
+
+def test_existence_writes_no_edges(spark, monkeypatch):
+    """Where three rounds find all, only ids of nodes are written, and ids keep their type."""
+    written = []
+    real = paths.checkpointed
+    monkeypatch.setattr(paths, "checkpointed", lambda f: written.append(f.dtypes) or real(f))
+    g = network(spark, [(1, 2), (7, 7)], 9, leads=[(2, 0), (5, 1), (6, 77)], feeds=[(1, 8)])
+    rel = Station.relationship("any_depot")
+    assert {r.node_id for r in reaching(g, Station, rel).collect()} == {1, 2, 5}
+    assert written and all(kinds == [("node_id", "bigint")] for kinds in written)
+
+
+@pytest.mark.parametrize("length", [2, 3, 4, 9])
+def test_existence_before_and_after_the_plain_rounds(spark, length):
+    chain = [(i, i + 1) for i in range(length)]
+    g = network(spark, [*chain, (40, 41), (41, 40)], 50, leads=[(length, 2)])
+    rel = Station.relationship("any_depot")
+    assert {r.node_id for r in reaching(g, Station, rel).collect()} == set(range(length + 1))

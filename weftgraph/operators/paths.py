@@ -177,30 +177,122 @@ def reaching(graph: PropertyGraph, model: type[NodeModel], rel: RelationshipDef)
 
     Without direction, walking one edge back and forth does not count as reaching oneself.
     """
+    if rel.direction != Direction.EITHER:
+        return _reaching_by_type(graph, model, rel)
     wildcard = rel.rel_type == "*"
     step = _steps(graph, rel)
     far = graph.node_frame(rel.target).select("node_id")
     near = graph.node_frame(model).select(col("node_id").alias("~own"))
     name = (lambda m, c: _global_id(m, c)) if wildcard else (lambda m, c: c)
     targets = far.select(name(rel.target, col("node_id")).alias("node_id"))
-    if rel.direction == Direction.EITHER:
-        # of every connected part the least and the greatest target: a node needs one other than itself
-        parts = _parts(step.where(col("~from") != col("~to")))
-        known = parts.join(targets.distinct(), "node_id").groupBy("~part")
-        ends = known.agg(F.min("node_id").alias("~least"), F.max("node_id").alias("~most"))
-        found = parts.join(ends, "~part").where(
-            (col("~least") != col("node_id")) | (col("~most") != col("node_id"))
-        )
-        found = found.select(col("node_id").alias("~from"))
-    else:
-        backwards = step.select(col("~to").alias("~from"), col("~from").alias("~to"))
-        reach = spread(backwards, targets.distinct()).select(col("node_id").alias("~hit"))
-        found = step.join(reach, col("~to") == col("~hit"), "left_semi").select("~from").distinct()
+    # of every connected part the least and the greatest target: a node needs one other than itself
+    parts = _parts(step.where(col("~from") != col("~to")))
+    known = parts.join(targets.distinct(), "node_id").groupBy("~part")
+    ends = known.agg(F.min("node_id").alias("~least"), F.max("node_id").alias("~most"))
+    found = parts.join(ends, "~part").where(
+        (col("~least") != col("node_id")) | (col("~most") != col("node_id"))
+    )
+    found = found.select(col("node_id").alias("~from"))
     return near.join(found, name(model, col("~own")) == col("~from"), "left_semi").select(
         col("~own").alias("node_id")
     )
 
 
+#: Types of ids that compare as whole numbers; ids of any other type compare as text.
+WHOLE = {"tinyint", "smallint", "int", "bigint"}
+
+
+def _reaching_by_type(graph: PropertyGraph, model: type[NodeModel], rel: RelationshipDef) -> DataFrame:
+    """As `reaching`, for edges with a direction.
+
+    The first rounds join the edges of each type as they are, from the label whose nodes were just
+    found: no edge is written, and of its columns only both ends are read. What goes on after
+    them is left to `spread`.
+    """
+    wildcard = rel.rel_type == "*"
+    outwards = rel.direction == Direction.OUTGOING
+
+    def space(label: type[NodeModel]) -> str:
+        return label.label_name() if wildcard else ""
+
+    tables = []
+    for edge in graph.edges.values() if wildcard else [graph.edge_table(rel.rel_type)]:
+        ends = orient(graph.edge_frame(edge.rel_type), rel.direction)
+        ends = ends.where(col("near_id").isNotNull() & col("far_id").isNotNull())
+        near, far = (edge.src, edge.dst) if outwards else (edge.dst, edge.src)
+        tables.append((space(near), space(far), ends.select("near_id", "far_id")))
+    targets, own = space(rel.target), space(model)
+    seeds = graph.node_frame(rel.target).select("node_id").where(col("node_id").isNotNull())
+    nodes = graph.node_frame(model).select(col("node_id").alias("~own"))
+
+    kinds = [(targets, seeds.dtypes[0][1]), (own, nodes.dtypes[0][1])]
+    for near, far, ends in tables:
+        kinds += zip((near, far), (kind for _, kind in ends.dtypes))
+    text = {label for label, kind in kinds if kind not in WHOLE}
+
+    def same(name: str, label: str) -> Column:
+        return col(name).cast("string" if label in text else "bigint")
+
+    tables = [
+        (near, far, ends.select(same("near_id", near).alias("~from"), same("far_id", far).alias("~to")))
+        for near, far, ends in tables
+    ]
+    frontier = {targets: checkpointed(seeds.select(same("node_id", targets).alias("node_id")).distinct())}
+    reached = {label: [ids] for label, ids in frontier.items()}
+    for _ in range(PLAIN_STEPS):
+        steps: dict[str, list[DataFrame]] = {}
+        for near, far, ends in tables:
+            if far in frontier:
+                before = ends.join(frontier[far], col("~to") == col("node_id"), "left_semi")
+                steps.setdefault(near, []).append(before.select(col("~from").alias("node_id")))
+        frontier = {}
+        for label, found in steps.items():
+            fresh = reduce(DataFrame.unionByName, found).distinct()
+            if label in reached:
+                fresh = fresh.join(reduce(DataFrame.unionByName, reached[label]), "node_id", "left_anti")
+            fresh = checkpointed(fresh)
+            if not fresh.isEmpty():
+                frontier[label] = fresh
+        for label, fresh in frontier.items():
+            reached.setdefault(label, []).append(fresh)
+        if not frontier:
+            break
+    known = {label: reduce(DataFrame.unionByName, ids) for label, ids in reached.items()}
+    if frontier:
+
+        def whole(name: str, label: str) -> Column:
+            return F.concat(F.lit(label + "/"), col(name).cast("string"))
+
+        step = reduce(
+            DataFrame.unionByName,
+            [
+                ends.select(whole("~to", far).alias("~from"), whole("~from", near).alias("~to"))
+                for near, far, ends in tables
+            ],
+        ).distinct()
+        begun = [ids.select(whole("node_id", label).alias("node_id")) for label, ids in known.items()]
+        every = spread(step, reduce(DataFrame.unionByName, begun), PLAIN_STEPS)
+        known = {
+            label: every.where(col("node_id").startswith(label + "/")).select(
+                F.substring("node_id", F.lit(len(label) + 2), F.length("node_id"))
+                .cast("string" if label in text else "bigint")
+                .alias("node_id")
+            )
+            for label in {x for near, far, _ in tables for x in (near, far)} | {targets}
+        }
+    nears = [
+        ends.join(known[far], col("~to") == col("node_id"), "left_semi").select("~from")
+        for near, far, ends in tables
+        if near == own and far in known
+    ]
+    if not nears:
+        return nodes.where(F.lit(False)).select(col("~own").alias("node_id"))
+    found = reduce(DataFrame.unionByName, nears)
+    return nodes.join(found, same("~own", own) == col("~from"), "left_semi").select(
+        col("~own").alias("node_id")
+    )
+
+
 def _steps(graph: PropertyGraph, rel: RelationshipDef) -> DataFrame:
     """Each pair of neighbours once: ``~from`` and ``~to``."""
     if rel.rel_type == "*":
@@ -276,16 +368,17 @@ def _closure(step: DataFrame, either: bool) -> DataFrame:
 PLAIN_STEPS = 3
 
 
-def spread(step: DataFrame, seeds: DataFrame) -> DataFrame:
+def spread(step: DataFrame, seeds: DataFrame, turn: int = 0) -> DataFrame:
     """The seeds and every node that they reach (``node_id``), for edges ``~from``, ``~to``.
 
     The first rounds take one step each. Then every open node picks one node before it, and these
     picks are doubled: a whole chain behind a reached node is found in a logarithm of its length.
-    A search with ever new picks ends when no step finds anything.
+    A search with ever new picks ends when no step finds anything. ``turn`` is the number of rounds
+    that are done already.
     """
     step = checkpointed(step)
     frontier = checkpointed(seeds.select("node_id").where(col("node_id").isNotNull()).distinct())
-    reached, turn = [frontier], 0
+    reached = [frontier]
     while True:
         found = reduce(DataFrame.unionByName, reached)
         fresh = (
