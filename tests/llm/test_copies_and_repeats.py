@@ -12,7 +12,7 @@ from llm_frames import clashing, documents, odd_texts, words
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from weftgraph.llm import minhash_bins, simhash_trie, suffix_merge
+from weftgraph.llm import minhash_bins, queries, simhash_trie, suffix_merge
 
 LENGTH = 200
 
@@ -109,6 +109,38 @@ def test_pipeline_cuts_repeated_passages_of_51_short_words(spark, monkeypatch, h
         assert r.n_removed == 0
 
 
+@pytest.mark.parametrize("listed", [suffix_merge.LISTED, 0])
+def test_query_counts_passages_of_51_words_under_400_bytes(spark, monkeypatch, tmp_path, listed):
+    """Around hot anchors and others, whether or not only the texts with hot ones travel."""
+    monkeypatch.setattr(suffix_merge, "HOT", 3)
+    monkeypatch.setattr(suffix_merge, "LISTED", listed)
+    rng = random.Random(21)
+    texts, sizes = [], []
+    for n, times in ((51, 2), (50, 2), (54, 5), (200, 2)):
+        passage = " ".join(words(rng, n, 900))
+        texts += [f"{' '.join(words(rng, 60, 10**9))} {passage}" for _ in range(times)]
+        sizes += [len(passage) if n > 50 else 0] * times
+    documents(spark, texts + [None, "a b"]).write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r.doc_id: r for r in queries.QUERIES["op5_suffix_merge"](spark, str(tmp_path)).collect()}
+    assert [found[i].n_passage for i in range(len(texts) + 2)] == [*sizes, 0, 0]
+    cuts = [found[i].n_removed for i in range(len(texts))]
+    assert cuts[:-2] == [0] * (len(texts) - 2) and min(cuts[-2:]) >= sizes[-1]
+
+
+def test_strings_of_words_begin_at_whole_words_in_pieces_too(monkeypatch):
+    monkeypatch.setattr(suffix_merge, "CHUNK", 800)
+    rng = random.Random(6)
+    texts = [suffix_merge.codes_of(" ".join(words(rng, n))) for n in (600, 50, 51, 300)]
+    length, step, seen = 51 * suffix_merge.CODE, suffix_merge.CODE, Counter()
+    rolling = suffix_merge.Rolling(suffix_merge.FACTOR)
+    for piece in suffix_merge.anchors_of(texts, length, rolling, step):
+        for number, _, place, first, last in zip(*(x.tolist() for x in piece), strict=True):
+            assert place % step == first % step == 0
+            assert last <= place <= first + length - suffix_merge.GRAM
+            seen.update((number, at) for at in range(first, last + 1, step))
+    assert seen == Counter((i, at) for i, t in enumerate(texts) for at in range(0, len(t) - length + 1, step))
+
+
 def test_merge_gives_sorted_strings_with_their_common_prefixes():
     rng = random.Random(4)
     strings = [bytes(rng.choices(b"ab", k=rng.randrange(1, 12))) for _ in range(400)]

@@ -48,6 +48,8 @@ OFTEN = 8
 MERGED = 20_000
 #: An anchor with more places than this is not merged in one task: its strings are counted apart.
 HOT = 4_096
+#: Keys of documents that are sent to all tasks (16 bytes each), so that other texts stay where they are.
+LISTED = 500_000
 #: Suffixes of anchors with several contexts whose strings are compared at once.
 COMPARED = 50_000
 #: Places of such anchors whose strings are counted in one bucket, on average.
@@ -125,15 +127,17 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[: n - width + 1], ahead[width - 1 : n])
 
 
-def pieces(texts: list[bytes], length: int) -> Iterator[tuple[bytes, list[tuple[int, int, int]]]]:
+def pieces(
+    texts: list[bytes], length: int, step: int = 1
+) -> Iterator[tuple[bytes, list[tuple[int, int, int]]]]:
     """Bytes of at most about CHUNK with (text number, its offset there, size) of what they hold.
 
-    A long text is cut into pieces that overlap by length - 1, so that each string is in one.
+    A long text is cut into pieces that overlap by length - step, so that each string is in one.
     """
     held, where, size = [], [], 0
     for number, text in enumerate(texts):
         for first in range(0, max(1, len(text) - length + 1), CHUNK):
-            part = text[first : first + CHUNK + length - 1]
+            part = text[first : first + CHUNK + length - step]
             if len(part) < length:
                 continue
             if size and size + len(part) > CHUNK:
@@ -146,32 +150,33 @@ def pieces(texts: list[bytes], length: int) -> Iterator[tuple[bytes, list[tuple[
         yield b"".join(held), where
 
 
-def anchors_of(texts: list[bytes], length: int, rolling: Rolling) -> Iterator[tuple]:
+def anchors_of(texts: list[bytes], length: int, rolling: Rolling, step: int = 1) -> Iterator[tuple]:
     """(text number, hash of the anchor, its place, first and last start of strings it stands for),
-    as arrays, for each piece."""
-    for data, where in pieces(texts, length):
+    as arrays, for each piece. Strings and anchors begin at whole units of `step` bytes."""
+    for data, where in pieces(texts, length, step):
         sums = rolling.sums(np.frombuffer(data, np.uint8))
-        grams = rolling.hashes(sums, GRAM)
+        grams = rolling.hashes(sums, GRAM)[::step]
         order = (grams >> np.uint64(32) << np.uint64(32)) | np.arange(len(grams), dtype=np.uint64)
-        place = (sliding_least(order, length - GRAM + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        sizes = np.array([n for _, _, n in where])
+        width = (length - GRAM) // step + 1
+        place = (sliding_least(order, width) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        sizes = np.array([n for _, _, n in where]) // step
         ends = np.cumsum(sizes)
         begins = ends - sizes
         owner = np.repeat(np.arange(len(where)), sizes)[: len(place)]
-        starts = np.flatnonzero(np.arange(len(place)) + length <= ends[owner])
+        starts = np.flatnonzero(np.arange(len(place)) + length // step <= ends[owner])
         new = np.ones(len(starts), bool)
         new[1:] = (place[starts][1:] != place[starts][:-1]) | (np.diff(starts) != 1)
         first = starts[new]
         last = starts[np.concatenate([np.flatnonzero(new)[1:], [len(starts)]]) - 1]
         of = owner[first]
-        shift = np.array([x for _, x, _ in where])[of] - begins[of]
+        shift = np.array([x for _, x, _ in where])[of] - begins[of] * step
         at = place[first]
         yield (
             np.array([x for x, _, _ in where])[of],
             grams[at].view(np.int64),
-            at + shift,
-            first + shift,
-            last + shift,
+            at * step + shift,
+            first * step + shift,
+            last * step + shift,
         )
 
 
@@ -231,7 +236,7 @@ def packed_anchors(units: list[Unit], buckets: int):
             ids, hashes = (np.asarray(batch.column(k)) for k in KEY)
             for u, unit in enumerate(units):
                 texts = [unit.of(x.as_py()) for x in batch.column("text")]
-                for number, gram, place, first, last in anchors_of(texts, unit.length, rolling):
+                for number, gram, place, first, last in anchors_of(texts, unit.length, rolling, unit.step):
                     rows = np.zeros(len(gram), ANCHOR)
                     rows["gram"], rows["key_id"], rows["key_hash"] = gram, ids[number], hashes[number]
                     rows["place"], rows["back"], rows["more"] = place, place - first, last - first
@@ -340,13 +345,13 @@ class Run:
             np.array([len(x) for x in rest], np.int32),
             np.array([n for _, n in order], np.int32),
             np.array([len(strings[x]) for x in order], np.int32),
-            np.array([p for x in order for p in strings[x]], np.int64).reshape(-1, 3),
+            np.array([p for x in order for p in strings[x]], np.int64).reshape(-1, 3).T,
             np.frombuffer(b"".join(rest), np.uint8),
         ]
 
     def packed(self) -> bytes:
-        head = np.array([len(self.parts[0]), len(self.parts[4])], np.int64).tobytes()
-        return zstandard.compress(head + b"".join(x.tobytes() for x in self.parts), 1)
+        head = np.array([len(self.parts[0]), self.parts[4].shape[1]], np.int64).tobytes()
+        return zstandard.compress(head + b"".join(x.tobytes() for x in self.parts), 6)
 
 
 def unpacked(blob: bytes) -> Iterator[tuple[int, bytes, int, np.ndarray]]:
@@ -355,7 +360,7 @@ def unpacked(blob: bytes) -> Iterator[tuple[int, bytes, int, np.ndarray]]:
     n, m = np.frombuffer(data, np.int64, 2).tolist()
     head = np.frombuffer(data, np.int32, 4 * n, 16).reshape(4, n)
     shared, rest, forward, count = head.tolist()
-    places = np.frombuffer(data, np.int64, 3 * m, 16 + 16 * n).reshape(m, 3)
+    places = np.frombuffer(data, np.int64, 3 * m, 16 + 16 * n).reshape(3, m).T
     at, seen, before = 16 + 16 * n + 24 * m, 0, b""
     for i in range(n):
         before = before[: shared[i]] + data[at : at + rest[i]]
@@ -418,9 +423,15 @@ def merged(runs: list[Iterator[tuple[int, bytes, int, np.ndarray]]]) -> Iterator
 
 
 def repeated_offsets(
-    shared: np.ndarray, forward: np.ndarray, back: list[bytes], times: np.ndarray, length: int
+    shared: np.ndarray,
+    forward: np.ndarray,
+    back: list[bytes],
+    times: np.ndarray,
+    length: int,
+    step: int = 1,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Least and greatest number of bytes before the anchor at which a repeated string starts.
+    """Least and greatest number of bytes before the anchor at which a repeated string starts, in
+    whole units of `step`.
 
     Items stand in merged order; shared[i] is the common prefix of i and i - 1, and under GRAM
     where another anchor begins. No such string: the least is over the greatest.
@@ -447,7 +458,7 @@ def repeated_offsets(
     most = np.where(many, sizes, -1)
     low = np.maximum(length - forward, length - ahead)
     high = np.minimum(sizes, behind)
-    for o in range(max(0, int(low.min())), int(high.max()) + 1 if n else 0):
+    for o in range(-(-max(0, int(low.min())) // step) * step, int(high.max()) + 1 if n else 0, step):
         own = np.flatnonzero((low <= o) & (o <= high))
         if not len(own):
             continue
@@ -461,11 +472,11 @@ def repeated_offsets(
 
 
 def merge_task(units: list[Unit], parts: int):
-    """For all runs of one part: unit, key, lo, hi of repeated bytes around each anchor."""
+    """For all runs of one part: key and spans (unit, lo, hi) of repeated bytes around anchors."""
 
     def run(table: pa.Table) -> pa.Table:
         unit = table["part"][0].as_py() // parts
-        length = units[unit].length
+        length, step = units[unit].length, units[unit].step
         out: list[np.ndarray] = []
         held: list[tuple] = []
 
@@ -485,6 +496,7 @@ def merge_task(units: list[Unit], parts: int):
                     [x[1][x[2] :] for x in items],
                     np.array([len(x[3]) for x in items]),
                     length,
+                    step,
                 )
                 emit(items, least, most)
 
@@ -512,12 +524,15 @@ def merge_task(units: list[Unit], parts: int):
                 group.append((n if group else 0, string, forward, places))
         close_group()
         close(held)
-        spans = np.concatenate(out) if out else np.zeros((0, 4), np.int64)
-        return pa.table(
-            [pa.array(np.full(len(spans), unit, np.int32))]
-            + [pa.array(spans[:, i].copy()) for i in range(4)],
-            ["unit", *KEY, "lo", "hi"],
+        spans = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 4), np.int64)
+        new = (spans[1:, :2] != spans[:-1, :2]).any(axis=1)
+        first = np.flatnonzero(np.r_[True, new]) if len(spans) else np.zeros(0, np.int64)
+        fields = [np.full(len(spans), unit, np.int32), spans[:, 2].copy(), spans[:, 3].copy()]
+        lists = pa.ListArray.from_arrays(
+            pa.array(np.r_[first, len(spans)].astype(np.int32)),
+            pa.StructArray.from_arrays([pa.array(x) for x in fields], ["unit", "lo", "hi"]),
         )
+        return pa.table([*(pa.array(spans[first, i]) for i in range(2)), lists], [*KEY, "spans"])
 
     return run
 
@@ -536,7 +551,7 @@ def run_task(parts: int, units: list[Unit]):
             )
 
         for batch in sliced(batches):
-            for text, *key, found in zip(*(batch.column(i) for i in range(4)), strict=True):
+            for text, *key, found in zip(*map(batch.column, ("text", *KEY, "found")), strict=True):
                 key, found = (key[0].as_py(), key[1].as_py()), found.as_py()
                 data_of = {u: units[u].of(text.as_py()) for u in {x["unit"] for x in found}}
                 for x in found:
@@ -544,7 +559,7 @@ def run_task(parts: int, units: list[Unit]):
                     string = data[x["place"] : x["end"]]
                     forward = len(string)
                     string += data[x["first"] : x["place"]][::-1]
-                    part = held.setdefault(x["unit"] * parts + x["gram"] % parts, {})
+                    part = held.setdefault(x["unit"] * parts + x["part"], {})
                     places = part.get((string, forward))
                     if places is None:
                         part[(string, forward)] = [(*key, x["first"])]
@@ -619,7 +634,7 @@ def counted_task(units: list[Unit], buckets: int):
         held: dict[tuple[int, bytes], dict] = {}
         size = 0
         for batch in sliced(batches):
-            for text, *key, found in zip(*(batch.column(i) for i in range(4)), strict=True):
+            for text, *key, found in zip(*map(batch.column, ("text", *KEY, "found")), strict=True):
                 key, found = (key[0].as_py(), key[1].as_py()), found.as_py()
                 data_of = {u: units[u].of(text.as_py()) for u in {x["unit"] for x in found}}
                 for x in found:
@@ -715,7 +730,8 @@ def repeated_spans(rows: DataFrame, units: list[Unit]) -> DataFrame:
     """key and `spans` (unit, lo, hi; may overlap): all of every string of a unit that occurs twice.
 
     rows: from `keyed`. lo and hi are bytes of what the unit makes of a text. Rows that repeat count
-    as other documents; texts shorter than a unit's length have no spans of it.
+    as other documents; texts shorter than a unit's length have no spans of it. The texts meet their
+    anchors with all columns of rows: a join of rows and spans then reads the same exchange.
     """
     if min(u.length for u in units) <= GRAM:
         raise ValueError(f"strings must be longer than {GRAM} bytes")
@@ -732,28 +748,32 @@ def repeated_spans(rows: DataFrame, units: list[Unit]) -> DataFrame:
     )
     hot = F.col("n") > HOT
     marked = marked.withColumn("hot", F.coalesce(hot, F.lit(False)) | F.col("listed").isNotNull())
-    kept = stored(marked.select("unit", "gram", *KEY, "place", "first", "end", "hot"))
+    kept = marked.select("unit", "gram", *KEY, "place", "first", "end", "hot")
     places, all_kept = kept.agg(F.count_if("hot"), F.count("*")).head()
     parts = tasks_for(spark, all_kept - places, MERGED)
+    part = F.pmod("gram", F.lit(parts)).cast("int").alias("part")
 
-    def with_text(which: str) -> DataFrame:
+    def with_text(which: str, texts: DataFrame) -> DataFrame:
         lists = kept.where(which).groupBy(*KEY).agg(
-            F.collect_set(F.struct("unit", "gram", "place", "first", "end")).alias("found")
+            F.collect_set(F.struct("unit", part, "place", "first", "end")).alias("found")
         )
-        return rows.select("text", *KEY).join(lists, KEY).select("text", *KEY, "found")
+        return texts.join(lists, KEY)
+
+    def hot_texts() -> DataFrame:
+        """At least the texts with hot anchors: if these are few, no other text travels."""
+        texts, few = rows.select("text", *KEY), kept.where("hot").select(*KEY).distinct()
+        if few.count() > LISTED:
+            return texts
+        return texts.join(F.broadcast(few), KEY, "left_semi")
 
-    runs = with_text("NOT hot").mapInArrow(run_task(parts, units), "part int, run binary")
+    runs = with_text("NOT hot", rows).mapInArrow(run_task(parts, units), "part int, run binary")
     spans = runs.groupBy("part").applyInArrow(
-        merge_task(units, parts), "unit int, key_id long, key_hash long, lo long, hi long"
-    )
-    spans = spans.groupBy(*KEY).agg(F.collect_set(F.struct("unit", "lo", "hi")).alias("spans"))
-    if not places:
-        return spans
-    return (
-        spans.union(hot_spans(with_text("hot"), units, places))
-        .groupBy(*KEY)
-        .agg(F.flatten(F.collect_set("spans")).alias("spans"))
+        merge_task(units, parts),
+        "key_id long, key_hash long, spans array<struct<unit: int, lo: long, hi: long>>",
     )
+    if places:
+        spans = spans.union(hot_spans(with_text("hot", hot_texts()), units, places))
+    return spans.groupBy(*KEY).agg(F.flatten(F.collect_set("spans")).alias("spans"))
 
 
 def union_of(spans: list[dict] | None) -> list[tuple[int, int]]:
@@ -827,8 +847,7 @@ def without_repeats(
             )
 
     return (
-        rows.withColumn("doc_id", F.col("doc_id").cast("long"))
-        .join(spans, KEY, "left")
-        .select("doc_id", "rest", "text", "spans")
+        rows.join(spans, KEY, "left")
+        .select(F.col("doc_id").cast("long").alias("doc_id"), "rest", "text", "spans")
         .mapInArrow(run, schema)
     )
